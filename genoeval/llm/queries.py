@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, decontamination, jaccard, sharding, suffix_dedup
+from . import chat, decontamination, jaccard, language, licenses, media, pieces, sharding, suffix_dedup, token_counts
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,11 +28,31 @@ def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_classes(table(spark, sf_dir, "documents"))
 
 
+def op5_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(table(spark, sf_dir, "documents")).drop("detections")
+
+
+def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encode_digest(table(spark, sf_dir, "documents"))
+
+
+def op7_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return media.media_digest(table(spark, sf_dir, "documents"))
+
+
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(table(spark, sf_dir, "documents"))
+
+
 def op9_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_sharding, op2_chat_formatting, op3_benchmark_decontamination, op4_ngram_jaccard_join, op9_suffix_array_dedup)}
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.predict_languages(table(spark, sf_dir, "documents"))
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_sharding, op2_chat_formatting, op3_benchmark_decontamination, op4_ngram_jaccard_join, op5_license_scans, op6_sentencepiece, op7_media_columns, op8_token_counts, op9_suffix_array_dedup, op10_language_id)}
 
 #: DuckDB SQL where whole tables allow it.
 ORACLE_SQL: dict[str, str] = {
