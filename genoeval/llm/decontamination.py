@@ -102,3 +102,9 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
 def contamination_digest(docs: DataFrame, items: DataFrame) -> DataFrame:
     found = contamination(docs, items)
     return found.select("doc_id", "n_words", "n_hit", "n_items", sha_hex(F.array_join("item_ids", ",")).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
+def drop_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """``docs`` without the rows whose id has a row with a hit; null ids are kept."""
+    gone = contamination(docs, items, id_col).filter("n_hit > 0").select(F.col("doc_id").alias(id_col)).distinct()
+    return docs.join(gone, id_col, "left_anti").select(*docs.columns)

@@ -276,6 +276,6 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with one row of each class: that of the least id, the first by text where an id repeats."""
+    """``docs`` with one row of each class: that of the least id. Rows that repeat that id stay together."""
     gone = jaccard_classes(docs, id_col, text_col).filter("class_id <> doc_id").select(F.col("doc_id").alias(id_col)).distinct()
-    return docs.join(gone, id_col, "left_anti")
+    return docs.join(gone, id_col, "left_anti").select(*docs.columns)
