@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import gc
 import tempfile
+import time
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,9 +40,14 @@ def checkpointed(df: DataFrame) -> DataFrame:
 
 
 def release(spark: SparkSession) -> None:
-    """Let Spark delete shuffle files and checkpoints that nothing refers to any more, rather than at its next long pause."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    """Let Spark delete shuffle files and checkpoints that nothing refers to any more, rather than at its next long pause.
+
+    A plan is let go of in steps (Python's handle, the listeners' events, Spark's cleaner), hence the rounds.
+    """
+    for _ in range(3):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.3)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -26,12 +26,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BASES, ByteHash, checkpointed, list_array, ranges, signed, text_slices
+from .common import BASES, ByteHash, checkpointed, list_array, mix, ranges, release, signed, text_slices
 
 LENGTH, GRAM, CELL = 400, 64, 16
 
-_SAMPLE = pa.struct([("fp", pa.int64()), ("h1", pa.int64()), ("h2", pa.int64()), ("at", pa.int32()), ("lo", pa.int32()), ("hi", pa.int32())])
-_SAMPLE_SQL = "array<struct<fp:long,h1:long,h2:long,at:int,lo:int,hi:int>>"
+_SAMPLE = pa.struct([("fp", pa.int64()), ("h1", pa.int64()), ("h2", pa.int64()), ("ident", pa.int64()), ("at", pa.int32()), ("lo", pa.int32()), ("hi", pa.int32())])
+_SAMPLE_SQL = "array<struct<fp:long,h1:long,h2:long,ident:long,at:int,lo:int,hi:int>>"
 
 
 def _sliding_min(x: np.ndarray, width: int) -> np.ndarray:
@@ -45,7 +45,7 @@ def _sliding_min(x: np.ndarray, width: int) -> np.ndarray:
 
 
 def _samples(length: int, gram: int):
-    """mapInArrow: (doc_id, key, n_bytes, samples); a sample is its gram's hash, the hash of its run's text, its place and its run of starts."""
+    """mapInArrow: (doc_id, key, samples); a sample is its gram's hash, its run's name, a number of its own, its place and its run of starts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, data, offsets in text_slices(batches):
@@ -77,16 +77,20 @@ def _samples(length: int, gram: int):
                 owner = np.searchsorted(offsets, lo, side="right") - 1
                 base = offsets[owner]
                 counts = np.bincount(owner, minlength=batch.num_rows)
-                h1, h2 = first(lo, hi + length), second(lo, hi + length)
-                found = [signed(g[at]), signed(h1), signed(h2), (at - base).astype(np.int32), (lo - base).astype(np.int32), (hi - base).astype(np.int32)]
+                # Runs are equal if their texts, their lengths and their samples' places in them are.
+                shape = ((at - lo) * np.int64(length) + (hi - lo)).astype(np.uint64)
+                h1, h2 = mix(first(lo, hi + length) + shape), mix(second(lo, hi + length) + shape)
+                ids = batch.column(0).fill_null(0).to_numpy().view(np.uint64)[owner] * np.uint64(BASES[0]) + batch.column(1).to_numpy().view(np.uint64)[owner]
+                ident = mix(ids + (at - base).astype(np.uint64) * np.uint64(BASES[1]))
+                found = [signed(g[at]), signed(h1), signed(h2), signed(ident), (at - base).astype(np.int32), (lo - base).astype(np.int32), (hi - base).astype(np.int32)]
             flat = pa.StructArray.from_arrays([pa.array(x) for x in found] if found else [pa.array([], f.type) for f in _SAMPLE], fields=list(_SAMPLE))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), list_array(flat, counts)], names=["doc_id", "key", "samples"])
 
     return run
 
 
-_CELL = pa.struct([("fp", pa.int64()), ("cell", pa.int32()), ("at", pa.int32()), ("o1", pa.int64()), ("o2", pa.int64()), ("c1", pa.int64()), ("c2", pa.int64()), ("known", pa.bool_())])
-_CELL_SQL = "array<struct<fp:long,cell:int,at:int,o1:long,o2:long,c1:long,c2:long,known:boolean>>"
+_CELL = pa.struct([("fp", pa.int64()), ("cell", pa.int32()), ("at", pa.int32()), ("o1", pa.int64()), ("o2", pa.int64()), ("core", pa.int64()), ("ident", pa.int64()), ("known", pa.bool_())])
+_CELL_SQL = "array<struct<fp:long,cell:int,at:int,o1:long,o2:long,core:long,ident:long,known:boolean>>"
 
 
 def _cells(length: int, width: int):
@@ -118,15 +122,14 @@ def _cells(length: int, width: int):
             mine, shift = rows[which], base[rows[which]]
             a, z = start + shift, start + shift + width - 1
             out = []
-            marks = np.random.default_rng(int.from_bytes(hashlib.sha256(repr(batch.column(0).to_pylist()[:1]).encode()).digest()[:8], "big"))
-            own = marks.integers(0, 1 << 63, (2, len(a)), dtype=np.int64).view(np.uint64)
-            for k, h in enumerate((first, second)):
-                outer, core = h(a, z + length), h(z, a + length)
-                outside = (start < 0) | (start + width - 1 + length > size[mine])
-                core_outside = (start + width - 1 < 0) | (start + length > size[mine])
-                out += [np.where(outside, own[k], outer), np.where(core_outside, own[k], core)]
-            o1, c1, o2, c2 = out
-            flat = pa.StructArray.from_arrays([pa.array(fp[which]), pa.array(cell.astype(np.int32)), pa.array(start.astype(np.int32)), *(pa.array(signed(x)) for x in (o1, o2, c1, c2)), pa.array(known[which])], fields=list(_CELL))
+            ids = batch.column(0).fill_null(0).to_numpy().view(np.uint64)[mine] * np.uint64(BASES[0]) + batch.column(1).to_numpy().view(np.uint64)[mine]
+            ident = mix(ids + start.astype(np.uint64) * np.uint64(BASES[1]) + fp[which].view(np.uint64))
+            outside = (start < 0) | (start + width - 1 + length > size[mine])
+            core_outside = (start + width - 1 < 0) | (start + length > size[mine])
+            place_in = mix(fp[which].view(np.uint64) + cell.astype(np.uint64) * np.uint64(BASES[0]))
+            o1, o2 = (np.where(outside, mix(ident + np.uint64(k)), mix(h(a, z + length) + place_in)) for k, h in enumerate((first, second)))
+            core = np.where(core_outside, mix(ident + np.uint64(2)), mix(first(z, a + length) + place_in))
+            flat = pa.StructArray.from_arrays([pa.array(fp[which]), pa.array(cell.astype(np.int32)), pa.array(start.astype(np.int32)), *(pa.array(signed(x)) for x in (o1, o2, core, ident)), pa.array(known[which])], fields=list(_CELL))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), list_array(flat, np.bincount(mine, minlength=batch.num_rows))], names=["doc_id", "key", "cells"])
 
     return run
@@ -140,32 +143,47 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 def repeated_starts(keyed: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """Runs of starts whose ``length``-byte string also starts elsewhere: (doc_id, key, lo, hi), runs may touch."""
-    rows = checkpointed(keyed.filter(F.octet_length("text") >= length).mapInArrow(_samples(length, gram), f"doc_id long, key long, samples {_SAMPLE_SQL}").select("doc_id", "key", F.inline("samples")).withColumn("off", F.col("at") - F.col("lo")).withColumn("len", F.col("hi") - F.col("lo")))
-    run = ["fp", "off", "len", "h1", "h2"]
+    mine = _named_runs(keyed, length, gram)
+    yes = mine.filter("n > 1").select("doc_id", "key", "lo", "hi")
+    pending = mine.filter("goes_on").select("doc_id", "key", F.struct("fp", "at", "lo", "hi", (F.col("n") > 1).alias("known")).alias("run"))
+    for width in (CELL, 1):
+        release(keyed.sparkSession)
+        found, pending = _named_cells(keyed, pending, length, width)
+        yes = yes.unionByName(found)
+    release(keyed.sparkSession)
+    return yes
+
+
+def _named_runs(keyed: DataFrame, length: int, gram: int) -> DataFrame:
+    """Runs of starts whose gram occurs again, how often their whole text does (n), and whether they need a closer look."""
+    found = keyed.filter(F.octet_length("text") >= length).mapInArrow(_samples(length, gram), f"doc_id long, key long, samples {_SAMPLE_SQL}")
+    rows = checkpointed(found.select("doc_id", "key", F.inline("samples")))
+    name = ["fp", "h1", "h2"]
     # Sorted by name: runs with equal text, then grams. A gram that occurs once closes its run.
-    runs = rows.groupBy(*run).agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "key", "at")).alias("one"))
+    runs = rows.groupBy(*name).agg(F.count("*").alias("n"), F.min("ident").alias("one"))
     grams = runs.groupBy("fp").agg(F.sum("n").alias("total"), F.min("n").alias("least")).filter("total > 1")
-    again = checkpointed(runs.join(grams, "fp").select(*run, "n", "one", (F.col("least") == 1).alias("open")))
-    mine = checkpointed(rows.join(again, run).select("doc_id", "key", "fp", "at", "lo", "hi", "n", (F.col("open") & ((F.col("n") == 1) | (F.struct("doc_id", "key", "at") == F.col("one")))).alias("goes_on")))
-    yes = mine.filter("n > 1").select("doc_id", "key", "lo", "hi")
-    pending, width = mine.filter("goes_on").select("doc_id", "key", F.struct("fp", "at", "lo", "hi", (F.col("n") > 1).alias("known")).alias("run")), CELL
-    while True:
-        lists = pending.groupBy("doc_id", "key").agg(F.collect_set("run").alias("runs"))
-        cells = lists.join(keyed, ["doc_id", "key"]).select("doc_id", "key", "text", "runs").mapInArrow(_cells(length, width), f"doc_id long, key long, cells {_CELL_SQL}").select("doc_id", "key", F.inline("cells"))
-        cells = checkpointed(cells)
-        outer = ["fp", "cell", "o1", "o2"]
-        # One stand-in of each text that is known to be repeated counts for all of them.
-        texts = cells.groupBy(*outer, "c1", "c2").agg(F.count("*").alias("n"), F.max("known").alias("known"), F.min(F.struct("doc_id", "key", "at")).alias("one"))
-        again = texts.withColumn("n", F.col("n") + F.col("known").cast("int")).filter("n > 1")
-        yes = yes.unionByName(cells.filter("not known").join(again, [*outer, "c1", "c2"], "left_semi").select("doc_id", "key", F.col("at").alias("lo"), (F.col("at") + width - 1).alias("hi")))
-        if width == 1:
-            return yes
-        cores = texts.groupBy("fp", "cell", "c1", "c2").agg(F.sum("n").alias("total"), F.min(F.when(F.col("known"), 2).otherwise(F.col("n"))).alias("least")).filter("total > 1 and least = 1")
-        on = texts.join(cores, ["fp", "cell", "c1", "c2"]).select(*outer, "c1", "c2", ((F.col("n") > 1) | F.col("known")).alias("sure"), "one")
-        next_cells = cells.join(on, [*outer, "c1", "c2"]).filter((~F.col("sure")) | (F.struct("doc_id", "key", "at") == F.col("one")))
-        # The finer cells keep their alignment: the sample's place is start - cell * width.
-        pending = checkpointed(next_cells.select("doc_id", "key", F.struct("fp", (F.col("at") - F.col("cell") * width).cast("int").alias("at"), F.col("at").alias("lo"), (F.col("at") + width - 1).cast("int").alias("hi"), F.col("sure").alias("known")).alias("run")))
-        width = 1
+    again = checkpointed(runs.join(grams, "fp").select(*name, "n", "one", (F.col("least") == 1).alias("open")))
+    goes_on = F.col("open") & ((F.col("n") == 1) | (F.col("ident") == F.col("one")))
+    return checkpointed(rows.join(again, name).select("doc_id", "key", "fp", "at", "lo", "hi", "n", goes_on.alias("goes_on")))
+
+
+def _named_cells(keyed: DataFrame, pending: DataFrame, length: int, width: int) -> tuple[DataFrame, DataFrame | None]:
+    """Cells of the pending runs: those found repeated (lo, hi), and the runs that still need a closer look."""
+    lists = pending.groupBy("doc_id", "key").agg(F.collect_set("run").alias("runs"))
+    found = lists.join(keyed, ["doc_id", "key"]).select("doc_id", "key", "text", "runs").mapInArrow(_cells(length, width), f"doc_id long, key long, cells {_CELL_SQL}")
+    cells = checkpointed(found.select("doc_id", "key", F.inline("cells")))
+    del lists, found, pending
+    release(keyed.sparkSession)
+    # One stand-in of each text that is known to be repeated counts for all of them.
+    name = ["o1", "o2"]
+    texts = cells.groupBy(*name, "core").agg(F.count("*").alias("n"), F.max("known").alias("known"), F.min("ident").alias("one"))
+    cores = texts.groupBy("core").agg(F.sum("n").alias("total"), F.min(F.when(F.col("known"), 2).otherwise(F.col("n"))).alias("least")).filter("total > 1")
+    state = texts.join(cores, "core").select(*name, (F.col("known") | (F.col("n") > 1)).alias("sure"), "one", (F.col("least") == 1).alias("open")).filter("sure or open")
+    named = checkpointed(cells.join(state, name).select("doc_id", "key", "fp", "cell", "at", "known", "sure", (F.col("open") & (~F.col("sure") | (F.col("ident") == F.col("one")))).alias("goes_on")))
+    yes = named.filter("sure and not known").select("doc_id", "key", F.col("at").alias("lo"), (F.col("at") + width - 1).alias("hi"))
+    # The finer cells keep their alignment: the sample's place is start - cell * width.
+    run = F.struct("fp", (F.col("at") - F.col("cell") * width).cast("int").alias("at"), F.col("at").alias("lo"), (F.col("at") + width - 1).cast("int").alias("hi"), F.col("sure").alias("known"))
+    return yes, None if width == 1 else named.filter("goes_on").select("doc_id", "key", run.alias("run"))
 
 
 def _cut(length: int, with_text: bool):
