@@ -15,7 +15,7 @@ def default_chroms(n: int = CHROMOSOMES) -> list[str]:
 
 
 def style_of(name: Column) -> Column:
-    return F.when(name.rlike("^Chr[0-9]+"), "ChrNN").when(name.rlike("^chr[0-9]+"), "chrN").when(name.rlike("^[0-9]+$"), "N").otherwise("other")
+    return F.when(name.isNull(), None).when(name.rlike("^Chr[0-9]+"), "ChrNN").when(name.rlike("^chr[0-9]+"), "chrN").when(name.rlike("^[0-9]+$"), "N").otherwise("other")
 
 
 def contig_style(sites: DataFrame, order: str = "rec_ord") -> str | None:
