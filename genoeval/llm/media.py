@@ -155,20 +155,27 @@ def parse_stream(data: bytes) -> Stream:
     if end - at >= 128 and data[end - 128 : end - 125] == b"TAG":
         end -= 128
         out.tags.setdefault("TIT2", data[end + 3 : end + 33].rstrip(b"\0 ").decode("latin-1"))
-    first = True
+    kind, tabled = None, False  # what the stream's frames share, once one is known
+
+    def header(at: int) -> Header | None:
+        h = parse_header(data[at : at + 4]) if at + 4 <= end else None
+        return h if h and (kind is None or kind == (h.version, h.layer, h.hertz)) else None
+
     while at + 4 <= end:
-        h = parse_header(data[at : at + 4])
-        # In step: a frame ends where another begins, or where the stream does.
-        if h is None or at + h.length > end or (at + h.length + 4 <= end and parse_header(data[at + h.length : at + h.length + 4]) is None and (first or out.junk)):
+        h = header(at)
+        after = at + h.length if h else 0
+        # In step: a frame ends where one of its kind begins, or where the stream does. Later frames may end in junk.
+        follows = parse_header(data[after : after + 4]) if h and after + 4 <= end else None
+        if h is None or after > end or (kind is None and after + 4 <= end and (follows is None or (follows.version, follows.layer, follows.hertz) != (h.version, h.layer, h.hertz))):
             to = data.find(b"\xff", at + 1, end)
             to = end if to < 0 else to
             out.junk += to - at
             at = to
             continue
-        if first and _table(data[at : at + h.length], h, out):
-            first, at = False, at + h.length
+        kind = (h.version, h.layer, h.hertz)
+        if not tabled and not out.seek and _table(data[at : at + h.length], h, out):
+            tabled, at = True, after
             continue
-        first = False
         if h.protected and h.layer == 3:
             good = frame_crc(data[at + 2 : at + 4] + data[at + 6 : at + h.body]) == int.from_bytes(data[at + 4 : at + 6], "big")
             out.crc_good += good
@@ -177,7 +184,7 @@ def parse_stream(data: bytes) -> Stream:
         out.headers.append(h)
         out.samples += h.samples
         out.hertz = out.hertz or h.hertz
-        at += h.length
+        at = after
     out.junk += max(0, end - at)
     return out
 
