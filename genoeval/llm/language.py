@@ -214,7 +214,7 @@ def identify(docs: DataFrame, training: DataFrame, id_col: str = "doc_id", text_
 
 def held_out(id_col: str = "doc_id") -> F.Column:
     """Rows that are never learned from."""
-    return F.crc32(F.col(id_col).cast("string").cast("binary")) % 4 == 2
+    return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
 def predict_languages(docs: DataFrame) -> DataFrame:

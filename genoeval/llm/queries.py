@@ -88,12 +88,29 @@ WITH d AS (
 ), hit AS (
   SELECT doc_id, p.n, i, item_id FROM (SELECT doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') AS g FROM pos) p JOIN win ON win.n = p.n AND win.g = p.g
 ), covered AS (
-  SELECT doc_id, count(DISTINCT at) AS n_hit FROM (SELECT doc_id, unnest(generate_series(i, i + n - 1)) AS at FROM hit) GROUP BY doc_id
+  SELECT doc_id, count(DISTINCT place) AS n_hit FROM (SELECT doc_id, unnest(generate_series(i, i + n - 1)) AS place FROM hit) GROUP BY doc_id
 ), named AS (
   SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hit) GROUP BY doc_id
 )
 SELECT d.doc_id, CAST(coalesce(len(w), 0) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
   sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)
+""",
+    "op4_ngram_jaccard_join": r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + least(5, len(w)) - 1], ' ') AS g FROM (SELECT doc_id, w, unnest(generate_series(1, greatest(len(w) - 4, 1))) AS i FROM d WHERE len(w) > 0)
+), sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), common AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM shingles x JOIN shingles y ON x.g = y.g AND x.doc_id < y.doc_id GROUP BY ALL
+), links AS (
+  SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE c * 10 >= 8 * (x.n + y.n - c)
+), edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links
+), reach AS (
+  SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, e.b FROM reach r JOIN edges e ON e.a = r.b
+)
+SELECT d.doc_id, class_id, coalesce(n_links, 0) AS n_links FROM d JOIN (SELECT a AS doc_id, min(b) AS class_id FROM reach GROUP BY a) USING (doc_id)
+LEFT JOIN (SELECT a AS doc_id, count(*) AS n_links FROM edges GROUP BY a) USING (doc_id)
 """,
 }
