@@ -21,8 +21,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SPACE = "▁"
-#: Units remembered by a worker before it starts over.
-CACHE_MOST = 400_000
+#: Units remembered by a task before it starts over.
+CACHE_MOST = 300_000
 _NONE = np.int32((1 << 31) - 1)
 
 
@@ -53,6 +53,10 @@ class PieceModel:
         for i in normal:  # characters that only occur inside pieces are symbols as well
             for c in self.pieces[i]:
                 self.symbol.setdefault(c, len(self.symbol) + n)
+        self.of_code = -1 - np.arange(0x110000, dtype=np.int64)
+        for c, i in self.symbol.items():
+            if len(c) == 1:
+                self.of_code[ord(c)] = i
         self.letters = {v: k for k, v in self.symbol.items() if v >= n}
         self.size = 1 << 18
         keys, ranks, made = [], [], []
@@ -80,10 +84,7 @@ class PieceModel:
 
     def merge(self, units: list[str]) -> list[list[int]]:
         """Symbols of each unit after all merges; characters outside the model are -1 - code point."""
-        code = np.frombuffer("".join(units).encode("utf-32-le"), np.uint32)
-        points, inverse = np.unique(code, return_inverse=True)
-        first = np.array([self.symbol.get(chr(c), -1 - int(c)) for c in points], np.int64)
-        symbols = first[inverse]
+        symbols = self.of_code[np.frombuffer("".join(units).encode("utf-32-le"), np.uint32)]
         owner = np.repeat(np.arange(len(units), dtype=np.int32), [len(u) for u in units])
         done: list[list[int]] = [[]] * len(units)
         rank, made = self._lookup(symbols[:-1], symbols[1:], owner[1:] == owner[:-1])
@@ -121,7 +122,9 @@ class PieceModel:
             # Only pairs beside a merge have changed.
             if len(place):
                 at = to[place]
-                touched = np.unique(np.concatenate([at, np.maximum(at - 1, 0)]))
+                mark = np.zeros(len(symbols), bool)
+                mark[at] = mark[np.maximum(at - 1, 0)] = True
+                touched = np.flatnonzero(mark)
                 rank[touched], made[touched] = _NONE, 0
                 touched = touched[touched < len(symbols) - 1]
                 rank[touched], made[touched] = self._lookup(symbols[touched], symbols[touched + 1], owner[touched] == owner[touched + 1])
@@ -161,15 +164,19 @@ def encode_texts(path: str, texts: list[str]) -> Iterator[tuple[int, str, bytes,
     """For each text: number of ids, ids joined by commas, decoded bytes, and the id lists of its units."""
     model, cache = _loaded(path)
     split = [model.units(t) for t in texts]
-    fresh = list({u for units in split for u in units if u not in cache})
+    seen: set[str] = set().union(*split)
+    fresh = [u for u in seen if u not in cache]
     if len(cache) + len(fresh) > CACHE_MOST:
         cache.clear()
-        fresh = list({u for units in split for u in units})
+        fresh = list(seen)
     if fresh:
         cache.update(zip(fresh, map(model.entry, model.merge(fresh)), strict=True))
     for units in split:
-        found = [cache[u] for u in units]
-        yield sum(f[0] for f in found), ",".join([f[1] for f in found]), b"".join([f[2] for f in found])[1:], [f[3] for f in found]
+        if units:
+            n, ids, out, lists = zip(*map(cache.__getitem__, units), strict=True)
+            yield sum(n), ",".join(ids), b"".join(out)[1:], lists
+        else:
+            yield 0, "", b"", []
 
 
 def _slices(texts: list[str], most: int = 1 << 20) -> Iterator[tuple[int, int]]:
@@ -191,6 +198,7 @@ def _digests(path: str):
                 rows = [(n, hashlib.sha256(ids.encode()).hexdigest(), hashlib.sha256(out).hexdigest()) for n, ids, out, _ in encode_texts(path, texts[a:z])]
                 n, ids, out = zip(*rows, strict=True)
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, z - a), pa.array(n, pa.int64()), pa.array(ids), pa.array(out)], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+        _loaded(path)[1].clear()  # a worker outlives its tasks; its memory is for what comes next
 
     return run
 
@@ -203,6 +211,7 @@ def _encoded(path: str):
                 rows = [([i for unit in units for i in unit], out.decode()) for _, _, out, units in encode_texts(path, texts[a:z])]
                 ids, out = zip(*rows, strict=True)
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, z - a), pa.array(ids, pa.list_(pa.int32())), pa.array(out, pa.string())], names=["doc_id", "ids", "decoded"])
+        _loaded(path)[1].clear()
 
     return run
 

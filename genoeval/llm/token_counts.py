@@ -21,8 +21,8 @@ from pyspark.sql import functions as F
 from .common import checkpointed
 
 LIMIT = 512
-#: Parts remembered by a worker before it starts over.
-CACHE_MOST = 1_000_000
+#: Parts remembered by a task before it starts over.
+CACHE_MOST = 500_000
 _CACHE_SCHEMA = "tokenizer string, digest string, n_tokens long"
 _BREAK = re.compile(r"(?<=\S)(?= \S)")
 _ODD = re.compile(r"\s\s|^\s|\s$")
@@ -66,10 +66,11 @@ def _parts(text: str) -> list[str]:
 def count_tokens(path: str, texts: list[str]) -> list[int]:
     tokenizer, cache, splits = _loaded(path)
     parts = [(_parts(t) if splits else [t]) if t else [] for t in texts]
-    fresh = list({p for ps in parts for p in ps if p not in cache})
+    seen: set[str] = set().union(*parts)
+    fresh = [p for p in seen if p not in cache]
     if len(cache) + len(fresh) > CACHE_MOST:
         cache.clear()
-        fresh = list({p for ps in parts for p in ps})
+        fresh = list(seen)
     for at in range(0, len(fresh), 1000):
         some = fresh[at : at + 1000]
         cache.update(zip(some, map(len, tokenizer.encode_batch(some, add_special_tokens=False)), strict=True))
@@ -82,6 +83,7 @@ def _counted(path: str):
             texts = batch.column("text").to_pylist()
             counts = [n for at in range(0, len(texts), 200) for n in count_tokens(path, texts[at : at + 200])]
             yield pa.RecordBatch.from_arrays([batch.column("digest"), pa.array(counts, pa.int64())], names=["digest", "n_tokens"])
+        _loaded(path)[1].clear()  # a worker outlives its tasks; its memory is for what comes next
 
     return run
 
