@@ -111,6 +111,19 @@ def test_sharding_refines_its_histogram(spark):
 
     best = next(c for c in range(max(sizes), ends[-1] + 1) if walk(c)[-1] == ends[-1])
     assert capacity == best and cuts == walk(best)
+    again, even = sharding.even_cuts(df, ends[-1], max(sizes), 7, bins=20)
+    assert again == best and set(even) <= {0, *ends} and max(b - a for a, b in zip(even, even[1:])) <= best
+    assert min(b - a for a, b in zip(even, even[1:])) >= ends[-1] / 7 - max(sizes)
+
+
+def test_sharding_with_a_huge_group(spark):
+    """One group larger than all fair shares has a shard to itself, and no shard stays empty."""
+    rows = [(i, "x" * 1000, None, None, 0) for i in range(50)] + [(100 + i, f"text {i} " * 10, None, None, 0) for i in range(200)]
+    load = Counter()
+    for r in sharding.shard_contiguous(spark.createDataFrame(rows, SCHEMA), 10).collect():
+        load[r["shard"]] += r["size"]
+    rest = sorted(load.values())[:-1]
+    assert len(load) == 10 and max(rest) - min(rest) <= 250
 
 
 def test_chat_folds_events(spark):
