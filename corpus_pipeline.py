@@ -10,7 +10,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable
 
@@ -18,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from genoeval.llm import decontamination, jaccard, language, pieces, suffix_dedup
-from genoeval.llm.common import release, table
+from genoeval.llm.common import bounded_batches, checkpoint_folder, release, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -30,11 +29,13 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
     return jaccard.drop_near_duplicates(docs)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without repeated strings; ``n_chars`` follows the text."""
+    bounded_batches(spark)
     cut = suffix_dedup.without_repeats(docs)
     return cut.filter(F.length("text") > 0).withColumn("n_chars", F.char_length("text").cast("long")).select(*docs.columns)
 
@@ -45,6 +46,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, n_tokens, ids, decoded)."""
+    bounded_batches(spark)
     return pieces.encode(docs).select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", "decoded")
 
 
@@ -59,8 +61,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; what a stage returns lies under the shared checkpoint folder for the next one."""
-    base = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-")
-    docs, folder = table(spark, sf_dir, "documents"), f"{base}/pipeline-{uuid.uuid4().hex}"
+    docs, folder = table(spark, sf_dir, "documents"), f"{checkpoint_folder(spark)}/pipeline-{uuid.uuid4().hex}"
     for i, (_, stage) in enumerate(STAGES):
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{i}")
         docs = spark.read.parquet(f"{folder}/{i}")

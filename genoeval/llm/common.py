@@ -18,7 +18,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes of text that numpy works on at once.
-MAX_SLICE = 1 << 20
+MAX_SLICE = 1 << 19
+
+#: Rows and bytes of one Arrow batch.
+BATCH_ROWS, BATCH_BYTES = 2_000, 8 << 20
 
 _BYTE = np.arange(256)
 #: A-Z to a-z, every other byte unchanged.
@@ -31,11 +34,17 @@ BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
 _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut the lineage in the cluster's shared checkpoint folder; a private one only where none is set (tests)."""
-    context = df.sparkSession.sparkContext
+def checkpoint_folder(spark: SparkSession) -> str:
+    """The cluster's shared checkpoint folder; a private one only where none is set (tests)."""
+    context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-"))
+        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-"))
+    return context.getCheckpointDir()
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Cut the lineage with a copy in the shared checkpoint folder, which outlives executors."""
+    checkpoint_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
@@ -50,7 +59,16 @@ def release(spark: SparkSession) -> None:
         time.sleep(0.3)
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Send texts to Python a few megabytes at a time, so that very long ones cannot fill a worker."""
+    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")) > BATCH_ROWS:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table of the folder; its texts will reach Python in bounded batches."""
+    bounded_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -175,7 +175,7 @@ def training_sample(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return [(k, t) for k in sorted(out) for _, t in sorted(out[k])[:ROWS]]
 
 
-def _predicted(samples: list[tuple[str, str]], names: list[str]):
+def _predicted(samples: list[tuple[str, str]], place: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key = hash(tuple(samples))
         if key not in _MODELS:
@@ -183,7 +183,7 @@ def _predicted(samples: list[tuple[str, str]], names: list[str]):
             _MODELS[key] = Model(samples)
         model = _MODELS[key]
         for batch in batches:
-            texts = [t or "" for t in batch.column(batch.schema.get_field_index("_text")).to_pylist()]
+            texts = [t or "" for t in batch.column(0).field(place).to_pylist()]
             done: list[tuple[str, float]] = []
             at = 0
             while at < len(texts):
@@ -193,8 +193,7 @@ def _predicted(samples: list[tuple[str, str]], names: list[str]):
                     to += 1
                 done += model.predict(texts[at:to])
                 at = to
-            kept = [batch.column(i) for i, n in enumerate(batch.schema.names) if n != "_text"]
-            yield pa.RecordBatch.from_arrays([*kept, pa.array([d[0] for d in done], pa.string()), pa.array([d[1] for d in done], pa.float64())], names=names)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([d[0] for d in done], pa.string()), pa.array([d[1] for d in done], pa.float64())], names=["row", "lang_pred", "score"])
 
     return run
 
@@ -207,9 +206,9 @@ def identify(docs: DataFrame, training: DataFrame, id_col: str = "doc_id", text_
     rows and ids are rows of their own.
     """
     samples = training_sample(training, id_col, text_col, lang_col)
-    rows = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"), F.col(text_col).alias("_text"))
+    rows = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"))
     kind = rows.schema["row"].dataType.simpleString()
-    return rows.mapInArrow(_predicted(samples, ["row", "lang_pred", "score"]), f"row {kind}, lang_pred string, score double")
+    return rows.mapInArrow(_predicted(samples, docs.columns.index(text_col)), f"row {kind}, lang_pred string, score double")
 
 
 def held_out(id_col: str = "doc_id") -> F.Column:

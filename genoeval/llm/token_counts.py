@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed
+from .common import checkpoint_folder
 
 LIMIT = 512
 #: Parts remembered by a task before it starts over.
@@ -102,8 +102,7 @@ def token_counts(docs: DataFrame, cache_path: str | None = None, tokenizer: str
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.octet_length(text).cast("long").alias("n_bytes"), F.sha2(text, 256).alias("digest"))
     if cache_path is None:
-        checkpointed(spark.range(0))  # makes sure that a folder is set
-        cache_path = f"{spark.sparkContext.getCheckpointDir()}/token-counts-{uuid.uuid4().hex}"
+        cache_path = f"{checkpoint_folder(spark)}/token-counts-{uuid.uuid4().hex}"
     spark.createDataFrame([], _CACHE_SCHEMA).write.mode("append").parquet(cache_path)
     known = spark.read.schema(_CACHE_SCHEMA).parquet(cache_path).filter(F.col("tokenizer") == version).select("digest")
     # Copies within a task go before the shuffle, the rest after it: one text of each digest is left.
