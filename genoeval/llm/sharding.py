@@ -50,7 +50,7 @@ class _Ends:
         width = max(1, sum(z - a + 1 for a, z in merged) // self.bins)
         inside = F.exists(F.array(*[F.struct(F.lit(a).alias("a"), F.lit(z).alias("z")) for a, z in merged]), lambda w: F.col("end").between(w["a"], w["z"]))
         rows = self.ends.filter(inside).groupBy(F.expr(f"end div {width}").alias("bin")).agg(F.min("end").alias("low"), F.max("end").alias("high")).collect()
-        kept = [k for k in self.known if not any(a <= k[0] and k[1] <= z for a, z in merged)]
+        kept = [k for k in self.known if k == (0, 0) or not any(a <= k[0] and k[1] <= z for a, z in merged)]  # position 0 is no group's end
         self.known = sorted(kept + [(r["low"], r["high"]) for r in rows])
         self.low, self.high = [k[0] for k in self.known], [k[1] for k in self.known]
 

@@ -116,6 +116,13 @@ def test_sharding_refines_its_histogram(spark):
     assert min(b - a for a, b in zip(even, even[1:])) >= ends[-1] / 7 - max(sizes)
 
 
+def test_sharding_refines_at_the_origin(spark):
+    sizes = [5000] + [7] * 300
+    df = spark.createDataFrame([(sum(sizes[: i + 1]),) for i in range(len(sizes))], "end long")
+    capacity, cuts = sharding.even_cuts(df, sum(sizes), 5000, 7, bins=20)
+    assert capacity == 5000 and cuts[:2] == [0, 5000] and max(b - a for a, b in zip(cuts[1:], cuts[2:])) <= 357
+
+
 def test_sharding_with_a_huge_group(spark):
     """One group larger than all fair shares has a shard to itself, and no shard stays empty."""
     rows = [(i, "x" * 1000, None, None, 0) for i in range(50)] + [(100 + i, f"text {i} " * 10, None, None, 0) for i in range(200)]
