@@ -260,6 +260,47 @@ def test_license_suppression():
     assert [d[2] for d in licenses.detect(b"under the gnu affero general public license v3 and gnu general public license version 2")] == ["agpl-3.0", "gpl-2.0"]
 
 
+def examples(parsed, rng):
+    """A random text that a parsed regex matches."""
+    from re import _constants as sre
+
+    out = b""
+    for op, value in parsed:
+        if op is sre.LITERAL:
+            out += bytes([value])
+        elif op is sre.ANY:
+            out += b"x"
+        elif op is sre.IN:
+            kind, first = rng.choice(value)
+            out += rng.choice([b" ", b"\n", b"\t"]) if kind is sre.CATEGORY else bytes([first if kind is sre.LITERAL else first[0]])
+        elif op is sre.SUBPATTERN:
+            out += examples(value[-1], rng)
+        elif op is sre.BRANCH:
+            out += examples(rng.choice(value[1]), rng)
+        elif op in (sre.MAX_REPEAT, sre.MIN_REPEAT):
+            out += b"".join(examples(value[2], rng) for _ in range(rng.randint(value[0], min(value[1], value[0] + 2))))
+        elif op is sre.ASSERT:
+            out += examples(value[1], rng)
+        else:
+            assert op is sre.ASSERT_NOT
+    return out
+
+
+def test_license_prefilter_loses_nothing():
+    from re import _parser
+
+    rng = random.Random(4)
+    for rule in licenses.RULES:
+        parsed = _parser.parse(rule.pattern.pattern, re.S)
+        assert rule.needs
+        for _ in range(8):
+            text = b"pre " + examples(parsed, rng) + b" post"
+            assert rule.pattern.search(text)
+            assert licenses.detect(text) == licenses.detect(text, prefilter=False) != []
+    texts = ("this code is released under gpl v3", "available under apache 2.0", "creative commons attribution-sharealike 4.0", "two-clause bsd", "cc0", "wtfpl", "placed in the public \n domain", "copyright x all rights\n reserved")
+    assert [licenses.detect(t.encode())[0][2] for t in texts] == ["gpl-3.0", "apache-2.0", "cc-by-sa", "bsd-2-clause", "cc0-1.0", "wtfpl", "public-domain", "all-rights-reserved"]
+
+
 def fuzz(seed, n=300):
     rng = random.Random(seed)
     parts = ["a", "b", "the ", " ", "  ", "    ", "\n", "\t", "é", "ß", "漢", "😀", "ﬁ", "▁", "er", "ing", "aaaa", "=", "--", "<s>", "<|endoftext|>", "'s", "x\x00", "2024", "́", "   \n", "ق"]
