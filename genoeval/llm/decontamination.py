@@ -72,6 +72,19 @@ def _candidates(window: int, items: bool, lengths: tuple[int, ...], wanted: np.n
 _SCHEMA = "id long, n_words long, found array<struct<fp:long,k1:long,k2:long,pos:long,len:int>>"
 
 
+def _hits(own: DataFrame, items: DataFrame, item_col: str, item_text_col: str, window: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Numbered rows of ``own`` (id, text), the benchmark's windows, and the rows' windows that are among them."""
+    bench = checkpointed(items.select(F.col(item_col).cast("long").alias("id"), F.col(item_text_col).alias("text")).mapInArrow(_candidates(window, True, (), None), _SCHEMA).select(F.col("id").alias("item"), F.inline("found")).select("item", "fp", "k1", "k2", "len"))
+    stats = bench.agg(F.approx_count_distinct("fp").alias("n"), F.collect_set("len").alias("lengths")).first()
+    wanted = None
+    if stats["n"] <= FILTER_MOST:
+        wanted = np.array(sorted(r[0] % (1 << 64) for r in bench.select("fp").distinct().collect()), np.uint64)
+    lengths = tuple(sorted(set(stats["lengths"]) - {window}))
+    scanned = checkpointed(own.mapInArrow(_candidates(window, False, lengths, wanted), _SCHEMA.replace("id long", f"id {own.schema['id'].dataType.simpleString()}", 1)).withColumn("row", F.monotonically_increasing_id()))
+    keys = bench.select("fp", "k1", "k2", "len").distinct()
+    return scanned, bench, scanned.select("row", F.inline("found")).join(keys, ["fp", "k1", "k2", "len"])
+
+
 def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW) -> DataFrame:
     """One row for each row of ``docs``: (doc_id, n_words, n_hit, n_items, item_ids, hits).
 
@@ -79,17 +92,8 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     words has no window. Rows that repeat an id are judged each on their own; items that repeat an id share it.
     Other columns of either table are not read. An empty ``items`` leaves every document clean.
     """
-    bench = checkpointed(items.select(F.col(item_col).cast("long").alias("id"), F.col(item_text_col).alias("text")).mapInArrow(_candidates(window, True, (), None), _SCHEMA).select(F.col("id").alias("item"), F.inline("found")).select("item", "fp", "k1", "k2", "len"))
-    stats = bench.agg(F.approx_count_distinct("fp").alias("n"), F.collect_set("len").alias("lengths")).first()
-    wanted = None
-    if stats["n"] <= FILTER_MOST:
-        wanted = np.array(sorted(r[0] % (1 << 64) for r in bench.select("fp").distinct().collect()), np.uint64)
-    lengths = tuple(sorted(set(stats["lengths"]) - {window}))
     own = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    scanned = checkpointed(own.mapInArrow(_candidates(window, False, lengths, wanted), _SCHEMA).withColumn("row", F.monotonically_increasing_id()))
-    spans = scanned.select("row", F.inline("found"))
-    keys = bench.select("fp", "k1", "k2", "len").distinct()
-    hits = spans.join(keys, ["fp", "k1", "k2", "len"])
+    scanned, bench, hits = _hits(own, items, item_col, item_text_col, window)
     covered = hits.groupBy("row").agg(F.collect_set(F.struct("pos", "len")).alias("hits"), F.size(F.array_distinct(F.flatten(F.collect_set(F.expr("sequence(pos, pos + len - 1)"))))).cast("long").alias("n_hit"))
     by_item = hits.select("row", "fp", "k1", "k2", "len").distinct().join(bench.distinct(), ["fp", "k1", "k2", "len"]).groupBy("row").agg(F.sort_array(F.collect_set(F.col("item").cast("string"))).alias("item_ids"))
     none = F.array().cast("array<string>")
@@ -104,7 +108,9 @@ def contamination_digest(docs: DataFrame, items: DataFrame) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", sha_hex(F.array_join("item_ids", ",")).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
 
 
-def drop_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """``docs`` without the rows whose id has a row with a hit; null ids are kept."""
-    gone = contamination(docs, items, id_col).filter("n_hit > 0").select(F.col("doc_id").alias(id_col)).distinct()
-    return docs.join(gone, id_col, "left_anti").select(*docs.columns)
+def drop_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` without the rows that have a hit; each row is judged by its own text, and ``id_col`` does not matter."""
+    key = F.unhex(F.md5(F.coalesce(F.col(text_col), F.lit(""))))
+    scanned, _, hits = _hits(docs.select(key.alias("id"), F.col(text_col).alias("text")), items, "item_id", "text", WINDOW)
+    gone = scanned.join(hits.select("row").distinct(), "row", "left_semi").select(F.col("id").alias("key")).distinct()
+    return docs.select(key.alias("key"), F.struct(*docs.columns).alias("whole")).join(gone, "key", "left_anti").select("whole.*")

@@ -18,7 +18,7 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import Words, checkpointed, mix, ranges, run_hashes, signed, text_slices
@@ -83,7 +83,7 @@ def _signatures(g: np.ndarray, first: np.ndarray) -> np.ndarray:
 
 
 def _sets(k: int, with_shingles: bool):
-    """mapInArrow: rows with words give (id, s1, s2, body); body is the signature, or the sorted shingles."""
+    """mapInArrow: rows with words give (..., s1, s2, body), all columns but the text first; body is the signature, or the sorted shingles."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, data, offsets in text_slices(batches):
@@ -96,7 +96,9 @@ def _sets(k: int, with_shingles: bool):
                 body = [g[a:b].tobytes() for a, b in zip(kept[:-1], kept[1:], strict=True)]
             else:
                 body = [x.tobytes() for x in _signatures(g, kept)] if len(has) else []
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(has)), pa.array(signed(s1)), pa.array(signed(s2)), pa.array(body, pa.binary())], names=["id", "s1", "s2", "body"])
+            names = [c for c in batch.schema.names if c != "text"]
+            own = [batch.column(c).take(pa.array(has)) for c in names]
+            yield pa.RecordBatch.from_arrays([*own, pa.array(signed(s1)), pa.array(signed(s2)), pa.array(body, pa.binary())], names=[*names, "s1", "s2", "body"])
 
     return run
 
@@ -238,20 +240,26 @@ def connected(edges: DataFrame) -> DataFrame:
         before = now
 
 
-def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, threshold: float = THRESHOLD, tolerance: float = TOLERANCE) -> DataFrame:
-    """One row for each row of ``docs``: (doc_id, class_id, n_links).
+def _own(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
 
-    ``n_links`` counts the other rows whose set has Jaccard similarity ``threshold`` or more, equal texts included;
-    ``class_id`` is the least id of the rows joined by links. A text of fewer words than a shingle is one
-    shingle. Rows without a word (null, empty, punctuation) have no set: no link, and their own id as class.
-    Rows that repeat an id are rows of their own. Empty tables give no rows; other columns are not read.
+
+def _wordless(text_col: str) -> Column:
+    return F.col(text_col).isNull() | ~F.col(text_col).rlike(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]")
+
+
+def _classes(own: DataFrame, shingle: int, threshold: float, tolerance: float) -> tuple[DataFrame, DataFrame]:
+    """Rows with words of ``own`` (id, ..., text), by set (s1, s2); and each set's root, links and the first row of its class.
+
+    The first row has the least id (null ids last), then the least of the columns that follow.
     """
     least = least_matches(threshold, tolerance)
-    own = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    sets = "id long, s1 long, s2 long, body binary"
+    columns = [f for f in own.schema if f.name != "text"]
+    sets = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in columns) + ", s1 long, s2 long, body binary"
     signed_rows = checkpointed(own.mapInArrow(_sets(shingle, False), sets))
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), *(f.name for f in columns)))
     # A set is known by 128 bits; its representative is a number of its own, as ids may repeat.
-    reps = checkpointed(signed_rows.groupBy("s1", "s2").agg(F.min("id").alias("least_id"), F.count("*").alias("copies"), F.first("body").alias("body")).withColumn("rep", F.monotonically_increasing_id()))
+    reps = checkpointed(signed_rows.groupBy("s1", "s2").agg(first.alias("first"), F.count("*").alias("copies"), F.first("body").alias("body")).withColumn("rep", F.monotonically_increasing_id()))
     bands = checkpointed(reps.select("rep", "body").mapInArrow(_bands, "rep long, band int, key long"))
     buckets = bands.groupBy("band", "key").agg(F.count("*").alias("n")).filter("n > 1").withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
     mine = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
@@ -267,15 +275,37 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     links = checkpointed(checked.groupBy("rep", "to").agg(F.sum("links").alias("links")))
     roots = connected(links.select(F.col("rep").alias("a"), F.col("to").alias("b")))
     counts = links.groupBy("rep").agg(F.sum("links").alias("links"))
-    per_rep = reps.select("rep", "s1", "s2", "least_id", "copies").join(roots.withColumnRenamed("node", "rep"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
-    names = per_rep.groupBy("root").agg(F.min("least_id").alias("class_id"))
-    per_rep = per_rep.join(names, "root").join(counts, "rep", "left").select("s1", "s2", "class_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
-    linked = signed_rows.select("id", "s1", "s2").join(per_rep, ["s1", "s2"]).select(F.col("id").alias("doc_id"), "class_id", "n_links")
-    wordless = own.filter(F.col("text").isNull() | ~F.col("text").rlike(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]")).select(F.col("id").alias("doc_id"), F.col("id").alias("class_id"), F.lit(0).cast("long").alias("n_links"))
+    per_rep = reps.select("rep", "s1", "s2", "first", "copies").join(roots.withColumnRenamed("node", "rep"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
+    names = per_rep.groupBy("root").agg(F.min("first").alias("first"))
+    return signed_rows, per_rep.drop("first").join(names, "root").join(counts, "rep", "left").select("root", "s1", "s2", "first", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
+
+
+def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, threshold: float = THRESHOLD, tolerance: float = TOLERANCE) -> DataFrame:
+    """One row for each row of ``docs``: (doc_id, class_id, n_links).
+
+    ``n_links`` counts the other rows whose set has Jaccard similarity ``threshold`` or more, equal texts included;
+    ``class_id`` is the least id of the rows joined by links. A text of fewer words than a shingle is one
+    shingle. Rows without a word (null, empty, punctuation) have no set: no link, and their own id as class.
+    Rows that repeat an id are rows of their own. Empty tables give no rows; other columns are not read.
+    """
+    own = _own(docs, id_col, text_col)
+    signed_rows, per_set = _classes(own, shingle, threshold, tolerance)
+    linked = signed_rows.select("id", "s1", "s2").join(per_set, ["s1", "s2"]).select(F.col("id").alias("doc_id"), F.col("first.id").alias("class_id"), "n_links")
+    wordless = own.filter(_wordless("text")).select(F.col("id").alias("doc_id"), F.col("id").alias("class_id"), F.lit(0).cast("long").alias("n_links"))
     return linked.unionByName(wordless)
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with one row of each class: that of the least id. Rows that repeat that id stay together."""
-    gone = jaccard_classes(docs, id_col, text_col).filter("class_id <> doc_id").select(F.col("doc_id").alias(id_col)).distinct()
-    return docs.join(gone, id_col, "left_anti").select(*docs.columns)
+    """``docs`` with one row of each class, also where ids repeat or are null: that of the least id, null ids last.
+
+    Of several such rows the one with the least digest of id and text stays, and any one of rows equal in both.
+    Rows without a word are classes of their own and stay.
+    """
+    # Id and text tell rows apart as far as it matters here, so rows need no number and no copy.
+    key = F.unhex(F.md5(F.concat(F.coalesce(F.col(id_col).cast("long").cast("string"), F.lit("")), F.lit(":"), F.coalesce(F.col(text_col), F.lit(""))))).alias("key")
+    own = docs.select(F.col(id_col).cast("long").alias("id"), key, F.col(text_col).alias("text"))
+    _, per_set = _classes(own, SHINGLE, THRESHOLD, TOLERANCE)
+    first = per_set.select("first.key").distinct()
+    whole = docs.filter(~_wordless(text_col)).select(key, F.struct(*docs.columns).alias("whole"))
+    kept = whole.dropDuplicates(["key"]).join(first, "key", "left_semi").select("whole.*")
+    return kept.unionByName(docs.filter(_wordless(text_col)))

@@ -235,6 +235,32 @@ def test_jaccard_large_bucket(spark, monkeypatch):
     assert got == brute_classes(rows) and got[39] == (0, 39)
 
 
+def test_dropping_is_by_row(spark):
+    """Repeated rows, shared ids and null ids through stages 2 to 4: of each text one row, with its bytes."""
+    import corpus_pipeline
+
+    rng = random.Random(6)
+    prose = lambda: " ".join("".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(120))
+    repeated, near, clean, shared, nulls, bad, good, copies = (prose() for _ in range(8))
+    change = lambda t, w: t.replace(t.split(" ")[60], w)
+    rows = [
+        (1, repeated), (1, repeated), (2, near), (3, change(near, "other")), (3, clean), (3, shared), (4, change(shared, "next")),
+        (None, nulls), (None, change(nulls, "more")), (None, nulls), (None, bad), (5, change(bad, "worse")), (6, good), (6, copies), (None, copies), (7, None), (7, " !"),
+    ]
+    df = spark.createDataFrame([(d, t, "en", "s", len(t or "")) for d, t in rows], SCHEMA)
+    kept = corpus_pipeline.near_duplicates(spark, df, "")
+    expected = [(1, repeated), (2, near), (3, clean), (3, shared), (5, change(bad, "worse")), (6, good), (6, copies), (7, None), (7, " !")]
+    got = [(r["doc_id"], r["text"]) for r in kept.collect()]
+    order = lambda x: sorted(x, key=str)
+    assert kept.columns == df.columns and order(r for r in got if r[0]) == order(expected)
+    assert [t for d, t in got if d is None] in ([nulls], [change(nulls, "more")]) and len(got) == len(expected) + 1
+    cut = corpus_pipeline.repeated_passages(spark, spark.createDataFrame(kept.collect(), SCHEMA), "").collect()
+    assert order((r["doc_id"], r["text"]) for r in cut) == order(x for x in got if x[1])
+    items = spark.createDataFrame([(1, " ".join(bad.split(" ")[20:40])), (2, " ".join(shared.split(" ")[70:90])), (3, " ".join(nulls.split(" ")[:30]))], "item_id long, text string")
+    after = [(r["doc_id"], r["text"]) for r in decontamination.drop_contaminated(df, items).collect()]
+    assert order(after) == order((d, t) for d, t in rows if not t or not any(t.startswith(x[:100]) for x in (bad, shared, nulls)))
+
+
 def test_pruning_rule():
     assert jaccard.posterior_below(64, 64, 0.8) > 0.99 and jaccard.posterior_below(0, 8, 0.8) < 1e-4
     least = jaccard.least_matches(0.8, 1e-4)
