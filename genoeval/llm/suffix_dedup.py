@@ -23,7 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import BASES, ByteHash, checkpointed, list_array, mix, ranges, release, signed, text_slices
@@ -80,7 +80,7 @@ def _samples(length: int, gram: int):
                 # Runs are equal if their texts, their lengths and their samples' places in them are.
                 shape = ((at - lo) * np.int64(length) + (hi - lo)).astype(np.uint64)
                 h1, h2 = mix(first(lo, hi + length) + shape), mix(second(lo, hi + length) + shape)
-                ids = batch.column(0).fill_null(0).to_numpy().view(np.uint64)[owner] * np.uint64(BASES[0]) + batch.column(1).to_numpy().view(np.uint64)[owner]
+                ids = batch.column(0).to_numpy().view(np.uint64)[owner] * np.uint64(BASES[0]) + batch.column(1).to_numpy().view(np.uint64)[owner]
                 ident = mix(ids + (at - base).astype(np.uint64) * np.uint64(BASES[1]))
                 found = [signed(g[at]), signed(h1), signed(h2), signed(ident), (at - base).astype(np.int32), (lo - base).astype(np.int32), (hi - base).astype(np.int32)]
             flat = pa.StructArray.from_arrays([pa.array(x) for x in found] if found else [pa.array([], f.type) for f in _SAMPLE], fields=list(_SAMPLE))
@@ -122,7 +122,7 @@ def _cells(length: int, width: int):
             mine, shift = rows[which], base[rows[which]]
             a, z = start + shift, start + shift + width - 1
             out = []
-            ids = batch.column(0).fill_null(0).to_numpy().view(np.uint64)[mine] * np.uint64(BASES[0]) + batch.column(1).to_numpy().view(np.uint64)[mine]
+            ids = batch.column(0).to_numpy().view(np.uint64)[mine] * np.uint64(BASES[0]) + batch.column(1).to_numpy().view(np.uint64)[mine]
             ident = mix(ids + start.astype(np.uint64) * np.uint64(BASES[1]) + fp[which].view(np.uint64))
             outside = (start < 0) | (start + width - 1 + length > size[mine])
             core_outside = (start + width - 1 < 0) | (start + length > size[mine])
@@ -135,10 +135,15 @@ def _cells(length: int, width: int):
     return run
 
 
-def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(doc_id, key, text): id and text hash together tell rows apart; rows equal in both share their result."""
+def _keyed(docs: DataFrame, id_col: str, text_col: str, *others: Column) -> DataFrame:
+    """(doc_id, key, text): id and text hash together tell rows apart; rows equal in both share their result.
+
+    Neither is null, as both are joined on: a row without an id has a second hash of its text in its place, and its
+    key says so.
+    """
     text = F.coalesce(F.col(text_col), F.lit(""))
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("key"), text.alias("text"))
+    own = F.col(id_col).cast("long")
+    return docs.select(F.coalesce(own, F.xxhash64(F.lit("no id"), text)).alias("doc_id"), F.xxhash64(text, own.isNull()).alias("key"), text.alias("text"), own.alias("id"), *others)
 
 
 def repeated_starts(keyed: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
@@ -220,12 +225,11 @@ def _cut(length: int, with_text: bool):
 
 
 def _with_spans(docs: DataFrame, id_col: str, text_col: str, length: int, gram: int, others: list[str]) -> DataFrame:
-    keyed = _keyed(docs, id_col, text_col)
+    keyed = _keyed(docs, id_col, text_col).drop("id")
     spans = repeated_starts(keyed, length, gram).groupBy("doc_id", "key").agg(F.array_sort(F.collect_set(F.struct("lo", "hi"))).alias("runs"))
     extra = F.struct(*[F.col(c) for c in others]).alias("others") if others else F.lit(None).cast("int").alias("others")
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    whole = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("key"), text.alias("text"), extra)
-    return whole.join(spans, ["doc_id", "key"], "left").select("doc_id", "text", F.col("runs.lo").alias("lo"), F.col("runs.hi").alias("hi"), "others")
+    whole = _keyed(docs, id_col, text_col, extra)
+    return whole.join(spans, ["doc_id", "key"], "left").select(F.col("id").alias("doc_id"), "text", F.col("runs.lo").alias("lo"), F.col("runs.hi").alias("hi"), "others")
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM) -> DataFrame:
@@ -233,7 +237,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     Every byte covered by a ``length``-byte string that also starts elsewhere, in this text or another, is removed.
     Null and empty texts have no bytes. Two rows with equal texts are each other's copies, also under one id.
-    Rows equal in id and text are one string's two copies as well. Empty tables give no rows.
+    Rows equal in id and text are one string's two copies as well, and rows without an id are rows like others. Empty
+    tables give no rows.
     """
     return _with_spans(docs, id_col, text_col, length, gram, []).mapInArrow(_cut(length, False), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 

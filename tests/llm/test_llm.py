@@ -433,6 +433,16 @@ def test_repeats_inside_a_text(spark):
     assert sorted(r["n_removed"] for r in suffix_dedup.remove_repeats(twice, length=100, gram=32).collect()) == [0, 130, 130]
 
 
+@pytest.mark.parametrize("length,gram", [(400, 64), (50, 16)])
+def test_repeats_without_ids(spark, rows, length, gram):
+    """Null ids beside ids: every row has the result of its text, also where only a row without an id repeats it."""
+    given = [(d if d % 3 == 0 else 0 if d % 7 == 0 else None, *r) for d, *r in rows]
+    expected = brute_repeats(rows, length)
+    got = suffix_dedup.remove_repeats(spark.createDataFrame(given, SCHEMA).repartition(3), length=length, gram=gram).collect()
+    found = Counter((r["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in got)
+    assert found == Counter((g[0], *expected[r[0]]) for g, r in zip(given, rows, strict=True)) and any(k[0] is None and k[2] for k in found)
+
+
 def test_cut_texts_keep_columns(docs):
     cut = suffix_dedup.without_repeats(docs, length=50, gram=16)
     assert cut.columns == docs.columns and cut.count() == docs.count()
