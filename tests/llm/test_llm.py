@@ -267,6 +267,15 @@ def test_pruning_rule():
     assert all(0 < least[n] < 0.8 * n for n in least if n >= 16) and list(least) == list(range(8, 81, 8))
 
 
+def test_jaccard_loss():
+    """Bands and all pruning steps together lose a pair at the threshold with a probability below 1e-8."""
+    from math import comb
+
+    least = jaccard.least_matches(jaccard.THRESHOLD, jaccard.TOLERANCE)
+    pruned = sum(comb(n, i) * 0.8**i * 0.2 ** (n - i) for n, m in least.items() for i in range(m))
+    assert pruned < 5e-9 and (1 - 0.8**jaccard.ROWS) ** jaccard.BANDS < 5e-9 and any(least.values())
+
+
 def test_licenses(spark, none):
     texts = ["Released under the MIT License. mit-LICENSE, permit license", "GNU Lesser General Public License v3", "SPDX-License-Identifier: Apache-2.0", None, "", "the apache license and the GENERAL\npublic  license", "nothing here", "Licensed under the Apache License, Version 2.0"]
     df = spark.createDataFrame([(i, t, None, None, 0) for i, t in enumerate(texts)], SCHEMA)
