@@ -2,7 +2,7 @@
 
 ``store_payload`` writes bytes as an MPEG-1 layer III stream (48 kHz, mono, variable bit rate, checksummed frames): a tag
 with the payload's length and checksum, a table frame with counts and seek points, then silent frames that carry
-the payload in their ancillary bytes. ``parse_stream`` reads any MPEG audio stream: tags at both ends,
+the payload in their ancillary bytes, and one frame without payload, so that no payload is where a tag may be. ``parse_stream`` reads any MPEG audio stream: tags at both ends,
 resynchronisation over junk, versions 1, 2 and 2.5, layers I to III, Xing/Info and VBRI tables, layer III checksums.
 """
 
@@ -210,6 +210,7 @@ def store_payload(payload: bytes) -> bytes:
     if rest:
         kbps = next(k for k, room in _ROOM.items() if room >= len(rest))
         frames.append((_HEADS[kbps] + rest).ljust(3 * kbps, b"\0"))
+    frames.append(_HEADS[48].ljust(144, b"\0"))  # longer than an ID3v1 tag
     texts = b"".join(b"TXXX" + _synchsafe(len(t) + 1) + b"\0\0\3" + t for t in (b"payload_bytes\0%d" % len(payload), b"payload_crc32\0%d" % zlib.crc32(payload)))
     tag = b"ID3\4\0\0" + _synchsafe(len(texts)) + texts
     audio = b"".join(frames)

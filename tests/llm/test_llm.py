@@ -387,6 +387,16 @@ def test_media_streams():
     assert media.parse_header(bytes([0xFF, 0xF3, 0x90, 0xC0])).samples == 576 and media.parse_header(bytes([0xFF, 0xFF, 0x90, 0xC0])).layer == 1
 
 
+def test_media_payloads_like_tags():
+    """Payloads of all lengths made of the mark of an ID3v1 tag, at each phase."""
+    for n in [*range(0, 1400), 64 * 100, 64 * 1000]:
+        for phase in range(3):
+            payload = (b"TAG" * (n // 3 + 2))[phase : phase + n]
+            data = media.store_payload(payload)
+            s = media.parse_stream(data)
+            assert media.read_payload(data, s) == payload and (s.junk, s.table_frames) == (0, len(s.seek))
+
+
 def test_token_counts(spark, rows, none, tmp_path):
     from tokenizers import Tokenizer
 
