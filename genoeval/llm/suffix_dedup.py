@@ -96,8 +96,9 @@ _CELL_SQL = "array<struct<fp:long,cell:int,at:int,o1:long,o2:long,core:long,iden
 def _cells(length: int, width: int):
     """mapInArrow: rows with (doc_id, key, text, runs) give the cells of ``width`` starts of each run.
 
-    Cells are aligned to the run's sample, so equal windows fall into equal cells. Bytes outside the text are
-    stood in for by values of this row's own, so a cell that sticks out has an outer text like no other.
+    Cells are aligned to the run's sample, so equal windows fall into equal cells. A cell that sticks out of its text
+    has an outer text like no other (its stand-in is made of the row, the sample's place and the cell's number); single
+    starts that lie outside are left out.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -123,14 +124,16 @@ def _cells(length: int, width: int):
             a, z = start + shift, start + shift + width - 1
             out = []
             ids = batch.column(0).to_numpy().view(np.uint64)[mine] * np.uint64(BASES[0]) + batch.column(1).to_numpy().view(np.uint64)[mine]
-            ident = mix(ids + start.astype(np.uint64) * np.uint64(BASES[1]) + fp[which].view(np.uint64))
+            ident = mix(mix(ids + place[which].astype(np.uint64) * np.uint64(BASES[1])) + cell.astype(np.uint64) * np.uint64(BASES[0]) + fp[which].view(np.uint64))
             outside = (start < 0) | (start + width - 1 + length > size[mine])
             core_outside = (start + width - 1 < 0) | (start + length > size[mine])
             place_in = mix(fp[which].view(np.uint64) + cell.astype(np.uint64) * np.uint64(BASES[0]))
             o1, o2 = (np.where(outside, mix(ident + np.uint64(k)), mix(h(a, z + length) + place_in)) for k, h in enumerate((first, second)))
             core = np.where(core_outside, mix(ident + np.uint64(2)), mix(first(z, a + length) + place_in))
-            flat = pa.StructArray.from_arrays([pa.array(fp[which]), pa.array(cell.astype(np.int32)), pa.array(start.astype(np.int32)), *(pa.array(signed(x)) for x in (o1, o2, core, ident)), pa.array(known[which])], fields=list(_CELL))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), list_array(flat, np.bincount(mine, minlength=batch.num_rows))], names=["doc_id", "key", "cells"])
+            inside = ~outside if width == 1 else np.ones(len(start), bool)
+            fields = (fp[which], cell.astype(np.int32), start.astype(np.int32), *(signed(x) for x in (o1, o2, core, ident)), known[which])
+            flat = pa.StructArray.from_arrays([pa.array(x[inside]) for x in fields], fields=list(_CELL))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), list_array(flat, np.bincount(mine[inside], minlength=batch.num_rows))], names=["doc_id", "key", "cells"])
 
     return run
 
@@ -203,6 +206,8 @@ def _cut(length: int, with_text: bool):
             lo = lows.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
             hi = highs.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
             lo, hi = np.maximum(lo, 0), np.minimum(hi, size[rows] - length)
+            some = lo <= hi
+            rows, lo, hi = rows[some], lo[some], hi[some]
             mark = np.zeros(len(data) + 1, np.int64)
             np.add.at(mark, offsets[rows] + lo, 1)
             np.add.at(mark, offsets[rows] + hi + length, -1)
