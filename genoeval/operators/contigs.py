@@ -38,14 +38,21 @@ def restrict_contigs(sites: DataFrame, chroms: list[str] | None = None) -> DataF
 
 
 def canonicalize(sites: DataFrame) -> DataFrame:
-    """Canonical names, other contigs dropped. Two contigs that resolve to one name raise when the result is read."""
-    named = sites.withColumn("contig", F.col("chrom")).withColumn("chrom", canonical_chrom(F.col("contig"))).filter("chrom is not null")
-    return named
+    """Canonical names, other contigs dropped; ``contig`` keeps the name. See ``assert_one_contig``."""
+    return sites.withColumn("contig", F.col("chrom")).withColumn("chrom", canonical_chrom(F.col("contig"))).filter("chrom is not null")
 
 
 def clashing_contigs(sites: DataFrame) -> DataFrame:
     """Chromosomes to which more than one contig resolves."""
-    return canonicalize(sites).groupBy("chrom").agg(F.sort_array(F.collect_set("contig")).alias("contigs")).filter(F.size("contigs") > 1)
+    named = sites if "contig" in sites.columns else canonicalize(sites)
+    return named.groupBy("chrom").agg(F.sort_array(F.collect_set("contig")).alias("contigs")).filter(F.size("contigs") > 1)
+
+
+def assert_one_contig(sites: DataFrame, what: str) -> None:
+    """Two contigs of one chromosome (Chr1 and chr01) must not be mixed."""
+    clashes = clashing_contigs(sites).orderBy("chrom").limit(5).collect()
+    if clashes:
+        raise ValueError(f"{what}: {'; '.join(', '.join(r['contigs']) + ' are all ' + r['chrom'] for r in clashes)}")
 
 
 def standardise_panel(sites: DataFrame, order: str = "rec_ord") -> DataFrame:

@@ -18,6 +18,15 @@ def run_signature(listing: DataFrame, config: dict[str, str]) -> DataFrame:
     return listing.agg(F.sha2(F.concat_ws(";", F.lit(fixed), files), 256).alias("signature"))
 
 
+def chrom_signatures(tasks: DataFrame, listing: DataFrame, config: dict[str, str]) -> DataFrame:
+    """(chrom, signature) of each task: as ``run_signature``, over the inputs of its chromosome and those of none."""
+    fixed = ";".join([SCHEMA_VERSION, *(f"{k}={config[k]}" for k in sorted(config))])
+    one = F.concat_ws(":", "path", F.col("length").cast("string"), F.col("modified").cast("string"))
+    mine = tasks.join(listing.withColumnRenamed("chrom", "of"), F.col("of").isNull() | (F.col("of") == F.col("chrom")), "left")
+    inputs = F.array_join(F.array_sort(F.collect_list(one)), ";")
+    return mine.groupBy("chrom").agg(F.sha2(F.concat_ws(";", F.lit(fixed), "chrom", inputs), 256).alias("signature"))
+
+
 def task_signatures(tasks: DataFrame, config: dict[str, str]) -> DataFrame:
     """Adds the signature of each chromosome's task (chrom, source, size)."""
     fixed = ";".join([SCHEMA_VERSION, *(f"{k}={config[k]}" for k in sorted(config))])

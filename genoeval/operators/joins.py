@@ -61,6 +61,14 @@ def allele_mismatches(imputed: DataFrame, truth: DataFrame) -> DataFrame:
     return a.join(b, POSITION).filter("ref_imputed <> ref_truth OR alt_imputed <> alt_truth")
 
 
+def mismatches_of(joined: DataFrame) -> DataFrame:
+    """The same pairs, out of ``isec``'s result: a position's records of both sides, which are few, are paired inside the row."""
+    allele = F.struct("ref", "alt")
+    at = joined.groupBy(*POSITION).agg(F.collect_list(F.when(F.col("side") != "truth_only", allele)).alias("i"), F.collect_list(F.when(F.col("side") != "imputed_only", allele)).alias("t"))
+    pairs = at.filter((F.size("i") + F.size("t") > 2) | ((F.size("i") == 1) & (F.size("t") == 1))).select(*POSITION, F.explode("i").alias("i"), "t").select(*POSITION, "i", F.explode("t").alias("t"))
+    return pairs.select(*POSITION, F.col("i.ref").alias("ref_imputed"), F.col("i.alt").alias("alt_imputed"), F.col("t.ref").alias("ref_truth"), F.col("t.alt").alias("alt_truth")).filter("ref_imputed <> ref_truth OR alt_imputed <> alt_truth")
+
+
 def dedup_first(sites: DataFrame, keys: list[str] | None = None, order: str = "rec_ord") -> DataFrame:
     """The first record of each position (or of ``keys``) in record order."""
     rank = F.row_number().over(Window.partitionBy(*(keys or POSITION)).orderBy(order))
@@ -79,11 +87,24 @@ def position_divergence(a: DataFrame, b: DataFrame) -> DataFrame:
 
 
 def ds_with_gp(ds: DataFrame, gp: DataFrame) -> DataFrame:
-    """Dosage by (chrom, pos, sample), from genotype probabilities where it is null."""
+    """Dosage by (chrom, pos, sample), from genotype probabilities where it is null. See ``assert_dosages``."""
     keys = [*POSITION, "sample"]
     return ds.join(gp.select(*keys, F.col("ds").alias("gp_ds")), keys, "left").withColumn("ds", F.coalesce("ds", "gp_ds")).drop("gp_ds")
 
 
+def assert_dosages(ds: DataFrame, what: str) -> None:
+    """A table without a single dosage, also after the fallback, is refused."""
+    if ds.filter("ds is not null").isEmpty():
+        raise ValueError(f"{what}: no dosage in DS or GP")
+
+
+def assert_same_positions(a: DataFrame, b: DataFrame) -> None:
+    """Both tables must hold the same positions; the first that only one has are named."""
+    odd = position_divergence(a, b).orderBy(*POSITION).limit(5).collect()
+    if odd:
+        raise ValueError(f"positions differ, e.g. {[tuple(r) for r in odd]}")
+
+
 def genome_wide(parts: list[DataFrame]) -> DataFrame:
     """Chromosomes one after another, columns that only some have filled with nulls."""
     out = parts[0]

@@ -26,6 +26,12 @@ class Thresholds:
     dp: int = 10
     enabled: bool = True
 
+    def __post_init__(self) -> None:
+        if int(self.gq) != self.gq or not 0 <= self.gq <= 99:
+            raise ValueError(f"the least GQ is an integer from 0 to 99, not {self.gq}")
+        if int(self.dp) != self.dp or self.dp < 0:
+            raise ValueError(f"the least DP is a nonnegative integer, not {self.dp}")
+
 
 def biallelic_snps(sites: DataFrame) -> DataFrame:
     """One ALT, and REF and ALT of one base each, in any case."""
@@ -40,6 +46,20 @@ def parse_region(region: str) -> tuple[str, int | None, int | None]:
     return m[1], int(float(m[2])) if m[2] else None, int(float(m[3])) if m[3] else None
 
 
+def canonical_region(region: str | None, chroms: list[str] | None = None) -> str | None:
+    """A region with its chromosome's canonical name; unknown or unselected chromosomes raise."""
+    if not region:
+        return None
+    chrom, start, end = parse_region(region)
+    m = re.fullmatch(r"(?:chr|Chr)?([0-9]+)", chrom)
+    if not m or int(m[1]) > 99:
+        raise ValueError(f"not a chromosome: {chrom}")
+    name = f"Chr{int(m[1]):02d}"
+    if chroms and name not in chroms:
+        raise ValueError(f"region {region} is not on a selected chromosome")
+    return name if start is None else f"{name}:{start}-{end}"
+
+
 def in_region(sites: DataFrame, region: str | None) -> DataFrame:
     if not region:
         return sites
@@ -49,14 +69,17 @@ def in_region(sites: DataFrame, region: str | None) -> DataFrame:
 
 
 def filter_reasons(t: Thresholds) -> list[tuple[str, Column]]:
-    """Reasons to drop a site in reporting order: QUAL, QD and MQ must be there, the others may be missing."""
+    """Reasons to drop a site in reporting order: QUAL, QD and MQ must be there, the others may be missing.
+
+    With the filter off they are there and never hold, so that reports keep their rows.
+    """
     out = []
     for name, column, bound in (("QUAL", "qual", t.qual), ("QD", "qd", t.qd)):
         out += [(f"missing_{name}", F.col(column).isNull()), (f"{name}_below_min", F.coalesce(F.col(column) < bound, F.lit(False)))]
     out += [("SOR_above_max", F.coalesce(F.col("sor") > t.sor, F.lit(False))), ("FS_above_max", F.coalesce(F.col("fs") > t.fs, F.lit(False)))]
     out += [("missing_MQ", F.col("mq").isNull()), ("MQ_below_min", F.coalesce(F.col("mq") < t.mq, F.lit(False)))]
     out += [("MQRankSum_below_min", F.coalesce(F.col("mq_rank_sum") < t.mq_rank_sum, F.lit(False))), ("ReadPosRankSum_below_min", F.coalesce(F.col("read_pos_rank_sum") < t.read_pos_rank_sum, F.lit(False)))]
-    return out
+    return out if t.enabled else [(name, F.lit(False)) for name, _ in out]
 
 
 def site_filter(sites: DataFrame, t: Thresholds = Thresholds()) -> DataFrame:
@@ -91,6 +114,20 @@ def require(df: DataFrame, columns: list[str], what: str) -> DataFrame:
     return df
 
 
+def assert_format(sites: DataFrame, field: str, what: str) -> None:
+    """Every record's FORMAT must name ``field``."""
+    without = sites.filter(F.col("format").isNull() | ~F.array_contains(F.split("format", ":"), field)).select("chrom", "pos").limit(5).collect()
+    if without:
+        raise ValueError(f"{what}: no {field} in FORMAT, e.g. at {', '.join(f'{r[0]}:{r[1]}' for r in without)}")
+
+
+def assert_reference(sites: DataFrame, bases: DataFrame, what: str) -> None:
+    """REF must be the reference base; the first examples are named."""
+    wrong = check_ref(sites.select("chrom", "pos", "ref"), bases).orderBy("chrom", "pos").limit(5).collect()
+    if wrong:
+        raise ValueError(f"{what}: REF differs from the reference, e.g. {[(r['chrom'], r['pos'], r['ref'], r['base']) for r in wrong]}")
+
+
 def assert_unique(df: DataFrame, keys: list[str], what: str) -> None:
     twice = df.groupBy(*keys).count().filter("count > 1").limit(5).collect()
     if twice:

@@ -174,17 +174,38 @@ def _counted(section: str, counts: dict[str, str], where: str) -> str:
     return " UNION ALL ".join(f"SELECT '{section}' AS section, chrom, '{n}' AS reason, count(*) FILTER (WHERE {c}) AS count FROM joined GROUP BY chrom" if not where else f"SELECT '{section}' AS section, chrom, '{n}' AS reason, count(*) FILTER (WHERE {where} AND ({c})) AS count FROM joined GROUP BY chrom" for n, c in counts.items())
 
 
-@query(
-    f"""WITH {_VIEWS}, {_FILTERED}, joined AS (SELECT coalesce(i.chrom, t.chrom) AS chrom, i.vid AS vi, t.vid AS vt, t.* EXCLUDE (chrom) FROM imputed_sites i FULL OUTER JOIN filtered t ON i.chrom = t.chrom AND i.pos = t.pos AND i.ref = t.ref AND i.alt = t.alt),
-each AS ({_counted("variant_counts", _COUNTS, "")} UNION ALL {_counted("site_filter", _SITE_COUNTS, "vi IS NOT NULL AND vt IS NOT NULL")}
-UNION ALL SELECT 'variant_counts', chrom, 'allele_mismatch_pairs', count(*) FROM imputed_sites i JOIN truth_sites t USING (chrom, pos) WHERE i.ref <> t.ref OR i.alt <> t.alt GROUP BY chrom)
-SELECT section, chrom AS chromosome, reason, count FROM each UNION ALL SELECT section, 'ALL', reason, CAST(sum(count) AS BIGINT) FROM each GROUP BY section, reason"""
-)
+_CONFIG = ("filter_enabled", "true"), ("min_qual", "30"), ("min_qd", "2"), ("max_sor", "3"), ("max_fs", "60"), ("min_mq", "40"), ("min_mq_rank_sum", "-12.5"), ("min_read_pos_rank_sum", "-8"), ("min_gq", "60"), ("min_dp", "10")
+
+
+def _summary_sql(filtered: str, counts: dict[str, str], sites: dict[str, str], config: tuple[tuple[str, str], ...]) -> str:
+    rows = ", ".join(f"('{k}', '{v}')" for k, v in config)
+    return f"""WITH {_VIEWS}, {filtered}, joined AS (SELECT coalesce(i.chrom, t.chrom) AS chrom, i.vid AS vi, t.vid AS vt, t.* EXCLUDE (chrom) FROM imputed_sites i FULL OUTER JOIN filtered t ON i.chrom = t.chrom AND i.pos = t.pos AND i.ref = t.ref AND i.alt = t.alt),
+pairs AS (SELECT chrom, count(*) AS n FROM imputed_sites i JOIN truth_sites t USING (chrom, pos) WHERE i.ref <> t.ref OR i.alt <> t.alt GROUP BY chrom),
+each AS ({_counted("variant_counts", counts, "")} UNION ALL {_counted("site_filter", sites, "vi IS NOT NULL AND vt IS NOT NULL")}
+UNION ALL SELECT 'variant_counts', chrom, 'allele_mismatch_pairs', coalesce(n, 0) FROM (SELECT DISTINCT chrom FROM joined) LEFT JOIN pairs USING (chrom))
+SELECT section, chrom AS chromosome, reason, count, CAST(NULL AS VARCHAR) AS value FROM each UNION ALL SELECT section, 'ALL', reason, CAST(sum(count) AS BIGINT), NULL FROM each GROUP BY section, reason
+UNION ALL SELECT 'config', 'ALL', k, NULL, v FROM (VALUES {rows}) c(k, v)"""
+
+
+def _summary(spark: SparkSession, sf_dir: str, t: site_ops.Thresholds) -> DataFrame:
+    i, truth = views.imputed_sites(spark, sf_dir), site_ops.site_filter(views.truth_sites(spark, sf_dir), t)
+    joined = joins.isec(i, truth)
+    plain = joined.select("chrom", "side", *[F.col(f"{c}_truth").alias(c) for c in truth.columns if c not in joins.VARIANT])
+    return metrics.filter_summary(plain, joins.mismatches_of(joined), t, site_ops.filter_reasons(t))
+
+
+@query(_summary_sql(_FILTERED, _COUNTS, _SITE_COUNTS, _CONFIG))
 def filter_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    i, t = views.imputed_sites(spark, sf_dir), site_ops.site_filter(views.truth_sites(spark, sf_dir))
-    joined = joins.isec(i, t)
-    plain = joined.select("chrom", "side", *[F.col(f"{c}_truth").alias(c) for c in t.columns if c not in joins.VARIANT])
-    return metrics.filter_summary(plain, joins.allele_mismatches(i, t), site_ops.filter_reasons(site_ops.Thresholds()))
+    return _summary(spark, sf_dir, site_ops.Thresholds())
+
+
+_ALL_PASS = {n: c.replace(_FLAGS, "true") for n, c in _COUNTS.items()}
+
+
+@query(_summary_sql("filtered AS (SELECT * FROM truth_sites)", _ALL_PASS, {n: "true" if n in ("sites_total", "sites_passed") else "false" for n in _SITE_COUNTS}, (("filter_enabled", "false"), *_CONFIG[1:])))
+def filter_summary_off(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """With the filter off every site passes and no reason holds."""
+    return _summary(spark, sf_dir, site_ops.Thresholds(enabled=False))
 
 
 @query(f"WITH {_VIEWS} SELECT chrom, pos, ref, alt FROM imputed_sites WHERE chrom = 'Chr03' AND pos BETWEEN 1000 AND 100000")

@@ -6,50 +6,103 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import incremental, metrics
+from ..functions.genotypes import canonical_chrom
+from ..operators import contigs, incremental, metrics
 from ..operators.sites import Thresholds
 from ..sources import files, sinks
-from .wgs import evaluate_vcf
+from ..sources.scratch import children, delete
+from .wgs import Side, chunk_side, common, evaluate_sides, truth_side, vcf_side
 
-DATASETS = ("variant_metrics", "site_filtered", "imputed_only", "truth_only", "allele_mismatches", "sample_stats")
+#: Datasets by chromosome, and the results' attributes that they hold.
+DATASETS = {
+    "variant_metrics": "variant_metrics", "site_filtered": "site_filtered", "imputed_only": "imputed_only", "truth_only": "truth_only",
+    "allele_mismatches": "allele_mismatches", "sample_stats": "sample_stats", "filter_counts": "counts", "masking_counts": "masks",
+}
+_CHECKPOINT = "chrom string, signature string, outputs array<string>"
 
 
 def listing(spark: SparkSession, *paths: str) -> DataFrame:
-    """(path, length, modified) of input files; contents are not read."""
+    """(path, length, modified, chrom) of input files; contents are not read. ``chrom`` is null where the name has none."""
     parts = [spark.read.format("binaryFile").load(p).select("path", "length", F.col("modificationTime").alias("modified")) for p in paths]
     out = parts[0]
     for p in parts[1:]:
         out = out.union(p)
-    return out
+    named = F.regexp_extract(F.element_at(F.split("path", "/"), -1), r"^(?:.*[._])?([Cc]hr[0-9]+)[._]", 1)
+    return out.withColumn("chrom", canonical_chrom(F.nullif(named, F.lit(""))))
 
 
 def checkpoints(spark: SparkSession, root: str) -> DataFrame:
     try:
-        return spark.read.schema("chrom string, signature string").parquet(f"{root}/checkpoints")
+        return spark.read.schema(_CHECKPOINT).parquet(f"{root}/checkpoints")
     except AnalysisException:
-        return spark.createDataFrame([], "chrom string, signature string")
+        return spark.createDataFrame([], _CHECKPOINT)
 
 
-def run_wgs(spark: SparkSession, imputed_path: str, truth_path: str, root: str, chroms: list[str], samples: list[str] | None = None, t: Thresholds = Thresholds(), force: bool = False) -> list[str]:
-    """Evaluate the chromosomes whose checkpoint is absent or stale, replace their folders, then write the totals.
+def outputs_of(spark: SparkSession, root: str, chrom: str) -> list[str]:
+    """The files of a chromosome in every dataset; names only."""
+    return sorted(f"{name}/{f}" for name in DATASETS for f in children(spark, f"{root}/{name}/CHROM={chrom}") if f.endswith(".parquet"))
 
-    Returns the chromosomes that were computed. The signature covers inputs, samples and thresholds, so a change of any
-    of them makes every chromosome stale; without ``force`` that is refused if results of another signature exist.
+
+def finalize(spark: SparkSession, root: str, t: Thresholds) -> None:
+    """Reports over all chromosomes that are there: samples, filter counts with the configuration, masked calls."""
+    stats = files.read_metrics(spark, root, "sample_stats")
+    names = stats.select("sample", "sample_idx").distinct()
+    sinks.write_tsv(metrics.report_columns(metrics.sample_report(stats, names)), f"{root}/per_sample_metrics", "NA")
+    sinks.write_tsv(metrics.filter_totals(files.read_metrics(spark, root, "filter_counts").withColumnRenamed("CHROM", "chrom"), t), f"{root}/qc/filter_summary", "NA")
+    sinks.write_tsv(metrics.masking_totals(files.read_metrics(spark, root, "masking_counts").withColumnRenamed("CHROM", "chrom")), f"{root}/qc/genotype_masking_summary", "NA")
+
+
+def run_sides(spark: SparkSession, imputed: Side, truth: Side, root: str, chroms: list[str] | None = None, samples: list[str] | None = None, t: Thresholds = Thresholds(), force: bool = False, bases: DataFrame | None = None, region: str | None = None) -> list[str]:
+    """Evaluate the chromosomes that are absent, stale or incomplete in one pass, replace their folders, then write the totals.
+
+    Returns the chromosomes that were computed. ``chroms`` defaults to those both sides have. A chromosome's signature
+    covers the inputs that concern it, samples, region and thresholds; results of another signature are refused
+    without ``force``. A chromosome is incomplete if a file that its checkpoint names is gone.
     """
     incremental.assert_mode(spark, root, "wgs")
-    config = {"samples": ",".join(samples or []), "thresholds": repr(t)}
-    signature = incremental.run_signature(listing(spark, imputed_path, truth_path), config).first()["signature"]
-    done = checkpoints(spark, root)
-    if not force and not done.filter(F.col("signature") != signature).isEmpty():
-        raise ValueError(f"{root} holds results of other inputs or settings; use force to replace them")
-    tasks = spark.createDataFrame([(c, signature) for c in chroms], "chrom string, signature string")
-    pending = [r["chrom"] for r in incremental.pending_chroms(tasks, done, force).orderBy("chrom").collect()]
-    for chrom in pending:
-        out = evaluate_vcf(spark, imputed_path, truth_path, samples, chrom, t)
-        for name in DATASETS:
-            sinks.write_partitioned(getattr(out, name), f"{root}/{name}")
-        tasks.filter(F.col("chrom") == chrom).write.mode("overwrite" if force and chrom == pending[0] else "append").parquet(f"{root}/checkpoints")
-    stats = files.read_metrics(spark, root, "sample_stats")
-    sinks.write_tsv(metrics.finalize_stats(stats), f"{root}/sample_metrics", "NA")
-    sinks.write_tsv(sinks.manifest(spark, {**config, "signature": signature, "schema": incremental.SCHEMA_VERSION}), f"{root}/run_manifest")
+    chosen = common(imputed.samples, truth.samples, samples)
+    config = {"samples": ",".join(chosen), "thresholds": repr(t), "region": region or "", "reference": str(bases is not None)}
+    if chroms is None:
+        chroms = [r["chrom"] for r in contigs.select_chroms(contigs.canonicalize(truth.sites.select("chrom")), contigs.canonicalize(imputed.sites.select("chrom"))).collect()]
+    tasks = incremental.chrom_signatures(spark.createDataFrame([(c,) for c in chroms], "chrom string"), listing(spark, *imputed.paths, *truth.paths), config)
+    wanted = {r["chrom"]: r["signature"] for r in tasks.collect()}
+    done = {r["chrom"]: r for r in checkpoints(spark, root).collect()}
+    stale = sorted(c for c, s in wanted.items() if c in done and done[c]["signature"] != s)
+    if stale and not force:
+        raise ValueError(f"{root} holds results of other inputs or settings for {', '.join(stale)}; use force to replace them")
+    complete = {c for c in wanted if c in done and c not in stale and set(done[c]["outputs"]) <= set(outputs_of(spark, root, c))}
+    pending = sorted(wanted if force else set(wanted) - complete)
+    audit = incremental.AuditLog()
+    audit.step("chromosomes", len(wanted), len(pending), "asked for, pending")
+    if pending:
+        work = f"{root}/_work"
+        out = evaluate_sides(spark, imputed, truth, work, chosen, pending, region, t, bases)
+        n = {r["side"]: r["count"] for r in out.joined.groupBy("side").count().collect()}
+        audit.step("imputed sites matched", n.get("matched", 0) + n.get("imputed_only", 0), n.get("matched", 0))
+        audit.step("truth sites matched", n.get("matched", 0) + n.get("truth_only", 0), n.get("matched", 0))
+        for name, attribute in DATASETS.items():
+            for chrom in pending:  # a chromosome may have had rows before and have none now
+                delete(spark, f"{root}/{name}/CHROM={chrom}")
+            sinks.write_partitioned(getattr(out, attribute), f"{root}/{name}")
+        audit.step("matched sites retained", n.get("matched", 0), n.get("matched", 0) - files.read_metrics(spark, root, "site_filtered").filter(F.col("CHROM").isin(*pending)).count())
+        rows = [(c, wanted[c], outputs_of(spark, root, c)) for c in pending] + [(c, r["signature"], r["outputs"]) for c, r in done.items() if c not in pending]
+        spark.createDataFrame(rows, _CHECKPOINT).coalesce(1).write.mode("overwrite").parquet(f"{root}/checkpoints")
+        delete(spark, work)
+    finalize(spark, root, t)
+    kept = {
+        **dict(metrics.config_values(t)), "imputed": ",".join(imputed.paths), "truth": ",".join(truth.paths), "samples": ",".join(chosen), "region": region or "", "schema": incremental.SCHEMA_VERSION,
+        "comparison_field": "GT", "genotype_encoding": "ALT_COUNT_0_1_2", "intersection_key": "CHROM:POS:REF:ALT", **{f"signature_{c}": s for c, s in wanted.items()}, **{f"output_{n}": f"{root}/{n}" for n in DATASETS},
+    }
+    sinks.write_tsv(sinks.manifest(spark, kept), f"{root}/run_manifest", "NA")
+    sinks.write_tsv(sinks.output_manifest(spark, [*[("dataset", f"{root}/{n}", f"{n} by chromosome") for n in DATASETS], ("report", f"{root}/per_sample_metrics", "samples, worst first"), ("report", f"{root}/qc/filter_summary", "site counts and configuration"), ("report", f"{root}/qc/genotype_masking_summary", "masked calls")]), f"{root}/output_manifest", "NA")
+    sinks.write_tsv(audit.frame(spark), f"{root}/audit", "NA")
     return pending
+
+
+def run_wgs(spark: SparkSession, imputed_path: str | None, truth_path: str | None, root: str, chroms: list[str] | None = None, samples: list[str] | None = None, t: Thresholds = Thresholds(), force: bool = False, chunks_dir: str | None = None, truth_dir: str | None = None, bases: DataFrame | None = None, region: str | None = None) -> list[str]:
+    """``run_sides`` over VCF text: the imputed side a file or a folder of chunks, the truth a file or a folder of one a chromosome."""
+    if (imputed_path is None) == (chunks_dir is None) or (truth_path is None) == (truth_dir is None):
+        raise ValueError("give one imputed input and one truth input")
+    imputed = vcf_side(spark, imputed_path) if imputed_path else chunk_side(spark, chunks_dir)
+    truth = vcf_side(spark, truth_path) if truth_path else truth_side(spark, truth_dir)
+    return run_sides(spark, imputed, truth, root, chroms, samples, t, force, bases, region)

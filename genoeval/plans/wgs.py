@@ -7,10 +7,10 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import joins, metrics
-from ..operators.contigs import canonicalize
-from ..operators.sites import Thresholds, biallelic_snps, filter_reasons, in_region, site_filter
+from ..operators import chunks, contigs, joins, metrics
+from ..operators.sites import Thresholds, assert_format, assert_reference, biallelic_snps, canonical_region, filter_reasons, in_region, site_filter
 from ..sources import vcf
+from ..sources.scratch import shared_folder
 
 
 def evaluate(retained: DataFrame, t: Thresholds = Thresholds()) -> DataFrame:
@@ -21,57 +21,124 @@ def evaluate(retained: DataFrame, t: Thresholds = Thresholds()) -> DataFrame:
 
 @dataclass
 class WgsResult:
-    """All tables of one evaluation; each is lazy over the same joined sites."""
+    """All tables of one evaluation; each is lazy over the same stored join. ``counts`` and ``masks`` merge over chromosomes."""
 
+    joined: DataFrame
     variant_metrics: DataFrame
     sample_metrics: DataFrame
     site_filtered: DataFrame
     imputed_only: DataFrame
     truth_only: DataFrame
     allele_mismatches: DataFrame
+    counts: DataFrame
+    masks: DataFrame
+    sample_stats: DataFrame
     filter_summary: DataFrame
     masking_summary: DataFrame
-    sample_stats: DataFrame
 
 
-def prepare_side(spark: SparkSession, path: str, samples: list[str] | None, region: str | None, truth: bool) -> tuple[DataFrame, DataFrame]:
-    """Sites of one side: canonical contigs, region, biallelic SNPs, exact duplicates gone, calls in sample order."""
-    names = vcf.read_vcf_samples(spark, path)
-    sites = in_region(canonicalize(vcf.read_vcf(spark, path)), region)
-    sites = joins.dedup_first(biallelic_snps(sites), joins.VARIANT)
-    if samples is not None:
-        sites = vcf.select_samples(sites, names, samples)
+@dataclass
+class Side:
+    """One input: raw site rows, the samples of their calls, and the files read."""
+
+    sites: DataFrame
+    samples: DataFrame
+    paths: list[str]
+
+
+def vcf_side(spark: SparkSession, path: str) -> Side:
+    return Side(vcf.read_vcf(spark, path), vcf.read_vcf_samples(spark, path), [path])
+
+
+def chunk_side(spark: SparkSession, folder: str) -> Side:
+    """Chunk files of a run, overlaps trimmed; their windows are in their names."""
+    files = f"{folder.rstrip('/')}/{{*,*/*}}.vcf.gz"
+    sites = vcf.read_chunk_dir(spark, folder)
+    windows = sites.groupBy("chunk_id").agg(F.first("chrom").alias("chrom"), F.first("chunk_start").alias("start"), F.first("chunk_end").alias("end"))
+    return Side(chunks.stitch_chunks(sites, windows).drop("chunk_id", "chunk_start", "chunk_end"), vcf.read_vcf_samples(spark, files), [files])
+
+
+def truth_side(spark: SparkSession, folder: str, suffix: str = "_consolidated.vcf.gz") -> Side:
+    """A file a chromosome."""
+    files = f"{folder.rstrip('/')}/*{suffix}"
+    return Side(vcf.read_truth_dir(spark, folder, suffix), vcf.read_vcf_samples(spark, files), [files])
+
+
+def prepare_side(side: Side, path: str, what: str, samples: list[str], chroms: list[str] | None, region: str | None, truth: bool, bases: DataFrame | None = None) -> DataFrame:
+    """Sites of one side, stored under ``path``: canonical contigs, selection, biallelic SNPs, exact duplicates gone, calls in sample order.
+
+    Two contigs of one chromosome, records without GT, and (where ``bases`` is given) a REF that is not the reference
+    base raise.
+    """
+    sites = contigs.canonicalize(side.sites)
+    if chroms:
+        sites = contigs.restrict_contigs(sites, chroms)
+    sites = vcf.select_samples(in_region(sites, region), side.samples, samples)
     sites = vcf.with_format_fields(sites, ["GT", "GQ", "DP"] if truth else ["GT"])
     if truth:
         sites = vcf.with_info(sites)
-    drop = ["calls", "format", "info", "contig", "rec_ord"]
-    return sites.drop(*drop), names
+    stored = vcf.ingest(sites.drop("calls", "info"), path)
+    contigs.assert_one_contig(stored, what)
+    assert_format(stored, "GT", what)
+    snps = biallelic_snps(stored)
+    if bases is not None:
+        assert_reference(snps, bases, what)
+    return joins.dedup_first(snps, joins.VARIANT).drop("format", "contig", "rec_ord")
 
 
-def evaluate_vcf(spark: SparkSession, imputed_path: str, truth_path: str, samples: list[str] | None = None, region: str | None = None, t: Thresholds = Thresholds()) -> WgsResult:
-    """Samples default to those both files have, in the imputed file's order."""
-    ours, theirs = vcf.read_vcf_samples(spark, imputed_path), vcf.read_vcf_samples(spark, truth_path)
-    chosen = samples if samples is not None else [r["sample"] for r in joins.common_samples(ours, theirs, "sample_idx").collect()]
-    if not chosen:
-        raise ValueError("no common samples")
-    imputed, _ = prepare_side(spark, imputed_path, chosen, region, False)
-    truth, _ = prepare_side(spark, truth_path, chosen, region, True)
-    dimension = spark.createDataFrame([(s, i) for i, s in enumerate(chosen)], "sample string, sample_idx int")
-    joined = joins.isec(imputed, site_filter(truth, t)).withColumnRenamed("gt_imputed", "imputed_gt").withColumnRenamed("gt_truth", "truth_gt").withColumnRenamed("gq_truth", "gq").withColumnRenamed("dp_truth", "dp").persist()
+def results(joined: DataFrame, dimension: DataFrame, t: Thresholds) -> WgsResult:
+    """All tables out of the stored join of both sides."""
     matched = joined.filter("side = 'matched'").withColumnRenamed("site_filter_pass_truth", "site_filter_pass").withColumnRenamed("site_filter_reasons_truth", "site_filter_reasons")
     kept = matched.filter("site_filter_pass")
     pairs = kept.withColumn("x", metrics.imputed_dosages(F.col("imputed_gt"))).withColumn("y", metrics.mask_truth(F.col("truth_gt"), F.col("gq"), F.col("dp"), t))
     ids = [F.col("id_imputed").alias("id"), "id_truth"]
-    mismatches = joins.allele_mismatches(imputed, truth)
+    mismatches = joins.mismatches_of(joined)
     plain = joined.select("chrom", "side", *[F.col(f"{c}_truth").alias(c) for c in ("qual", "qd", "sor", "fs", "mq", "mq_rank_sum", "read_pos_rank_sum", "site_filter_pass")])
+    stats = metrics.sample_stats(pairs)
+    counts = metrics.filter_counts(plain, mismatches, filter_reasons(t))
+    masks = metrics.masking_counts(kept, dimension, t)
     return WgsResult(
+        joined=joined,
         variant_metrics=metrics.variant_metrics_wgs(pairs).select(*joins.VARIANT, *ids, "n_pairs", "truth_alt_frequency", "truth_maf", "r", "r2", "concordance"),
-        sample_metrics=metrics.sample_metrics(pairs, dimension),
-        site_filtered=matched.select(*joins.VARIANT, *ids, "site_filter_pass", "site_filter_reasons"),
+        sample_metrics=metrics.sample_report(stats, dimension),
+        site_filtered=matched.filter("not site_filter_pass").select(*joins.VARIANT, *ids, "site_filter_pass", "site_filter_reasons"),
         imputed_only=joined.filter("side = 'imputed_only'").select(*joins.VARIANT, F.col("id_imputed").alias("id")),
         truth_only=joined.filter("side = 'truth_only'").select(*joins.VARIANT, F.col("id_truth").alias("id")),
         allele_mismatches=mismatches,
-        filter_summary=metrics.filter_summary(plain, mismatches, filter_reasons(t)),
-        masking_summary=metrics.masking_summary(kept, dimension, t),
-        sample_stats=metrics.sample_stats(pairs),
+        counts=counts,
+        masks=masks,
+        sample_stats=stats.join(dimension, "sample_idx"),
+        filter_summary=metrics.filter_totals(counts, t),
+        masking_summary=metrics.masking_totals(masks),
     )
+
+
+def common(ours: DataFrame, theirs: DataFrame, samples: list[str] | None) -> list[str]:
+    """The samples asked for, or those both sides have, in the imputed side's order."""
+    chosen = samples if samples is not None else [r["sample"] for r in joins.common_samples(ours, theirs, "sample_idx").collect()]
+    if not chosen:
+        raise ValueError("no common samples")
+    if len(set(chosen)) < len(chosen):
+        raise ValueError("a sample is asked for twice")
+    return chosen
+
+
+def evaluate_sides(spark: SparkSession, imputed: Side, truth: Side, folder: str, samples: list[str] | None = None, chroms: list[str] | None = None, region: str | None = None, t: Thresholds = Thresholds(), bases: DataFrame | None = None) -> WgsResult:
+    """Every table of an evaluation; both sides and their join are stored under ``folder``, so that text is read once.
+
+    All chromosomes go through the same jobs. A selection without an exact match raises.
+    """
+    chosen, region = common(imputed.samples, truth.samples, samples), canonical_region(region, chroms)
+    ours = prepare_side(imputed, f"{folder}/imputed", "imputed", chosen, chroms, region, False, bases)
+    theirs = prepare_side(truth, f"{folder}/truth", "truth", chosen, chroms, region, True, bases)
+    joined = joins.isec(ours, site_filter(theirs, t)).withColumnRenamed("gt_imputed", "imputed_gt").withColumnRenamed("gt_truth", "truth_gt").withColumnRenamed("gq_truth", "gq").withColumnRenamed("dp_truth", "dp")
+    joined.write.mode("overwrite").parquet(f"{folder}/joined")
+    joined = spark.read.schema(joined.schema).parquet(f"{folder}/joined")
+    if joined.filter("side = 'matched'").isEmpty():
+        raise ValueError("no exact shared variant")
+    return results(joined, spark.createDataFrame([(s, i) for i, s in enumerate(chosen)], "sample string, sample_idx int"), t)
+
+
+def evaluate_vcf(spark: SparkSession, imputed_path: str, truth_path: str, samples: list[str] | None = None, region: str | None = None, t: Thresholds = Thresholds(), bases: DataFrame | None = None) -> WgsResult:
+    """Samples default to those both files have, in the imputed file's order."""
+    return evaluate_sides(spark, vcf_side(spark, imputed_path), vcf_side(spark, truth_path), shared_folder(spark, "wgs"), samples, None, region, t, bases)

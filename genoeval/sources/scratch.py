@@ -9,6 +9,26 @@ from pyspark.sql import SparkSession
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
-    """A new path under the cluster's checkpoint folder; under a local one only where none is set (tests)."""
-    base = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-")
+    """A new path under the cluster's checkpoint folder; a folder of this machine only where Spark runs on one machine (tests)."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        base = tempfile.mkdtemp(prefix="spark-")
     return f"{base}/{name}-{uuid.uuid4().hex}"
+
+
+def _file(spark: SparkSession, path: str):
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop, hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def children(spark: SparkSession, folder: str) -> list[str]:
+    """Names in a folder; none where it is absent."""
+    path, fs = _file(spark, folder)
+    return [x.getPath().getName() for x in fs.listStatus(path)] if fs.exists(path) else []
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    hadoop, fs = _file(spark, path)
+    fs.delete(hadoop, True)

@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 
 
 def write_partitioned(df: DataFrame, path: str, chrom: str = "chrom") -> None:
-    """Snappy Parquet by CHROM; a rewrite replaces only the chromosomes it holds."""
+    """Snappy Parquet by CHROM, in order of position and alleles; a rewrite replaces only the chromosomes it holds."""
     rows = df.withColumnRenamed(chrom, "CHROM") if chrom != "CHROM" else df
-    keys = [c for c in ("pos", "POS") if c in rows.columns]
-    rows = rows.repartition("CHROM", *([F.expr(f"{keys[0]} div 1000000")] if keys else [])).sortWithinPartitions("CHROM", *keys)
+    keys = [c for c in ("pos", "ref", "alt", "ref_imputed", "alt_imputed", "ref_truth", "alt_truth") if c in rows.columns]
+    rows = rows.repartition("CHROM", *([F.expr("pos div 1000000")] if "pos" in keys else [])).sortWithinPartitions("CHROM", *keys)
     rows.write.partitionBy("CHROM").mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "snappy").parquet(path)
 
 

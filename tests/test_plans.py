@@ -1,5 +1,6 @@
 """Array evaluation, sample matching and resumable runs from VCF text."""
 
+import gzip
 import os
 
 import pytest
@@ -8,6 +9,7 @@ from test_wgs import vcfs  # noqa: F401
 from genoeval.operators.sites import Thresholds
 from genoeval.plans.array import evaluate_array, match_samples
 from genoeval.plans.run import run_wgs
+from genoeval.plans.wgs import evaluate_vcf
 from genoeval.sources import files
 
 
@@ -51,14 +53,65 @@ def test_matching(spark, sides):
     assert {r["query"]: r["best_target"] for r in best.collect()} == {"s1": "s1", "s2": "s2", "s3": "s3"}
 
 
+def table(spark, path):
+    return spark.read.option("sep", "\t").option("header", True).csv(path)
+
+
 def test_resumed_run(spark, vcfs, tmp_path):  # noqa: F811
     root = str(tmp_path / "out")
     os.makedirs(root)
     assert run_wgs(spark, *vcfs, root, ["Chr01"]) == ["Chr01"]
     assert run_wgs(spark, *vcfs, root, ["Chr01", "Chr02"]) == ["Chr02"]
-    assert run_wgs(spark, *vcfs, root, ["Chr01", "Chr02"]) == []
+    assert run_wgs(spark, *vcfs, root) == []
+    assert files.read_metrics(spark, root, "variant_metrics").filter("CHROM = 'Chr02'").count() == 3
+    # A file of one chromosome is lost: only that chromosome is made again.
+    folder = f"{root}/variant_metrics/CHROM=Chr02"
+    os.remove(next(os.path.join(folder, f) for f in os.listdir(folder) if f.endswith(".parquet")))
+    assert run_wgs(spark, *vcfs, root) == ["Chr02"]
     assert files.read_metrics(spark, root, "variant_metrics").filter("CHROM = 'Chr02'").count() == 3
     with pytest.raises(ValueError):
         run_wgs(spark, *vcfs, root, ["Chr01"], t=Thresholds(gq=1))
     assert run_wgs(spark, *vcfs, root, ["Chr01", "Chr02"], t=Thresholds(gq=1), force=True) == ["Chr01", "Chr02"]
     assert run_wgs(spark, *vcfs, root, ["Chr01"], t=Thresholds(gq=1)) == []
+
+
+def test_outputs_of_a_run(spark, vcfs, tmp_path):  # noqa: F811
+    root = str(tmp_path / "out")
+    assert run_wgs(spark, *vcfs, root) == ["Chr01", "Chr02"]
+    direct = evaluate_vcf(spark, *vcfs)
+    samples = table(spark, f"{root}/per_sample_metrics")
+    assert samples.columns[:4] == ["sample", "r_overall", "r2_overall", "n_variants"] and samples.columns[-3:] == ["r_maf_[0.4,0.5]", "r2_maf_[0.4,0.5]", "n_maf_[0.4,0.5]"] and len(samples.columns) == 19
+    assert {r["sample"]: int(r["n_variants"]) for r in samples.collect()} == {r["sample"]: r["n_variants"] for r in direct.sample_metrics.collect()}
+    got = {(r["section"], r["chromosome"], r["reason"]): (r["count"], r["value"]) for r in table(spark, f"{root}/qc/filter_summary").collect()}
+    assert got == {(r["section"], r["chromosome"], r["reason"]): (str(r["count"]) if r["count"] is not None else "NA", r["value"] or "NA") for r in direct.filter_summary.collect()}
+    assert table(spark, f"{root}/qc/genotype_masking_summary").count() == direct.masking_summary.count()
+    kept = {r["key"]: r["value"] for r in table(spark, f"{root}/run_manifest").collect()}
+    assert kept["min_gq"] == "60" and kept["imputed"] == vcfs[0] and kept["output_variant_metrics"] == f"{root}/variant_metrics"
+    assert table(spark, f"{root}/output_manifest").count() == 11
+    assert {r["step"]: (r["count_before"], r["count_after"]) for r in table(spark, f"{root}/audit").collect()}["matched sites retained"] == ("15", "13")
+    assert files.read_metrics(spark, root, "site_filtered").filter("site_filter_pass").isEmpty()
+
+
+def test_chunks_and_truth_folder(spark, vcfs, tmp_path):  # noqa: F811
+    """Overlapping chunks by chromosome, and a truth file a chromosome, give what whole files give."""
+    texts = [open(p).read().splitlines() for p in vcfs]
+
+    def put(path, lines, keep):
+        path.parent.mkdir(parents=True, exist_ok=True)
+        with gzip.open(path, "wt") as f:
+            f.write("\n".join(x for x in lines if x.startswith("#") or keep(*x.split("\t")[:2])) + "\n")
+
+    for c, start, end in (("Chr01", 1, 175), ("Chr01", 150, 300), ("Chr02", 1, 300)):
+        put(tmp_path / "chunks" / c / f"run.{c}.{start}-{end}.vcf.gz", texts[0], lambda chrom, pos: chrom == c and start <= int(pos) <= end)  # noqa: B023
+    for c in ("Chr01", "Chr02"):
+        put(tmp_path / "truth" / f"{c}_consolidated.vcf.gz", texts[1], lambda chrom, pos: chrom == c)  # noqa: B023
+    root = str(tmp_path / "out")
+    assert run_wgs(spark, None, None, root, samples=["S1", "S2", "S3"], chunks_dir=str(tmp_path / "chunks"), truth_dir=str(tmp_path / "truth")) == ["Chr01", "Chr02"]
+    rows = lambda df, c: sorted((r[c], r["pos"], r["ref"], r["alt"], r["n_pairs"]) for r in df.collect())
+    assert rows(files.read_metrics(spark, root, "variant_metrics"), "CHROM") == rows(evaluate_vcf(spark, *vcfs, samples=["S1", "S2", "S3"]).variant_metrics, "chrom")
+    with pytest.raises(ValueError):
+        run_wgs(spark, vcfs[0], None, root)
+    # Another truth file for one chromosome makes that one stale, and it alone.
+    put(tmp_path / "truth" / "Chr02_consolidated.vcf.gz", texts[1][:-1], lambda chrom, pos: chrom == "Chr02")
+    with pytest.raises(ValueError, match="for Chr02;"):
+        run_wgs(spark, None, None, root, samples=["S1", "S2", "S3"], chunks_dir=str(tmp_path / "chunks"), truth_dir=str(tmp_path / "truth"))
