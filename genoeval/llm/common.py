@@ -9,6 +9,7 @@ from __future__ import annotations
 import gc
 import tempfile
 import time
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,16 +36,53 @@ _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
 def checkpoint_folder(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder; a private one only where none is set (tests)."""
+    """The cluster's shared folder: ``spark.checkpoint.dir`` or the context's own.
+
+    A folder of this machine stands in only where Spark itself runs on one machine (tests); elsewhere it would lose data.
+    """
     context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-"))
-    return context.getCheckpointDir()
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not folder:
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="spark-"))
+        folder = context.getCheckpointDir()
+    return folder
+
+
+#: Shuffle files of a table that is written are not needed any more once it is there.
+_CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+class Scratch:
+    """Tables between the steps of an operator: Parquet in the shared folder, which outlives executors, dropped by name."""
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark, self.folder = spark, f"{checkpoint_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+    def keep(self, name: str, df: DataFrame) -> DataFrame:
+        """Write ``df`` and read it again: lineage is cut, and its size is known to the joins that follow."""
+        before = self.spark.conf.get(_CLEAN, None)
+        self.spark.conf.set(_CLEAN, "true")
+        try:
+            df.write.parquet(f"{self.folder}/{name}")
+        finally:
+            if before is None:
+                self.spark.conf.unset(_CLEAN)
+            else:
+                self.spark.conf.set(_CLEAN, before)
+        return self.spark.read.schema(df.schema).parquet(f"{self.folder}/{name}")
+
+    def drop(self, *names: str) -> None:
+        """Delete tables that nothing will read again."""
+        for name in names:
+            path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{name}")
+            path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
     """Cut the lineage with a copy in the shared checkpoint folder, which outlives executors."""
-    checkpoint_folder(df.sparkSession)
+    df.sparkSession.sparkContext.setCheckpointDir(checkpoint_folder(df.sparkSession))
     return df.checkpoint(eager=True)
 
 
