@@ -18,16 +18,19 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, checkpointed, mix, ranges, run_hashes, signed, text_slices
+from .common import Scratch, Words, mix, ranges, run_hashes, signed, text_slices
 
 SHINGLE, THRESHOLD = 5, 0.8
 #: 27 bands of 3: a pair at 0.8 shares no band with probability 3.9e-9. STEP values are compared at a time; at 0.8 the
 #: pruning loses a pair with probability 2.9e-9, all steps together. More similar pairs are lost more rarely.
 BANDS, ROWS, STEP, TOLERANCE = 27, 3, 8, 2e-10
 BLOCK = 256
+#: Bits of the filter that says which sets are surely not verified: 8 MB at any input size.
+FILTER_BITS = 1 << 26
 
 
 def posterior_below(matches: int, compared: int, threshold: float) -> float:
@@ -83,8 +86,11 @@ def _signatures(g: np.ndarray, first: np.ndarray) -> np.ndarray:
     return out
 
 
-def _sets(k: int, with_shingles: bool):
-    """mapInArrow: rows with words give (..., s1, s2, body), all columns but the text first; body is the signature, or the sorted shingles."""
+def _sets(k: int, wanted: Broadcast | None = None):
+    """mapInArrow: rows with words give (..., s1, s2, body), all columns but the text first.
+
+    The body is the signature; with the bits of ``wanted``, it is the sorted shingles, of the sets whose bit is set.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, data, offsets in text_slices(batches):
@@ -93,8 +99,11 @@ def _sets(k: int, with_shingles: bool):
             has = np.flatnonzero(np.diff(first))
             kept = np.append(first[has], len(g))
             s1, s2 = _set_keys(g, kept)
-            if with_shingles:
-                body = [g[a:b].tobytes() for a, b in zip(kept[:-1], kept[1:], strict=True)]
+            if wanted is not None:
+                bit = signed(s1) & (FILTER_BITS - 1)
+                on = np.flatnonzero(wanted.value[bit >> 3] >> (bit & 7).astype(np.uint8) & 1)
+                body = [g[kept[x] : kept[x + 1]].tobytes() for x in on]
+                has, s1, s2 = has[on], s1[on], s2[on]
             else:
                 body = [x.tobytes() for x in _signatures(g, kept)] if len(has) else []
             names = [c for c in batch.schema.names if c != "text"]
@@ -224,17 +233,35 @@ def _verified(least: dict[int, int], threshold: float):
     return run
 
 
+def _filter_bits(keys: DataFrame) -> Broadcast:
+    """A bit for each value of ``s1``: ``FILTER_BITS`` bits at most, whatever the number of rows."""
+    place = F.col("s1").bitwiseAND(F.lit(FILTER_BITS - 1)) + 1  # Spark counts places from 1
+    part = keys.select(F.bitmap_bucket_number(place).alias("part"), F.bitmap_bit_position(place).alias("bit")).groupBy("part").agg(F.bitmap_construct_agg("bit").alias("bits"))
+    bits = np.zeros(FILTER_BITS >> 3, np.uint8)
+    for r in part.collect():
+        at = (r["part"] - 1) * len(r["bits"])
+        bits[at : at + len(r["bits"])] = np.frombuffer(r["bits"], np.uint8)
+    return keys.sparkSession.sparkContext.broadcast(bits)
+
+
 def connected(edges: DataFrame) -> DataFrame:
-    """(node, root): the least node of each component of undirected edges (a, b), by alternating star contractions."""
-    e = checkpointed(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
-    before = None
+    """(node, root): the least node of each component of undirected edges (a, b), by alternating star contractions.
+
+    The neighbours' minima are kept as tables of their own before they are joined back, so that Spark sees both
+    sides' sizes: small ones are broadcast, and a centre's many edges are split over tasks.
+    """
+    scratch = Scratch(edges.sparkSession, "components")
+    e = scratch.keep("0", edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+    before, step = None, 0
     while True:
         # Large star: larger neighbours go to the least neighbour. Small star: smaller ones do.
+        step += 1
         both = e.union(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        e = both.join(low, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b").distinct()
-        low = e.groupBy("a").agg(F.min("b").alias("m"))
-        e = checkpointed(e.join(low, "a").select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("x")).select("x.*").filter("a <> b").distinct())
+        low = scratch.keep(f"{step}-large", both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")))
+        e = scratch.keep(f"{step}-half", both.join(low, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b").distinct())
+        low = scratch.keep(f"{step}-small", e.groupBy("a").agg(F.min("b").alias("m")))
+        e = scratch.keep(f"{step}", e.join(low, "a").select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("x")).select("x.*").filter("a <> b").distinct())
+        scratch.drop(str(step - 1), f"{step}-large", f"{step}-half", f"{step}-small")
         now = e.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")).first()
         if now == before or not now["n"]:
             return e.select(F.col("a").alias("node"), F.col("b").alias("root"))
@@ -257,11 +284,12 @@ def _classes(own: DataFrame, shingle: int, threshold: float, tolerance: float) -
     least = least_matches(threshold, tolerance)
     columns = [f for f in own.schema if f.name != "text"]
     sets = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in columns) + ", s1 long, s2 long, body binary"
-    signed_rows = checkpointed(own.mapInArrow(_sets(shingle, False), sets))
+    scratch = Scratch(own.sparkSession, "jaccard")
+    signed_rows = scratch.keep("rows", own.mapInArrow(_sets(shingle), sets))
     first = F.min(F.struct(F.col("id").isNull().alias("none"), *(f.name for f in columns)))
     # A set is known by 128 bits; its representative is a number of its own, as ids may repeat.
-    reps = checkpointed(signed_rows.groupBy("s1", "s2").agg(first.alias("first"), F.count("*").alias("copies"), F.first("body").alias("body")).withColumn("rep", F.monotonically_increasing_id()))
-    bands = checkpointed(reps.select("rep", "body").mapInArrow(_bands, "rep long, band int, key long"))
+    reps = scratch.keep("sets", signed_rows.groupBy("s1", "s2").agg(first.alias("first"), F.count("*").alias("copies"), F.first("body").alias("body")).withColumn("rep", F.monotonically_increasing_id()))
+    bands = scratch.keep("bands", reps.select("rep", "body").mapInArrow(_bands, "rep long, band int, key long"))
     buckets = bands.groupBy("band", "key").agg(F.count("*").alias("n")).filter("n > 1").withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
     mine = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
     others = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct(F.least(F.col("side"), o).alias("i"), F.greatest(F.col("side"), o).alias("j")))
@@ -269,15 +297,20 @@ def _classes(own: DataFrame, shingle: int, threshold: float, tolerance: float) -
     block = ["key", "band", "i", "j"]
     bodies = reps.select("rep", "body", "copies")
     pruned = members.join(bodies, "rep").repartition(*block).sortWithinPartitions(*block).select(*block, "side", "rep", "body").mapInArrow(_survivors(least), "key long, band int, i int, j int, rep long")
-    left = checkpointed(pruned.join(members, [*block, "rep"]))
-    needed = left.select("rep").distinct().join(reps.select("rep", "s1", "s2"), "rep")
-    shingles = own.mapInArrow(_sets(shingle, True), sets).join(needed, ["s1", "s2"]).groupBy("rep").agg(F.first("body").alias("shingles"))
+    left = scratch.keep("left", pruned.join(members, [*block, "rep"]))
+    # Shingles are made again, for one row of each set that has a pair left.
+    needed = scratch.keep("needed", left.select("rep").distinct().join(reps.select("rep", "s1", "s2", "first"), "rep"))
+    again = own.mapInArrow(_sets(shingle, _filter_bits(needed)), sets)
+    same = [F.col("first")[f.name].eqNullSafe(F.col(f"own.{f.name}")) for f in columns]
+    shingles = again.alias("own").join(needed.alias("needed"), [F.col(f"own.{c}") == F.col(f"needed.{c}") for c in ("s1", "s2")] + same).groupBy("rep").agg(F.first("body").alias("shingles"))
     checked = left.join(bodies, "rep").join(shingles, "rep").repartition(*block).sortWithinPartitions(*block).select(*block, "side", "rep", "copies", "body", "shingles").mapInArrow(_verified(least, threshold), "rep long, links long, to long")
-    links = checkpointed(checked.groupBy("rep", "to").agg(F.sum("links").alias("links")))
+    links = scratch.keep("links", checked.groupBy("rep", "to").agg(F.sum("links").alias("links")))
     roots = connected(links.select(F.col("rep").alias("a"), F.col("to").alias("b")))
     counts = links.groupBy("rep").agg(F.sum("links").alias("links"))
     per_rep = reps.select("rep", "s1", "s2", "first", "copies").join(roots.withColumnRenamed("node", "rep"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
-    names = per_rep.groupBy("root").agg(F.min("first").alias("first"))
+    per_rep = scratch.keep("roots", per_rep)
+    names = scratch.keep("names", per_rep.groupBy("root").agg(F.min("first").alias("first")))
+    scratch.drop("bands", "left", "needed")
     return signed_rows, per_rep.drop("first").join(names, "root").join(counts, "rep", "left").select("root", "s1", "s2", "first", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
 
 
