@@ -26,12 +26,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import BASES, ByteHash, checkpointed, list_array, mix, ranges, release, signed, text_slices
+from .common import BASES, ByteHash, Scratch, list_array, mix, ranges, signed, text_slices
 
 LENGTH, GRAM, CELL = 400, 64, 16
 
-_SAMPLE = pa.struct([("fp", pa.int64()), ("h1", pa.int64()), ("h2", pa.int64()), ("ident", pa.int64()), ("at", pa.int32()), ("lo", pa.int32()), ("hi", pa.int32())])
-_SAMPLE_SQL = "array<struct<fp:long,h1:long,h2:long,ident:long,at:int,lo:int,hi:int>>"
+#: A sample: its gram's hash, the hash of its run's text, its place, and its run of starts as ``at - before`` to ``lo + more``.
+_SAMPLE = pa.struct([("fp", pa.int64()), ("h", pa.int64()), ("at", pa.int32()), ("before", pa.int32()), ("more", pa.int32())])
+_SAMPLE_SQL = "array<struct<fp:long,h:long,at:int,before:int,more:int>>"
 
 
 def _sliding_min(x: np.ndarray, width: int) -> np.ndarray:
@@ -44,45 +45,70 @@ def _sliding_min(x: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(x[:n], x[width - k : width - k + n])
 
 
-def _samples(length: int, gram: int):
-    """mapInArrow: (doc_id, key, samples); a sample is its gram's hash, its run's name, a number of its own, its place and its run of starts."""
+def difference_cover(most: int) -> tuple[int, np.ndarray]:
+    """(v, cover) with v at most ``most``, the largest of the family v = 24 r^2 + 36 r + 13 with 6 r + 4 residues.
+
+    For any i and j some shift d < v puts both i + d and j + d on the cover. Below 13 every place is on it (v = 1).
+    """
+    r = max((r for r in range(1 + int(most**0.5)) if 24 * r * r + 36 * r + 13 <= most), default=None)
+    if r is None:
+        return 1, np.zeros(1, np.int64)
+    steps = [1] * r + [r + 1] + [2 * r + 1] * r + [4 * r + 3] * (2 * r + 1) + [2 * r + 2] * (r + 1) + [1] * r
+    return 24 * r * r + 36 * r + 13, np.concatenate([[0], np.cumsum(steps)])
+
+
+def _least_samples(g: np.ndarray, offsets: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, ...]:
+    """Places of the least gram of each window, with the run of starts that lead to each: (at, lo, hi)."""
+    size = np.diff(offsets)
+    # The place goes in the low bits: the least value is the leftmost least hash.
+    low = np.uint64((1 << max(1, (len(g) - 1).bit_length())) - 1)
+    least = _sliding_min((g & ~low) | np.arange(len(g), dtype=np.uint64), length - gram + 1)
+    # A start is good if its window stays in its text.
+    good = np.zeros(len(least) + 1, np.int8)
+    big = np.flatnonzero(size >= length)
+    good[offsets[big]] += 1
+    good[np.minimum(offsets[big + 1] - length + 1, len(least))] -= 1
+    good = np.cumsum(good[:-1]).astype(bool)
+    at = (least & low).astype(np.int64)
+    edge = np.ones(len(at), bool)
+    edge[1:] = (at[1:] != at[:-1]) | (good[1:] != good[:-1])
+    edge[offsets[big][offsets[big] < len(edge)]] = True
+    lo = np.flatnonzero(edge)
+    hi = np.append(lo[1:], len(at)) - 1
+    keep = good[lo]
+    return at[lo[keep]], lo[keep], hi[keep]
+
+
+def _cover_samples(offsets: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, ...]:
+    """Places on a difference cover, counted from the start of each text, with the starts that lead to each: (at, lo, hi)."""
+    v, cover = difference_cover(length - gram + 1)
+    size = np.diff(offsets)
+    owner, step = ranges(np.where(size >= length, (size - gram) // v + 1, 0))
+    at = (step * v)[:, None] + cover
+    owner = np.broadcast_to(owner[:, None], at.shape).ravel()
+    at = at.ravel()
+    lo, hi = np.maximum(at - v + 1, 0), np.minimum(at, size[owner] - length)
+    keep = (lo <= hi) & (at + gram <= size[owner])
+    base = offsets[owner[keep]]
+    return at[keep] + base, lo[keep] + base, hi[keep] + base
+
+
+def _samples(length: int, gram: int, cover: bool):
+    """mapInArrow: (doc_id, key, samples)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, data, offsets in text_slices(batches):
-            size = np.diff(offsets)
             counts, found = np.zeros(batch.num_rows, np.int64), None
             if len(data) >= length:
-                first = ByteHash(data, BASES[0])
-                second = ByteHash(data, BASES[1])
-                g = first.grams(gram)
-                # The place goes in the low bits: the least value is the leftmost least hash.
-                bits = np.uint64(max(1, (len(g) - 1).bit_length()))
-                low = np.uint64((1 << int(bits)) - 1)
-                least = _sliding_min((g & ~low) | np.arange(len(g), dtype=np.uint64), length - gram + 1)
-                # A start is good if its window stays in its text.
-                good = np.zeros(len(least) + 1, np.int8)
-                big = np.flatnonzero(size >= length)
-                good[offsets[big]] += 1
-                good[np.minimum(offsets[big + 1] - length + 1, len(least))] -= 1
-                good = np.cumsum(good[:-1]).astype(bool)
-                at = (least & low).astype(np.int64)
-                edge = np.ones(len(at), bool)
-                edge[1:] = (at[1:] != at[:-1]) | (good[1:] != good[:-1])
-                edge[offsets[big][offsets[big] < len(edge)]] = True
-                lo = np.flatnonzero(edge)
-                hi = np.append(lo[1:], len(at)) - 1
-                keep = good[lo]
-                lo, hi = lo[keep], hi[keep]
-                at = at[lo]
+                text = ByteHash(data, BASES[0])
+                g = text.grams(gram)
+                at, lo, hi = _cover_samples(offsets, length, gram) if cover else _least_samples(g, offsets, length, gram)
                 owner = np.searchsorted(offsets, lo, side="right") - 1
-                base = offsets[owner]
                 counts = np.bincount(owner, minlength=batch.num_rows)
                 # Runs are equal if their texts, their lengths and their samples' places in them are.
                 shape = ((at - lo) * np.int64(length) + (hi - lo)).astype(np.uint64)
-                h1, h2 = mix(first(lo, hi + length) + shape), mix(second(lo, hi + length) + shape)
-                ids = batch.column(0).to_numpy().view(np.uint64)[owner] * np.uint64(BASES[0]) + batch.column(1).to_numpy().view(np.uint64)[owner]
-                ident = mix(ids + (at - base).astype(np.uint64) * np.uint64(BASES[1]))
-                found = [signed(g[at]), signed(h1), signed(h2), signed(ident), (at - base).astype(np.int32), (lo - base).astype(np.int32), (hi - base).astype(np.int32)]
+                h = mix(text(lo, hi + length) + shape)
+                found = [signed(g[at]), signed(h), *(x.astype(np.int32) for x in (at - offsets[owner], at - lo, hi - lo))]
             flat = pa.StructArray.from_arrays([pa.array(x) for x in found] if found else [pa.array([], f.type) for f in _SAMPLE], fields=list(_SAMPLE))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), list_array(flat, counts)], names=["doc_id", "key", "samples"])
 
@@ -149,45 +175,55 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str, *others: Column) -> Data
     return docs.select(F.coalesce(own, F.xxhash64(F.lit("no id"), text)).alias("doc_id"), F.xxhash64(text, own.isNull()).alias("key"), text.alias("text"), own.alias("id"), *others)
 
 
-def repeated_starts(keyed: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
+def repeated_starts(keyed: DataFrame, length: int = LENGTH, gram: int = GRAM, cover: bool = False) -> DataFrame:
     """Runs of starts whose ``length``-byte string also starts elsewhere: (doc_id, key, lo, hi), runs may touch."""
-    mine = _named_runs(keyed, length, gram)
+    scratch = Scratch(keyed.sparkSession, "repeats")
+    mine = _named_runs(scratch, keyed, length, gram, cover)
     yes = mine.filter("n > 1").select("doc_id", "key", "lo", "hi")
     pending = mine.filter("goes_on").select("doc_id", "key", F.struct("fp", "at", "lo", "hi", (F.col("n") > 1).alias("known")).alias("run"))
     for width in (CELL, 1):
-        release(keyed.sparkSession)
-        found, pending = _named_cells(keyed, pending, length, width)
+        found, pending = _named_cells(scratch, keyed, pending, length, width)
         yes = yes.unionByName(found)
-    release(keyed.sparkSession)
     return yes
 
 
-def _named_runs(keyed: DataFrame, length: int, gram: int) -> DataFrame:
+def _named_runs(scratch: Scratch, keyed: DataFrame, length: int, gram: int, cover: bool) -> DataFrame:
     """Runs of starts whose gram occurs again, how often their whole text does (n), and whether they need a closer look."""
-    found = keyed.filter(F.octet_length("text") >= length).mapInArrow(_samples(length, gram), f"doc_id long, key long, samples {_SAMPLE_SQL}")
-    rows = checkpointed(found.select("doc_id", "key", F.inline("samples")))
-    name = ["fp", "h1", "h2"]
-    # Sorted by name: runs with equal text, then grams. A gram that occurs once closes its run.
-    runs = rows.groupBy(*name).agg(F.count("*").alias("n"), F.min("ident").alias("one"))
-    grams = runs.groupBy("fp").agg(F.sum("n").alias("total"), F.min("n").alias("least")).filter("total > 1")
-    again = checkpointed(runs.join(grams, "fp").select(*name, "n", "one", (F.col("least") == 1).alias("open")))
-    goes_on = F.col("open") & ((F.col("n") == 1) | (F.col("ident") == F.col("one")))
-    return checkpointed(rows.join(again, name).select("doc_id", "key", "fp", "at", "lo", "hi", "n", goes_on.alias("goes_on")))
-
-
-def _named_cells(keyed: DataFrame, pending: DataFrame, length: int, width: int) -> tuple[DataFrame, DataFrame | None]:
+    found = keyed.filter(F.octet_length("text") >= length).mapInArrow(_samples(length, gram, cover), f"doc_id long, key long, samples {_SAMPLE_SQL}")
+    # The run in one word, as every column of a shuffled row takes eight bytes.
+    run = F.shiftleft(F.col("at").cast("long"), 32) + F.shiftleft(F.col("before").cast("long"), 16) + F.col("more")
+    samples = scratch.keep("samples", found.select("doc_id", "key", F.inline("samples")).select("doc_id", "key", "fp", "h", run.alias("run")))
+    # Sorted by the grams' names: a gram that occurs once closes its run.
+    grams = scratch.keep("grams", samples.groupBy("fp").agg(F.count("*").alias("n")).filter("n > 1").select("fp"))
+    rows = scratch.keep("again", samples.join(grams, "fp", "left_semi"))
+    scratch.drop("samples", "grams")
+    # Then by the names of the whole runs; one run of each name stands in for all of them.
+    ident = F.xxhash64("doc_id", "key", "run")
+    runs = rows.groupBy("fp", "h").agg(F.count("*").alias("n"), F.min(ident).alias("one"))
+    lone = runs.groupBy("fp").agg((F.min("n") == 1).alias("open"))
+    names = scratch.keep("names", runs.join(lone, "fp"))
+    at, before, more = F.shiftright("run", 32), F.shiftright("run", 16).bitwiseAND(F.lit(0xFFFF)), F.col("run").bitwiseAND(F.lit(0xFFFF))
+    goes_on = F.col("open") & ((F.col("n") == 1) | (ident == F.col("one")))
+    lo = at - before
+    mine = scratch.keep("runs", rows.join(names, ["fp", "h"]).select("doc_id", "key", "fp", *(x.cast("int").alias(c) for x, c in ((at, "at"), (lo, "lo"), (lo + more, "hi"))), "n", goes_on.alias("goes_on")))
+    scratch.drop("again", "names")
+    return mine
+
+
+def _named_cells(scratch: Scratch, keyed: DataFrame, pending: DataFrame, length: int, width: int) -> tuple[DataFrame, DataFrame | None]:
     """Cells of the pending runs: those found repeated (lo, hi), and the runs that still need a closer look."""
     lists = pending.groupBy("doc_id", "key").agg(F.collect_set("run").alias("runs"))
     found = lists.join(keyed, ["doc_id", "key"]).select("doc_id", "key", "text", "runs").mapInArrow(_cells(length, width), f"doc_id long, key long, cells {_CELL_SQL}")
-    cells = checkpointed(found.select("doc_id", "key", F.inline("cells")))
-    del lists, found, pending
-    release(keyed.sparkSession)
+    cells = scratch.keep(f"cells-{width}", found.select("doc_id", "key", F.inline("cells")))
     # One stand-in of each text that is known to be repeated counts for all of them.
     name = ["o1", "o2"]
     texts = cells.groupBy(*name, "core").agg(F.count("*").alias("n"), F.max("known").alias("known"), F.min("ident").alias("one"))
     cores = texts.groupBy("core").agg(F.sum("n").alias("total"), F.min(F.when(F.col("known"), 2).otherwise(F.col("n"))).alias("least")).filter("total > 1")
     state = texts.join(cores, "core").select(*name, (F.col("known") | (F.col("n") > 1)).alias("sure"), "one", (F.col("least") == 1).alias("open")).filter("sure or open")
-    named = checkpointed(cells.join(state, name).select("doc_id", "key", "fp", "cell", "at", "known", "sure", (F.col("open") & (~F.col("sure") | (F.col("ident") == F.col("one")))).alias("goes_on")))
+    state = scratch.keep(f"texts-{width}", state)
+    goes_on = F.col("open") & (~F.col("sure") | (F.col("ident") == F.col("one")))
+    named = scratch.keep(f"named-{width}", cells.join(state, name).select("doc_id", "key", "fp", "cell", "at", "known", "sure", goes_on.alias("goes_on")))
+    scratch.drop(f"cells-{width}", f"texts-{width}")
     yes = named.filter("sure and not known").select("doc_id", "key", F.col("at").alias("lo"), (F.col("at") + width - 1).alias("hi"))
     # The finer cells keep their alignment: the sample's place is start - cell * width.
     run = F.struct("fp", (F.col("at") - F.col("cell") * width).cast("int").alias("at"), F.col("at").alias("lo"), (F.col("at") + width - 1).cast("int").alias("hi"), F.col("sure").alias("known"))
@@ -229,29 +265,30 @@ def _cut(length: int, with_text: bool):
     return run
 
 
-def _with_spans(docs: DataFrame, id_col: str, text_col: str, length: int, gram: int, others: list[str]) -> DataFrame:
+def _with_spans(docs: DataFrame, id_col: str, text_col: str, length: int, gram: int, cover: bool, others: list[str]) -> DataFrame:
     keyed = _keyed(docs, id_col, text_col).drop("id")
-    spans = repeated_starts(keyed, length, gram).groupBy("doc_id", "key").agg(F.array_sort(F.collect_set(F.struct("lo", "hi"))).alias("runs"))
+    spans = repeated_starts(keyed, length, gram, cover).groupBy("doc_id", "key").agg(F.array_sort(F.collect_set(F.struct("lo", "hi"))).alias("runs"))
     extra = F.struct(*[F.col(c) for c in others]).alias("others") if others else F.lit(None).cast("int").alias("others")
     whole = _keyed(docs, id_col, text_col, extra)
     return whole.join(spans, ["doc_id", "key"], "left").select(F.col("id").alias("doc_id"), "text", F.col("runs.lo").alias("lo"), F.col("runs.hi").alias("hi"), "others")
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM) -> DataFrame:
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM, cover: bool = False) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) for each row of ``docs``.
 
-    Every byte covered by a ``length``-byte string that also starts elsewhere, in this text or another, is removed.
+    Every byte covered by a ``length``-byte string (up to 65,535) that also starts elsewhere, in this text or another,
+    is removed. With ``cover`` the samples lie on a difference cover; results are the same.
     Null and empty texts have no bytes. Two rows with equal texts are each other's copies, also under one id.
     Rows equal in id and text are one string's two copies as well, and rows without an id are rows like others. Empty
     tables give no rows.
     """
-    return _with_spans(docs, id_col, text_col, length, gram, []).mapInArrow(_cut(length, False), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    return _with_spans(docs, id_col, text_col, length, gram, cover, []).mapInArrow(_cut(length, False), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
-def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM) -> DataFrame:
+def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM, cover: bool = False) -> DataFrame:
     """``docs`` with the repeated bytes cut out of the texts; texts of which nothing is left, and null texts, stay as empty."""
     others = [c for c in docs.columns if c not in (id_col, text_col)]
-    found = _with_spans(docs, id_col, text_col, length, gram, others)
+    found = _with_spans(docs, id_col, text_col, length, gram, cover, others)
     kind = found.schema["others"].dataType.simpleString()
     cut = found.mapInArrow(_cut(length, True), f"doc_id long, n_bytes long, n_removed long, n_spans long, kept string, others {kind}")
     return cut.select(*[F.col("doc_id").alias(c) if c == id_col else F.col("kept").alias(c) if c == text_col else F.col("others")[c].alias(c) for c in docs.columns])
