@@ -18,10 +18,11 @@ from bisect import bisect_left, bisect_right
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import checkpointed
+from .common import Scratch
 
-#: Runs of groups for the running sums, and parts of a shard for its slots: both are counted, not collected.
-CHUNKS, BINS = 4096, 40_000
+BINS = 40_000
+#: Rows that a run of groups, or a part of a shard, holds about at most: more rows make more of them.
+RUN_ROWS = 100_000
 
 
 def _ends(groups: DataFrame) -> DataFrame:
@@ -151,25 +152,30 @@ def shard_contiguous(docs: DataFrame, shards: int = 40, id_col: str = "doc_id",
     neighbouring slots. An empty table gives no rows. Other columns of ``docs`` are not read.
     """
     raw = F.encode(F.col(text_col), "UTF-8")
-    rows = docs.select(
+    # Texts are read and hashed once; all that follows works on these narrow rows.
+    scratch = Scratch(docs.sparkSession, "shards")
+    rows = scratch.keep("rows", docs.select(
         F.col(id_col).alias("doc_id"), (F.coalesce(F.octet_length(text_col), F.lit(0)) + F.lit(overhead)).cast("long").alias("size"),
         F.coalesce(F.crc32(raw), F.lit(0)).cast("long").alias("text_crc32"), F.coalesce(F.md5(raw), F.lit("")).alias("key"),
-    )
-    groups = checkpointed(rows.groupBy("key").agg(F.sum("size").alias("bytes"), F.count("*").alias("n")))
+    ))
+    groups = scratch.keep("groups", rows.groupBy("key").agg(F.sum("size").alias("bytes"), F.count("*").alias("n")))
     total = groups.agg(F.sum("bytes").alias("bytes"), F.max("bytes").alias("most"), F.sum("n").alias("n")).first()
     huge = _huge(groups, total["bytes"] or 0, shards)
     if huge:  # they come first
         first = lambda df: df.withColumn("key", F.when(F.col("key").isin(*huge), F.concat(F.lit("!"), "key")).otherwise(F.col("key")))
         rows, groups = first(rows), first(groups)
-    groups = groups.withColumn("chunk", F.when(F.col("key").rlike("^[0-9a-f]"), F.conv(F.substring("key", 1, 3), 16, 10).cast("int")).otherwise(0))
+    digits = next((d for d in (3, 4) if (total["n"] or 0) <= RUN_ROWS * 16**d), 5)
+    groups = groups.withColumn("chunk", F.when(F.col("key").rlike("^[0-9a-f]"), F.conv(F.substring("key", 1, digits), 16, 10).cast("int")).otherwise(0))
     cut_keys = []
     if total["n"]:
-        ends = checkpointed(_ends(groups))
+        ends = scratch.keep("ends", _ends(groups))
         _, cuts = even_cuts(ends, total["bytes"], total["most"], shards)
         cut_keys = sorted(r["key"] for r in ends.filter(F.col("end").isin(cuts[1:-1])).select("key").collect())
     # A row's shard is the number of cuts before its key: no join, so no hot key.
-    shard = F.size(F.filter(F.array(*[F.lit(k) for k in cut_keys]).cast("array<string>"), lambda k: k < F.col("key"))) if cut_keys else F.lit(0)
-    parts = max(16, -(-(total["n"] or 0) // (shards * 50_000)))
+    shard = F.lit(0)
+    for k in cut_keys:
+        shard += (F.col("key") > k).cast("int")
+    parts = max(16, -(-(total["n"] or 0) // (shards * RUN_ROWS)))
     placed = rows.withColumn("shard", shard.cast("int")).withColumn("part", F.pmod(F.xxhash64("doc_id"), F.lit(parts)).cast("int"))
     counts = placed.groupBy("shard", "part").agg(F.count("*").alias("in_part"))
     before = counts.select("shard", "part", (F.sum("in_part").over(Window.partitionBy("shard").orderBy("part")) - F.col("in_part")).alias("before"))
