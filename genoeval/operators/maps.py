@@ -20,3 +20,16 @@ def constant_rate_map(lengths: DataFrame, step: int = 1000, rate: float = 1.0) -
 def variant_anchored_map(sites: DataFrame, rate: float = 1.0) -> DataFrame:
     """A row for each distinct site position."""
     return _with_cm(sites.select("chrom", F.col("pos").cast("long").alias("position")).distinct(), rate)
+
+
+#: File names of a chromosome's genetic map, in order of choice.
+MAP_FILES = ("{}.map", "{}.txt", "{}.txt.gz", "genetic_map.{}.txt", "genetic_map.{}.txt.gz", "genetic_map_{}.txt", "genetic_map_{}.txt.gz", "{}_genetic_map.txt", "{}_genetic_map.txt.gz")
+
+
+def choose_map_files(listing: DataFrame, chroms: DataFrame) -> DataFrame:
+    """(chrom, path): the first fixed name that is there, else the first by name that holds the chromosome and ends in txt, txt.gz or map."""
+    files = listing.withColumn("name", F.element_at(F.split("path", "/"), -1))
+    at = F.array_position(F.array(*[F.format_string(m.replace("{}", "%s"), "chrom") for m in MAP_FILES]), F.col("name"))
+    held = files.join(chroms, F.col("name").contains(F.col("chrom"))).filter(F.col("name").rlike(r"\.(txt|txt\.gz|map)$"))
+    rank = F.row_number().over(Window.partitionBy("chrom").orderBy(F.when(at > 0, at).otherwise(len(MAP_FILES) + 1), "name"))
+    return held.withColumn("rank", rank).filter("rank = 1").select("chrom", "path")

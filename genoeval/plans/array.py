@@ -8,9 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import genotypes as g
-from ..operators import contigs, joins, metrics, pairwise
+from ..operators import contigs, incremental, joins, metrics, pairwise
 from ..operators.sites import assert_unique, biallelic_snps, in_region
-from ..sources import vcf
+from ..sources import sinks, vcf
+from ..sources.scratch import delete, has_content, shared_folder
+from ..sources.vcf import ingest
 
 
 @dataclass
@@ -74,6 +76,7 @@ class ArrayResult:
     duplicates_removed: DataFrame
     ambiguous_removed: DataFrame
     exceptions: DataFrame
+    sites: DataFrame
 
 
 def evaluate_array(spark: SparkSession, imputed_path: str, truth_path: str, samples: list[str] | None = None, region: str | None = None) -> ArrayResult:
@@ -83,28 +86,90 @@ def evaluate_array(spark: SparkSession, imputed_path: str, truth_path: str, samp
         samples = [r["sample"] for r in shared.collect()]
     if not samples:
         raise ValueError("no common samples")
-    p = prepare(read_side(spark, imputed_path, samples, region), read_side(spark, truth_path, samples, region))
-    if p.truth.isEmpty():
-        raise ValueError("no common site is left")
+    return score(spark, stored_sides(spark, imputed_path, truth_path, samples, region, shared_folder(spark, "array")), samples, shared_folder(spark, "array-sites"))
+
+
+def stored_sides(spark: SparkSession, imputed_path: str, truth_path: str, samples: list[str], region: str | None, folder: str) -> Prepared:
+    """Both sides' typed sites, stored once, then prepared; checks and results read these, not the text."""
+    ours = ingest(read_side(spark, imputed_path, samples, region), f"{folder}/imputed")
+    return prepare(ours, ingest(read_side(spark, truth_path, samples, region), f"{folder}/truth"))
+
+
+def score(spark: SparkSession, p: Prepared, samples: list[str], folder: str) -> ArrayResult:
+    """Translated sites are stored under ``folder``; every result reads them. No common site, repeated positions, and positions that differ raise."""
     assert_unique(p.imputed, joins.POSITION, "imputed")
-    sites = translated(p).persist()
+    joins.assert_same_positions(p.imputed, p.truth)
+    sites = translated(p)
+    sites.write.mode("overwrite").parquet(folder)
+    sites = spark.read.schema(sites.schema).parquet(folder)
+    if sites.isEmpty():
+        raise ValueError("no common site is left")
     dimension = spark.createDataFrame([(s, i) for i, s in enumerate(samples)], "sample string, sample_idx int")
     return ArrayResult(
         sample_metrics=metrics.sample_metrics(sites, dimension),
         variant_metrics=metrics.variant_metrics_array(sites).select("chrom", "pos", "id", "maf", "n_non_missing", "r", "r2", "concordance"),
         concordance=metrics.concordance_matrix(sites).select(*joins.VARIANT, "id", "agree"),
-        duplicates_removed=p.duplicates_removed, ambiguous_removed=p.ambiguous_removed, exceptions=exceptions(sites),
+        duplicates_removed=p.duplicates_removed, ambiguous_removed=p.ambiguous_removed, exceptions=exceptions(sites), sites=sites,
     )
 
 
+def run_array(spark: SparkSession, imputed_path: str, truth_path: str, root: str, samples: list[str] | None = None, region: str | None = None, force: bool = False) -> list[str]:
+    """The array evaluation on disk: A/B tables, metrics, concordance and reports. Returns the steps that were done.
+
+    A step whose outputs are there and not empty is left out, unless ``force`` is set; the audit keeps every step's counts.
+    """
+    incremental.assert_mode(spark, root, "array")
+    if samples is None:
+        samples = [r["sample"] for r in joins.common_samples(vcf.read_vcf_samples(spark, imputed_path), vcf.read_vcf_samples(spark, truth_path)).collect()]
+    if not samples:
+        raise ValueError("no common samples")
+    steps = {
+        "samples": ("common_samples",), "translation": ("imputed_ab", "truth_ab", "qc/translation_exceptions"), "reports": ("qc/duplicates_removed", "qc/ambiguous_removed"),
+        "metrics": ("per_sample_metrics", "per_variant_metrics"), "concordance": ("concordance",),
+    }
+    due = [s for s, outputs in steps.items() if force or not all(has_content(spark, f"{root}/{o}") for o in outputs)]
+    audit = incremental.AuditLog()
+    if set(due) - {"samples"}:
+        p = stored_sides(spark, imputed_path, truth_path, samples, region, f"{root}/_work")
+        out = score(spark, p, samples, f"{root}/_work/sites")
+        n = out.sites.count()
+    for step in due:
+        if step == "samples":
+            sinks.write_tsv(spark.createDataFrame([(s,) for s in samples], "sample string"), f"{root}/common_samples")
+            audit.step(step, None, len(samples))
+        elif step == "translation":
+            sinks.write_ab(out.sites.select(*joins.VARIANT, "id", F.col("ab_imputed").alias("ab")), samples, f"{root}/imputed_ab")
+            sinks.write_ab(out.sites.select(*joins.VARIANT, "id", F.col("ab_truth").alias("ab")), samples, f"{root}/truth_ab")
+            sinks.write_tsv(out.exceptions, f"{root}/qc/translation_exceptions", "NA", one_file=False)
+            audit.step(step, n, n)
+        elif step == "reports":
+            gone = out.ambiguous_removed.select("chrom", "pos").distinct().count()
+            sinks.write_tsv(out.duplicates_removed, f"{root}/qc/duplicates_removed", "NA", one_file=False)
+            sinks.write_tsv(out.ambiguous_removed, f"{root}/qc/ambiguous_removed", "NA", one_file=False)
+            audit.step(step, n + gone, n, "unambiguous positions")
+        elif step == "metrics":
+            sinks.write_tsv(metrics.report_columns(out.sample_metrics), f"{root}/per_sample_metrics", "NA")
+            sinks.write_partitioned(out.variant_metrics, f"{root}/per_variant_metrics")
+            audit.step(step, n, n)
+        else:
+            sinks.write_partitioned(out.concordance, f"{root}/concordance")
+            audit.step(step, n, n)
+    if due:
+        sinks.write_tsv(audit.frame(spark), f"{root}/audit", "NA")
+        delete(spark, f"{root}/_work")
+    return due
+
+
 def match_samples(spark: SparkSession, query_path: str, truth_path: str, region: str | None = None) -> tuple[DataFrame, DataFrame]:
     """(ranked pairs, best matches) of all samples of two files that may name them differently."""
     q, t = vcf.read_vcf_samples(spark, query_path), vcf.read_vcf_samples(spark, truth_path)
     names = [[r["sample"] for r in x.orderBy("sample_idx").collect()] for x in (q, t)]
-    p = prepare(read_side(spark, query_path, names[0], region), read_side(spark, truth_path, names[1], region))
+    folder = shared_folder(spark, "matching")
+    p = prepare(ingest(read_side(spark, query_path, names[0], region), f"{folder}/query"), ingest(read_side(spark, truth_path, names[1], region), f"{folder}/truth"))
     sites = translated(p).select(F.col("x").alias("q"), F.col("y").alias("t"))
     pairs = pairwise.pairwise_concordance(sites, q, t)
-    ranked = pairwise.rank_matches(pairs).persist()
+    pairs.write.parquet(f"{folder}/pairs")
+    ranked = pairwise.rank_matches(spark.read.schema(pairs.schema).parquet(f"{folder}/pairs"))
     if ranked.filter("n_compared > 0").isEmpty():
         raise ValueError("no pair of samples has a shared call")
     return ranked, pairwise.best_matches(ranked)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import genotypes as g
@@ -417,17 +417,22 @@ def concordance_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- sample matching ---------------------------------------------------------------------------------------------------
 
-_PAIRS = f"""{_MATCHED}, names AS (SELECT DISTINCT sample FROM calls),
-counted AS (SELECT a.sample AS query, 'T' || substr(b.sample, 2) AS target, count(*) AS n, count(*) FILTER (WHERE a.x <> b.y) AS m FROM dosages a JOIN dosages b USING (vid) WHERE a.x IS NOT NULL AND b.y IS NOT NULL GROUP BY ALL),
-matrix AS (SELECT q.sample AS query, 'T' || substr(t.sample, 2) AS target FROM names q, names t),
+_PAIRS = f"""{_MATCHED}, names AS (SELECT DISTINCT sample FROM calls), asked AS (SELECT sample FROM names WHERE CAST(substr(sample, 2) AS BIGINT) % 50 = 0),
+counted AS (SELECT a.sample AS query, 'T' || substr(b.sample, 2) AS target, count(*) AS n, count(*) FILTER (WHERE a.x <> b.y) AS m FROM dosages a JOIN asked USING (sample) JOIN dosages b USING (vid) WHERE a.x IS NOT NULL AND b.y IS NOT NULL GROUP BY ALL),
+matrix AS (SELECT q.sample AS query, 'T' || substr(t.sample, 2) AS target FROM asked q, names t),
 pairwise AS (SELECT query, target, CASE WHEN n > 0 THEN 1 - m / n END AS concordance, coalesce(n, 0) AS n_compared, CASE WHEN n > 0 THEN m END AS mismatch_count FROM matrix LEFT JOIN counted USING (query, target)),
 ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY query ORDER BY concordance DESC NULLS LAST, n_compared DESC NULLS LAST, mismatch_count ASC NULLS LAST, target) AS INT) AS match_rank FROM pairwise)"""
 
 
 def _pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Samples whose number divides by 50 against all samples."""
     names = views.samples(spark, sf_dir)
-    sites = _matched(spark, sf_dir).select(F.col("x").alias("q"), F.col("y").alias("t"))
-    return pairwise.pairwise_concordance(sites, names, names.withColumn("sample", F.concat(F.lit("T"), F.substring("sample", 2, 10))))
+    asked = names.filter(F.substring("sample", 2, 10).cast("long") % 50 == 0)
+    places = asked.agg(F.coalesce(F.array_sort(F.collect_list("sample_idx")), F.array().cast("array<int>")).alias("places"))
+    sites = _matched(spark, sf_dir).crossJoin(F.broadcast(places))  # one row: the queries' places in the arrays
+    sites = sites.select(F.transform("places", lambda i: F.col("x")[i]).alias("q"), F.col("y").alias("t"))
+    numbered = asked.withColumn("sample_idx", (F.row_number().over(Window.orderBy("sample_idx")) - 1).cast("int"))
+    return pairwise.pairwise_concordance(sites, numbered, names.withColumn("sample", F.concat(F.lit("T"), F.substring("sample", 2, 10))))
 
 
 @query(f"WITH {_VIEWS}, {_PAIRS} SELECT * FROM pairwise")
@@ -498,7 +503,7 @@ def chunks_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _LINES = """lines AS (SELECT n_nationkey AS ord, CASE n_nationkey % 8 WHEN 0 THEN '# ' || n_name WHEN 1 THEN 'Chr0' || CAST(1 + n_regionkey AS VARCHAR) || ' ' || CAST(n_nationkey * 1000 AS VARCHAR) || ' ' || CAST(n_nationkey * 1000 + 5000 AS VARCHAR)
-WHEN 2 THEN CAST(n_nationkey AS VARCHAR) || ' chr' || CAST(n_regionkey AS VARCHAR) || ' 1 5000000 9' WHEN 3 THEN CAST(n_nationkey AS VARCHAR) || ' 1 1 5000000' WHEN 4 THEN '1 1 900' WHEN 5 THEN '' WHEN 6 THEN 'chunk chr start end' ELSE '2 5 900 700' END AS value FROM nation)"""
+WHEN 2 THEN CAST(n_nationkey AS VARCHAR) || ' chr' || CAST(n_regionkey AS VARCHAR) || ' 1 5000000 9' WHEN 3 THEN CAST(n_nationkey AS VARCHAR) || ' 1 1 5000000' WHEN 4 THEN '1 1 900' WHEN 5 THEN '' WHEN 6 THEN 'chunk chr start end' ELSE '2 5 900 700' END AS value FROM (SELECT p_partkey AS n_nationkey, p_partkey % 5 AS n_regionkey, p_name AS n_name FROM part))"""
 
 
 @query(f"""WITH {_LINES}, r AS (SELECT ord, value, string_split_regex(trim(value), '\\s+') AS f FROM lines WHERE trim(value) <> '' AND NOT starts_with(value, '#') AND NOT starts_with(value, 'chunk ')),
@@ -506,8 +511,8 @@ k AS (SELECT *, CASE WHEN starts_with(lower(f[1]), 'chr') THEN false WHEN starts
 p AS (SELECT ord, w, f[1] AS a, CASE WHEN w THEN f[2] ELSE f[1] END AS chrom, CAST(CASE WHEN w THEN f[3] ELSE f[2] END AS BIGINT) AS start, CAST(CASE WHEN w THEN f[4] ELSE f[3] END AS BIGINT) AS "end", CAST(coalesce(CASE WHEN w THEN f[5] ELSE f[4] END, '500000') AS BIGINT) AS buffer FROM k)
 SELECT CASE WHEN w THEN a ELSE chrom || '_' || CAST(start AS VARCHAR) || '_' || CAST("end" AS VARCHAR) END AS chunk_id, chrom, start, "end", buffer, CAST(ord AS BIGINT) AS ord FROM p""")
 def chunk_file_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    select = _LINES[len("lines AS (") : -1].replace("VARCHAR", "STRING").replace("FROM nation", "FROM {nation}")
-    lines = spark.sql(select, nation=spark.read.parquet(f"{sf_dir}/nation.parquet"))
+    select = _LINES[len("lines AS (") : -1].replace("VARCHAR", "STRING").replace("FROM part", "FROM {part}")
+    lines = spark.sql(select, part=spark.read.parquet(f"{sf_dir}/part.parquet"))
     return chunks.parse_chunk_lines(lines).withColumn("ord", F.col("ord").cast("long"))
 
 

@@ -1,6 +1,6 @@
 """Sites and genotype calls derived from the star-schema tables.
 
-Each view is one SELECT that reads the same in Spark SQL and DuckDB; ``part`` gives sites, ``supplier`` at most 20 samples.
+Each view is one SELECT that reads the same in Spark SQL and DuckDB; ``part`` gives sites, ``supplier`` samples.
 Spark keeps the calls of a site in arrays, so nothing is multiplied by samples before the site joins.
 """
 
@@ -41,7 +41,7 @@ _DP = "CASE WHEN (v.p_partkey + {s}) % 43 <> 0 THEN (v.p_partkey * 3 + {s} * 5)
 _VALUES = (("truth_gt", _TRUTH_GT), ("imputed_gt", _IMPUTED_GT), ("gq", _GQ), ("dp", _DP))
 
 #: Long calls, for DuckDB.
-CALLS = "SELECT v.p_partkey AS vid, 'S' || lpad(CAST(s.s_suppkey AS STRING), 3, '0') AS sample,\n  " + ",\n  ".join(f"{e.format(s='s.s_suppkey')} AS {n}" for n, e in _VALUES) + "\nFROM part v CROSS JOIN supplier s WHERE s.s_suppkey < 20"
+CALLS = "SELECT v.p_partkey AS vid, 'S' || lpad(CAST(s.s_suppkey AS STRING), 9, '0') AS sample,\n  " + ",\n  ".join(f"{e.format(s='s.s_suppkey')} AS {n}" for n, e in _VALUES) + "\nFROM part v CROSS JOIN supplier s"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -57,15 +57,15 @@ def imputed_sites(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(sample, sample_idx): at most 20 rows, numbered in the order of the call arrays."""
-    keys = _table(spark, sf_dir, "supplier").filter("s_suppkey < 20").agg(F.sort_array(F.collect_list("s_suppkey")).alias("keys"))
-    return keys.select(F.posexplode("keys").alias("sample_idx", "k")).select(F.concat(F.lit("S"), F.lpad(F.col("k").cast("string"), 3, "0")).alias("sample"), "sample_idx")
+    """(sample, sample_idx), numbered in the order of the call arrays: a site's arrays hold all samples, as a VCF line does."""
+    keys = _table(spark, sf_dir, "supplier").agg(F.sort_array(F.collect_list("s_suppkey")).alias("keys"))
+    return keys.select(F.posexplode("keys").alias("sample_idx", "k")).select(F.concat(F.lit("S"), F.lpad(F.col("k").cast("string"), 9, "0")).alias("sample"), "sample_idx")
 
 
 def call_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(vid, truth_gt, imputed_gt, gq, dp): a row a site, arrays in sample order."""
     arrays = ", ".join(f"transform(k.samples, s -> {e.format(s='s')}) AS {n}" for n, e in _VALUES)
     return spark.sql(
-        f"SELECT v.p_partkey AS vid, {arrays} FROM {{part}} v CROSS JOIN (SELECT sort_array(collect_list(s_suppkey)) AS samples FROM {{supplier}} WHERE s_suppkey < 20) k",
+        f"SELECT v.p_partkey AS vid, {arrays} FROM {{part}} v CROSS JOIN (SELECT sort_array(collect_list(s_suppkey)) AS samples FROM {{supplier}}) k",
         part=_table(spark, sf_dir, "part"), supplier=_table(spark, sf_dir, "supplier"),
     )

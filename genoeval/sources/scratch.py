@@ -29,6 +29,12 @@ def children(spark: SparkSession, folder: str) -> list[str]:
     return [x.getPath().getName() for x in fs.listStatus(path)] if fs.exists(path) else []
 
 
+def has_content(spark: SparkSession, path: str) -> bool:
+    """Whether a file, or a folder's result, is there and not empty."""
+    hadoop, fs = _file(spark, path)
+    return fs.exists(hadoop) and fs.getContentSummary(hadoop).getLength() > 0
+
+
 def delete(spark: SparkSession, path: str) -> None:
     hadoop, fs = _file(spark, path)
     fs.delete(hadoop, True)

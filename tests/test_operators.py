@@ -51,9 +51,38 @@ def test_matching_ties_and_empty_pairs(spark):
 def test_panel(spark):
     s = spark.createDataFrame([("Chr01", ["0|1"] * 20), ("Chr01", ["0|1"] * 18 + ["0/1"] * 2), ("Chr01", ["0|1"] * 19 + ["./."]), ("Chr01", ["0|1"] * 19 + [".|1"])], "chrom string, gt array<string>")
     assert rows(panel.panel_report(s)) == [("Chr01", 4, 3, 1, 0.95)]
-    listing = spark.createDataFrame([("/p/x.Chr01.phased.vcf.gz", 10), ("/p/Chr01.vcf.gz", 10), ("/p/Chr1.phased.vcf.gz", 10), ("/p/Chr10.phased.vcf.gz", 0), ("/p/Chr10.beagle.vcf.gz", 5)], "path string, length long")
-    chosen = panel.choose_panel_files(listing, spark.createDataFrame([("Chr01",), ("Chr10",), ("Chr02",)], "chrom string"))
-    assert rows(chosen) == [("Chr01", "/p/x.Chr01.phased.vcf.gz"), ("Chr10", "/p/Chr10.beagle.vcf.gz")]
+    files = ["Chr01.phased.vcf.gz", "Chr01_chr.vcf.gz", "Chr1.phased.vcf.gz", "Chr10.beagle.vcf.gz", "Chr10.vcf.gz", "x.Chr02.phased.vcf.gz", "standardised/Chr02_chr.vcf.gz", "Chr02.vcf.gz", "Chr03-b.vcf.gz", "Chr03-a.vcf.gz"]
+    listing = spark.createDataFrame([(f"/p/{f}", 10) for f in files] + [("/p/Chr10.phased.vcf.gz", 0)], "path string, length long")
+    chosen = panel.choose_panel_files(listing, spark.createDataFrame([(f"Chr{i:02d}",) for i in (1, 2, 3, 4, 10)], "chrom string"))
+    assert rows(chosen) == [("Chr01", "/p/Chr01.phased.vcf.gz"), ("Chr02", "/p/standardised/Chr02_chr.vcf.gz"), ("Chr03", "/p/Chr03-a.vcf.gz"), ("Chr10", "/p/Chr10.beagle.vcf.gz")]
+
+
+def test_map_files(spark):
+    files = ["Chr01.txt.gz", "genetic_map.Chr01.txt", "other.Chr02.v1.txt", "an.Chr02.map", "Chr02.bed", "Chr03_genetic_map.txt", "genetic_map_Chr03.txt"]
+    listing = spark.createDataFrame([(f"/m/{f}",) for f in files], "path string")
+    chosen = maps.choose_map_files(listing, spark.createDataFrame([("Chr01",), ("Chr02",), ("Chr03",), ("Chr04",)], "chrom string"))
+    assert rows(chosen) == [("Chr01", "/m/Chr01.txt.gz"), ("Chr02", "/m/an.Chr02.map"), ("Chr03", "/m/genetic_map_Chr03.txt")]
+
+
+def test_small_inputs_and_outputs(spark, tmp_path):
+    sinks.write_tsv(sinks.manifest(spark, {"b": "2", "a": "1"}), str(tmp_path / "m"))
+    assert files.manifest_value(spark, str(tmp_path / "m"), "b") == "2" and files.manifest_value(spark, str(tmp_path / "m"), "c") is None
+    ab = spark.createDataFrame([("Chr01", 5, "A", "C", "v", ["A/A", "A/B"])], "chrom string, pos int, ref string, alt string, id string, ab array<string>")
+    sinks.write_ab(ab, ["s1", "s2"], str(tmp_path / "ab"))
+    assert rows(files.read_wide(spark, str(tmp_path / "ab"), "ab")) == [("Chr01", 5, "A", "C", "v", "s1", "A/A"), ("Chr01", 5, "A", "C", "v", "s2", "A/B")]
+    sinks.write_calls(ab.union(ab.withColumn("chrom", F.lit("Chr02"))), str(tmp_path / "calls"))
+    assert spark.read.parquet(str(tmp_path / "calls")).filter("CHROM = 'Chr02'").count() == 1
+    both = joins.genome_wide([ab, ab.drop("ab").withColumn("x", F.lit(1))])
+    assert both.count() == 2 and both.filter("x is null").count() == both.filter("ab is null").count() == 1
+    names = lambda *n: spark.createDataFrame([(x,) for x in n], "sample string")
+    assert [r["sample"] for r in joins.missing_samples(names("c", "a", "b"), names("b")).collect()] == ["a", "c"]
+    ds = spark.createDataFrame([("Chr01", 5, "s", None)], "chrom string, pos int, sample string, ds double")
+    gp = ds.withColumn("ds", F.lit(1.5))
+    joins.assert_dosages(joins.ds_with_gp(ds, gp), "imputed")
+    with pytest.raises(ValueError):
+        joins.assert_dosages(joins.ds_with_gp(ds, ds), "imputed")
+    with pytest.raises(ValueError, match="Chr02"):
+        joins.assert_same_positions(ab, ab.union(ab.withColumn("chrom", F.lit("Chr02"))))
 
 
 def test_contigs(spark):

@@ -2,12 +2,14 @@
 
 import gzip
 import os
+import shutil
 
 import pytest
 from test_wgs import vcfs  # noqa: F401
 
 from genoeval.operators.sites import Thresholds
-from genoeval.plans.array import evaluate_array, match_samples
+from genoeval.plans.array import evaluate_array, match_samples, run_array
+from genoeval.plans.panel import prepare_panel
 from genoeval.plans.run import run_wgs
 from genoeval.plans.wgs import evaluate_vcf
 from genoeval.sources import files
@@ -115,3 +117,33 @@ def test_chunks_and_truth_folder(spark, vcfs, tmp_path):  # noqa: F811
     put(tmp_path / "truth" / "Chr02_consolidated.vcf.gz", texts[1][:-1], lambda chrom, pos: chrom == "Chr02")
     with pytest.raises(ValueError, match="for Chr02;"):
         run_wgs(spark, None, None, root, samples=["S1", "S2", "S3"], chunks_dir=str(tmp_path / "chunks"), truth_dir=str(tmp_path / "truth"))
+
+
+def test_array_run_on_disk(spark, sides, tmp_path):
+    root = str(tmp_path / "array")
+    steps = ["samples", "translation", "reports", "metrics", "concordance"]
+    assert run_array(spark, *sides, root) == steps and run_array(spark, *sides, root) == []
+    ab = files.read_wide(spark, f"{root}/truth_ab", "ab")
+    assert {r["sample"]: r["ab"] for r in ab.filter("pos = 10").collect()} == {"s1": "A/A", "s2": "A/B", "s3": "B/B"}
+    assert {r["sample"]: r["n_variants"] for r in table(spark, f"{root}/per_sample_metrics").collect()} == {"s1": "3", "s2": "3", "s3": "2"}
+    assert table(spark, f"{root}/qc/translation_exceptions").count() == 1 and {r["step"] for r in table(spark, f"{root}/audit").collect()} == set(steps)
+    shutil.rmtree(f"{root}/truth_ab")
+    assert run_array(spark, *sides, root) == ["translation"] and files.read_wide(spark, f"{root}/truth_ab", "ab").count() == 9
+    assert run_array(spark, *sides, root, force=True) == steps
+    with pytest.raises(ValueError):
+        run_wgs(spark, *sides, root)
+
+
+def test_panel_preparation(spark, tmp_path):
+    (tmp_path / "panel").mkdir()
+    for c, calls in (("Chr01", (["0|1"] * 20, ["0|1"] * 19 + [".|."], ["0/1"] * 20)), ("Chr02", (["1|1"] * 20,))):
+        text = write(tmp_path / "x.vcf", [f"s{i}" for i in range(20)], [site(c[3:].lstrip("0"), 10 * k, "A", "C", *x) for k, x in enumerate(calls, 1)])
+        with open(text) as f, gzip.open(tmp_path / "panel" / f"{c}_chr.vcf.gz", "wt") as g:
+            g.write(f.read())
+    out = str(tmp_path / "out")
+    report = prepare_panel(spark, str(tmp_path / "panel"), out, ["Chr01", "Chr02"]).collect()
+    assert [(r["chrom"], r["total"], r["removed"], r["kept"]) for r in report] == [("Chr01", 3, 2, 1), ("Chr02", 1, 0, 1)]
+    assert report[0]["input_vcf"].endswith("/panel/Chr01_chr.vcf.gz") and report[0]["output"] == f"{out}/panel/CHROM=Chr01"
+    assert files.read_metrics(spark, out, "panel").filter("CHROM = 'Chr01'").count() == 1
+    with pytest.raises(ValueError, match="Chr05"):
+        prepare_panel(spark, str(tmp_path / "panel"), out, ["Chr05"])
