@@ -6,16 +6,15 @@ All numpy code here works inside Spark tasks on slices of an Arrow batch, so its
 
 from __future__ import annotations
 
-import gc
 import tempfile
-import time
 import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import Broadcast
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes of text that numpy works on at once.
@@ -62,16 +61,23 @@ class Scratch:
 
     def keep(self, name: str, df: DataFrame) -> DataFrame:
         """Write ``df`` and read it again: lineage is cut, and its size is known to the joins that follow."""
+        self._write(df.write, f"{self.folder}/{name}")
+        return self.spark.read.schema(df.schema).parquet(f"{self.folder}/{name}")
+
+    def append(self, df: DataFrame, path: str, parts: str) -> None:
+        """Add rows to a lasting table that is parted by a column."""
+        self._write(df.write.mode("append").partitionBy(parts), path)
+
+    def _write(self, writer: DataFrameWriter, path: str) -> None:
         before = self.spark.conf.get(_CLEAN, None)
         self.spark.conf.set(_CLEAN, "true")
         try:
-            df.write.parquet(f"{self.folder}/{name}")
+            writer.parquet(path)
         finally:
             if before is None:
                 self.spark.conf.unset(_CLEAN)
             else:
                 self.spark.conf.set(_CLEAN, before)
-        return self.spark.read.schema(df.schema).parquet(f"{self.folder}/{name}")
 
     def drop(self, *names: str) -> None:
         """Delete tables that nothing will read again."""
@@ -80,21 +86,25 @@ class Scratch:
             path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a copy in the shared checkpoint folder, which outlives executors."""
-    df.sparkSession.sparkContext.setCheckpointDir(checkpoint_folder(df.sparkSession))
-    return df.checkpoint(eager=True)
+#: Bits of the filters that say what surely has no partner: 8 MB at any input size.
+FILTER_BITS = 1 << 26
 
 
-def release(spark: SparkSession) -> None:
-    """Let Spark delete shuffle files and checkpoints that nothing refers to any more, rather than at its next long pause.
+def bit_filter(rows: DataFrame, column: str) -> Broadcast:
+    """A bit for each value of a long column, ``FILTER_BITS`` at most, whatever the number of rows; see ``may_be_in``."""
+    place = F.col(column).bitwiseAND(F.lit(FILTER_BITS - 1)) + 1  # Spark counts places from 1
+    part = rows.select(F.bitmap_bucket_number(place).alias("part"), F.bitmap_bit_position(place).alias("bit")).groupBy("part").agg(F.bitmap_construct_agg("bit").alias("bits"))
+    bits = np.zeros(FILTER_BITS >> 3, np.uint8)
+    for r in part.collect():
+        at = (r["part"] - 1) * len(r["bits"])
+        bits[at : at + len(r["bits"])] = np.frombuffer(r["bits"], np.uint8)
+    return rows.sparkSession.sparkContext.broadcast(bits)
 
-    A plan is let go of in steps (Python's handle, the listeners' events, Spark's cleaner), hence the rounds.
-    """
-    for _ in range(3):
-        gc.collect()
-        spark.sparkContext._jvm.System.gc()
-        time.sleep(0.3)
+
+def may_be_in(bits: Broadcast, values: np.ndarray) -> np.ndarray:
+    """Places of the values whose bit is set: all that are in the column, and a few others."""
+    bit = signed(values) & (8 * len(bits.value) - 1)
+    return np.flatnonzero(bits.value[bit >> 3] >> (bit & 7).astype(np.uint8) & 1)
 
 
 def bounded_batches(spark: SparkSession) -> None:

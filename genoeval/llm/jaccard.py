@@ -22,16 +22,13 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, Words, mix, ranges, run_hashes, signed, text_slices
+from .common import Scratch, Words, bit_filter, may_be_in, mix, ranges, run_hashes, signed, text_slices
 
 SHINGLE, THRESHOLD = 5, 0.8
 #: 27 bands of 3: a pair at 0.8 shares no band with probability 3.9e-9. STEP values are compared at a time; at 0.8 the
 #: pruning loses a pair with probability 2.9e-9, all steps together. More similar pairs are lost more rarely.
 BANDS, ROWS, STEP, TOLERANCE = 27, 3, 8, 2e-10
 BLOCK = 256
-#: Bits of the filter that says which sets are surely not verified: 8 MB at any input size.
-FILTER_BITS = 1 << 26
-
 
 def posterior_below(matches: int, compared: int, threshold: float) -> float:
     """P(similarity >= threshold) after ``matches`` of ``compared`` equal MinHash values, uniform prior."""
@@ -100,8 +97,7 @@ def _sets(k: int, wanted: Broadcast | None = None):
             kept = np.append(first[has], len(g))
             s1, s2 = _set_keys(g, kept)
             if wanted is not None:
-                bit = signed(s1) & (FILTER_BITS - 1)
-                on = np.flatnonzero(wanted.value[bit >> 3] >> (bit & 7).astype(np.uint8) & 1)
+                on = may_be_in(wanted, s1)
                 body = [g[kept[x] : kept[x + 1]].tobytes() for x in on]
                 has, s1, s2 = has[on], s1[on], s2[on]
             else:
@@ -233,17 +229,6 @@ def _verified(least: dict[int, int], threshold: float):
     return run
 
 
-def _filter_bits(keys: DataFrame) -> Broadcast:
-    """A bit for each value of ``s1``: ``FILTER_BITS`` bits at most, whatever the number of rows."""
-    place = F.col("s1").bitwiseAND(F.lit(FILTER_BITS - 1)) + 1  # Spark counts places from 1
-    part = keys.select(F.bitmap_bucket_number(place).alias("part"), F.bitmap_bit_position(place).alias("bit")).groupBy("part").agg(F.bitmap_construct_agg("bit").alias("bits"))
-    bits = np.zeros(FILTER_BITS >> 3, np.uint8)
-    for r in part.collect():
-        at = (r["part"] - 1) * len(r["bits"])
-        bits[at : at + len(r["bits"])] = np.frombuffer(r["bits"], np.uint8)
-    return keys.sparkSession.sparkContext.broadcast(bits)
-
-
 def connected(edges: DataFrame) -> DataFrame:
     """(node, root): the least node of each component of undirected edges (a, b), by alternating star contractions.
 
@@ -300,7 +285,7 @@ def _classes(own: DataFrame, shingle: int, threshold: float, tolerance: float) -
     left = scratch.keep("left", pruned.join(members, [*block, "rep"]))
     # Shingles are made again, for one row of each set that has a pair left.
     needed = scratch.keep("needed", left.select("rep").distinct().join(reps.select("rep", "s1", "s2", "first"), "rep"))
-    again = own.mapInArrow(_sets(shingle, _filter_bits(needed)), sets)
+    again = own.mapInArrow(_sets(shingle, bit_filter(needed, "s1")), sets)
     same = [F.col("first")[f.name].eqNullSafe(F.col(f"own.{f.name}")) for f in columns]
     shingles = again.alias("own").join(needed.alias("needed"), [F.col(f"own.{c}") == F.col(f"needed.{c}") for c in ("s1", "s2")] + same).groupBy("rep").agg(F.first("body").alias("shingles"))
     checked = left.join(bodies, "rep").join(shingles, "rep").repartition(*block).sortWithinPartitions(*block).select(*block, "side", "rep", "copies", "body", "shingles").mapInArrow(_verified(least, threshold), "rep long, links long, to long")
