@@ -2,7 +2,8 @@
 
 Both sides hash every ``GRAM`` consecutive words and keep the least hash of each run of ``window - GRAM + 1``
 grams, so two texts that share ``window`` consecutive words keep the same fingerprint in the same place of
-that span. Fingerprints are joined; a hit is extended to the ``window`` words around it, whose 128-bit key
+that span. Documents keep only fingerprints that a filter of fixed size does not rule out, at any size of either
+table. Fingerprints are joined; a hit is extended to the ``window`` words around it, whose 128-bit key
 must be equal too. Items with fewer words than a window are one window, matched by their own length.
 """
 
@@ -12,14 +13,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import MAX_SLICE, Words, checkpointed, list_array, ranges, run_hashes, sha_hex, signed, text_slices
+from .common import MAX_SLICE, Scratch, Words, bit_filter, list_array, may_be_in, ranges, run_hashes, sha_hex, signed, text_slices
 
 WINDOW, GRAM = 10, 5
-#: Benchmark fingerprints that are sent to tasks as a filter; with more, every fingerprint goes to the join.
-FILTER_MOST = 4_000_000
 
 _CANDIDATE = pa.struct([("fp", pa.int64()), ("k1", pa.int64()), ("k2", pa.int64()), ("pos", pa.int64()), ("len", pa.int32())])
 
@@ -46,7 +46,7 @@ def _short(words: Words, hashes: np.ndarray, n: int, whole: bool) -> tuple[np.nd
     return owner, at, k1, k1, k2
 
 
-def _candidates(window: int, items: bool, lengths: tuple[int, ...], wanted: np.ndarray | None):
+def _candidates(window: int, items: bool, lengths: tuple[int, ...], wanted: Broadcast | None):
     """A mapInArrow function: (id, n_words, candidates) by row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -57,8 +57,8 @@ def _candidates(window: int, items: bool, lengths: tuple[int, ...], wanted: np.n
             parts += [(*_short(words, hashes, n, items), n) for n in (range(1, window) if items else lengths)]
             found = []
             for owner, at, fp, k1, k2, n in parts:
-                if wanted is not None and len(fp):
-                    keep = np.flatnonzero(wanted[np.minimum(np.searchsorted(wanted, fp), len(wanted) - 1)] == fp) if len(wanted) else np.zeros(0, int)
+                if wanted is not None:
+                    keep = may_be_in(wanted, fp)
                     owner, at, fp, k1, k2 = owner[keep], at[keep], fp[keep], k1[keep], k2[keep]
                 found.append((owner, at, fp, k1, k2, np.full(len(fp), n, np.int32)))
             owner, at, fp, k1, k2, n = (np.concatenate(x) for x in zip(*found, strict=True))
@@ -74,17 +74,26 @@ _SCHEMA = "id long, n_words long, found array<struct<fp:long,k1:long,k2:long,pos
 
 def _hits(own: DataFrame, items: DataFrame, item_col: str, item_text_col: str, window: int) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Numbered rows of ``own`` (id, text), the benchmark's windows, and the rows' windows that are among them."""
-    bench = checkpointed(items.select(F.col(item_col).cast("long").alias("id"), F.col(item_text_col).alias("text")).mapInArrow(_candidates(window, True, (), None), _SCHEMA).select(F.col("id").alias("item"), F.inline("found")).select("item", "fp", "k1", "k2", "len"))
-    stats = bench.agg(F.approx_count_distinct("fp").alias("n"), F.collect_set("len").alias("lengths")).first()
-    wanted = None
-    if stats["n"] <= FILTER_MOST:
-        wanted = np.array(sorted(r[0] % (1 << 64) for r in bench.select("fp").distinct().collect()), np.uint64)
-    lengths = tuple(sorted(set(stats["lengths"]) - {window}))
-    scanned = checkpointed(own.mapInArrow(_candidates(window, False, lengths, wanted), _SCHEMA.replace("id long", f"id {own.schema['id'].dataType.simpleString()}", 1)).withColumn("row", F.monotonically_increasing_id()))
+    scratch = Scratch(own.sparkSession, "benchmark")
+    bench = scratch.keep("items", items.select(F.col(item_col).cast("long").alias("id"), F.col(item_text_col).alias("text")).mapInArrow(_candidates(window, True, (), None), _SCHEMA).select(F.col("id").alias("item"), F.inline("found")).select("item", "fp", "k1", "k2", "len"))
+    lengths = tuple(sorted(r["len"] for r in bench.select("len").distinct().collect() if r["len"] != window))  # fewer than ``window``
+    wanted = bit_filter(bench, "fp")
+    scanned = scratch.keep("found", own.mapInArrow(_candidates(window, False, lengths, wanted), _SCHEMA.replace("id long", f"id {own.schema['id'].dataType.simpleString()}", 1)).withColumn("row", F.monotonically_increasing_id()))
     keys = bench.select("fp", "k1", "k2", "len").distinct()
     return scanned, bench, scanned.select("row", F.inline("found")).join(keys, ["fp", "k1", "k2", "len"])
 
 
+def _words_in(hits: F.Column) -> F.Column:
+    """Words under sorted (pos, len) intervals that may overlap."""
+    start = F.struct(F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("end"))
+
+    def add(a: F.Column, h: F.Column) -> F.Column:
+        end = h["pos"] + h["len"]
+        return F.struct((a["n"] + F.greatest(F.lit(0), end - F.greatest(a["end"], h["pos"]))).alias("n"), F.greatest(a["end"], end).alias("end"))
+
+    return F.aggregate(hits, start, add, lambda a: a["n"])
+
+
 def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW) -> DataFrame:
     """One row for each row of ``docs``: (doc_id, n_words, n_hit, n_items, item_ids, hits).
 
@@ -94,7 +103,7 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     """
     own = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     scanned, bench, hits = _hits(own, items, item_col, item_text_col, window)
-    covered = hits.groupBy("row").agg(F.collect_set(F.struct("pos", "len")).alias("hits"), F.size(F.array_distinct(F.flatten(F.collect_set(F.expr("sequence(pos, pos + len - 1)"))))).cast("long").alias("n_hit"))
+    covered = hits.groupBy("row").agg(F.array_sort(F.collect_set(F.struct("pos", "len"))).alias("hits")).select("row", "hits", _words_in(F.col("hits")).alias("n_hit"))
     by_item = hits.select("row", "fp", "k1", "k2", "len").distinct().join(bench.distinct(), ["fp", "k1", "k2", "len"]).groupBy("row").agg(F.sort_array(F.collect_set(F.col("item").cast("string"))).alias("item_ids"))
     none = F.array().cast("array<string>")
     return (
