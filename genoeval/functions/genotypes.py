@@ -71,14 +71,12 @@ def translate_by_index(gt: Column) -> Column:
 
 def ab_dosage(ab: Column) -> Column:
     """Copies of B in an A/B call; null if missing."""
-    plain = F.regexp_replace(ab, r"\|", "/")
-    return F.when(plain == "A/A", 0).when(plain.isin("A/B", "B/A"), 1).when(plain == "B/B", 2).cast("int")
+    return F.when(ab.isin("A/A", "A|A"), 0).when(ab.isin("A/B", "B/A", "A|B", "B|A"), 1).when(ab.isin("B/B", "B|B"), 2)
 
 
 def alt_dosage(gt: Column) -> Column:
     """Copies of ALT of a biallelic call; null if missing or malformed."""
-    plain = F.regexp_replace(gt, r"\|", "/")
-    return F.when(plain == "0/0", 0).when(plain.isin("0/1", "1/0"), 1).when(plain == "1/1", 2).cast("int")
+    return F.when(gt.isin("0/0", "0|0"), 0).when(gt.isin("0/1", "1/0", "0|1", "1|0"), 1).when(gt.isin("1/1", "1|1"), 2)
 
 
 def is_missing(gt: Column) -> Column:

@@ -63,9 +63,12 @@ def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def call_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(vid, truth_gt, imputed_gt, gq, dp): a row a site, arrays in sample order."""
+    """(vid, truth_gt, imputed_gt, gq, dp): a row a site, arrays in sample order.
+
+    ``part`` is small beside the arrays made of it, so its rows are dealt out first.
+    """
     arrays = ", ".join(f"transform(k.samples, s -> {e.format(s='s')}) AS {n}" for n, e in _VALUES)
     return spark.sql(
         f"SELECT v.p_partkey AS vid, {arrays} FROM {{part}} v CROSS JOIN (SELECT sort_array(collect_list(s_suppkey)) AS samples FROM {{supplier}}) k",
-        part=_table(spark, sf_dir, "part"), supplier=_table(spark, sf_dir, "supplier"),
+        part=_table(spark, sf_dir, "part").repartition(2 * spark.sparkContext.defaultParallelism), supplier=_table(spark, sf_dir, "supplier"),
     )
