@@ -104,6 +104,9 @@ class Stream:
     table_frames: int | None = None
     table_bytes: int | None = None
     toc: bytes | None = None
+    #: A VBRI table's offsets from its frame, one for every ``table_step`` frames.
+    table_seek: list[int] = field(default_factory=list)
+    table_step: int = 0
     seek: list[int] = field(default_factory=list)
     headers: list[Header] = field(default_factory=list)
     samples: int = 0
@@ -113,21 +116,39 @@ class Stream:
     junk: int = 0
 
 
+def _number(data: bytes, safe: bool) -> int:
+    """A big-endian number; seven bits a byte where ``safe``."""
+    out = 0
+    for b in data:
+        out = out << 7 | b & 127 if safe else out << 8 | b
+    return out
+
+
 def _tag_at_start(data: bytes, out: Stream) -> int:
+    """Text frames of an ID3v2.3 or 2.4 tag, with extended header and unsynchronised or not; the tag's length."""
     if data[:3] != b"ID3" or len(data) < 10:
         return 0
-    size = (data[6] & 127) << 21 | (data[7] & 127) << 14 | (data[8] & 127) << 7 | data[9] & 127
-    at, end = 10, min(10 + size, len(data))
-    while at + 10 <= end and data[at] and data[3] >= 3:
-        n = (data[at + 4] & 127) << 21 | (data[at + 5] & 127) << 14 | (data[at + 6] & 127) << 7 | data[at + 7] & 127 if data[3] == 4 else int.from_bytes(data[at + 4 : at + 8], "big")
-        body = data[at + 10 : at + 10 + n]
-        name = data[at : at + 4].decode("latin-1")
+    size, flags, newer = _number(data[6:10], True), data[5], data[3] == 4
+    tag = data[10 : 10 + size]
+    if flags & 128 and not newer:
+        tag = tag.replace(b"\xff\0", b"\xff")
+    at = 0
+    if flags & 64:  # 2.4 counts the extended header's size field, 2.3 does not
+        at = _number(tag[:4], True) if newer else 4 + _number(tag[:4], False)
+    while at + 10 <= len(tag) and tag[at] and data[3] >= 3:
+        n = _number(tag[at + 4 : at + 8], newer)
+        form, body = tag[at + 9], tag[at + 10 : at + 10 + n]
+        if newer and form & 1:
+            body = body[4:]  # the length before unsynchronisation
+        if newer and (form & 2 or flags & 128):
+            body = body.replace(b"\xff\0", b"\xff")
+        name = tag[at : at + 4].decode("latin-1")
         if name[0] == "T" and body:
             text = body[1:].decode({0: "latin-1", 1: "utf-16", 2: "utf-16-be", 3: "utf-8"}.get(body[0], "latin-1"), "replace")
             key, _, value = text.partition("\0") if name == "TXXX" else (name, "", text.rstrip("\0"))
             out.tags[key] = value.rstrip("\0")
         at += 10 + n
-    return 10 + size + (10 if data[5] & 16 else 0)
+    return 10 + size + (10 if flags & 16 else 0)
 
 
 def _table(frame: bytes, h: Header, out: Stream) -> bool:
@@ -143,7 +164,12 @@ def _table(frame: bytes, h: Header, out: Stream) -> bool:
                 out.toc = frame[at : at + 100]
             return True
     if frame[36:40] == b"VBRI":
-        out.table, out.table_bytes, out.table_frames = "VBRI", int.from_bytes(frame[46:50], "big"), int.from_bytes(frame[50:54], "big")
+        out.table, out.table_bytes, out.table_frames = "VBRI", _number(frame[46:50], False), _number(frame[50:54], False)
+        entries, scale, width, out.table_step = (_number(frame[i : i + 2], False) for i in (54, 56, 58, 60))
+        at = 0
+        for i in range(entries):
+            at += scale * _number(frame[62 + i * width : 62 + (i + 1) * width], False)
+            out.table_seek.append(at)
         return True
     return False
 
