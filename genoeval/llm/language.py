@@ -3,8 +3,10 @@
 For each language a suffix automaton is built over labelled sample text. A text is parsed against each automaton
 into longest matches; the language whose text explains it in the fewest phrases (per symbol) wins.
 
-Texts are parsed in pieces of ``PIECE`` symbols, all pieces of a slice in lockstep: one table lookup a symbol moves every
-piece to its next state and adds the phrases that ended. Whole texts are parsed, whatever their length.
+Whole texts are parsed, whatever their length. Pieces of ``PIECE`` symbols go in lockstep, all pieces of a slice at once:
+one table lookup a symbol moves every piece to its next state and adds the phrases that ended. A piece whose
+predecessor ended within a phrase is then parsed again from that state, up to the symbol where both parses meet, so
+phrases run on from piece to piece as in a parse from left to right.
 """
 
 from __future__ import annotations
@@ -17,10 +19,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: The bounded training sample: rows a language, code points taken of each row, symbols a language.
-ROWS, CHARS, SYMBOLS = 128, 2_000, 40_000
-#: Letters told apart (the most frequent in the sample); symbols parsed in one piece.
-LETTERS, PIECE = 60, 256
+from .common import ranges
+
+#: The bounded training sample: rows a language, symbols a language. Rows share the symbols evenly, and a row longer
+#: than its share gives ``PARTS`` parts spread over the whole text.
+ROWS, SYMBOLS, PARTS = 128, 40_000, 4
+#: A language's most frequent letters have symbols of their own, the others share ``RARE`` by code point; symbols
+#: parsed in one piece.
+LETTERS, RARE, PIECE = 200, 32, 256
 UNKNOWN = "und"
 _LETTER = re.compile(r"[^\W\d_]")
 
@@ -33,28 +39,41 @@ def _codes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer("".join(low).encode("utf-32-le", "surrogatepass"), np.uint32), offsets
 
 
+_ALPHA: list[np.ndarray] = []
+
+
+def _letters() -> np.ndarray:
+    """Whether each code point is a letter."""
+    if not _ALPHA:
+        _ALPHA.append(np.fromiter((chr(c).isalpha() for c in range(0x110001 - 1)), bool, 0x110000))
+    return _ALPHA[0]
+
+
+def _without_gaps(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Code points of all texts, anything between words as one 0, and offsets by text."""
+    codes, offsets = _codes(texts)
+    codes = np.where(_letters()[codes], codes, 0)
+    keep = np.ones(len(codes), bool)
+    keep[1:] = (codes[1:] != 0) | (codes[:-1] != 0)
+    keep[offsets[:-1][offsets[:-1] < len(codes)]] = True
+    sums = np.concatenate([[0], np.cumsum(keep)])
+    return codes[keep], sums[offsets]
+
+
 class Alphabet:
-    """Symbols 0 = anything between words (runs count once), 1 = any other letter, then the known letters."""
-
-    def __init__(self, texts: list[str]):
-        codes, _ = _codes(texts)
-        points, counts = np.unique(codes, return_counts=True)
-        letters = [int(p) for _, p in sorted(((-n, p) for p, n in zip(points.tolist(), counts.tolist(), strict=True) if chr(p).isalpha()))][:LETTERS]
-        self.table = np.zeros(0x110001, np.uint8)
-        self.table[[c for c in range(0x110000) if chr(c).isalpha()]] = 1
-        self.table[letters] = np.arange(2, 2 + len(letters))
-        self.size = 2 + len(letters)
-
-    def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Symbols of all texts without repeated gaps, and offsets by text."""
-        codes, offsets = _codes(texts)
-        symbols = self.table[codes]
-        keep = np.ones(len(symbols), bool)
-        keep[1:] = (symbols[1:] != 0) | (symbols[:-1] != 0)
-        starts = offsets[:-1][offsets[:-1] < len(symbols)]
-        keep[starts] = True
-        sums = np.concatenate([[0], np.cumsum(keep)])
-        return symbols[keep], sums[offsets]
+    """Symbols of one language: 0 = between words, 1 = a letter that its sample never has, then its own letters."""
+
+    def __init__(self, codes: np.ndarray):
+        points, counts = np.unique(codes[codes > 0], return_counts=True)
+        own = points[np.lexsort((points, -counts))]
+        self.table = np.zeros(0x110000, np.uint8)
+        self.table[_letters()] = 1
+        self.table[own[:LETTERS]] = np.arange(2, 2 + len(own[:LETTERS]))
+        self.size = 2 + len(own[:LETTERS])
+        if len(own) > LETTERS:
+            rare = np.flatnonzero(self.table == 1)
+            self.table[rare] = self.size + rare % RARE
+            self.size += RARE
 
 
 def automaton_table(symbols: list[int], size: int) -> np.ndarray:
@@ -100,32 +119,53 @@ def automaton_table(symbols: list[int], size: int) -> np.ndarray:
     return table.ravel()
 
 
-def phrases(symbols: np.ndarray, offsets: np.ndarray, tables: list[np.ndarray], size: int) -> np.ndarray:
-    """Phrases of each text against each table: (texts, tables)."""
+def phrases(symbols: np.ndarray, offsets: np.ndarray, table: np.ndarray, size: int) -> np.ndarray:
+    """Phrases of each text, parsed from left to right against one automaton's table."""
     counts = np.diff(offsets)
     pieces = -(-counts // PIECE)
-    owner = np.repeat(np.arange(len(counts)), pieces)
-    step = np.arange(len(owner)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+    owner, step = ranges(pieces)
     start = offsets[owner] + step * PIECE
     left = np.minimum(PIECE, offsets[owner + 1] - start)
+    # Longest first, so that the pieces still open are a prefix; place[p] is where piece p went.
     order = np.argsort(-left, kind="stable")
-    owner, start, left = owner[order], start[order], left[order]
-    out = np.zeros((len(counts), len(tables)), np.int64)
-    if not len(owner):
-        return out
-    state = np.zeros((len(tables), len(owner)), np.int32)
-    total = np.zeros((len(tables), len(owner)), np.int32)
+    place = np.empty(len(order), np.int64)
+    place[order] = np.arange(len(order))
+    start, left = start[order], left[order]
+    if not len(order):
+        return np.zeros(len(counts), np.int64)
     width = np.int32(size + 1)
+    seen = np.zeros((PIECE, len(order)), np.int32)
+    state, total = np.zeros(len(order), np.int32), np.zeros(len(order), np.int64)
     for i in range(int(left[0])):
         n = int(np.searchsorted(-left, -i, side="left"))  # pieces longer than i
-        c = symbols[start[:n] + i]
-        for k, table in enumerate(tables):
-            v = table[state[k, :n] * width + c]
-            total[k, :n] += v & 3
-            state[k, :n] = v >> 2
-    total += state > 0
-    for k in range(len(tables)):
-        out[:, k] = np.bincount(owner, total[k], len(counts))
+        v = table[state[:n] * width + symbols[start[:n] + i]]
+        seen[i, :n] = v
+        total[:n] += v & 3
+        state[:n] = v >> 2
+    # Pieces go on from where their predecessors end.
+    later = np.flatnonzero(step > 0)
+    later = later[state[place[later - 1]] > 0]
+    while len(later):
+        now, at, i = state[place[later - 1]], place[later], 0
+        on, changed = np.arange(len(later)), np.zeros(len(later), bool)
+        while len(on):
+            p = at[on]
+            v = table[now[on] * width + symbols[start[p] + i]]
+            old = seen[i, p]
+            total[p] += (v & 3) - (old & 3)
+            seen[i, p] = v
+            now[on] = v >> 2
+            i += 1
+            apart, open_ = (v >> 2) != (old >> 2), i < left[p]
+            changed[on[apart & ~open_]] = True
+            on = on[apart & open_]
+        state[at[changed]] = now[changed]
+        later = later[changed] + 1
+        later = later[later < len(step)]
+        later = later[step[later] > 0]
+    last = np.cumsum(pieces)[pieces > 0] - 1
+    out = np.bincount(owner, total[place], len(counts)).astype(np.int64)
+    out[pieces > 0] += state[place[last]] > 0
     return out
 
 
@@ -134,17 +174,20 @@ class Model:
 
     def __init__(self, samples: list[tuple[str, str]]):
         self.names = sorted({n for n, _ in samples})
-        self.alphabet = Alphabet([t for _, t in samples])
-        self.tables = []
+        self.parts = []
         for name in self.names:
-            symbols, _ = self.alphabet([" ".join(t for n, t in samples if n == name)])
-            self.tables.append(automaton_table(symbols[:SYMBOLS].tolist(), self.alphabet.size))
+            codes, _ = _without_gaps([" ".join(t for n, t in samples if n == name)])
+            alphabet = Alphabet(codes)
+            self.parts.append((alphabet, automaton_table(alphabet.table[codes].tolist(), alphabet.size)))
 
     def predict(self, texts: list[str]) -> list[tuple[str, float]]:
         """Language and score of each text. Score: by how much of its phrases the best language beats the next one."""
-        symbols, offsets = self.alphabet(texts)
+        codes, offsets = _without_gaps(texts)
+        counts = np.zeros((len(texts), len(self.names)), np.int64)
+        for k, (alphabet, table) in enumerate(self.parts):
+            counts[:, k] = phrases(alphabet.table[codes], offsets, table, alphabet.size)
         out = []
-        for text, n in zip(texts, phrases(symbols, offsets, self.tables, self.alphabet.size), strict=True):
+        for text, n in zip(texts, counts, strict=True):
             if not self.names or not _LETTER.search(text):
                 out.append((UNKNOWN, 0.0))
                 continue
@@ -158,17 +201,21 @@ _MODELS: dict[int, Model] = {}
 
 
 def training_sample(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> list[tuple[str, str]]:
-    """At most ``ROWS`` labelled texts of each language, the first ``CHARS`` code points of each.
+    """Labelled texts of at most ``ROWS`` rows of each language, about ``SYMBOLS`` code points in all.
 
     The rows are those with the least hash of their id, taken by a threshold that follows each language's count,
-    so nothing is sorted or shuffled but the counts.
+    so nothing is sorted or shuffled but the counts. Every row taken gives the same number of code points.
     """
     labelled = docs.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), F.pmod(F.xxhash64(F.col(id_col)), F.lit(1 << 40)).alias("h")).filter("lang is not null and text is not null")
     counts = {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     if not counts:
         return []
-    bound = F.create_map(*[x for k, n in counts.items() for x in (F.lit(k), F.lit(min(1 << 40, int((1 << 40) * 0.8 * ROWS / n))))])
-    rows = labelled.filter(F.col("h") < F.try_element_at(bound, F.col("lang"))).select("lang", "h", F.substring("text", 1, CHARS).alias("text")).collect()
+    by_lang = lambda value: F.try_element_at(F.create_map(*[x for k, n in counts.items() for x in (F.lit(k), F.lit(value(n)))]), F.col("lang"))
+    bound = by_lang(lambda n: min(1 << 40, int((1 << 40) * 0.8 * ROWS / n)))
+    share = by_lang(lambda n: SYMBOLS // max(1, min(n, int(0.8 * ROWS))) // PARTS * PARTS)
+    length, part = F.char_length("text"), (share / PARTS).cast("int")
+    spread = F.array_join(F.array(*[F.substring("text", (F.lit(1) + (length - part) * i / (PARTS - 1)).cast("int"), part) for i in range(PARTS)]), " ")
+    rows = labelled.filter(F.col("h") < bound).select("lang", "h", F.when(length <= share, F.col("text")).otherwise(spread).alias("text")).collect()
     out: dict[str, list[tuple[int, str]]] = {}
     for r in rows:
         out.setdefault(r["lang"], []).append((r["h"], r["text"]))
