@@ -26,7 +26,9 @@ from .common import ranges
 ROWS, SYMBOLS, PARTS = 128, 40_000, 4
 #: A language's most frequent letters have symbols of their own, the others share ``RARE`` by code point; symbols
 #: parsed in one piece.
-LETTERS, RARE, PIECE = 200, 32, 256
+LETTERS, RARE, PIECE = 200, 32, 128
+#: Code points that are parsed at once (or one text, where that is longer).
+SLICE = 1 << 21
 UNKNOWN = "und"
 _LETTER = re.compile(r"[^\W\d_]")
 
@@ -49,15 +51,17 @@ def _letters() -> np.ndarray:
     return _ALPHA[0]
 
 
-def _without_gaps(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Code points of all texts, anything between words as one 0, and offsets by text."""
+def _without_gaps(texts: list[str], table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``table``'s value of each code point of all texts, anything between words as one 0, and offsets by text."""
     codes, offsets = _codes(texts)
-    codes = np.where(_letters()[codes], codes, 0)
-    keep = np.ones(len(codes), bool)
-    keep[1:] = (codes[1:] != 0) | (codes[:-1] != 0)
-    keep[offsets[:-1][offsets[:-1] < len(codes)]] = True
-    sums = np.concatenate([[0], np.cumsum(keep)])
-    return codes[keep], sums[offsets]
+    values = table[codes]
+    gap = values == 0
+    keep = np.ones(len(values), bool)
+    keep[1:] = ~(gap[1:] & gap[:-1])
+    keep[offsets[:-1][offsets[:-1] < len(values)]] = True
+    sums = np.zeros(len(values) + 1, np.int64)
+    np.cumsum(keep, out=sums[1:])
+    return values[keep], sums[offsets]
 
 
 class Alphabet:
@@ -70,6 +74,7 @@ class Alphabet:
         self.table[_letters()] = 1
         self.table[own[:LETTERS]] = np.arange(2, 2 + len(own[:LETTERS]))
         self.size = 2 + len(own[:LETTERS])
+        self.letters = own[:LETTERS]
         if len(own) > LETTERS:
             rare = np.flatnonzero(self.table == 1)
             self.table[rare] = self.size + rare % RARE
@@ -174,18 +179,24 @@ class Model:
 
     def __init__(self, samples: list[tuple[str, str]]):
         self.names = sorted({n for n, _ in samples})
-        self.parts = []
-        for name in self.names:
-            codes, _ = _without_gaps([" ".join(t for n, t in samples if n == name)])
-            alphabet = Alphabet(codes)
-            self.parts.append((alphabet, automaton_table(alphabet.table[codes].tolist(), alphabet.size)))
+        points = np.where(_letters(), np.arange(0x110000), 0)
+        texts = [_without_gaps([" ".join(t for n, t in samples if n == name)], points)[0] for name in self.names]
+        alphabets = [Alphabet(codes) for codes in texts]
+        # Texts are mapped once, to the letters of all languages; the map from there to a language's symbols is small.
+        known = np.unique(np.concatenate([np.zeros(0, np.int64), *(a.letters for a in alphabets)]))
+        self.table = np.where(_letters(), 1 + np.arange(0x110000) % RARE, 0).astype(np.uint16)
+        strange = np.setdiff1d(np.flatnonzero(self.table), known)
+        others = [strange[strange % RARE == k][0] for k in range(RARE)]  # one letter of no alphabet in each class
+        self.table[known] = 1 + RARE + np.arange(len(known))
+        examples = np.concatenate([[0], others, known]).astype(np.int64)
+        self.parts = [(a.table[examples], automaton_table(a.table[codes].tolist(), a.size), a.size) for a, codes in zip(alphabets, texts, strict=True)]
 
     def predict(self, texts: list[str]) -> list[tuple[str, float]]:
         """Language and score of each text. Score: by how much of its phrases the best language beats the next one."""
-        codes, offsets = _without_gaps(texts)
+        letters, offsets = _without_gaps(texts, self.table)
         counts = np.zeros((len(texts), len(self.names)), np.int64)
-        for k, (alphabet, table) in enumerate(self.parts):
-            counts[:, k] = phrases(alphabet.table[codes], offsets, table, alphabet.size)
+        for k, (symbols, table, size) in enumerate(self.parts):
+            counts[:, k] = phrases(symbols[letters], offsets, table, size)
         out = []
         for text, n in zip(texts, counts, strict=True):
             if not self.names or not _LETTER.search(text):
@@ -235,7 +246,7 @@ def _predicted(samples: list[tuple[str, str]], place: int):
             at = 0
             while at < len(texts):
                 to, size = at, 0
-                while to < len(texts) and (to == at or size + len(texts[to]) <= 1 << 19):
+                while to < len(texts) and (to == at or size + len(texts[to]) <= SLICE):
                     size += len(texts[to])
                     to += 1
                 done += model.predict(texts[at:to])
