@@ -11,14 +11,13 @@ from __future__ import annotations
 import hashlib
 import os
 import re
-import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpoint_folder
+from .common import Scratch
 
 LIMIT = 512
 #: Parts remembered by a task before it starts over.
@@ -91,7 +90,8 @@ def _counted(path: str):
 def token_counts(docs: DataFrame, cache_path: str | None = None, tokenizer: str | None = None, id_col: str = "doc_id", text_col: str = "text", limit: int = LIMIT) -> DataFrame:
     """(doc_id, n_bytes, n_tokens, over_limit) for each row of ``docs``, as the tokenizers library counts them.
 
-    ``cache_path`` is a Parquet folder in a store that all executors share; it is made where missing, and appended to.
+    ``cache_path`` is a Parquet folder in a store that all executors share, parted by the tokenizer's digest; it is
+    made where missing, and appended to.
     Without one, a new empty cache lies under the shared checkpoint folder. The content is normalised as the
     counted tokenizer takes it: null as empty, nothing else. Repeated rows, ids and texts are rows of
     their own and share one count. Other columns are not read.
@@ -101,13 +101,16 @@ def token_counts(docs: DataFrame, cache_path: str | None = None, tokenizer: str
         version = hashlib.sha256(f.read()).hexdigest()
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.octet_length(text).cast("long").alias("n_bytes"), F.sha2(text, 256).alias("digest"))
-    if cache_path is None:
-        cache_path = f"{checkpoint_folder(spark)}/token-counts-{uuid.uuid4().hex}"
-    spark.createDataFrame([], _CACHE_SCHEMA).write.mode("append").parquet(cache_path)
-    known = spark.read.schema(_CACHE_SCHEMA).parquet(cache_path).filter(F.col("tokenizer") == version).select("digest")
+    scratch = Scratch(spark, "token-counts")
+    cache_path = cache_path or f"{scratch.folder}/cache"
+    spark.createDataFrame([], _CACHE_SCHEMA).write.mode("append").partitionBy("tokenizer").parquet(cache_path)
+    stored = lambda: spark.read.schema(_CACHE_SCHEMA).parquet(cache_path).filter(F.col("tokenizer") == version)
+    # Digests first. Where few are missing, Spark broadcasts them, and only their texts are shuffled.
+    misses = scratch.keep("misses", rows.select("digest").distinct().join(stored(), "digest", "left_anti"))
     # Copies within a task go before the shuffle, the rest after it: one text of each digest is left.
-    misses = docs.select(F.sha2(text, 256).alias("digest"), text.alias("text")).dropDuplicates(["digest"]).join(known, "digest", "left_anti")
-    fresh = misses.mapInArrow(_counted(path), "digest string, n_tokens long")
-    fresh.select(F.lit(version).alias("tokenizer"), "digest", "n_tokens").write.mode("append").parquet(cache_path)
-    counts = spark.read.schema(_CACHE_SCHEMA).parquet(cache_path).filter(F.col("tokenizer") == version).groupBy("digest").agg(F.max("n_tokens").alias("n_tokens"))
+    texts = docs.select(F.sha2(text, 256).alias("digest"), text.alias("text")).dropDuplicates(["digest"]).join(misses, "digest", "left_semi")
+    fresh = texts.mapInArrow(_counted(path), "digest string, n_tokens long")
+    scratch.append(fresh.select(F.lit(version).alias("tokenizer"), "digest", "n_tokens"), cache_path, "tokenizer")
+    # A table of its own, so that a digest with very many rows can be split over tasks.
+    counts = scratch.keep("counts", stored().groupBy("digest").agg(F.max("n_tokens").alias("n_tokens")))
     return rows.join(counts, "digest").select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
