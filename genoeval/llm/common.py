@@ -9,6 +9,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -107,11 +108,33 @@ def may_be_in(bits: Broadcast, values: np.ndarray) -> np.ndarray:
     return np.flatnonzero(bits.value[bit >> 3] >> (bit & 7).astype(np.uint8) & 1)
 
 
+_BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": BATCH_ROWS, "spark.sql.execution.arrow.maxBytesPerBatch": BATCH_BYTES}
+
+
 def bounded_batches(spark: SparkSession) -> None:
-    """Send texts to Python a few megabytes at a time, so that very long ones cannot fill a worker."""
-    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")) > BATCH_ROWS:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+    """Send texts to Python a few megabytes at a time, so that very long ones cannot fill a worker; smaller settings stay.
+
+    A query that returns a lazy result needs the setting until that is read; what is done at once uses ``bounded``.
+    """
+    for name, most in _BATCHES.items():
+        now = spark.conf.get(name, None)
+        if now is None or not str(now).isdigit() or not 0 < int(now) <= most:
+            spark.conf.set(name, most)
+
+
+@contextmanager
+def bounded(spark: SparkSession) -> Iterator[None]:
+    """``bounded_batches`` for a block; the session's own settings come back after it."""
+    before = {name: spark.conf.get(name, None) for name in _BATCHES}
+    bounded_batches(spark)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

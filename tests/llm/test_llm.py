@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 import zlib
 from collections import Counter
 from itertools import combinations
@@ -10,7 +11,7 @@ from itertools import combinations
 import pytest
 from pyspark.sql import functions as F
 
-from genoeval.llm import chat, decontamination, jaccard, language, licenses, media, pieces, sharding, suffix_dedup, token_counts
+from genoeval.llm import chat, common, decontamination, jaccard, language, licenses, media, pieces, sharding, suffix_dedup, token_counts
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -96,6 +97,13 @@ def test_sharding(docs, rows, none):
     assert max(load.values()) == best
 
 
+def test_sharding_can_be_aggregated(docs, rows):
+    """Any column alone, and groups by a derived one."""
+    found = sharding.shard_contiguous(docs, 5)
+    assert sum(r["sum(size)"] for r in found.groupBy("shard").sum("size").collect()) == sum(len((t or "").encode()) + 16 for _, t, *_ in rows)
+    assert all(found.select(c).count() == len(rows) and found.select(c).distinct().collect() for c in found.columns)
+
+
 def test_sharding_refines_its_histogram(spark):
     rng = random.Random(3)
     sizes = [rng.randint(1, 5000) for _ in range(300)]
@@ -144,6 +152,17 @@ def test_chat_folds_events(spark):
     assert found == [(None, "", "x"), (1, "user", "hi"), (1, "assistant", "good"), (1, "user", "")]
 
 
+def test_chat_long_conversation(spark):
+    """Thousands of turns, of which regenerations take some away, beside a conversation without any."""
+    events = [(1, 2 * i, "message", i, "user" if i % 2 else "assistant", f"t{i} ") for i in range(3000)] + [(1, 2 * i + 1, "delta", i, None, "d") for i in range(3000)]
+    events += [(1, 4001, "regenerate", 1000, None, None), (1, 4002, "delta", 1000, None, "new")] + [(2, i, "message", i, "user", "x") for i in range(5)]
+    got = chat.fold_events(spark.createDataFrame(events, "conv_id long, seq long, kind string, message long, role string, text string").repartition(4))
+    found = {(r["conv_id"], r["message"]): r["text"] for r in got.collect()}
+    # Message 1000 was opened at 2000 and made again at 4001: those opened from 2001 to 4001 go.
+    assert set(found) == {(1, i) for i in range(3000) if i <= 1000 or 2 * i > 4001} | {(2, i) for i in range(5)}
+    assert found[1, 1000] == "new" and found[1, 2500] == "t2500 d" and found[2, 0] == "x"
+
+
 def test_chat_round_trip(spark):
     texts = ["</s>[INST] ok [/INST]", "\\", "\\n", "<|end|>\\<s>", None, "<<SYS>>a<</SYS>>", "<|turn|>\n<", "é\n\n"]
     rows = [(c, t, ["user", "assistant", "sys\ntem"][(c + t) % 3], texts[(c * 3 + t) % len(texts)], "x") for c in range(6) for t in range(5)] + [(7, 0, "user", "a", "x"), (7, 0, "user", "a", "x")]
@@ -187,7 +206,7 @@ def test_decontamination(spark, docs, rows, none, monkeypatch):
     expected = brute_contamination(rows, items)
     names = ("n_words", "n_hit", "n_items", "items_sha256", "contaminated")
     assert {d: tuple(r[n] for n in names) for d, r in by_id(decontamination.contamination_digest(docs, bench)).items()} == expected
-    monkeypatch.setattr(decontamination, "FILTER_MOST", -1)  # the way for large benchmarks
+    monkeypatch.setattr(common, "FILTER_BITS", 1 << 15)  # a filter that lets strangers through
     assert {d: tuple(r[n] for n in names) for d, r in by_id(decontamination.contamination_digest(docs, bench)).items()} == expected
     assert all(r["n_hit"] == 0 for r in decontamination.contamination(docs, bench.limit(0)).collect())
     assert decontamination.contamination(none, bench).count() == 0
@@ -295,6 +314,22 @@ def test_license_suppression():
     assert [d[2] for d in licenses.detect(b"under the gnu affero general public license v3 and gnu general public license version 2")] == ["agpl-3.0", "gpl-2.0"]
 
 
+def test_license_suppression_against_all_pairs(monkeypatch):
+    rng = random.Random(8)
+    words = [b"mit", b"license", b"gnu", b"general", b"public", b"lesser", b"gpl", b"v3", b"apache", b"under", b"licensed", b"the", b"creative", b"commons", b"attribution", b"share-alike", b"see", b"for", b"more", b"details", b"bsd", b"two-clause", b"cc0"]
+    for _ in range(150):
+        low = b" ".join(rng.choice(words) for _ in range(60))
+        found = [(m.start(), m.end(), r, i) for i, r in enumerate(licenses.RULES) for m in r.pattern.finditer(low) if m.end() > m.start()]
+        beats = lambda x, y: x[0] <= y[0] and x[1] >= y[1] and (x[2].priority, x[1] - x[0], -x[3]) > (y[2].priority, y[1] - y[0], -y[3])
+        assert licenses.detect(low) == sorted((s, e, r.label, r.weight) for s, e, r, i in found if not any(beats(o, (s, e, r, i)) for o in found))
+    many = [(i, i + 30 - i % 7, b"x") for i in range(100_000)]
+    rule = licenses.RULES[0]
+    pattern = type("P", (), {"finditer": lambda self, low: (type("M", (), {"start": lambda m, a=a: a, "end": lambda m, z=z: z})() for a, z, _ in many)})()
+    monkeypatch.setattr(licenses, "RULES", (licenses.Rule(rule.label, 1, 0.5, (), pattern),))
+    began = time.process_time()  # all pairs would take minutes
+    assert licenses.detect(b"", prefilter=False) and time.process_time() - began < 4
+
+
 def examples(parsed, rng):
     """A random text that a parsed regex matches."""
     from re import _constants as sre
@@ -327,7 +362,7 @@ def test_license_prefilter_loses_nothing():
     rng = random.Random(4)
     for rule in licenses.RULES:
         parsed = _parser.parse(rule.pattern.pattern, re.S)
-        assert rule.needs
+        assert rule.keywords and all(len(k) >= 3 for group in rule.keywords for k in group)
         for _ in range(8):
             text = b"pre " + examples(parsed, rng) + b" post"
             assert rule.pattern.search(text)
@@ -387,6 +422,22 @@ def test_media_streams():
     assert media.parse_header(bytes([0xFF, 0xF3, 0x90, 0xC0])).samples == 576 and media.parse_header(bytes([0xFF, 0xFF, 0x90, 0xC0])).layer == 1
 
 
+def test_media_tags_and_tables():
+    frame = lambda k, fill=b"": (bytes([0xFF, 0xFB, 0x90, 0xC0]) + fill).ljust(417, b"\0")
+    assert media.parse_header(frame(0)[:4]).length == 417
+    vbri = b"VBRI" + bytes(6) + (1668).to_bytes(4, "big") + (3).to_bytes(4, "big") + b"".join(x.to_bytes(2, "big") for x in (3, 3, 2, 1)) + b"".join(x.to_bytes(2, "big") for x in (139, 139, 139))
+    s = media.parse_stream(frame(0, bytes(32) + vbri) + frame(1) * 3)
+    assert (s.table, s.table_frames, s.table_bytes, s.table_seek, s.table_step, len(s.seek)) == ("VBRI", 3, 1668, [417, 834, 1251], 1, 3)
+    body = b"\x01\xff\xfea\0\xff\0"  # utf-16: a and U+00FF
+    safe = lambda n: bytes([n >> 21 & 127, n >> 14 & 127, n >> 7 & 127, n & 127])
+    guard = lambda x: x.replace(b"\xff\0", b"\xff\0\0").replace(b"\xff\xfe", b"\xff\0\xfe")
+    old = guard((6).to_bytes(4, "big") + bytes(6) + b"TIT2" + len(body).to_bytes(4, "big") + b"\0\0" + body)
+    new = safe(6) + b"\1\0" + b"TIT2" + safe(4 + len(guard(body))) + b"\0\3" + safe(len(body)) + guard(body)
+    for version, flags, tag in ((3, 0xC0, old), (4, 0x40, new)):
+        s = media.parse_stream(b"ID3" + bytes([version, 0, flags]) + safe(len(tag)) + tag + frame(1) * 2)
+        assert s.tags == {"TIT2": "a\xff"} and len(s.seek) == 2 and s.junk == 0
+
+
 def test_media_payloads_like_tags():
     """Payloads of all lengths made of the mark of an ID3v1 tag, at each phase."""
     for n in [*range(0, 1400), 64 * 100, 64 * 1000]:
@@ -431,14 +482,20 @@ def brute_repeats(rows, length):
     return out
 
 
-@pytest.mark.parametrize("length,gram", [(400, 64), (50, 16), (20, 20)])
-def test_repeats(docs, rows, none, length, gram):
+@pytest.mark.parametrize("length,gram,cover", [(400, 64, False), (50, 16, False), (20, 20, False), (400, 64, True), (100, 24, True), (20, 20, True)])
+def test_repeats(docs, rows, none, length, gram, cover):
     names = ("n_bytes", "n_removed", "n_spans", "kept_sha256")
-    got = {d: tuple(r[n] for n in names) for d, r in by_id(suffix_dedup.remove_repeats(docs, length=length, gram=gram)).items()}
+    got = {d: tuple(r[n] for n in names) for d, r in by_id(suffix_dedup.remove_repeats(docs, length=length, gram=gram, cover=cover)).items()}
     assert got == brute_repeats(rows, length) and any(g[1] for g in got.values())
     assert suffix_dedup.remove_repeats(none, length=length, gram=gram).count() == 0
 
 
+def test_difference_cover():
+    for most, expected in ((12, (1, 1)), (13, (13, 4)), (337, (337, 22)), (400, (337, 22))):
+        v, cover = suffix_dedup.difference_cover(most)
+        assert (v, len(cover)) == expected and {(a - b) % v for a in cover for b in cover} == set(range(v))
+
+
 def test_repeats_inside_a_text(spark):
     """Periodic texts, overlaps, passages at both ends of a text, and copies under one id."""
     rng = random.Random(5)
@@ -452,6 +509,24 @@ def test_repeats_inside_a_text(spark):
     assert sorted(r["n_removed"] for r in suffix_dedup.remove_repeats(twice, length=100, gram=32).collect()) == [0, 130, 130]
 
 
+@pytest.mark.parametrize("length,gram", [(400, 64), (100, 32)])
+def test_periodic_stretches(spark, length, gram):
+    """Several periodic stretches, shorter and longer than a window, at the head, in the middle and at the tail; rows twice."""
+    rng = random.Random(11)
+    noise = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    periods = ["Der ", "xyzzy ", "ab", "z", noise(37)]
+    stretch = lambda n: (p := rng.choice(periods)) * (n // len(p))
+    texts = ["Der " * 98 + "xyzzy " * 200 + noise(700)]
+    for _ in range(30):
+        parts = [stretch(rng.choice((30, length - 5, length + 1, length + 60, 3 * length))) if rng.random() < 0.6 else noise(rng.randint(1, length)) for _ in range(rng.randint(1, 5))]
+        texts.append("".join(parts))
+    rows = [(i, t, None, None, 0) for i, t in enumerate(texts)]
+    for given in (rows, [*rows, rows[0], rows[7], rows[7]], rows[:1]):
+        expected = brute_repeats(given, length)
+        got = suffix_dedup.remove_repeats(spark.createDataFrame(given, SCHEMA).repartition(3), length=length, gram=gram, cover=given is rows).collect()
+        assert len(got) == len(given) and all((r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) == expected[r["doc_id"]] for r in got)
+
+
 @pytest.mark.parametrize("length,gram", [(400, 64), (50, 16)])
 def test_repeats_without_ids(spark, rows, length, gram):
     """Null ids beside ids: every row has the result of its text, also where only a row without an id repeats it."""
@@ -467,12 +542,29 @@ def test_cut_texts_keep_columns(docs):
     assert cut.columns == docs.columns and cut.count() == docs.count()
 
 
+def test_very_long_texts(spark):
+    """One text of 60,000 words beside short ones, through the operators on whole texts."""
+    rng = random.Random(21)
+    prose = lambda n: " ".join("".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 9))) for _ in range(n))
+    long = prose(60_000)
+    w = long.split(" ")
+    rows = [(1, long, None, None, 0), (2, " ".join(w[50_000:50_200]), None, None, 0), (3, long + " more", None, None, 0), (4, prose(300), None, None, 0), (5, None, None, None, 0)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    items = [(1, " ".join(w[59_000:59_030])), (2, " ".join(w[3:20]))]
+    names = ("n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+    got = by_id(decontamination.contamination_digest(df, spark.createDataFrame(items, "item_id long, text string")))
+    assert {d: tuple(r[n] for n in names) for d, r in got.items()} == brute_contamination(rows, items)
+    assert {d: r["class_id"] for d, r in by_id(jaccard.jaccard_classes(df)).items()} == {1: 1, 2: 2, 3: 1, 4: 4, 5: 5}
+    got = by_id(suffix_dedup.remove_repeats(df))
+    assert {d: (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for d, r in got.items()} == brute_repeats(rows, 400)
+
+
 def test_language_parts():
     table = language.automaton_table([2, 3, 2, 3, 4], 6)
     import numpy as np
 
     def count(symbols):
-        return int(language.phrases(np.array(symbols, np.uint8), np.array([0, len(symbols)]), [table], 6)[0, 0])
+        return int(language.phrases(np.array(symbols, np.uint8), np.array([0, len(symbols)]), table, 6)[0])
 
     def brute(symbols):
         text, n, i = "23234", 0, 0
@@ -488,6 +580,22 @@ def test_language_parts():
     for _ in range(300):
         symbols = [rng.choice([2, 2, 3, 3, 4, 5]) for _ in range(rng.randint(0, 30))]
         assert count(symbols) == brute(symbols), symbols
+    # Phrases run on over pieces, in random and in periodic texts, whatever lies beside them.
+    texts = [[rng.choice([2, 3, 4]) for _ in range(1500)], [2, 3] * 700 + [4], [], [2, 3, 2, 3, 4] * 300, [5, 2, 3, 2] * 200, [2] * 256 + [3] * 257]
+    ends = np.cumsum([0, *map(len, texts)])
+    got = language.phrases(np.array([s for t in texts for s in t], np.uint8), ends, table, 6)
+    assert got.tolist() == [brute(t) for t in texts]
+
+
+def test_language_of_large_scripts(spark):
+    """Languages of some hundred letters each, beside one of few, and letters beyond those with symbols of their own."""
+    rng = random.Random(4)
+    scripts = {"aa": "abcdefgh", "dd": [chr(0x4E00 + i) for i in range(400)], "ee": [chr(0x4E00 + 200 + i) for i in range(400)], "ff": [chr(0xAC00 + i) for i in range(150)]}
+    lexicon = {k: ["".join(rng.choice(v) for _ in range(rng.randint(1, 3))) for _ in range(300)] for k, v in scripts.items()}
+    rows = [(i, " ".join(rng.choice(lexicon[k]) for _ in range(rng.randint(5, 80))), k, "s", 0) for i in range(800) for k in [sorted(scripts)[i % 4]]]
+    got = by_id(language.predict_languages(spark.createDataFrame(rows, SCHEMA)))
+    held = [r for r in rows if zlib.crc32(str(r[0]).encode()) % 4 == 2]
+    assert sum(got[r[0]]["lang_pred"] == r[2] for r in held) >= 0.98 * len(held)
 
 
 def test_language(spark, none):

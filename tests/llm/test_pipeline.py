@@ -34,13 +34,16 @@ def test_pipeline(spark, tmp_path):
     assert learned
     got = held(names[0], docs)
     now = {d: r for d, r in now.items() if r[1] and language._LETTER.search(r[1])}
-    assert {r["doc_id"]: tuple(r) for r in got.collect()} == now
+    after = {r["doc_id"]: r for r in got.collect()}
+    assert set(after) == set(now) and all(r["text"] == now[d][1] and r["source"] == now[d][3] for d, r in after.items())
+    assert {r["lang"] for r in after.values()} <= {r[2] for r in rows if r[2]}
+    now = {d: tuple(r) for d, r in after.items()}
     got = held(names[1], got)
     classes = brute_classes(list(now.values()))
     now = {d: r for d, r in now.items() if classes[d][0] == d}
     assert {r["doc_id"]: tuple(r) for r in got.collect()} == now
     got = held(names[2], got)
-    removed = brute_repeats(list(now.values()), 400)
+    removed = brute_repeats(list(now.values()), corpus_pipeline.PASSAGE)
     after = {r["doc_id"]: r for r in got.collect()}
     assert set(after) == {d for d in now if removed[d][1] < removed[d][0]}
     assert all(after[d]["text"] == now[d][1] for d in after if removed[d][1] == 0)
