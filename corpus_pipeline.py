@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from genoeval.llm import decontamination, jaccard, language, pieces, suffix_dedup
-from genoeval.llm.common import bounded_batches, checkpoint_folder, table
+from genoeval.llm.common import bounded, bounded_batches, checkpoint_folder, table
 
 #: Passages of over 50 words: 51 words of five bytes with their space. (op9's own contract is for 400 bytes.)
 PASSAGE = 256
@@ -65,8 +65,10 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; what a stage returns lies under the shared checkpoint folder for the next one."""
-    docs, folder = table(spark, sf_dir, "documents"), f"{checkpoint_folder(spark)}/pipeline-{uuid.uuid4().hex}"
-    for i, (_, stage) in enumerate(STAGES):
-        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{i}")
-        docs = spark.read.parquet(f"{folder}/{i}")
+    folder = f"{checkpoint_folder(spark)}/pipeline-{uuid.uuid4().hex}"
+    with bounded(spark):
+        docs = table(spark, sf_dir, "documents")
+        for i, (_, stage) in enumerate(STAGES):
+            stage(spark, docs, sf_dir).write.parquet(f"{folder}/{i}")
+            docs = spark.read.parquet(f"{folder}/{i}")
     return docs
