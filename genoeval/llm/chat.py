@@ -17,6 +17,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .common import Scratch
+
 #: Turn marks of the template, and the control strings that texts may not show unescaped.
 OPEN, CLOSE = "<|turn|>", "<|end|>"
 CONTROL = (OPEN, CLOSE, "<s>", "</s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>")
@@ -53,8 +55,15 @@ def fold_events(log: DataFrame) -> DataFrame:
         F.min("seq").alias("opened"), F.max("role").alias("role"), F.max(F.when(F.col("kind") == "regenerate", F.col("seq"))).alias("redone"),
         F.array_join(F.transform(F.sort_array(F.collect_list(F.when(kept & (F.col("kind") != "regenerate"), F.struct("seq", F.when(reset, 0).otherwise(1).alias("rank"), "text")))), lambda e: e["text"]), "").alias("text"),
     )
+    # Regenerations drop messages: found on rows without text, of the conversations that have any, and taken away after.
+    messages = Scratch(log.sparkSession, "chat").keep("messages", messages)
+    narrow = messages.select("conv_id", "message", "opened", "redone")
+    redone = narrow.filter("redone is not null").select(F.col("conv_id").alias("busy")).distinct()
     earlier = Window.partitionBy("conv_id").orderBy("opened", "message").rowsBetween(Window.unboundedPreceding, -1)
-    return messages.withColumn("cut", F.max("redone").over(earlier)).filter(F.col("cut").isNull() | (F.col("opened") > F.col("cut"))).select("conv_id", "message", "opened", "role", "text")
+    cut = narrow.join(redone, F.col("conv_id").eqNullSafe(F.col("busy")), "left_semi").withColumn("cut", F.max("redone").over(earlier))
+    gone = cut.filter("opened <= cut").select(F.col("conv_id").alias("gone_conv"), F.col("message").alias("gone_message"))
+    kept = messages.join(gone, F.col("conv_id").eqNullSafe(F.col("gone_conv")) & F.col("message").eqNullSafe(F.col("gone_message")), "left_anti")
+    return kept.select("conv_id", "message", "opened", "role", "text")
 
 
 def _render(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
