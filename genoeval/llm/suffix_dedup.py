@@ -199,14 +199,15 @@ def _named_runs(scratch: Scratch, keyed: DataFrame, length: int, gram: int, cove
     scratch.drop("samples", "grams")
     # Then by the names of the whole runs; one run of each name stands in for all of them.
     ident = F.xxhash64("doc_id", "key", "run")
-    runs = rows.groupBy("fp", "h").agg(F.count("*").alias("n"), F.min(ident).alias("one"))
-    lone = runs.groupBy("fp").agg((F.min("n") == 1).alias("open"))
+    # Both sides of the join by gram are tables, so that a gram in very many runs is split over tasks.
+    runs = scratch.keep("named", rows.groupBy("fp", "h").agg(F.count("*").alias("n"), F.min(ident).alias("one")))
+    lone = scratch.keep("lone", runs.groupBy("fp").agg((F.min("n") == 1).alias("open")))
     names = scratch.keep("names", runs.join(lone, "fp"))
     at, before, more = F.shiftright("run", 32), F.shiftright("run", 16).bitwiseAND(F.lit(0xFFFF)), F.col("run").bitwiseAND(F.lit(0xFFFF))
     goes_on = F.col("open") & ((F.col("n") == 1) | (ident == F.col("one")))
     lo = at - before
     mine = scratch.keep("runs", rows.join(names, ["fp", "h"]).select("doc_id", "key", "fp", *(x.cast("int").alias(c) for x, c in ((at, "at"), (lo, "lo"), (lo + more, "hi"))), "n", goes_on.alias("goes_on")))
-    scratch.drop("again", "names")
+    scratch.drop("again", "named", "lone", "names")
     return mine
 
 
@@ -217,13 +218,14 @@ def _named_cells(scratch: Scratch, keyed: DataFrame, pending: DataFrame, length:
     cells = scratch.keep(f"cells-{width}", found.select("doc_id", "key", F.inline("cells")))
     # One stand-in of each text that is known to be repeated counts for all of them.
     name = ["o1", "o2"]
-    texts = cells.groupBy(*name, "core").agg(F.count("*").alias("n"), F.max("known").alias("known"), F.min("ident").alias("one"))
+    texts = scratch.keep(f"outer-{width}", cells.groupBy(*name, "core").agg(F.count("*").alias("n"), F.max("known").alias("known"), F.min("ident").alias("one")))
     cores = texts.groupBy("core").agg(F.sum("n").alias("total"), F.min(F.when(F.col("known"), 2).otherwise(F.col("n"))).alias("least")).filter("total > 1")
+    cores = scratch.keep(f"cores-{width}", cores)
     state = texts.join(cores, "core").select(*name, (F.col("known") | (F.col("n") > 1)).alias("sure"), "one", (F.col("least") == 1).alias("open")).filter("sure or open")
     state = scratch.keep(f"texts-{width}", state)
     goes_on = F.col("open") & (~F.col("sure") | (F.col("ident") == F.col("one")))
     named = scratch.keep(f"named-{width}", cells.join(state, name).select("doc_id", "key", "fp", "cell", "at", "known", "sure", goes_on.alias("goes_on")))
-    scratch.drop(f"cells-{width}", f"texts-{width}")
+    scratch.drop(f"cells-{width}", f"outer-{width}", f"cores-{width}", f"texts-{width}")
     yes = named.filter("sure and not known").select("doc_id", "key", F.col("at").alias("lo"), (F.col("at") + width - 1).alias("hi"))
     # The finer cells keep their alignment: the sample's place is start - cell * width.
     run = F.struct("fp", (F.col("at") - F.col("cell") * width).cast("int").alias("at"), F.col("at").alias("lo"), (F.col("at") + width - 1).cast("int").alias("hi"), F.col("sure").alias("known"))
