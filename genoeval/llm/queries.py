@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, decontamination, jaccard, language, licenses, media, pieces, sharding, suffix_dedup, token_counts
+from . import chat, decontamination, jaccard, language, licenses, media, merkle, pieces, sharding, suffix_dedup, token_counts
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -52,7 +52,11 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predict_languages(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_sharding, op2_chat_formatting, op3_benchmark_decontamination, op4_ngram_jaccard_join, op5_license_scans, op6_sentencepiece, op7_media_columns, op8_token_counts, op9_suffix_array_dedup, op10_language_id)}
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.verify_digest(table(spark, sf_dir, "documents"))
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_sharding, op2_chat_formatting, op3_benchmark_decontamination, op4_ngram_jaccard_join, op5_license_scans, op6_sentencepiece, op7_media_columns, op8_token_counts, op9_suffix_array_dedup, op10_language_id, op12_merkle_manifest)}
 
 #: DuckDB SQL where whole tables allow it.
 ORACLE_SQL: dict[str, str] = {
@@ -112,5 +116,43 @@ WITH RECURSIVE d AS (
 )
 SELECT d.doc_id, class_id, coalesce(n_links, 0) AS n_links FROM d JOIN (SELECT a AS doc_id, min(b) AS class_id FROM reach GROUP BY a) USING (doc_id)
 LEFT JOIN (SELECT a AS doc_id, count(*) AS n_links FROM edges GROUP BY a) USING (doc_id)
+""",
+    "op12_merkle_manifest": r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, lang, lower(sha256(concat(e[1], e[2], e[3], e[4], e[5]))) AS leaf,
+    lower(sha256(concat(e[1], e[2], e[3], e[4], CASE WHEN text IS NULL THEN '-' ELSE CAST(strlen(text) AS VARCHAR) || ':' || translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') END))) AS lowered,
+    xor(list_reduce(list_concat([4294967295::UBIGINT], list_transform(range(1, length(CAST(doc_id AS VARCHAR)) + 1), lambda i: ord(substr(CAST(doc_id AS VARCHAR), CAST(i AS INT), 1))::UBIGINT)),
+      lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0]::UBIGINT[], lambda a, z: xor(a >> 1, 3988292384::UBIGINT * (a & 1)))), 4294967295::UBIGINT) % 3 = 0 AS chosen
+  FROM (SELECT *, list_transform([CAST(doc_id AS VARCHAR), source, lang, CAST(n_chars AS VARCHAR), text], lambda v: CASE WHEN v IS NULL THEN '-' ELSE CAST(strlen(v) AS VARCHAR) || ':' || v END) AS e FROM documents)
+), ordered AS (
+  SELECT *, CASE WHEN chosen THEN lowered ELSE leaf END AS claimed, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS t FROM d
+), nodes AS (
+  SELECT t, 0 AS level, i, leaf AS digest, count(*) OVER (PARTITION BY t) AS n FROM ordered
+  UNION ALL
+  SELECT t, level, i, digest, count(*) OVER (PARTITION BY t) FROM (SELECT t, level + 1 AS level, i // 8 AS i, sha256(string_agg(digest, '' ORDER BY i)) AS digest FROM nodes WHERE n > 1 GROUP BY t, level, i // 8)
+), subroots AS (
+  SELECT t, digest, level AS height FROM nodes WHERE n = 1
+), top AS (
+  SELECT 0 AS level, t AS i, digest, count(*) OVER () AS n FROM subroots
+  UNION ALL
+  SELECT level, i, digest, count(*) OVER () FROM (SELECT level + 1 AS level, i // 8 AS i, sha256(string_agg(digest, '' ORDER BY i)) AS digest FROM top WHERE n > 1 GROUP BY level, i // 8)
+), whole AS (
+  SELECT digest AS root, level AS height FROM top WHERE n = 1
+), steps AS (
+  SELECT t, level, i, coalesce((SELECT string_agg(s.digest, '' ORDER BY s.i) FROM nodes s WHERE s.t = x.t AND s.level = x.level AND s.i // 8 = x.i // 8 AND s.i < x.i), '') AS l,
+    coalesce((SELECT string_agg(s.digest, '' ORDER BY s.i) FROM nodes s WHERE s.t = x.t AND s.level = x.level AND s.i // 8 = x.i // 8 AND s.i > x.i), '') AS r FROM nodes x WHERE n > 1
+), top_steps AS (
+  SELECT level, i, coalesce((SELECT string_agg(s.digest, '' ORDER BY s.i) FROM top s WHERE s.level = x.level AND s.i // 8 = x.i // 8 AND s.i < x.i), '') AS l,
+    coalesce((SELECT string_agg(s.digest, '' ORDER BY s.i) FROM top s WHERE s.level = x.level AND s.i // 8 = x.i // 8 AND s.i > x.i), '') AS r FROM top x WHERE n > 1
+), path AS (
+  SELECT o.t, o.i, list({'l': s.l, 'r': s.r} ORDER BY s.level) AS p FROM ordered o JOIN steps s ON s.t = o.t AND s.i = o.i // CAST(pow(8, s.level) AS BIGINT) GROUP BY o.t, o.i
+), top_path AS (
+  SELECT b.t, list({'l': s.l, 'r': s.r} ORDER BY s.level) AS p FROM subroots b JOIN top_steps s ON s.i = b.t // CAST(pow(8, s.level) AS BIGINT) GROUP BY b.t
+), full_path AS (
+  SELECT o.doc_id, o.leaf, o.claimed, b.digest AS subroot, whole.root, list_concat(coalesce(path.p, []), coalesce(top_path.p, [])) AS p
+  FROM ordered o JOIN subroots b USING (t) CROSS JOIN whole LEFT JOIN path USING (t, i) LEFT JOIN top_path USING (t)
+)
+SELECT doc_id, leaf, subroot, root, sha256(list_aggregate(list_concat([''], list_transform(p, lambda s: s.l || s.r)), 'string_agg', '')) AS proof_sha256,
+  list_reduce(list_concat([{'l': claimed, 'r': ''}], p), lambda a, s: {'l': sha256(s.l || a.l || s.r), 'r': ''}).l AS folded_root, folded_root = root AS verified FROM full_path
 """,
 }
