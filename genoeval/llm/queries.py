@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, decontamination, jaccard, language, licenses, media, merkle, periodic, pieces, sharding, suffix_dedup, token_counts
+from . import chat, decontamination, jaccard, language, licenses, media, merkle, periodic, pieces, sharding, suffix_dedup, token_counts, toxicity
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -60,7 +60,11 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.verify_digest(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_sharding, op2_chat_formatting, op3_benchmark_decontamination, op4_ngram_jaccard_join, op5_license_scans, op6_sentencepiece, op7_media_columns, op8_token_counts, op9_suffix_array_dedup, op10_language_id, op11_periodic_runs, op12_merkle_manifest)}
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.predict_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_sharding, op2_chat_formatting, op3_benchmark_decontamination, op4_ngram_jaccard_join, op5_license_scans, op6_sentencepiece, op7_media_columns, op8_token_counts, op9_suffix_array_dedup, op10_language_id, op11_periodic_runs, op12_merkle_manifest, op13_toxicity)}
 
 #: DuckDB SQL where whole tables allow it.
 ORACLE_SQL: dict[str, str] = {

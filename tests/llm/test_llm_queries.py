@@ -12,6 +12,7 @@ COLUMNS = {
     "op6_sentencepiece": {"doc_id", "n_tokens", "ids_sha256", "decoded_sha256"}, "op7_media_columns": {"doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"},
     "op8_token_counts": {"doc_id", "n_bytes", "n_tokens", "over_limit"}, "op9_suffix_array_dedup": {"doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"}, "op10_language_id": {"doc_id", "held_out", "lang_pred", "score"},
     "op11_periodic_runs": {"doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256"},
+    "op13_toxicity": {"doc_id", "held_out", "score", "predicted"},
 }
 
 
