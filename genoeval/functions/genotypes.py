@@ -110,8 +110,24 @@ def maf_bin(alt_copies: Column, calls: Column) -> Column:
     return F.when(calls > 0, F.least(F.lit(4), (F.floor(10 * minor / (2 * calls))).cast("int"))).cast("int")
 
 
-def correlation(n: Column, sx: Column, sy: Column, sxx: Column, syy: Column, sxy: Column, least: int, clamp: bool = True) -> Column:
-    """Pearson's r from integer sums; null under ``least`` pairs or without variance."""
+#: Fractional dosages are whole numbers of millionths, so that their sums are exact too.
+UNIT = 1_000_000
+
+
+def scaled_dosage(dosage: Column) -> Column:
+    return F.bround(dosage * UNIT).cast("long")
+
+
+def dosages_in_row(ds: Column, gp: Column) -> Column:
+    """Scaled dosages by sample from the texts of DS, and of GP where DS has no number; null where neither does."""
+    one = lambda d, p: scaled_dosage(F.coalesce(lenient_double(d), dosage_from_probabilities(p)))
+    return F.zip_with(ds, gp, one)
+
+
+def correlation(n: Column, sx: Column, sy: Column, sxx: Column, syy: Column, sxy: Column, least: int, clamp: bool = True, wide: bool = False) -> Column:
+    """Pearson's r from integer sums; null under ``least`` pairs or without variance. ``wide`` sums need more than 64 bits."""
+    if wide:
+        n, sx, sy, sxx, syy, sxy = (c.cast("decimal(38,0)") for c in (n, sx, sy, sxx, syy, sxy))
     vx, vy = n * sxx - sx * sx, n * syy - sy * sy
     ok = (n >= least) & (vx > 0) & (vy > 0)
     # The divisor is kept off zero for rows that the condition leaves out.

@@ -46,6 +46,14 @@ def missing_chunks(manifest: DataFrame, files: DataFrame) -> DataFrame:
     return manifest.join(files.filter("length > 0"), ["chrom", "start", "end"], "left_anti")
 
 
+def assert_chunks(manifest: DataFrame, files: list[tuple[str, int, int, int]]) -> None:
+    """Every chunk of the manifest must have a file with content; the first that have none are named."""
+    have = manifest.sparkSession.createDataFrame(files, "chrom string, start long, end long, length long")
+    absent = missing_chunks(manifest, have).orderBy("chrom", "start").limit(5).collect()
+    if absent:
+        raise ValueError(f"chunks without a file: {', '.join(r['chunk_id'] for r in absent)}")
+
+
 def assign_chunks(sites: DataFrame, chunks: DataFrame, with_buffer: bool = True, width: int = BIN) -> DataFrame:
     """A row for each site and window that covers it: windows are cut into bins of ``width``, so the join is on equal keys."""
     pad = F.col("buffer") if with_buffer else F.lit(0)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,6 +35,12 @@ def normalize_contigs(sites: DataFrame, style: str | None, n: int = CHROMOSOMES)
     return sites.withColumn("chrom", F.coalesce(F.try_element_at(names, F.col("chrom")), F.col("chrom")))
 
 
+def canonical_name(name: str) -> str | None:
+    """``canonical_chrom`` of one name, for names of files."""
+    m = re.fullmatch(r"(?:chr)?(?:Chr)?([0-9]+)", name)
+    return f"Chr{int(m[1]):02d}" if m and int(m[1]) <= 99 else None
+
+
 def restrict_contigs(sites: DataFrame, chroms: list[str] | None = None) -> DataFrame:
     return sites.filter(F.col("chrom").isin(*(chroms or default_chroms())))
 

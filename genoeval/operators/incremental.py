@@ -5,7 +5,8 @@ from __future__ import annotations
 import datetime
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 SCHEMA_VERSION = "genoeval-1"
@@ -53,6 +54,14 @@ def assert_mode(spark: SparkSession, root: str, mode: str) -> None:
         spark.createDataFrame([("mode", mode)], "key string, value string").coalesce(1).write.option("header", True).option("sep", "\t").csv(path)
 
 
+def observed(seen: Observation, name: str) -> int:
+    """A count that a write observed; 0 where the optimiser found that there was nothing to write."""
+    try:
+        return seen.get.get(name) or 0
+    except Py4JJavaError:  # an observation without a row
+        return 0
+
+
 @dataclass
 class AuditLog:
     """Steps with counts before and after; removed is null unless both are known."""

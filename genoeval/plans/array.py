@@ -4,14 +4,15 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import genotypes as g
 from ..operators import contigs, incremental, joins, metrics, pairwise
 from ..operators.sites import assert_unique, biallelic_snps, in_region
 from ..sources import sinks, vcf
-from ..sources.scratch import delete, has_content, shared_folder
+from ..sources.files import manifest_value
+from ..sources.scratch import delete, has_content, input_files, shared_folder
 from ..sources.vcf import ingest
 
 
@@ -25,13 +26,18 @@ class Prepared:
     ambiguous_removed: DataFrame
 
 
-def read_side(spark: SparkSession, path: str, samples: list[str], region: str | None, snps_only: bool = True) -> DataFrame:
-    """Renamed contigs of Chr01 to Chr17, region and SNP filters, GT by sample."""
+#: What the imputed side is scored by: hard calls, dosages, dosages with probabilities where they are absent, probabilities.
+FIELDS = {"GT": ("GT",), "DS": ("DS",), "DS,GP": ("DS", "GP"), "GP": ("GP",)}
+
+
+def read_side(spark: SparkSession, path: str, samples: list[str], region: str | None, snps_only: bool = True, fields: tuple[str, ...] = ("GT",)) -> DataFrame:
+    """Renamed contigs of Chr01 to Chr17, region and SNP filters, GT (and other fields) by sample."""
     raw = vcf.read_vcf(spark, path)
     sites = contigs.restrict_contigs(contigs.normalize_contigs(raw, contigs.contig_style(raw)))
     sites = in_region(biallelic_snps(sites) if snps_only else sites, region)
     sites = vcf.select_samples(sites, vcf.read_vcf_samples(spark, path), samples)
-    return vcf.with_format_fields(sites, ["GT"]).select(*joins.VARIANT, "id", "gt", "rec_ord")
+    names = list(dict.fromkeys(("GT", *fields)))
+    return vcf.with_format_fields(sites, names).select(*joins.VARIANT, "id", *[n.lower() for n in names], "rec_ord")
 
 
 def prepare(imputed: DataFrame, truth: DataFrame) -> Prepared:
@@ -45,17 +51,22 @@ def prepare(imputed: DataFrame, truth: DataFrame) -> Prepared:
     return Prepared(left, right, gone, ambiguous)
 
 
-def translated(p: Prepared) -> DataFrame:
-    """Aligned sites with A/B arrays of both sides, dosages x and y, and ``exceptions``."""
+def translated(p: Prepared, field: str = "GT") -> DataFrame:
+    """Aligned sites with A/B arrays of both sides, dosages x and y, and ``exceptions``.
+
+    With another ``field`` than GT, x is the imputed dosage in units of ``genotypes.UNIT``, put together inside the row.
+    """
     both = joins.align(p.truth.drop("rec_ord"), p.imputed.drop("rec_ord"))
     ours = F.transform("gt_imputed", lambda c: g.translate_by_bases(c, F.col("ref_imputed"), F.col("alt_imputed")))
     theirs = F.transform("gt", g.translate_by_index)
     coded = both.withColumn("_ours", ours).withColumn("_theirs", theirs)
     ab = lambda c: F.transform(c, lambda v: v["gt"])
-    return (
-        coded.withColumn("ab_imputed", ab("_ours")).withColumn("ab_truth", ab("_theirs"))
-        .withColumn("x", F.transform("ab_imputed", g.ab_dosage)).withColumn("y", F.transform("ab_truth", g.ab_dosage))
-    )
+    coded = coded.withColumn("ab_imputed", ab("_ours")).withColumn("ab_truth", ab("_theirs")).withColumn("y", F.transform("ab_truth", g.ab_dosage))
+    if field == "GT":
+        return coded.withColumn("x", F.transform("ab_imputed", g.ab_dosage))
+    none = F.transform("gt_imputed", lambda c: F.lit(None).cast("string"))
+    of = lambda n: F.col(f"{n.lower()}_imputed") if n in FIELDS[field] else none
+    return coded.withColumn("x", g.dosages_in_row(of("DS"), of("GP")))
 
 
 def exceptions(sites: DataFrame) -> DataFrame:
@@ -77,43 +88,49 @@ class ArrayResult:
     ambiguous_removed: DataFrame
     exceptions: DataFrame
     sites: DataFrame
+    site_count: int = 0
 
 
-def evaluate_array(spark: SparkSession, imputed_path: str, truth_path: str, samples: list[str] | None = None, region: str | None = None) -> ArrayResult:
-    """Samples default to the sorted intersection. No common position raises."""
+def evaluate_array(spark: SparkSession, imputed_path: str, truth_path: str, samples: list[str] | None = None, region: str | None = None, field: str = "GT") -> ArrayResult:
+    """Samples default to the sorted intersection. No common position raises, as do ``field``s without a single dosage."""
     if samples is None:
         shared = joins.common_samples(vcf.read_vcf_samples(spark, imputed_path), vcf.read_vcf_samples(spark, truth_path))
         samples = [r["sample"] for r in shared.collect()]
     if not samples:
         raise ValueError("no common samples")
-    return score(spark, stored_sides(spark, imputed_path, truth_path, samples, region, shared_folder(spark, "array")), samples, shared_folder(spark, "array-sites"))
+    return score(spark, stored_sides(spark, imputed_path, truth_path, samples, region, shared_folder(spark, "array"), FIELDS[field]), samples, shared_folder(spark, "array-sites"), field)
 
 
-def stored_sides(spark: SparkSession, imputed_path: str, truth_path: str, samples: list[str], region: str | None, folder: str) -> Prepared:
+def stored_sides(spark: SparkSession, imputed_path: str, truth_path: str, samples: list[str], region: str | None, folder: str, fields: tuple[str, ...] = ("GT",)) -> Prepared:
     """Both sides' typed sites, stored once, then prepared; checks and results read these, not the text."""
-    ours = ingest(read_side(spark, imputed_path, samples, region), f"{folder}/imputed")
+    ours = ingest(read_side(spark, imputed_path, samples, region, fields=fields), f"{folder}/imputed")
     return prepare(ours, ingest(read_side(spark, truth_path, samples, region), f"{folder}/truth"))
 
 
-def score(spark: SparkSession, p: Prepared, samples: list[str], folder: str) -> ArrayResult:
-    """Translated sites are stored under ``folder``; every result reads them. No common site, repeated positions, and positions that differ raise."""
+def score(spark: SparkSession, p: Prepared, samples: list[str], folder: str, field: str = "GT") -> ArrayResult:
+    """Translated sites are stored under ``folder``; every result reads them. No common site, repeated positions, positions that differ and no dosage raise."""
     assert_unique(p.imputed, joins.POSITION, "imputed")
     joins.assert_same_positions(p.imputed, p.truth)
-    sites = translated(p)
-    sites.write.mode("overwrite").parquet(folder)
+    sites, seen = translated(p, field), Observation()
+    some = F.count_if(F.exists("x", lambda v: v.isNotNull())).alias("with_dosage")
+    sites.observe(seen, F.count(F.lit(1)).alias("sites"), some).write.mode("overwrite").parquet(folder)
     sites = spark.read.schema(sites.schema).parquet(folder)
-    if sites.isEmpty():
+    n = incremental.observed(seen, "sites")
+    if not n:
         raise ValueError("no common site is left")
+    if field != "GT" and not incremental.observed(seen, "with_dosage"):
+        raise ValueError(f"no dosage in {field}")
     dimension = spark.createDataFrame([(s, i) for i, s in enumerate(samples)], "sample string, sample_idx int")
+    unit = 1 if field == "GT" else g.UNIT
     return ArrayResult(
-        sample_metrics=metrics.sample_metrics(sites, dimension),
-        variant_metrics=metrics.variant_metrics_array(sites).select("chrom", "pos", "id", "maf", "n_non_missing", "r", "r2", "concordance"),
-        concordance=metrics.concordance_matrix(sites).select(*joins.VARIANT, "id", "agree"),
-        duplicates_removed=p.duplicates_removed, ambiguous_removed=p.ambiguous_removed, exceptions=exceptions(sites), sites=sites,
+        sample_metrics=metrics.sample_metrics(sites, dimension, unit),
+        variant_metrics=metrics.variant_metrics_array(sites, unit).select("chrom", "pos", "id", "maf", "n_non_missing", "r", "r2", "concordance"),
+        concordance=metrics.concordance_matrix(sites, unit).select(*joins.VARIANT, "id", "agree"),
+        duplicates_removed=p.duplicates_removed, ambiguous_removed=p.ambiguous_removed, exceptions=exceptions(sites), sites=sites, site_count=n,
     )
 
 
-def run_array(spark: SparkSession, imputed_path: str, truth_path: str, root: str, samples: list[str] | None = None, region: str | None = None, force: bool = False) -> list[str]:
+def run_array(spark: SparkSession, imputed_path: str, truth_path: str, root: str, samples: list[str] | None = None, region: str | None = None, force: bool = False, field: str = "GT") -> list[str]:
     """The array evaluation on disk: A/B tables, metrics, concordance and reports. Returns the steps that were done.
 
     A step whose outputs are there and not empty is left out, unless ``force`` is set; the audit keeps every step's counts.
@@ -130,9 +147,9 @@ def run_array(spark: SparkSession, imputed_path: str, truth_path: str, root: str
     due = [s for s, outputs in steps.items() if force or not all(has_content(spark, f"{root}/{o}") for o in outputs)]
     audit = incremental.AuditLog()
     if set(due) - {"samples"}:
-        p = stored_sides(spark, imputed_path, truth_path, samples, region, f"{root}/_work")
-        out = score(spark, p, samples, f"{root}/_work/sites")
-        n = out.sites.count()
+        p = stored_sides(spark, imputed_path, truth_path, samples, region, f"{root}/_work", FIELDS[field])
+        out = score(spark, p, samples, f"{root}/_work/sites", field)
+        n = out.site_count
     for step in due:
         if step == "samples":
             sinks.write_tsv(spark.createDataFrame([(s,) for s in samples], "sample string"), f"{root}/common_samples")
@@ -162,14 +179,76 @@ def run_array(spark: SparkSession, imputed_path: str, truth_path: str, root: str
 
 def match_samples(spark: SparkSession, query_path: str, truth_path: str, region: str | None = None) -> tuple[DataFrame, DataFrame]:
     """(ranked pairs, best matches) of all samples of two files that may name them differently."""
+    folder = shared_folder(spark, "matching")
+    sites, q, t = matching_sites(spark, query_path, truth_path, region, folder)
+    pairs = stored_pairs(spark, sites, q, t, folder)
+    ranked = pairwise.rank_matches(pairs)
+    return ranked, pairwise.best_matches(ranked)
+
+
+def matching_sites(spark: SparkSession, query_path: str, truth_path: str, region: str | None, folder: str, audit: incremental.AuditLog | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(sites with dosage arrays q and t, query samples, target samples); both sides and the sites are stored under ``folder``."""
     q, t = vcf.read_vcf_samples(spark, query_path), vcf.read_vcf_samples(spark, truth_path)
     names = [[r["sample"] for r in x.orderBy("sample_idx").collect()] for x in (q, t)]
-    folder = shared_folder(spark, "matching")
-    p = prepare(ingest(read_side(spark, query_path, names[0], region), f"{folder}/query"), ingest(read_side(spark, truth_path, names[1], region), f"{folder}/truth"))
-    sites = translated(p).select(F.col("x").alias("q"), F.col("y").alias("t"))
-    pairs = pairwise.pairwise_concordance(sites, q, t)
-    pairs.write.parquet(f"{folder}/pairs")
-    ranked = pairwise.rank_matches(spark.read.schema(pairs.schema).parquet(f"{folder}/pairs"))
-    if ranked.filter("n_compared > 0").isEmpty():
+    sides, seen = [], [Observation(), Observation(), Observation()]
+    for name, path, wanted, s in zip(("query", "truth"), (query_path, truth_path), names, seen, strict=False):
+        sides.append(ingest(read_side(spark, path, wanted, region), f"{folder}/{name}", s))
+    sites = translated(prepare(*sides)).select(*joins.VARIANT, F.col("x").alias("q"), F.col("y").alias("t"))
+    sites.observe(seen[2], F.count(F.lit(1)).alias("sites")).write.mode("overwrite").parquet(f"{folder}/sites")
+    if audit is not None:
+        n = incremental.observed(seen[2], "sites")
+        for name, s in zip(("query", "truth"), seen, strict=False):
+            audit.step(f"{name} sites kept", incremental.observed(s, "records"), n, "common, first of their position, unambiguous")
+    return spark.read.schema(sites.schema).parquet(f"{folder}/sites"), q, t
+
+
+def stored_pairs(spark: SparkSession, sites: DataFrame, q: DataFrame, t: DataFrame, folder: str) -> DataFrame:
+    """Every pair's counts, stored; no pair with a shared call raises."""
+    pairs, seen = pairwise.pairwise_concordance(sites, q, t), Observation()
+    pairs.observe(seen, F.count_if(F.col("n_compared") > 0).alias("compared")).write.mode("overwrite").parquet(f"{folder}/pairs")
+    if not incremental.observed(seen, "compared"):
         raise ValueError("no pair of samples has a shared call")
-    return ranked, pairwise.best_matches(ranked)
+    return spark.read.schema(pairs.schema).parquet(f"{folder}/pairs")
+
+
+def run_matching(spark: SparkSession, query_path: str, truth_path: str, root: str, region: str | None = None, force: bool = False) -> list[str]:
+    """Sample matching on disk: sites, all pairs with their ranks, best matches, manifests, audit. Returns the steps that were done.
+
+    A step whose output is there and not empty is left out, unless ``force`` is set or a step before it was done; inputs or a
+    region other than those of the manifest are refused without ``force``.
+    """
+    incremental.assert_mode(spark, root, "matching")
+    paths = [x for p in (query_path, truth_path) for x, _ in input_files(spark, p)]
+    listing = spark.read.format("binaryFile").load(paths).select("path", "length", F.col("modificationTime").alias("modified"))
+    signature = incremental.run_signature(listing, {"region": region or "", "query": query_path, "truth": truth_path}).first()["signature"]
+    if has_content(spark, f"{root}/run_manifest"):
+        before = manifest_value(spark, f"{root}/run_manifest", "signature")
+        if before != signature and not force:
+            raise ValueError(f"{root} holds results of other inputs; use force to replace them")
+    audit, done = incremental.AuditLog(), []
+    due = lambda name: force or bool(done) or not has_content(spark, f"{root}/{name}")
+    read = lambda name: spark.read.parquet(f"{root}/{name}")
+    q, t = vcf.read_vcf_samples(spark, query_path), vcf.read_vcf_samples(spark, truth_path)
+    if due("sites"):
+        matching_sites(spark, query_path, truth_path, region, f"{root}/_work", audit)[0].write.mode("overwrite").parquet(f"{root}/sites")
+        done.append("sites")
+    if due("pairs"):
+        stored_pairs(spark, read("sites").select("q", "t"), q, t, f"{root}/_work")
+        ranked, seen = pairwise.rank_matches(read("_work/pairs")), Observation()
+        ranked.observe(seen, F.count(F.lit(1)).alias("pairs")).write.mode("overwrite").parquet(f"{root}/pairs")
+        audit.step("pairs", None, incremental.observed(seen, "pairs"))
+        done.append("pairs")
+    if due("best"):
+        best, seen = pairwise.best_matches(read("pairs")), Observation()
+        ties = F.count_if("tie_flag").alias("ties")
+        best.orderBy(F.col("best_concordance").desc_nulls_last(), "query").observe(seen, F.count(F.lit(1)).alias("queries"), ties).write.mode("overwrite").parquet(f"{root}/best")
+        audit.step("best matches", None, incremental.observed(seen, "queries"), f"{incremental.observed(seen, 'ties')} with ties")
+        sinks.write_tsv(read("best").orderBy(F.col("best_concordance").desc_nulls_last(), "query"), f"{root}/best_matches", "NA")
+        done.append("best")
+    if done:
+        outputs = [("dataset", f"{root}/{n}", d) for n, d in (("sites", "shared sites"), ("pairs", "all pairs, ranked"), ("best", "best and second match"))]
+        sinks.write_tsv(sinks.output_manifest(spark, [*outputs, ("report", f"{root}/best_matches", "best matches, surest first")]), f"{root}/output_manifest", "NA")
+        sinks.write_tsv(audit.frame(spark), f"{root}/audit", "NA")
+        sinks.write_tsv(sinks.manifest(spark, {"query": query_path, "truth": truth_path, "region": region or "", "signature": signature, "schema": incremental.SCHEMA_VERSION}), f"{root}/run_manifest", "NA")
+        delete(spark, f"{root}/_work")
+    return done

@@ -190,8 +190,8 @@ UNION ALL SELECT 'config', 'ALL', k, NULL, v FROM (VALUES {rows}) c(k, v)"""
 def _summary(spark: SparkSession, sf_dir: str, t: site_ops.Thresholds) -> DataFrame:
     i, truth = views.imputed_sites(spark, sf_dir), site_ops.site_filter(views.truth_sites(spark, sf_dir), t)
     joined = joins.isec(i, truth)
-    plain = joined.select("chrom", "side", *[F.col(f"{c}_truth").alias(c) for c in truth.columns if c not in joins.VARIANT])
-    return metrics.filter_summary(plain, joins.mismatches_of(joined), t, site_ops.filter_reasons(t))
+    plain = joined.select("chrom", "pos", "side", *[F.col(f"{c}_truth").alias(c) for c in truth.columns if c not in joins.VARIANT])
+    return metrics.filter_summary(plain, t, site_ops.filter_reasons(t))
 
 
 @query(_summary_sql(_FILTERED, _COUNTS, _SITE_COUNTS, _CONFIG))

@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import chunks, contigs, joins, metrics
+from ..operators import chunks, contigs, incremental, joins, metrics
 from ..operators.sites import Thresholds, assert_format, assert_reference, biallelic_snps, canonical_region, filter_reasons, in_region, site_filter
 from ..sources import vcf
-from ..sources.scratch import shared_folder
+from ..sources.scratch import children, shared_folder
 
 
 def evaluate(retained: DataFrame, t: Thresholds = Thresholds()) -> DataFrame:
@@ -35,41 +35,46 @@ class WgsResult:
     sample_stats: DataFrame
     filter_summary: DataFrame
     masking_summary: DataFrame
+    observed: dict[str, int] = field(default_factory=dict)
 
 
 @dataclass
 class Side:
-    """One input: raw site rows, the samples of their calls, and the files read."""
+    """One input: raw site rows, the samples of their calls, the files read, and its chromosomes where their names say them."""
 
     sites: DataFrame
     samples: DataFrame
     paths: list[str]
+    chroms: list[str] | None = None
 
 
 def vcf_side(spark: SparkSession, path: str) -> Side:
     return Side(vcf.read_vcf(spark, path), vcf.read_vcf_samples(spark, path), [path])
 
 
-def chunk_side(spark: SparkSession, folder: str) -> Side:
-    """Chunk files of a run, overlaps trimmed; their windows are in their names."""
-    files = f"{folder.rstrip('/')}/{{*,*/*}}.vcf.gz"
-    sites = vcf.read_chunk_dir(spark, folder)
-    windows = sites.groupBy("chunk_id").agg(F.first("chrom").alias("chrom"), F.first("chunk_start").alias("start"), F.first("chunk_end").alias("end"))
-    return Side(chunks.stitch_chunks(sites, windows).drop("chunk_id", "chunk_start", "chunk_end"), vcf.read_vcf_samples(spark, files), [files])
+def chunk_side(spark: SparkSession, folder: str, manifest: DataFrame | None = None) -> Side:
+    """Chunk files of a run, overlaps trimmed; windows come from their names. Chunks that ``manifest`` lists must be there."""
+    found = vcf.chunk_files(spark, folder)
+    if not found:
+        raise ValueError(f"{folder} has no chunk")
+    if manifest is not None:
+        chunks.assert_chunks(manifest, [f[1:4] + f[5:] for f in found])
+    windows = spark.createDataFrame([f[:4] for f in found], "chunk_id string, chrom string, start long, end long")
+    sites = chunks.stitch_chunks(vcf.read_chunks(spark, found), windows).drop("chunk_id")
+    return Side(sites, vcf.read_vcf_samples(spark, [f[4] for f in found]), [f[4] for f in found], sorted({contigs.canonical_name(f[1]) or f[1] for f in found}))
 
 
 def truth_side(spark: SparkSession, folder: str, suffix: str = "_consolidated.vcf.gz") -> Side:
-    """A file a chromosome."""
-    files = f"{folder.rstrip('/')}/*{suffix}"
-    return Side(vcf.read_truth_dir(spark, folder, suffix), vcf.read_vcf_samples(spark, files), [files])
+    """A file a chromosome; names say which."""
+    found = vcf.truth_files(spark, folder, suffix)
+    if not found:
+        raise ValueError(f"{folder} has no truth file")
+    paths = sorted(found.values())
+    return Side(vcf.read_vcf(spark, paths), vcf.read_vcf_samples(spark, paths), paths, sorted(found))
 
 
-def prepare_side(side: Side, path: str, what: str, samples: list[str], chroms: list[str] | None, region: str | None, truth: bool, bases: DataFrame | None = None) -> DataFrame:
-    """Sites of one side, stored under ``path``: canonical contigs, selection, biallelic SNPs, exact duplicates gone, calls in sample order.
-
-    Two contigs of one chromosome, records without GT, and (where ``bases`` is given) a REF that is not the reference
-    base raise.
-    """
+def store_side(side: Side, path: str, samples: list[str], chroms: list[str] | None, region: str | None, truth: bool, seen: Observation | None = None) -> DataFrame:
+    """Typed sites of one side under ``path``: canonical contigs, selection, calls in sample order. The only scan of its text."""
     sites = contigs.canonicalize(side.sites)
     if chroms:
         sites = contigs.restrict_contigs(sites, chroms)
@@ -77,7 +82,20 @@ def prepare_side(side: Side, path: str, what: str, samples: list[str], chroms: l
     sites = vcf.with_format_fields(sites, ["GT", "GQ", "DP"] if truth else ["GT"])
     if truth:
         sites = vcf.with_info(sites)
-    stored = vcf.ingest(sites.drop("calls", "info"), path)
+    return vcf.ingest(sites.drop("calls", "info"), path, seen)
+
+
+def stored_chroms(spark: SparkSession, path: str) -> list[str]:
+    """The chromosomes of a stored side, by its folders."""
+    return sorted(c.split("=", 1)[1] for c in children(spark, path) if c.startswith("CHROM_="))
+
+
+def checked_side(stored: DataFrame, what: str, bases: DataFrame | None = None) -> DataFrame:
+    """Biallelic SNPs of a stored side, exact duplicates gone.
+
+    Two contigs of one chromosome, records without GT, and (where ``bases`` is given) a REF that is not the reference
+    base raise.
+    """
     contigs.assert_one_contig(stored, what)
     assert_format(stored, "GT", what)
     snps = biallelic_snps(stored)
@@ -93,9 +111,9 @@ def results(joined: DataFrame, dimension: DataFrame, t: Thresholds) -> WgsResult
     pairs = kept.withColumn("x", metrics.imputed_dosages(F.col("imputed_gt"))).withColumn("y", metrics.mask_truth(F.col("truth_gt"), F.col("gq"), F.col("dp"), t))
     ids = [F.col("id_imputed").alias("id"), "id_truth"]
     mismatches = joins.mismatches_of(joined)
-    plain = joined.select("chrom", "side", *[F.col(f"{c}_truth").alias(c) for c in ("qual", "qd", "sor", "fs", "mq", "mq_rank_sum", "read_pos_rank_sum", "site_filter_pass")])
+    plain = joined.select("chrom", "pos", "side", *[F.col(f"{c}_truth").alias(c) for c in ("qual", "qd", "sor", "fs", "mq", "mq_rank_sum", "read_pos_rank_sum", "site_filter_pass")])
     stats = metrics.sample_stats(pairs)
-    counts = metrics.filter_counts(plain, mismatches, filter_reasons(t))
+    counts = metrics.filter_counts(plain, filter_reasons(t))
     masks = metrics.masking_counts(kept, dimension, t)
     return WgsResult(
         joined=joined,
@@ -123,20 +141,33 @@ def common(ours: DataFrame, theirs: DataFrame, samples: list[str] | None) -> lis
     return chosen
 
 
+def evaluate_stored(spark: SparkSession, ours: DataFrame, theirs: DataFrame, folder: str, chosen: list[str], t: Thresholds = Thresholds(), bases: DataFrame | None = None) -> WgsResult:
+    """Every table of an evaluation out of two stored sides; their join is stored under ``folder``. No exact match raises.
+
+    ``observed`` has the join's records by side, counted while it was written.
+    """
+    left, right = checked_side(ours, "imputed", bases), checked_side(theirs, "truth", bases)
+    joined = joins.isec(left, site_filter(right, t)).withColumnRenamed("gt_imputed", "imputed_gt").withColumnRenamed("gt_truth", "truth_gt").withColumnRenamed("gq_truth", "gq").withColumnRenamed("dp_truth", "dp")
+    seen = Observation()
+    joined.observe(seen, *[F.count_if(F.col("side") == s).alias(s) for s in ("matched", "imputed_only", "truth_only")]).write.mode("overwrite").parquet(f"{folder}/joined")
+    joined = spark.read.schema(joined.schema).parquet(f"{folder}/joined")
+    counts = {s: incremental.observed(seen, s) for s in ("matched", "imputed_only", "truth_only")}
+    if not counts["matched"]:
+        raise ValueError("no exact shared variant")
+    out = results(joined, spark.createDataFrame([(s, i) for i, s in enumerate(chosen)], "sample string, sample_idx int"), t)
+    out.observed = counts
+    return out
+
+
 def evaluate_sides(spark: SparkSession, imputed: Side, truth: Side, folder: str, samples: list[str] | None = None, chroms: list[str] | None = None, region: str | None = None, t: Thresholds = Thresholds(), bases: DataFrame | None = None) -> WgsResult:
     """Every table of an evaluation; both sides and their join are stored under ``folder``, so that text is read once.
 
-    All chromosomes go through the same jobs. A selection without an exact match raises.
+    All chromosomes go through the same jobs.
     """
     chosen, region = common(imputed.samples, truth.samples, samples), canonical_region(region, chroms)
-    ours = prepare_side(imputed, f"{folder}/imputed", "imputed", chosen, chroms, region, False, bases)
-    theirs = prepare_side(truth, f"{folder}/truth", "truth", chosen, chroms, region, True, bases)
-    joined = joins.isec(ours, site_filter(theirs, t)).withColumnRenamed("gt_imputed", "imputed_gt").withColumnRenamed("gt_truth", "truth_gt").withColumnRenamed("gq_truth", "gq").withColumnRenamed("dp_truth", "dp")
-    joined.write.mode("overwrite").parquet(f"{folder}/joined")
-    joined = spark.read.schema(joined.schema).parquet(f"{folder}/joined")
-    if joined.filter("side = 'matched'").isEmpty():
-        raise ValueError("no exact shared variant")
-    return results(joined, spark.createDataFrame([(s, i) for i, s in enumerate(chosen)], "sample string, sample_idx int"), t)
+    ours = store_side(imputed, f"{folder}/imputed", chosen, chroms, region, False)
+    theirs = store_side(truth, f"{folder}/truth", chosen, chroms, region, True)
+    return evaluate_stored(spark, ours, theirs, folder, chosen, t, bases)
 
 
 def evaluate_vcf(spark: SparkSession, imputed_path: str, truth_path: str, samples: list[str] | None = None, region: str | None = None, t: Thresholds = Thresholds(), bases: DataFrame | None = None) -> WgsResult:

@@ -38,3 +38,40 @@ def has_content(spark: SparkSession, path: str) -> bool:
 def delete(spark: SparkSession, path: str) -> None:
     hadoop, fs = _file(spark, path)
     fs.delete(hadoop, True)
+
+
+def input_files(spark: SparkSession, paths: str | list[str]) -> list[tuple[str, int]]:
+    """(path, length) of the files that paths, patterns and folders name, by path; contents are not read."""
+    out = {}
+    for p in [paths] if isinstance(paths, str) else paths:
+        path, fs = _file(spark, p)
+        for found in fs.globStatus(path) or []:
+            for x in fs.listStatus(found.getPath()) if found.isDirectory() else [found]:
+                if not x.isDirectory() and x.getPath().getName()[0] not in "_.":
+                    out[x.getPath().toString()] = x.getLen()
+    return sorted(out.items())
+
+
+def head_bytes(spark: SparkSession, path: str, count: int) -> bytes:
+    hadoop, fs = _file(spark, path)
+    stream = fs.open(hadoop)
+    try:
+        return bytes(stream.readNBytes(count))
+    finally:
+        stream.close()
+
+
+def first_line(spark: SparkSession, path: str, prefix: str, before: str) -> str | None:
+    """The first line with ``prefix``, among the lines at the head of a text that start with ``before``; nothing after them is read."""
+    hadoop, fs = _file(spark, path)
+    java = spark.sparkContext._jvm.java
+    stream = fs.open(hadoop)
+    try:
+        text = java.util.zip.GZIPInputStream(stream) if path.endswith(".gz") else stream
+        lines = java.io.BufferedReader(java.io.InputStreamReader(text, "UTF-8"))
+        while (line := lines.readLine()) is not None and line.startswith(before):
+            if line.startswith(prefix):
+                return line
+        return None
+    finally:
+        stream.close()

@@ -27,9 +27,12 @@ def wide_calls(long: DataFrame, samples: list[str], value: str) -> DataFrame:
 
 
 def write_ab(arrays: DataFrame, samples: list[str], path: str, column: str = "ab") -> None:
-    """A/B table of an array column: five site columns, then a column a sample."""
-    cols = [F.col(column)[i].alias(s) for i, s in enumerate(samples)]
-    write_tsv(arrays.select(F.col("chrom").alias("CHROM"), F.col("pos").alias("POS"), F.col("ref").alias("REF"), F.col("alt").alias("ALT"), F.col("id").alias("ID"), *cols), path, one_file=False)
+    """A/B table of an array column: five site columns, then a column a sample; a row is one joined text, however many samples."""
+    text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
+    row = F.concat_ws("\t", text("chrom"), text("pos"), text("ref"), text("alt"), text("id"), F.array_join(column, "\t", ""))
+    head = "\t".join(["CHROM", "POS", "REF", "ALT", "ID", *samples])
+    # One column whose name is the header line; the separator does not occur.
+    arrays.select(row.alias("row")).toDF(head).write.mode("overwrite").option("sep", "\u0001").option("header", True).option("quote", "\u0000").option("emptyValue", "").csv(path)
 
 
 def write_calls(sites: DataFrame, path: str) -> None:

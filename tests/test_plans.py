@@ -10,7 +10,7 @@ from test_wgs import vcfs  # noqa: F401
 from genoeval.operators.sites import Thresholds
 from genoeval.plans.array import evaluate_array, match_samples, run_array
 from genoeval.plans.panel import prepare_panel
-from genoeval.plans.run import run_wgs
+from genoeval.plans.run import dataset, run_wgs
 from genoeval.plans.wgs import evaluate_vcf
 from genoeval.sources import files
 
@@ -59,18 +59,30 @@ def table(spark, path):
     return spark.read.option("sep", "\t").option("header", True).csv(path)
 
 
+def newest(root, chrom):
+    """The version that holds a chromosome."""
+    return max(v for v in os.listdir(f"{root}/versions") if os.path.isdir(f"{root}/versions/{v}/variant_metrics/CHROM={chrom}"))
+
+
+def text_scans(spark, since, *paths):
+    """How many executed plans read text, or block-gzipped text, of each path."""
+    store = spark._jsparkSession.sharedState().statusStore()
+    plans = [store.executionsList().apply(i).physicalPlanDescription() for i in range(since, store.executionsCount())]
+    return [sum(p in plan and ("Scan text" in plan or "bgzf_lines" in plan) for plan in plans) for p in paths]
+
+
 def test_resumed_run(spark, vcfs, tmp_path):  # noqa: F811
     root = str(tmp_path / "out")
     os.makedirs(root)
     assert run_wgs(spark, *vcfs, root, ["Chr01"]) == ["Chr01"]
     assert run_wgs(spark, *vcfs, root, ["Chr01", "Chr02"]) == ["Chr02"]
     assert run_wgs(spark, *vcfs, root) == []
-    assert files.read_metrics(spark, root, "variant_metrics").filter("CHROM = 'Chr02'").count() == 3
+    assert dataset(spark, root, "variant_metrics").filter("CHROM = 'Chr02'").count() == 3
     # A file of one chromosome is lost: only that chromosome is made again.
-    folder = f"{root}/variant_metrics/CHROM=Chr02"
+    folder = f"{root}/versions/{newest(root, 'Chr02')}/variant_metrics/CHROM=Chr02"
     os.remove(next(os.path.join(folder, f) for f in os.listdir(folder) if f.endswith(".parquet")))
     assert run_wgs(spark, *vcfs, root) == ["Chr02"]
-    assert files.read_metrics(spark, root, "variant_metrics").filter("CHROM = 'Chr02'").count() == 3
+    assert dataset(spark, root, "variant_metrics").filter("CHROM = 'Chr02'").count() == 3
     with pytest.raises(ValueError):
         run_wgs(spark, *vcfs, root, ["Chr01"], t=Thresholds(gq=1))
     assert run_wgs(spark, *vcfs, root, ["Chr01", "Chr02"], t=Thresholds(gq=1), force=True) == ["Chr01", "Chr02"]
@@ -79,7 +91,9 @@ def test_resumed_run(spark, vcfs, tmp_path):  # noqa: F811
 
 def test_outputs_of_a_run(spark, vcfs, tmp_path):  # noqa: F811
     root = str(tmp_path / "out")
+    since = spark._jsparkSession.sharedState().statusStore().executionsCount()
     assert run_wgs(spark, *vcfs, root) == ["Chr01", "Chr02"]
+    assert text_scans(spark, since, *vcfs) == [1, 1]
     direct = evaluate_vcf(spark, *vcfs)
     samples = table(spark, f"{root}/per_sample_metrics")
     assert samples.columns[:4] == ["sample", "r_overall", "r2_overall", "n_variants"] and samples.columns[-3:] == ["r_maf_[0.4,0.5]", "r2_maf_[0.4,0.5]", "n_maf_[0.4,0.5]"] and len(samples.columns) == 19
@@ -88,10 +102,33 @@ def test_outputs_of_a_run(spark, vcfs, tmp_path):  # noqa: F811
     assert got == {(r["section"], r["chromosome"], r["reason"]): (str(r["count"]) if r["count"] is not None else "NA", r["value"] or "NA") for r in direct.filter_summary.collect()}
     assert table(spark, f"{root}/qc/genotype_masking_summary").count() == direct.masking_summary.count()
     kept = {r["key"]: r["value"] for r in table(spark, f"{root}/run_manifest").collect()}
-    assert kept["min_gq"] == "60" and kept["imputed"] == vcfs[0] and kept["output_variant_metrics"] == f"{root}/variant_metrics"
+    assert kept["min_gq"] == "60" and kept["imputed"] == vcfs[0] and kept["output_variant_metrics"] == "variant_metrics" and kept["outputs"] == f"{root}/versions"
     assert table(spark, f"{root}/output_manifest").count() == 11
     assert {r["step"]: (r["count_before"], r["count_after"]) for r in table(spark, f"{root}/audit").collect()}["matched sites retained"] == ("15", "13")
-    assert files.read_metrics(spark, root, "site_filtered").filter("site_filter_pass").isEmpty()
+    assert dataset(spark, root, "site_filtered").filter("site_filter_pass").isEmpty()
+
+
+def test_runs_without_rows_of_a_kind(spark, tmp_path):
+    """No failing site, no mismatch, no site of one side only; then the filter off: each such dataset is empty, and resumes."""
+    head = ["##fileformat=VCFv4.2", "#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO\tFORMAT\ts1\ts2\ts3"]
+    calls = (["0|0", "0|1", "1|1"], ["0|1", "1|1", "0|0"])
+    ours = [f"Chr01\t{p}\tv\tA\tC\t.\tPASS\t.\tGT\t" + "\t".join(c) for p, c in zip((10, 20), calls)]
+    theirs = [f"Chr01\t{p}\tt\tA\tC\t{q}\tPASS\tQD=10;MQ=60\tGT:GQ:DP\t" + "\t".join(f"{x}:99:20" for x in c) for p, c, q in zip((10, 20), calls, (100, 100))]
+    bad = [x.replace("\t100\t", "\t1\t") for x in theirs]
+    for name, lines in (("i", ours), ("t", theirs), ("b", bad)):
+        (tmp_path / name).write_text("\n".join(head + lines) + "\n")
+    for name, t in (("t", Thresholds()), ("b", Thresholds(enabled=False))):
+        root = str(tmp_path / f"out-{name}")
+        assert run_wgs(spark, str(tmp_path / "i"), str(tmp_path / name), root, t=t) == ["Chr01"]
+        assert run_wgs(spark, str(tmp_path / "i"), str(tmp_path / name), root, t=t) == []
+        assert {n: dataset(spark, root, n).count() for n in ("site_filtered", "imputed_only", "truth_only", "allele_mismatches", "variant_metrics")} == {"site_filtered": 0, "imputed_only": 0, "truth_only": 0, "allele_mismatches": 0, "variant_metrics": 2}
+        assert table(spark, f"{root}/per_sample_metrics").count() == 3
+    # A run that dies while it writes leaves the published state as it is, and an unfinished manifest is not followed.
+    os.makedirs(f"{root}/versions/00000002/variant_metrics/CHROM=Chr01")
+    os.makedirs(f"{root}/manifests/00000002")
+    assert dataset(spark, root, "variant_metrics").count() == 2
+    assert run_wgs(spark, str(tmp_path / "i"), str(tmp_path / "b"), root, t=Thresholds(enabled=False), force=True) == ["Chr01"]
+    assert dataset(spark, root, "variant_metrics").count() == 2
 
 
 def test_chunks_and_truth_folder(spark, vcfs, tmp_path):  # noqa: F811
@@ -110,7 +147,7 @@ def test_chunks_and_truth_folder(spark, vcfs, tmp_path):  # noqa: F811
     root = str(tmp_path / "out")
     assert run_wgs(spark, None, None, root, samples=["S1", "S2", "S3"], chunks_dir=str(tmp_path / "chunks"), truth_dir=str(tmp_path / "truth")) == ["Chr01", "Chr02"]
     rows = lambda df, c: sorted((r[c], r["pos"], r["ref"], r["alt"], r["n_pairs"]) for r in df.collect())
-    assert rows(files.read_metrics(spark, root, "variant_metrics"), "CHROM") == rows(evaluate_vcf(spark, *vcfs, samples=["S1", "S2", "S3"]).variant_metrics, "chrom")
+    assert rows(dataset(spark, root, "variant_metrics"), "CHROM") == rows(evaluate_vcf(spark, *vcfs, samples=["S1", "S2", "S3"]).variant_metrics, "chrom")
     with pytest.raises(ValueError):
         run_wgs(spark, vcfs[0], None, root)
     # Another truth file for one chromosome makes that one stale, and it alone.
