@@ -4,6 +4,7 @@ A rule is a regex with a label and a priority; it runs only on texts that hold t
 Keywords are read off the parsed regexes, so the prefilter loses nothing, and one automaton finds them all in a pass.
 Detections are intervals of the text. One that lies within an interval of higher priority (or of the same
 priority, where longer or earlier) is suppressed, so "GNU Lesser General Public License" is not also a GPL.
+SPDX tags are read as expressions, all their identifiers count. A family's label goes where a member's is in the text.
 The three base phrases are word sequences whose labels always stay.
 """
 
@@ -68,6 +69,14 @@ def _needs(parsed, head: bytes = b"", least: int = 3) -> Needs:
     return ((frozenset(literals),), *clauses) if literals else tuple(clauses)
 
 
+#: Labels that say less than others: a family goes where one of its members, by its beginning, is in the same text.
+FAMILIES = {"bsd": ("bsd-",), "gpl": ("gpl-2", "gpl-3", "agpl", "lgpl"), "lgpl": ("lgpl-",), "agpl": ("agpl-",), "mpl": ("mpl-",), "epl": ("epl-",), "apache": ("apache-",), "cc": ("cc-", "cc0"), "all-rights-reserved": ("",)}
+#: SPDX exceptions that are labels of their own.
+EXCEPTIONS = ((re.compile(rb"llvm-exception"), "llvm-exception"), (re.compile(rb"classpath-exception-2\.0"), "gpl-classpath"), (re.compile(rb"font-exception-2\.0"), "gpl-font"), (re.compile(rb"bison-exception-2\.2"), "gpl-bison"), (re.compile(rb"autoconf-exception-[23]\.0"), "gpl-autoconf"))
+_TAG = re.compile(rb"spdx-license-identifier:[ \t]*")
+_TERM = re.compile(rb"[ \t(]*([a-z0-9][a-z0-9.+-]*)[ \t)]*")
+
+
 @dataclass(frozen=True)
 class Rule:
     label: str
@@ -78,26 +87,31 @@ class Rule:
 
 
 # Names by license: label, SPDX identifiers, how prose names it (regexes over lower-cased text).
-_V = rb"(?:,? ?v(?:ersion)?\.? ?%s(?:\.0)?)"
+def _version(number: bytes) -> bytes:
+    """How prose gives a version: v2, version 2, version 2.0, or 2.0 alone."""
+    return rb"(?:,? ?v(?:ersion)?\.? ?" + number + rb"(?:\.0)?| " + number + (rb"" if b"." in number else rb"\.0") + rb")"
+
+
 NAMES: tuple[tuple[str, tuple[bytes, ...], tuple[bytes, ...]], ...] = (
     ("mit", (rb"mit", rb"x11"), (rb"(?:the )?mit/?(?:x11)? licen[cs]e", rb"expat licen[cs]e")),
     ("mit-0", (rb"mit-0",), (rb"mit no attribution",)),
     ("apache-1.1", (rb"apache-1\.1",), (rb"apache (?:software )?licen[cs]e,? ?v(?:ersion)?\.? ?1\.1",)),
-    ("apache-2.0", (rb"apache-2\.0",), (rb"apache (?:software )?licen[cs]e" + _V % b"2", rb"apache 2\.0")),
-    ("gpl-2.0", (rb"gpl-2\.0(?:-only|-or-later|\+)?",), (rb"gnu general public licen[cs]e" + _V % b"2", rb"gpl ?v?2")),
-    ("gpl-3.0", (rb"gpl-3\.0(?:-only|-or-later|\+)?",), (rb"gnu general public licen[cs]e" + _V % b"3", rb"gpl ?v?3")),
-    ("lgpl-2.1", (rb"lgpl-2\.[01](?:-only|-or-later|\+)?",), (rb"gnu (?:lesser|library) general public licen[cs]e" + _V % b"2", rb"lgpl ?v?2")),
-    ("lgpl-3.0", (rb"lgpl-3\.0(?:-only|-or-later|\+)?",), (rb"gnu lesser general public licen[cs]e(?:" + _V % b"3" + rb")?", rb"lgpl ?v?3")),
-    ("agpl-3.0", (rb"agpl-3\.0(?:-only|-or-later|\+)?",), (rb"gnu affero general public licen[cs]e(?:" + _V % b"3" + rb")?", rb"agpl ?v?3")),
+    ("apache-2.0", (rb"apache-2\.0",), (rb"apache (?:software )?licen[cs]e" + _version(b"2"), rb"apache 2\.0")),
+    ("gpl-2.0", (rb"gpl-2\.0(?:-only|-or-later|\+)?",), (rb"gnu general public licen[cs]e" + _version(b"2"), rb"gpl ?v?2(?:\.0)?")),
+    ("gpl-3.0", (rb"gpl-3\.0(?:-only|-or-later|\+)?",), (rb"gnu general public licen[cs]e" + _version(b"3"), rb"gpl ?v?3(?:\.0)?")),
+    ("lgpl-2.0", (rb"lgpl-2\.0(?:-only|-or-later|\+)?",), (rb"gnu (?:lesser|library) general public licen[cs]e" + _version(b"2"), rb"lgpl ?v?2(?:\.0)?")),
+    ("lgpl-2.1", (rb"lgpl-2\.1(?:-only|-or-later|\+)?",), (rb"gnu (?:lesser|library) general public licen[cs]e" + _version(rb"2\.1"), rb"lgpl ?v?2\.1")),
+    ("lgpl-3.0", (rb"lgpl-3\.0(?:-only|-or-later|\+)?",), (rb"gnu lesser general public licen[cs]e" + _version(b"3"), rb"lgpl ?v?3(?:\.0)?")),
+    ("agpl-3.0", (rb"agpl-3\.0(?:-only|-or-later|\+)?",), (rb"gnu affero general public licen[cs]e" + _version(b"3"), rb"agpl ?v?3(?:\.0)?")),
     ("gfdl", (rb"gfdl-1\.[123](?:-only|-or-later)?",), (rb"gnu free documentation licen[cs]e",)),
     ("bsd-2-clause", (rb"bsd-2-clause",), (rb"(?:2|two)[- ]clause bsd", rb"simplified bsd licen[cs]e", rb"freebsd licen[cs]e")),
     ("bsd-3-clause", (rb"bsd-3-clause",), (rb"(?:3|three)[- ]clause bsd", rb"(?:new|modified|revised) bsd licen[cs]e")),
     ("bsd-4-clause", (rb"bsd-4-clause",), (rb"(?:4|four)[- ]clause bsd", rb"original bsd licen[cs]e")),
     ("0bsd", (rb"0bsd",), (rb"zero[- ]clause bsd", rb"bsd zero clause")),
-    ("mpl-1.1", (rb"mpl-1\.1",), (rb"mozilla public licen[cs]e" + _V % rb"1\.1",)),
-    ("mpl-2.0", (rb"mpl-2\.0",), (rb"mozilla public licen[cs]e(?:" + _V % b"2" + rb")?",)),
-    ("epl-1.0", (rb"epl-1\.0",), (rb"eclipse public licen[cs]e" + _V % b"1",)),
-    ("epl-2.0", (rb"epl-2\.0",), (rb"eclipse public licen[cs]e(?:" + _V % b"2" + rb")?",)),
+    ("mpl-1.1", (rb"mpl-1\.1",), (rb"mozilla public licen[cs]e" + _version(rb"1\.1"), rb"mpl ?v?1\.1")),
+    ("mpl-2.0", (rb"mpl-2\.0",), (rb"mozilla public licen[cs]e" + _version(b"2"), rb"mpl ?v?2(?:\.0)?")),
+    ("epl-1.0", (rb"epl-1\.0",), (rb"eclipse public licen[cs]e" + _version(b"1"), rb"epl ?v?1(?:\.0)?")),
+    ("epl-2.0", (rb"epl-2\.0",), (rb"eclipse public licen[cs]e" + _version(b"2"), rb"epl ?v?2(?:\.0)?")),
     ("cddl-1.0", (rb"cddl-1\.[01]",), (rb"common development and distribution licen[cs]e",)),
     ("cpl-1.0", (rb"cpl-1\.0",), (rb"common public licen[cs]e",)),
     ("eupl", (rb"eupl-1\.[12]",), (rb"european union public licen[cs]e",)),
@@ -137,8 +151,9 @@ SIGNATURES: tuple[tuple[int, str, bytes], ...] = (
     (60, "isc", rb"permission to use, copy, modify, and(?:/or)? distribute this software for any purpose with or without fee"),
     (60, "isc", rb"the software is provided \W{0,2}as is\W{0,2} and (?:the author|isc) disclaims all warranties with regard to this software"),
     (60, "hpnd", rb"permission to use, copy, modify,? and distribute this software and its documentation for any purpose"),
-    (60, "ntp", rb"permission to use, copy, modify, and distribute this software .{0,80}?with or without fee is hereby granted, provided"),
-    (60, "bsd-2-clause", rb"redistribution and use in source and binary forms, with or without modification"),
+    (60, "ntp", rb"permission to use, copy, modify, and distribute this software and its documentation .{0,40}?with or without fee is hereby granted, provided"),
+    (60, "bsd", rb"redistribution and use in source and binary forms, with or without modification"),
+    (60, "bsd-2-clause", rb"other materials provided with the distribution\.\W{0,8}this software is provided by"),
     (60, "bsd", rb"redistributions of source code must retain the above copyright notice, this list of conditions"),
     (60, "bsd", rb"redistributions in binary form must reproduce the above copyright notice, this list of conditions"),
     (60, "bsd-3-clause", rb"neither the name of .{1,80}? may be used to endorse or promote products"),
@@ -158,23 +173,27 @@ SIGNATURES: tuple[tuple[int, str, bytes], ...] = (
     (60, "gpl", rb"you can redistribute it and/or modify it under the terms of the gnu general public licen[cs]e"),
     (60, "gpl", rb"you should have received a copy of the gnu general public licen[cs]e"),
     (60, "gpl", rb"see the gnu general public licen[cs]e for more details"),
-    (60, "gpl-2.0", rb"either version 2 of the licen[cs]e, or \(at your option\) any later version"),
-    (60, "gpl-3.0", rb"either version 3 of the licen[cs]e, or \(at your option\) any later version"),
+    (60, "gpl-2.0", rb"gnu general public licen[cs]e as published by the free software foundation[,;] (?:either )?version 2 of the licen[cs]e"),
+    (60, "gpl-3.0", rb"gnu general public licen[cs]e as published by the free software foundation[,;] (?:either )?version 3 of the licen[cs]e"),
+    (60, "lgpl-2.0", rb"gnu (?:lesser|library) general public licen[cs]e as published by the free software foundation[,;] (?:either )?version 2 of the licen[cs]e"),
+    (60, "lgpl-2.1", rb"gnu lesser general public licen[cs]e as published by the free software foundation[,;] (?:either )?version 2\.1 of the licen[cs]e"),
+    (60, "lgpl-3.0", rb"gnu lesser general public licen[cs]e as published by the free software foundation[,;] (?:either )?version 3 of the licen[cs]e"),
+    (60, "agpl-3.0", rb"gnu affero general public licen[cs]e as published by the free software foundation[,;] (?:either )?version 3 of the licen[cs]e"),
     (60, "gpl-3.0", rb"gnu general public licen[cs]e .{0,40}?version 3, 29 june 2007"),
+    (60, "lgpl-3.0", rb"gnu lesser general public licen[cs]e .{0,40}?version 3, 29 june 2007"),
     (60, "gpl-2.0", rb"gnu general public licen[cs]e .{0,40}?version 2, june 1991"),
     (60, "gpl", rb"the licenses for most software are designed to take away your freedom to share and change it"),
     (60, "lgpl", rb"under the terms of the gnu (?:lesser|library) general public licen[cs]e"),
     (60, "lgpl", rb"you should have received a copy of the gnu (?:lesser|library) general public licen[cs]e"),
     (60, "lgpl", rb"see the gnu (?:lesser|library) general public licen[cs]e for more details"),
-    (60, "lgpl-2.1", rb"either version 2\.1 of the licen[cs]e, or \(at your option\) any later version"),
     (60, "lgpl-2.1", rb"version 2\.1, february 1999"),
-    (60, "agpl-3.0", rb"under the terms of the gnu affero general public licen[cs]e"),
+    (60, "agpl", rb"under the terms of the gnu affero general public licen[cs]e"),
     (60, "agpl-3.0", rb"version 3, 19 november 2007"),
     (60, "gpl-classpath", rb"linking this (?:library|software) statically or dynamically with other modules"),
     (60, "gpl-font", rb"as a special exception, if you create a document which uses this font"),
     (60, "gpl-bison", rb"as a special exception, you may create a larger work that contains part or all of the bison parser skeleton"),
     (60, "gpl-autoconf", rb"as a special exception to the gnu general public licen[cs]e, if you distribute this file as part of a program"),
-    (60, "llvm-exception", rb"llvm exceptions? to the apache 2\.0 licen[cs]e|apache-2\.0 with llvm-exception"),
+    (60, "llvm-exception", rb"llvm exceptions? to the apache 2\.0 licen[cs]e"),
     (60, "gfdl", rb"permission is granted to copy, distribute and/or modify this document under the terms of the gnu free documentation"),
     (60, "mpl-2.0", rb"this source code form is subject to the terms of the mozilla public licen[cs]e"),
     (60, "mpl-1.1", rb"the contents of this file are subject to the mozilla public licen[cs]e version 1\.1"),
@@ -219,7 +238,7 @@ SIGNATURES: tuple[tuple[int, str, bytes], ...] = (
     (55, "gpl", rb"gnu\.org/(?:licenses|copyleft)/(?:old-licenses/)?gpl"),
     (55, "lgpl", rb"gnu\.org/(?:licenses|copyleft)/(?:old-licenses/)?lgpl"),
     (55, "gfdl", rb"gnu\.org/(?:licenses|copyleft)/fdl"),
-    (55, "agpl-3.0", rb"gnu\.org/licenses/agpl"),
+    (55, "agpl", rb"gnu\.org/licenses/agpl"),
     (55, "mpl-2.0", rb"mozilla\.org/(?:[a-z-]+/)?mpl/2\.0"),
     (55, "mpl-1.1", rb"mozilla\.org/mpl/mpl-1\.1"),
     (55, "mit", rb"opensource\.org/licen[cs]es?/mit"),
@@ -279,9 +298,11 @@ SIGNATURES: tuple[tuple[int, str, bytes], ...] = (
     (45, "dual", rb"dual[- ]licen[cs]ed"),
     (25, "gpl", rb"gnu general public licen[cs]e|gnu gpl|gpl"),
     (25, "lgpl", rb"gnu (?:lesser|library) general public licen[cs]e|gnu lgpl|lgpl"),
-    (25, "agpl-3.0", rb"gnu agpl|agpl"),
+    (25, "agpl", rb"gnu affero general public licen[cs]e|gnu agpl|agpl"),
     (25, "bsd", rb"bsd licen[cs]e|bsd[- ]style"),
-    (25, "mpl-2.0", rb"mpl"),
+    (25, "mpl", rb"mozilla public licen[cs]e|mpl"),
+    (25, "epl", rb"eclipse public licen[cs]e|epl"),
+    (25, "apache", rb"apache (?:software )?licen[cs]e"),
     (25, "cc", rb"creative commons"),
     (25, "eupl", rb"eupl"),
     (25, "open-source", rb"osi[- ]approved licen[cs]e"),
@@ -304,7 +325,6 @@ def _rules() -> tuple[Rule, ...]:
     for label, tags, names in NAMES:
         tag, name = b"(?:" + b"|".join(tags) + b")", b"(?:" + b"|".join(names) + b")"
         for priority, weight, pattern in (
-            (60, 0.99, rb"spdx-license-identifier: ?\(?" + tag),
             (50, 0.95, rb"\"?licen[cs]e\"? ?[:=] ?[\"'\[]*" + tag + rb"[\"'\]]"),
             (40, 0.9, rb"(?:licen[cs]ed|released|distributed|available|provided|published) under (?:the )?(?:terms of )?(?:the )?(?:" + name + rb"|" + tag + rb"(?= licen))"),
             (35, 0.85, rb"dual[- ]licen[cs]ed under (?:the )?" + name),
@@ -325,6 +345,36 @@ KEYWORDS = tuple(sorted({x for r in RULES for group in r.keywords for x in group
 _BASE = tuple((re.compile(rb"(?<!" + _W + rb")" + phrase.replace(b" ", _GAP) + rb"(?!" + _W + rb")"), phrase.split()[-1], label) for phrase, label in BASE)
 
 
+_IDENTIFIERS = tuple((re.compile(b"|".join(tags)), label) for label, tags, _ in NAMES) + EXCEPTIONS
+
+
+def expressions(low: bytes) -> list[tuple[int, int, str]]:
+    """(start, end, label) of every identifier of the SPDX expressions of a text: terms joined by OR, AND and WITH, with parentheses.
+
+    A line's expression ends where two terms follow each other without a word between them. Identifiers that are not
+    known have no label.
+    """
+    out = []
+    for tag in _TAG.finditer(low):
+        at, joined = tag.end(), True
+        while m := _TERM.match(low, at):
+            word = m[1].rstrip(b".")
+            if word in (b"or", b"and", b"with"):
+                joined = True
+            elif not joined:
+                break
+            else:
+                joined = False
+                out += [(m.start(1), m.start(1) + len(word), label) for pattern, label in _IDENTIFIERS if pattern.fullmatch(word)]
+            at = m.end()
+    return out
+
+
+def specific(labels: set[str]) -> set[str]:
+    """Without families of which a member is there."""
+    return {x for x in labels if x not in FAMILIES or not any(y != x and y.startswith(FAMILIES[x]) for y in labels)}
+
+
 @lru_cache(1)
 def _finder() -> ahocorasick.Automaton:
     """Finds all keywords in one pass; bytes are read as Latin-1, a character each."""
@@ -345,6 +395,7 @@ def detect(low: bytes, prefilter: bool = True) -> list[tuple[int, int, str, floa
     """Detections (start, end, label, weight) that no other one suppresses, in order of the text."""
     rules = _possible(frozenset(k for _, k in _finder().iter(low.decode("latin-1")))) if prefilter else RULES
     found = [(m.start(), m.end(), r) for r in rules for m in r.pattern.finditer(low) if m.end() > m.start()]
+    found += [(start, end, Rule(label, 60, 0.99, (), _TAG)) for start, end, label in expressions(low)]
     # Whatever lies around a detection starts no later: one pass by start, with the furthest end of each priority so far.
     found.sort(key=lambda x: (x[0], -x[1], -x[2].priority))
     kept: list[tuple[int, int, str, float]] = []
@@ -369,7 +420,7 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             at = np.searchsorted(own, np.array([p for p, _ in places], np.int64) + a) if places else None
             base = {label for _, label in places}
             found = detect(text)
-            labels = base | {x[2] for x in found}
+            labels = base | specific({x[2] for x in found})
             score = max([0.8 * bool(places), *(x[3] for x in found)])
             out.append((len(own), len(places), int(at.min()) if places else None, int(at.max()) if places else None, ",".join(sorted(base)), ",".join(sorted(labels)), score, [{"start": s, "end": e, "label": n} for s, e, n, _ in found]))
         cols = list(zip(*out, strict=True))
