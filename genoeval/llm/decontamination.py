@@ -1,10 +1,12 @@
-"""Benchmark decontamination by winnowed fingerprints.
-
-Both sides hash every ``GRAM`` consecutive words and keep the least hash of each run of ``window - GRAM + 1``
-grams, so two texts that share ``window`` consecutive words keep the same fingerprint in the same place of
-that span. Documents keep only fingerprints that a filter of fixed size does not rule out, at any size of either
-table. Fingerprints are joined; a hit is extended to the ``window`` words around it, whose 128-bit key
-must be equal too. Items with fewer words than a window are one window, matched by their own length.
+"""Benchmark decontamination by winnowing.
+
+Both sides hash every ``GRAM`` consecutive words and keep, of each run of ``window - GRAM + 1`` grams, the least (the leftmost
+of equal ones), each place once. Two texts that share ``window`` consecutive words keep the same fingerprint in
+the same place of that span, so no shared span is missed. Documents drop fingerprints that a filter of fixed size
+rules out; the others are joined to the benchmark's on the fingerprint alone. A hit is then extended to the windows that
+chose it, up to ``window - GRAM`` words to either side, whose 128-bit keys must be equal too. Neither join
+multiplies: both meet distinct fingerprints and distinct windows. Items with fewer words than a window are one
+window, matched by their own length.
 """
 
 from __future__ import annotations
@@ -21,66 +23,74 @@ from .common import MAX_SLICE, Scratch, Words, bit_filter, list_array, may_be_in
 
 WINDOW, GRAM = 10, 5
 
-_CANDIDATE = pa.struct([("fp", pa.int64()), ("k1", pa.int64()), ("k2", pa.int64()), ("pos", pa.int64()), ("len", pa.int32())])
+_WINDOW = pa.struct([("pos", pa.int64()), ("k1", pa.int64()), ("k2", pa.int64())])
+_FINGERPRINT = pa.struct([("fp", pa.int64()), ("len", pa.int32()), ("windows", pa.list_(_WINDOW))])
 
 
-def _windows(words: Words, hashes: np.ndarray, window: int) -> tuple[np.ndarray, ...]:
-    """Every whole window: (text, first word, fingerprint, two keys)."""
+def _winnowed(words: Words, hashes: np.ndarray, window: int) -> tuple[np.ndarray, ...]:
+    """Every whole window: (text, first word, the gram it chooses, that gram's hash, two keys)."""
     g = run_hashes(hashes, GRAM)
-    per_text = np.maximum(np.diff(words.of) - window + 1, 0)
-    owner, at = ranges(per_text)
+    owner, at = ranges(np.maximum(np.diff(words.of) - window + 1, 0))
     first = words.of[owner] + at
-    # The least gram of each window; the leftmost of equal ones has the same hash, so the value is enough.
-    low = g[: max(0, len(g) - (window - GRAM))].copy()
+    chosen = first.copy()
     for d in range(1, window - GRAM + 1):
-        np.minimum(low, g[d : d + len(low)], out=low)
-    return owner, at, low[first], run_hashes(hashes, window, 1)[first], run_hashes(hashes, window, 2)[first]
+        chosen = np.where(g[first + d] < g[chosen], first + d, chosen)
+    return owner, at, chosen, g[chosen], run_hashes(hashes, window, 1)[first], run_hashes(hashes, window, 2)[first]
 
 
 def _short(words: Words, hashes: np.ndarray, n: int, whole: bool) -> tuple[np.ndarray, ...]:
-    """Runs of ``n`` words: all of them, or only texts that have exactly ``n``."""
+    """Runs of ``n`` words, too short to be winnowed: all of them, or only texts that have exactly ``n``."""
     size = np.diff(words.of)
     owner, at = ranges((size == n).astype(int) if whole else np.maximum(size - n + 1, 0))
     first = words.of[owner] + at
     k1, k2 = run_hashes(hashes, n, 1)[first], run_hashes(hashes, n, 2)[first]
-    return owner, at, k1, k1, k2
+    return owner, at, first, k1, k1, k2
 
 
 def _candidates(window: int, items: bool, lengths: tuple[int, ...], wanted: Broadcast | None):
-    """A mapInArrow function: (id, n_words, candidates) by row."""
+    """A mapInArrow function: (id, n_words, fingerprints) by row; a fingerprint has the windows that chose it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, data, offsets in text_slices(batches, most=MAX_SLICE):
             words = Words(data, offsets)
             hashes = words.hashes()
-            parts = [(*_windows(words, hashes, window), window)]
+            parts = [(*_winnowed(words, hashes, window), window)]
             parts += [(*_short(words, hashes, n, items), n) for n in (range(1, window) if items else lengths)]
             found = []
-            for owner, at, fp, k1, k2, n in parts:
+            for owner, at, chosen, fp, k1, k2, n in parts:
                 if wanted is not None:
                     keep = may_be_in(wanted, fp)
-                    owner, at, fp, k1, k2 = owner[keep], at[keep], fp[keep], k1[keep], k2[keep]
-                found.append((owner, at, fp, k1, k2, np.full(len(fp), n, np.int32)))
-            owner, at, fp, k1, k2, n = (np.concatenate(x) for x in zip(*found, strict=True))
-            order = np.argsort(owner, kind="stable")
-            flat = pa.StructArray.from_arrays([pa.array(signed(fp[order])), pa.array(signed(k1[order])), pa.array(signed(k2[order])), pa.array(at[order]), pa.array(n[order])], fields=list(_CANDIDATE))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.diff(words.of)), list_array(flat, np.bincount(owner, minlength=batch.num_rows))], names=["id", "n_words", "found"])
+                    owner, at, chosen, fp, k1, k2 = owner[keep], at[keep], chosen[keep], fp[keep], k1[keep], k2[keep]
+                found.append((owner, at, chosen, fp, k1, k2, np.full(len(fp), n, np.int32)))
+            owner, at, chosen, fp, k1, k2, n = (np.concatenate(x) for x in zip(*found, strict=True))
+            order = np.lexsort((at, chosen, n, owner))
+            owner, at, chosen, fp, k1, k2, n = (x[order] for x in (owner, at, chosen, fp, k1, k2, n))
+            new = np.ones(len(owner), bool)  # windows of a text that chose the same gram follow each other
+            new[1:] = (owner[1:] != owner[:-1]) | (n[1:] != n[:-1]) | (chosen[1:] != chosen[:-1])
+            head = np.flatnonzero(new)
+            flat = pa.StructArray.from_arrays([pa.array(at), pa.array(signed(k1)), pa.array(signed(k2))], fields=list(_WINDOW))
+            chosen_by = list_array(flat, np.diff(np.append(head, len(owner))))
+            prints = pa.StructArray.from_arrays([pa.array(signed(fp[head])), pa.array(n[head]), chosen_by], fields=list(_FINGERPRINT))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.diff(words.of)), list_array(prints, np.bincount(owner[head], minlength=batch.num_rows))], names=["id", "n_words", "found"])
 
     return run
 
 
-_SCHEMA = "id long, n_words long, found array<struct<fp:long,k1:long,k2:long,pos:long,len:int>>"
+_SCHEMA = "id long, n_words long, found array<struct<fp:long,len:int,windows:array<struct<pos:long,k1:long,k2:long>>>>"
+_KEY = ["k1", "k2", "len"]
 
 
 def _hits(own: DataFrame, items: DataFrame, item_col: str, item_text_col: str, window: int) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Numbered rows of ``own`` (id, text), the benchmark's windows, and the rows' windows that are among them."""
     scratch = Scratch(own.sparkSession, "benchmark")
-    bench = scratch.keep("items", items.select(F.col(item_col).cast("long").alias("id"), F.col(item_text_col).alias("text")).mapInArrow(_candidates(window, True, (), None), _SCHEMA).select(F.col("id").alias("item"), F.inline("found")).select("item", "fp", "k1", "k2", "len"))
+    printed = items.select(F.col(item_col).cast("long").alias("id"), F.col(item_text_col).alias("text")).mapInArrow(_candidates(window, True, (), None), _SCHEMA)
+    bench = scratch.keep("items", printed.select(F.col("id").alias("item"), F.inline("found")).select("item", "fp", "len", F.inline("windows")).drop("pos"))
     lengths = tuple(sorted(r["len"] for r in bench.select("len").distinct().collect() if r["len"] != window))  # fewer than ``window``
     wanted = bit_filter(bench, "fp")
     scanned = scratch.keep("found", own.mapInArrow(_candidates(window, False, lengths, wanted), _SCHEMA.replace("id long", f"id {own.schema['id'].dataType.simpleString()}", 1)).withColumn("row", F.monotonically_increasing_id()))
-    keys = bench.select("fp", "k1", "k2", "len").distinct()
-    return scanned, bench, scanned.select("row", F.inline("found")).join(keys, ["fp", "k1", "k2", "len"])
+    joined = scanned.select("row", F.inline("found")).join(bench.select("fp", "len").distinct(), ["fp", "len"], "left_semi")
+    extended = joined.select("row", "len", F.inline("windows")).join(bench.select(*_KEY).distinct(), _KEY)
+    return scanned, bench, extended
 
 
 def _words_in(hits: F.Column) -> F.Column:
@@ -104,7 +114,7 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     own = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     scanned, bench, hits = _hits(own, items, item_col, item_text_col, window)
     covered = hits.groupBy("row").agg(F.array_sort(F.collect_set(F.struct("pos", "len"))).alias("hits")).select("row", "hits", _words_in(F.col("hits")).alias("n_hit"))
-    by_item = hits.select("row", "fp", "k1", "k2", "len").distinct().join(bench.distinct(), ["fp", "k1", "k2", "len"]).groupBy("row").agg(F.sort_array(F.collect_set(F.col("item").cast("string"))).alias("item_ids"))
+    by_item = hits.select("row", *_KEY).distinct().join(bench.select("item", *_KEY).distinct(), _KEY).groupBy("row").agg(F.sort_array(F.collect_set(F.col("item").cast("string"))).alias("item_ids"))
     none = F.array().cast("array<string>")
     return (
         scanned.select("row", "id", "n_words").join(covered, "row", "left").join(by_item, "row", "left")
