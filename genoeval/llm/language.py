@@ -21,16 +21,16 @@ from pyspark.sql import functions as F
 
 from .common import ranges
 
-#: The bounded training sample: rows a language, symbols a language. Rows share the symbols evenly, and a row longer
-#: than its share gives ``PARTS`` parts spread over the whole text.
-ROWS, SYMBOLS, PARTS = 128, 40_000, 4
-#: A language's most frequent letters have symbols of their own, the others share ``RARE`` by code point; symbols
-#: parsed in one piece.
-LETTERS, RARE, PIECE = 200, 32, 128
+#: The bounded training sample: languages (the most frequent), rows of each, and code points of a row that may be
+#: drawn. Rows enter whole; a language whose rows are all longer gives its shortest one.
+LANGUAGES, ROWS, LONGEST = 64, 32, 8_192
+#: Symbols parsed in one piece.
+PIECE = 128
 #: Code points that are parsed at once (or one text, where that is longer).
 SLICE = 1 << 21
 UNKNOWN = "und"
 _LETTER = re.compile(r"[^\W\d_]")
+_GAP = 32
 
 
 def _codes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -51,34 +51,31 @@ def _letters() -> np.ndarray:
     return _ALPHA[0]
 
 
-def _without_gaps(texts: list[str], table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """``table``'s value of each code point of all texts, anything between words as one 0, and offsets by text."""
+def _without_gaps(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """UTF-8 bytes of the letters of all texts, anything between words as one space, and offsets by text.
+
+    Bytes are the alphabet of every script, so no letter shares a symbol with another one.
+    """
     codes, offsets = _codes(texts)
-    values = table[codes]
-    gap = values == 0
-    keep = np.ones(len(values), bool)
+    gap = ~_letters()[codes]
+    keep = np.ones(len(codes), bool)
     keep[1:] = ~(gap[1:] & gap[:-1])
-    keep[offsets[:-1][offsets[:-1] < len(values)]] = True
-    sums = np.zeros(len(values) + 1, np.int64)
-    np.cumsum(keep, out=sums[1:])
-    return values[keep], sums[offsets]
+    keep[offsets[:-1][offsets[:-1] < len(codes)]] = True
+    kept = np.where(gap, np.uint32(_GAP), codes)[keep]
+    sums = np.zeros(len(codes) + 1, np.int64)
+    np.cumsum(keep * (1 + (codes >= 0x80).astype(np.int8) * ~gap + (codes >= 0x800) * ~gap + (codes >= 0x10000) * ~gap), out=sums[1:])
+    return np.frombuffer(kept.astype("<u4").tobytes().decode("utf-32-le").encode(), np.uint8), sums[offsets]
 
 
 class Alphabet:
-    """Symbols of one language: 0 = between words, 1 = a letter that its sample never has, then its own letters."""
-
-    def __init__(self, codes: np.ndarray):
-        points, counts = np.unique(codes[codes > 0], return_counts=True)
-        own = points[np.lexsort((points, -counts))]
-        self.table = np.zeros(0x110000, np.uint8)
-        self.table[_letters()] = 1
-        self.table[own[:LETTERS]] = np.arange(2, 2 + len(own[:LETTERS]))
-        self.size = 2 + len(own[:LETTERS])
-        self.letters = own[:LETTERS]
-        if len(own) > LETTERS:
-            rare = np.flatnonzero(self.table == 1)
-            self.table[rare] = self.size + rare % RARE
-            self.size += RARE
+    """Symbols of one language: 0 = between words, 1 = a byte that its sample never has, then its own bytes."""
+
+    def __init__(self, data: np.ndarray):
+        own = np.setdiff1d(np.unique(data), [_GAP])
+        self.table = np.ones(256, np.uint16)
+        self.table[_GAP] = 0
+        self.table[own] = np.arange(2, 2 + len(own))
+        self.size = 2 + len(own)
 
 
 def automaton_table(symbols: list[int], size: int) -> np.ndarray:
@@ -179,21 +176,13 @@ class Model:
 
     def __init__(self, samples: list[tuple[str, str]]):
         self.names = sorted({n for n, _ in samples})
-        points = np.where(_letters(), np.arange(0x110000), 0)
-        texts = [_without_gaps([" ".join(t for n, t in samples if n == name)], points)[0] for name in self.names]
-        alphabets = [Alphabet(codes) for codes in texts]
-        # Texts are mapped once, to the letters of all languages; the map from there to a language's symbols is small.
-        known = np.unique(np.concatenate([np.zeros(0, np.int64), *(a.letters for a in alphabets)]))
-        self.table = np.where(_letters(), 1 + np.arange(0x110000) % RARE, 0).astype(np.uint16)
-        strange = np.setdiff1d(np.flatnonzero(self.table), known)
-        others = [strange[strange % RARE == k][0] for k in range(RARE)]  # one letter of no alphabet in each class
-        self.table[known] = 1 + RARE + np.arange(len(known))
-        examples = np.concatenate([[0], others, known]).astype(np.int64)
-        self.parts = [(a.table[examples], automaton_table(a.table[codes].tolist(), a.size), a.size) for a, codes in zip(alphabets, texts, strict=True)]
+        texts = [_without_gaps([" ".join(t for n, t in samples if n == name)])[0] for name in self.names]
+        alphabets = [Alphabet(data) for data in texts]
+        self.parts = [(a.table, automaton_table(a.table[data].tolist(), a.size), a.size) for a, data in zip(alphabets, texts, strict=True)]
 
     def predict(self, texts: list[str]) -> list[tuple[str, float]]:
         """Language and score of each text. Score: by how much of its phrases the best language beats the next one."""
-        letters, offsets = _without_gaps(texts, self.table)
+        letters, offsets = _without_gaps(texts)
         counts = np.zeros((len(texts), len(self.names)), np.int64)
         for k, (symbols, table, size) in enumerate(self.parts):
             counts[:, k] = phrases(symbols[letters], offsets, table, size)
@@ -212,24 +201,27 @@ _MODELS: dict[int, Model] = {}
 
 
 def training_sample(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> list[tuple[str, str]]:
-    """Labelled texts of at most ``ROWS`` rows of each language, about ``SYMBOLS`` code points in all.
+    """Labelled texts of at most ``ROWS`` rows of each of the ``LANGUAGES`` most frequent languages, whole.
 
-    The rows are those with the least hash of their id, taken by a threshold that follows each language's count,
-    so nothing is sorted or shuffled but the counts. Every row taken gives the same number of code points.
+    The rows are those with the least hash of their id among those of ``LONGEST`` code points at most, taken by a
+    threshold that follows each language's count, so nothing is sorted or shuffled but the counts.
     """
     labelled = docs.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), F.pmod(F.xxhash64(F.col(id_col)), F.lit(1 << 40)).alias("h")).filter("lang is not null and text is not null")
-    counts = {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    short = F.char_length("text") <= LONGEST
+    counted = labelled.groupBy("lang").agg(F.count("*").alias("n"), F.count_if(short).alias("short"))
+    counts = {r["lang"]: r for r in counted.orderBy(F.col("n").desc(), "lang").limit(LANGUAGES).collect()}
     if not counts:
         return []
-    by_lang = lambda value: F.try_element_at(F.create_map(*[x for k, n in counts.items() for x in (F.lit(k), F.lit(value(n)))]), F.col("lang"))
-    bound = by_lang(lambda n: min(1 << 40, int((1 << 40) * 0.8 * ROWS / n)))
-    share = by_lang(lambda n: SYMBOLS // max(1, min(n, int(0.8 * ROWS))) // PARTS * PARTS)
-    length, part = F.char_length("text"), (share / PARTS).cast("int")
-    spread = F.array_join(F.array(*[F.substring("text", (F.lit(1) + (length - part) * i / (PARTS - 1)).cast("int"), part) for i in range(PARTS)]), " ")
-    rows = labelled.filter(F.col("h") < bound).select("lang", "h", F.when(length <= share, F.col("text")).otherwise(spread).alias("text")).collect()
+    by_lang = lambda value: F.try_element_at(F.create_map(*[x for k, r in counts.items() for x in (F.lit(k), F.lit(value(r)))]), F.col("lang"))
+    bound = by_lang(lambda r: min(1 << 40, int((1 << 40) * 0.8 * ROWS / max(1, r["short"]))))
+    drawn = labelled.filter(F.col("lang").isin(*counts))
+    rows = drawn.filter(short & (F.col("h") < bound)).groupBy("lang", "h").agg(F.min("text").alias("text")).collect()  # an id counts once
     out: dict[str, list[tuple[int, str]]] = {}
     for r in rows:
         out.setdefault(r["lang"], []).append((r["h"], r["text"]))
+    if absent := [k for k in counts if k not in out]:  # no short row, or none under the threshold
+        shortest = drawn.filter(F.col("lang").isin(*absent)).groupBy("lang").agg(F.min_by("text", F.struct(F.char_length("text"), "h", "text")).alias("text"))
+        out |= {r["lang"]: [(0, r["text"])] for r in shortest.collect()}
     return [(k, t) for k in sorted(out) for _, t in sorted(out[k])[:ROWS]]
 
 
@@ -259,7 +251,8 @@ def _predicted(samples: list[tuple[str, str]], place: int):
 def identify(docs: DataFrame, training: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """``docs``'s id and text columns' rows as (row, lang_pred, score); ``row`` is a struct of all of ``docs``' columns.
 
-    ``training`` has the labelled rows (null labels and texts are left out). A text that is null or has no letter is
+    ``training`` has the labelled rows (null labels and texts are left out; of very many labels the ``LANGUAGES`` most
+    frequent are learned). A text that is null or has no letter is
     ``und`` with score 0, as is every text when nothing was learned. Ties go to the language first by name. Repeated
     rows and ids are rows of their own.
     """

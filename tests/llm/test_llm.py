@@ -615,3 +615,28 @@ def test_language(spark, none):
     assert all(0 <= r["score"] <= 1 for r in got.values())
     assert language.predict_languages(none.select("doc_id", "text", "lang")).count() == 0
     assert {r["lang_pred"] for r in language.identify(df, df.limit(0)).collect()} == {"und"}
+
+
+def test_language_bytes_are_those_of_the_letters():
+    texts = ["Ab, ÇÉ 12 zz", "", "...", "日本 語\U00020000x", "é"]
+    data, offsets = language._without_gaps(texts)
+    expected = []
+    for t in texts:
+        kept = "".join(c if c.isalpha() else " " for c in t.lower())
+        while "  " in kept:
+            kept = kept.replace("  ", " ")
+        expected.append(kept.encode())
+    assert [bytes(data[a:b]) for a, b in zip(offsets, offsets[1:], strict=False)] == expected
+
+
+def test_language_sample(spark):
+    """Whole rows; a language of long texts gives its shortest; a dirty column gives the most frequent labels; repeated ids count once."""
+    long = "abc " * 3000
+    rows = [(i, "wort " * (i % 50 + 1), "de") for i in range(300)] + [(1000, long + "x", "xx"), (1001, long, "xx")] + [(2000 + i, f"w{i}", f"l{i}") for i in range(100)] + [(5, "wort", "de")] * 50 + [(6, None, "de"), (7, "x", None)]
+    sample = language.training_sample(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    by_lang = {}
+    for name, text in sample:
+        by_lang.setdefault(name, []).append(text)
+    texts = {t for _, t, n in rows if n == "de"}
+    assert len(by_lang) == language.LANGUAGES and 5 < len(by_lang["de"]) <= language.ROWS and set(by_lang["de"]) <= texts
+    assert by_lang["xx"] == [long]
