@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import genotypes as g
 from ..operators import chunks, contigs, incremental, joins, maps, metrics, pairwise, panel
 from ..operators import sites as site_ops
-from ..sources import vcf
+from ..sources import fasta, vcf
 from ..sources.scratch import shared_folder
 from . import views
 
@@ -273,6 +273,23 @@ def ref_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     return site_ops.check_ref(t, bases).select("chrom", "pos", "ref", "base")
 
 
+@query(f"WITH {_VIEWS} SELECT chrom, pos, ref, CASE WHEN vid % 31 = 0 THEN 'N' ELSE ref END AS base FROM truth_sites WHERE vid % 31 = 0")
+def fasta_ref_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from FASTA text: a file a chromosome is written, with lines of 1,000 bases, and read by its index."""
+    t = views.truth_sites(spark, sf_dir)
+    named = t.withColumn("line", F.expr("(pos - 1) div 1000")).withColumn("base", F.expr("CASE WHEN vid % 31 = 0 THEN 'N' ELSE ref END"))
+    parts = F.sort_array(F.collect_list(F.struct(F.expr("CAST((pos - 1) % 1000 AS INT)").alias("at"), "base")))
+    text = F.aggregate(F.col("parts"), F.lit(""), lambda acc, p: F.concat(F.rpad(acc, p["at"], F.lit("N")), p["base"]))
+    some = named.groupBy("chrom", "line").agg(parts.alias("parts")).select("chrom", "line", F.rpad(text, 1000, "N").alias("value"))
+    ends = t.groupBy("chrom").agg(F.max("pos").alias("last")).withColumn("lines", F.expr("(last - 1) div 1000 + 1"))
+    every = ends.select("chrom", F.explode(F.sequence(F.lit(0).cast("long"), F.col("lines") - 1)).alias("line")).join(some, ["chrom", "line"], "left")
+    rows = every.select("chrom", "line", F.coalesce("value", F.lit("N" * 1000)).alias("value")).union(ends.select("chrom", F.lit(-1).cast("long"), F.concat(F.lit(">"), "chrom")))
+    folder = shared_folder(spark, "fasta")
+    rows.repartition("chrom").sortWithinPartitions("chrom", "line").select("chrom", "value").write.partitionBy("chrom").text(folder)
+    index = spark.read.format("binaryFile").load(folder).select("chrom", "path", "length").select("chrom", "path", (F.length("chrom") + 2).cast("long").alias("offset"), F.expr("(length - length(chrom) - 2) div 1001 * 1000").alias("length"), F.lit(1000).cast("long").alias("line_bases"), F.lit(1001).cast("long").alias("line_width"))
+    return site_ops.check_ref(t, fasta.read_indexed(index)).select("chrom", "pos", "ref", "base")
+
+
 # --- genotypes ---------------------------------------------------------------------------------------------------------
 
 # Odd calls for the translation rules, by sample ordinal.
@@ -357,6 +374,23 @@ def per_variant_metrics_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.variant_metrics_array(_matched(spark, sf_dir)).select("chrom", "pos", "n_non_missing", "maf", "r", "r2", "concordance")
 
 
+_OWN_DS = "CASE WHEN (vid + k) % 4 <> 0 THEN CAST(CAST((vid + k) % 9 AS DOUBLE) / 4 AS VARCHAR) END"
+
+
+@query(f"""WITH {_VIEWS}, {_GP_ROWS}, d AS (SELECT vid, CAST(round(1000000 * coalesce(TRY_CAST({_OWN_DS} AS DOUBLE), {_GP_DS})) AS BIGINT) AS x, k FROM gp),
+y AS (SELECT vid, CAST(substr(sample, 2) AS BIGINT) AS k, {_dosage("truth_gt")} AS y FROM calls),
+s AS (SELECT vid, count(*) AS n, CAST(sum(x) AS HUGEINT) AS sx, CAST(sum(y) AS HUGEINT) AS sy, CAST(sum(CAST(x AS HUGEINT) * x) AS HUGEINT) AS sxx, CAST(sum(y * y) AS HUGEINT) AS syy, CAST(sum(x * y) AS HUGEINT) AS sxy, count(*) FILTER (WHERE round_even(x / 1000000, 0) = y) AS agree FROM d JOIN y USING (vid, k) WHERE x IS NOT NULL AND y IS NOT NULL GROUP BY vid),
+q AS (SELECT *, CAST(sy AS DOUBLE) / (2 * n) AS af, {_r(2, False)} AS r FROM s)
+SELECT i.chrom, i.pos, coalesce(n, 0) AS n_non_missing, least(af, 1 - af) AS maf, r, r * r AS r2, CASE WHEN n >= 2 THEN agree / n END AS concordance FROM imputed_sites i LEFT JOIN q USING (vid)""")
+def dosage_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fractional dosages, from probabilities where they are absent, against truth calls; all of it inside a site's row."""
+    over = lambda e: f"transform(sequence(0L, CAST(size(truth_gt) AS BIGINT) - 1), k -> {e.replace('VARCHAR', 'STRING')})"
+    sites = views.imputed_sites(spark, sf_dir).join(views.call_arrays(spark, sf_dir).select("vid", "truth_gt"), "vid")
+    sites = sites.withColumn("ds", F.expr(over(_OWN_DS))).withColumn("gp", F.expr(over(_GP)))
+    sites = sites.withColumn("x", g.dosages_in_row(F.col("ds"), F.col("gp"))).withColumn("y", metrics.imputed_dosages(F.col("truth_gt")))
+    return metrics.variant_metrics_array(sites, g.UNIT).select("chrom", "pos", "n_non_missing", "maf", "r", "r2", "concordance")
+
+
 @query(f"WITH {_VIEWS}, {_MATCHED}, s AS (SELECT sample, {_SUMS} FROM pairs GROUP BY sample) SELECT sample, n AS n_variants, {_r(2)} AS r_overall, ({_r(2)}) * ({_r(2)}) AS r2_overall FROM s")
 def per_sample_r2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.sample_metrics(_matched(spark, sf_dir), views.samples(spark, sf_dir)).select("sample", "n_variants", "r_overall", "r2_overall")
