@@ -2,20 +2,46 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 
-def shared_folder(spark: SparkSession, name: str) -> str:
-    """A new path under the cluster's checkpoint folder; a folder of this machine only where Spark runs on one machine (tests)."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+_OWNED: dict[str, tuple] = {}
+
+
+def _remove(path, fs) -> None:
+    try:
+        fs.delete(path, True)
+    except Exception:  # noqa: BLE001, the process ends: a store that is gone is not its error
+        pass
+
+
+def owned_folder(spark: SparkSession) -> str:
+    """The application's one folder for tables between steps, deleted when its driver ends.
+
+    It lies under the cluster's checkpoint folder and bears the application's id, so what a killed driver leaves is
+    known by its name. A folder of this machine stands in only where Spark runs on one machine (tests).
+    """
+    context = spark.sparkContext
+    base = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-        base = tempfile.mkdtemp(prefix="spark-")
-    return f"{base}/{name}-{uuid.uuid4().hex}"
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="spark-"))
+        base = context.getCheckpointDir()
+    folder = f"{base}/genoeval-{context.applicationId}"
+    if folder not in _OWNED:
+        _OWNED[folder] = _file(spark, folder)
+        atexit.register(_remove, *_OWNED[folder])
+    return folder
+
+
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new path in the application's folder."""
+    return f"{owned_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def _file(spark: SparkSession, path: str):
