@@ -6,7 +6,6 @@ All numpy code here works inside Spark tasks on slices of an Arrow batch, so its
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -18,6 +17,8 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.scratch import owned_folder
+
 #: Bytes of text that numpy works on at once.
 MAX_SLICE = 1 << 19
 
@@ -36,18 +37,8 @@ _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
 def checkpoint_folder(spark: SparkSession) -> str:
-    """The cluster's shared folder: ``spark.checkpoint.dir`` or the context's own.
-
-    A folder of this machine stands in only where Spark itself runs on one machine (tests); elsewhere it would lose data.
-    """
-    context = spark.sparkContext
-    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if not folder:
-        if not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="spark-"))
-        folder = context.getCheckpointDir()
-    return folder
+    """The application's folder in the cluster's shared one, ``spark.checkpoint.dir`` or the context's own; it ends with the driver."""
+    return owned_folder(spark)
 
 
 #: Shuffle files of a table that is written are not needed any more once it is there.
