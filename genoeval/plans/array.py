@@ -183,7 +183,7 @@ def match_samples(spark: SparkSession, query_path: str, truth_path: str, region:
     sites, q, t = matching_sites(spark, query_path, truth_path, region, folder)
     pairs = stored_pairs(spark, sites, q, t, folder)
     ranked = pairwise.rank_matches(pairs)
-    return ranked, pairwise.best_matches(ranked)
+    return ranked, pairwise.best_matches(pairs)
 
 
 def matching_sites(spark: SparkSession, query_path: str, truth_path: str, region: str | None, folder: str, audit: incremental.AuditLog | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:

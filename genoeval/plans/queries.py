@@ -481,7 +481,7 @@ def rank_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH {_VIEWS}, {_PAIRS}, top AS (SELECT * FROM ranked WHERE match_rank = 1), ties AS (SELECT r.query, count(*) AS k FROM ranked r JOIN top USING (query) WHERE r.concordance IS NOT DISTINCT FROM top.concordance AND r.n_compared IS NOT DISTINCT FROM top.n_compared AND r.mismatch_count IS NOT DISTINCT FROM top.mismatch_count GROUP BY 1) SELECT query, top.target AS best_target, top.concordance AS best_concordance, top.n_compared AS best_n_compared, top.mismatch_count AS best_mismatch_count, s.target AS second_target, s.concordance AS second_concordance, k > 1 AS tie_flag, top.concordance - s.concordance AS concordance_delta FROM top LEFT JOIN (SELECT * FROM ranked WHERE match_rank = 2) s USING (query) JOIN ties USING (query)")
 def best_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pairwise.best_matches(pairwise.rank_matches(_pairs(spark, sf_dir)))
+    return pairwise.best_matches(_pairs(spark, sf_dir))
 
 
 @query(f"WITH {_VIEWS} SELECT DISTINCT c.sample FROM calls c WHERE CAST(substr(sample, 2) AS INT) % 3 <> 0 INTERSECT SELECT sample FROM calls WHERE CAST(substr(sample, 2) AS INT) % 5 <> 0")

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .files import MAP_HEADER
+
 
 def write_partitioned(df: DataFrame, path: str, chrom: str = "chrom") -> None:
     """Snappy Parquet by CHROM, in order of position and alleles; a rewrite replaces only the chromosomes it holds."""
@@ -35,6 +37,13 @@ def write_ab(arrays: DataFrame, samples: list[str], path: str, column: str = "ab
     arrays.select(row.alias("row")).toDF(head).write.mode("overwrite").option("sep", "\u0001").option("header", True).option("quote", "\u0000").option("emptyValue", "").csv(path)
 
 
+def write_map_text(maps: DataFrame, path: str) -> None:
+    """Genetic maps as text, a folder and one file a chromosome, in order of position."""
+    text = maps.select(F.col("chrom").alias("CHROM"), F.concat_ws(" ", F.col("position").cast("string"), F.format_string("%.6f", "rate"), F.format_string("%.6f", "cm")).alias("line"), "position")
+    head = " ".join(MAP_HEADER)
+    text.repartition("CHROM").sortWithinPartitions("CHROM", "position").select("CHROM", F.col("line").alias(head)).write.mode("overwrite").partitionBy("CHROM").option("sep", "\u0001").option("header", True).option("quote", "\u0000").csv(path)
+
+
 def write_calls(sites: DataFrame, path: str) -> None:
     """Stitched sites by chromosome; the folder itself is the genome-wide table."""
     write_partitioned(sites, path)

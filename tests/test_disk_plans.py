@@ -13,7 +13,9 @@ from test_plans import sides, site, table, write  # noqa: F401
 from genoeval.functions import genotypes as g
 from genoeval.operators import metrics, pairwise
 from genoeval.plans.array import evaluate_array, run_matching
+from genoeval.plans.maps import prepare_maps
 from genoeval.plans.stitch import run_stitch, stitched
+from genoeval.sources.files import read_genetic_map
 
 
 def chunk(path, chrom, positions):
@@ -115,3 +117,48 @@ def test_sums_of_large_scaled_dosages(spark):
     rows = spark.range(20_000).select(F.lit("Chr01").alias("chrom"), F.array((F.col("id") % 3 * g.UNIT).cast("long")).alias("x"), F.array((F.col("id") % 3).cast("int")).alias("y"))
     names = spark.createDataFrame([("s", 0)], "sample string, sample_idx int")
     assert metrics.sample_metrics(rows, names, g.UNIT).first()["r_overall"] == pytest.approx(1.0, abs=1e-12)
+
+
+def test_maps_on_disk(spark, tmp_path):
+    head, folder = "position COMBINED_rate.cM.Mb. Genetic_Map.cM.\n", tmp_path / "maps"
+    folder.mkdir()
+    (folder / "Chr01.txt").write_text(head + "1 1.0 0.0\n5 1.5 0.25\n")
+    (folder / "genetic_map_Chr02.txt").write_text(head + "7 2.0 0.5\n")
+    got = prepare_maps(spark, str(tmp_path / "a"), ["Chr01", "Chr02"], folder=str(folder)).collect()
+    assert [(r["chrom"], r["source"].rsplit("/", 1)[1], r["rows"], r["last_cm"]) for r in got] == [("Chr01", "Chr01.txt", 2, 0.25), ("Chr02", "genetic_map_Chr02.txt", 1, 0.5)]
+    text = read_genetic_map(spark, f"{tmp_path}/a/text/CHROM=Chr01").orderBy("position").collect()
+    assert [(r["position"], r["rate"], r["cm"]) for r in text] == [(1, 1.0, 0.0), (5, 1.5, 0.25)]
+    # One map for all chromosomes, an index at a constant rate, and a panel's positions.
+    assert [r["rows"] for r in prepare_maps(spark, str(tmp_path / "b"), ["Chr01", "Chr07"], one_file=str(folder / "Chr01.txt")).collect()] == [2, 2]
+    (tmp_path / "r.fai").write_text("Chr01\t3500\t7\t60\t61\nChr02\t900\t9\t60\t61\n")
+    assert [(r["rows"], r["last_cm"]) for r in prepare_maps(spark, str(tmp_path / "c"), ["Chr01", "Chr02"], fai=str(tmp_path / "r.fai")).collect()] == [(3, 0.002), (0, None)]
+    panel = write(tmp_path / "p.vcf", ["s"], [site("1", p, "A", "C", "0|1") for p in (100, 100, 400)])
+    assert [(r["rows"], r["last_cm"]) for r in prepare_maps(spark, str(tmp_path / "d"), ["Chr01"], sites_vcf=panel).collect()] == [(2, 0.0003)]
+    with pytest.raises(ValueError, match="Chr05"):
+        prepare_maps(spark, str(tmp_path / "e"), ["Chr05"], folder=str(folder))
+    (folder / "Chr03.txt").write_text(head + "1 1.0 0.5\n5 1.5 0.25\n")
+    with pytest.raises(ValueError, match="Chr03:5"):
+        prepare_maps(spark, str(tmp_path / "f"), ["Chr03"], folder=str(folder))
+
+
+def test_best_matches_are_merged(spark):
+    """Two best targets and ties, whatever lies in which task, nulls last; against sorting all pairs."""
+    rng = random.Random(8)
+    rows = []
+    for q in range(40):
+        for t in range(rng.choice([1, 2, 3, 30])):
+            n = rng.choice([0, 4, 4, 8])
+            m = rng.randrange(3) if n else None
+            rows.append((f"q{q}", f"t{t:02d}", 1 - m / n if n else None, n, m))
+    last = lambda v, sign: (v is None, sign * (v or 0))
+    key = lambda r: (last(r[2], -1), last(r[3], -1), last(r[4], 1))
+    expected = {}
+    for q in {r[0] for r in rows}:
+        mine = sorted((r for r in rows if r[0] == q), key=lambda r: (key(r), r[1]))
+        second = mine[1] if len(mine) > 1 else (None,) * 5
+        delta = mine[0][2] - second[2] if mine[0][2] is not None and second[2] is not None else None
+        expected[q] = (*mine[0], second[1], second[2], sum(key(r) == key(mine[0]) for r in mine) > 1, delta)
+    for tasks in (1, 3, 11):
+        rng.shuffle(rows)
+        pairs = spark.createDataFrame(rows, "query string, target string, concordance double, n_compared long, mismatch_count long").repartition(tasks)
+        assert {r["query"]: tuple(r) for r in pairwise.best_matches(pairs).collect()} == expected
