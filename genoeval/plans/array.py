@@ -166,7 +166,7 @@ def run_array(spark: SparkSession, imputed_path: str, truth_path: str, root: str
             audit.step(step, n + gone, n, "unambiguous positions")
         elif step == "metrics":
             sinks.write_tsv(metrics.report_columns(out.sample_metrics), f"{root}/per_sample_metrics", "NA")
-            sinks.write_partitioned(out.variant_metrics, f"{root}/per_variant_metrics")
+            sinks.write_partitioned(out.variant_metrics, f"{root}/per_variant_metrics", parts=sinks.position_parts(out.sites))
             audit.step(step, n, n)
         else:
             sinks.write_partitioned(out.concordance, f"{root}/concordance")

@@ -153,10 +153,11 @@ def run_sides(spark: SparkSession, imputed: Side, truth: Side, root: str, chroms
         audit.step("truth sites matched", n["matched"] + n["truth_only"], n["matched"])
         version = f"{int(_newest(spark, root) or 0) + 1:08d}"
         delete(spark, f"{root}/versions/{version}")  # what a run that died may have left
+        parts = sinks.position_parts(out.joined)
         for name, (attribute, schema) in DATASETS.items():
             rows = Observation()
             columns = [c.split()[0] for c in schema.split(", ")]
-            sinks.write_partitioned(getattr(out, attribute).select("chrom", *columns).observe(rows, F.count(F.lit(1)).alias("rows")), f"{root}/versions/{version}/{name}")
+            sinks.write_partitioned(getattr(out, attribute).select("chrom", *columns).observe(rows, F.count(F.lit(1)).alias("rows")), f"{root}/versions/{version}/{name}", parts=parts)
             audit.step(f"{name} written", None, incremental.observed(rows, "rows"))
             if name == "site_filtered":
                 audit.step("matched sites retained", n["matched"], n["matched"] - incremental.observed(rows, "rows"))

@@ -133,6 +133,11 @@ def results(joined: DataFrame, dimension: DataFrame, t: Thresholds) -> WgsResult
 
 def common(ours: DataFrame, theirs: DataFrame, samples: list[str] | None) -> list[str]:
     """The samples asked for, or those both sides have, in the imputed side's order."""
+    if samples is not None:
+        asked = ours.sparkSession.createDataFrame([(s,) for s in samples], "sample string")
+        for name, side in (("imputed", ours), ("truth", theirs)):
+            if absent := [r["sample"] for r in joins.missing_samples(asked, side).collect()]:
+                raise ValueError(f"{name}: samples not in input: {', '.join(absent)}")
     chosen = samples if samples is not None else [r["sample"] for r in joins.common_samples(ours, theirs, "sample_idx").collect()]
     if not chosen:
         raise ValueError("no common samples")

@@ -2,18 +2,47 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .files import MAP_HEADER
 
 
-def write_partitioned(df: DataFrame, path: str, chrom: str = "chrom") -> None:
-    """Snappy Parquet by CHROM, in order of position and alleles; a rewrite replaces only the chromosomes it holds."""
+#: Bases of a window that stays together; rows of a file, about.
+WINDOW, FILE_ROWS = 1_000_000, 1_000_000
+
+
+def position_parts(sites: DataFrame, rows: int = FILE_ROWS, window: int = WINDOW) -> dict[str, int]:
+    """The file that each window of a chromosome (``chrom:window``) goes to: neighbours share one up to about ``rows`` rows.
+
+    One count by window, as many rows as a genome has megabases.
+    """
+    out: dict[str, int] = {}
+    part, held, before = -1, 0, None
+    for r in sites.groupBy("chrom", F.expr(f"pos div {window}").alias("window")).count().orderBy("chrom", "window").collect():
+        if r["chrom"] != before or held + r["count"] > rows:
+            part, held, before = part + 1, 0, r["chrom"]
+        out[f"{r['chrom']}:{r['window']}"] = part
+        held += r["count"]
+    return out
+
+
+def write_partitioned(df: DataFrame, path: str, chrom: str = "chrom", parts: dict[str, int] | None = None, window: int = WINDOW) -> None:
+    """Snappy Parquet by CHROM, in order of position and alleles; a rewrite replaces only the chromosomes it holds.
+
+    With ``parts`` (see ``position_parts``) the files of a chromosome hold position ranges that do not overlap, so a read
+    of a region skips the others by their statistics; without, windows are dealt out by their hash.
+    """
     rows = df.withColumnRenamed(chrom, "CHROM") if chrom != "CHROM" else df
     keys = [c for c in ("pos", "ref", "alt", "ref_imputed", "alt_imputed", "ref_truth", "alt_truth") if c in rows.columns]
-    rows = rows.repartition("CHROM", *([F.expr("pos div 1000000")] if "pos" in keys else [])).sortWithinPartitions("CHROM", *keys)
-    rows.write.partitionBy("CHROM").mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "snappy").parquet(path)
+    if parts and "pos" in keys:
+        numbers = F.from_json(F.lit(json.dumps(parts)), "map<string,int>")
+        rows = rows.repartitionById(max(parts.values()) + 1, F.coalesce(F.try_element_at(numbers, F.concat_ws(":", "CHROM", F.expr(f"pos div {window}").cast("string"))), F.lit(0)))
+    else:
+        rows = rows.repartition("CHROM", *([F.expr(f"pos div {window}")] if "pos" in keys else []))
+    rows.sortWithinPartitions("CHROM", *keys).write.partitionBy("CHROM").mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "snappy").parquet(path)
 
 
 def write_tsv(df: DataFrame, path: str, null_value: str = "", one_file: bool = True) -> None:

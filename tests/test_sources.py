@@ -9,7 +9,8 @@ import zlib
 import pytest
 from pyspark.sql import functions as F
 
-from genoeval.sources import bgzf, vcf
+from genoeval.plans.wgs import common
+from genoeval.sources import bgzf, sinks, vcf
 from genoeval.sources.fasta import read_fasta
 
 
@@ -100,3 +101,28 @@ def test_reference_bases(spark, tmp_path):
     (tmp_path / "r.fa.fai").write_text("\n".join(index) + "\n")
     got = read_fasta(spark, str(tmp_path / "r.fa"), run=2).groupBy("chrom").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("block", "bases"))), lambda b: b["bases"]), "").alias("bases"), F.max("block").alias("last"))
     assert {r["chrom"]: (r["bases"], r["last"]) for r in got.collect()} == {"Chr01": (expected["Chr01"], 2), "Chr02": (expected["chr2"], 0), "Chr03": (expected["Chr03"], 0)}
+
+
+def test_files_of_a_chromosome_do_not_overlap(spark, tmp_path):
+    import pyarrow.parquet as pq
+
+    rng = random.Random(6)
+    sites = spark.createDataFrame([(f"Chr0{1 + i % 2}", rng.randrange(900), "A", "C", i) for i in range(600)], "chrom string, pos int, ref string, alt string, x int").repartition(4)
+    parts = sinks.position_parts(sites, rows=60, window=10)
+    sinks.write_partitioned(sites, str(tmp_path / "d"), parts=parts, window=10)
+    assert spark.read.parquet(str(tmp_path / "d")).count() == 600
+    for chrom in ("Chr01", "Chr02"):
+        ranges = []
+        for f in (tmp_path / "d" / f"CHROM={chrom}").glob("*.parquet"):
+            pos = pq.read_table(f, columns=["pos"])["pos"].to_pylist()
+            assert pos == sorted(pos) and len(pos) <= 60
+            ranges.append((pos[0], pos[-1]))
+        ranges.sort()
+        assert len(ranges) >= 5 and all(a[1] // 10 < b[0] // 10 for a, b in zip(ranges, ranges[1:], strict=False))
+
+
+def test_absent_samples_are_named(spark):
+    names = lambda *n: spark.createDataFrame([(x, i) for i, x in enumerate(n)], "sample string, sample_idx int")
+    assert common(names("a", "b"), names("b", "a"), None) == ["a", "b"]
+    with pytest.raises(ValueError, match="truth: samples not in input: b"):
+        common(names("a", "b"), names("a"), ["a", "b"])
