@@ -28,7 +28,8 @@ SHINGLE, THRESHOLD = 5, 0.8
 #: 27 bands of 3: a pair at 0.8 shares no band with probability 3.9e-9. STEP values are compared at a time; at 0.8 the
 #: pruning loses a pair with probability 2.9e-9, all steps together. More similar pairs are lost more rarely.
 BANDS, ROWS, STEP, TOLERANCE = 27, 3, 8, 2e-10
-BLOCK = 256
+#: A block has this many sets, and this many bytes of shingles, in the mean; two blocks meet in a task.
+BLOCK, BLOCK_BYTES = 256, 8 << 20
 
 def posterior_below(matches: int, compared: int, threshold: float) -> float:
     """P(similarity >= threshold) after ``matches`` of ``compared`` equal MinHash values, uniform prior."""
@@ -84,7 +85,7 @@ def _signatures(g: np.ndarray, first: np.ndarray) -> np.ndarray:
 
 
 def _sets(k: int, wanted: Broadcast | None = None):
-    """mapInArrow: rows with words give (..., s1, s2, body), all columns but the text first.
+    """mapInArrow: rows with words give (..., s1, s2, size, body), all columns but the text first; size is the shingles' number.
 
     The body is the signature; with the bits of ``wanted``, it is the sorted shingles, of the sets whose bit is set.
     """
@@ -96,15 +97,16 @@ def _sets(k: int, wanted: Broadcast | None = None):
             has = np.flatnonzero(np.diff(first))
             kept = np.append(first[has], len(g))
             s1, s2 = _set_keys(g, kept)
+            size = np.diff(kept)
             if wanted is not None:
                 on = may_be_in(wanted, s1)
                 body = [g[kept[x] : kept[x + 1]].tobytes() for x in on]
-                has, s1, s2 = has[on], s1[on], s2[on]
+                has, s1, s2, size = has[on], s1[on], s2[on], size[on]
             else:
                 body = [x.tobytes() for x in _signatures(g, kept)] if len(has) else []
             names = [c for c in batch.schema.names if c != "text"]
             own = [batch.column(c).take(pa.array(has)) for c in names]
-            yield pa.RecordBatch.from_arrays([*own, pa.array(signed(s1)), pa.array(signed(s2)), pa.array(body, pa.binary())], names=[*names, "s1", "s2", "body"])
+            yield pa.RecordBatch.from_arrays([*own, pa.array(signed(s1)), pa.array(signed(s2)), pa.array(size), pa.array(body, pa.binary())], names=[*names, "s1", "s2", "size", "body"])
 
     return run
 
@@ -122,7 +124,7 @@ def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if batch.num_rows:
             keys = _band_keys(np.frombuffer(b"".join(batch.column("body").to_pylist()), np.uint32).reshape(batch.num_rows, -1))
-            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(batch.column("rep").to_numpy(), BANDS)), pa.array(np.tile(np.arange(BANDS, dtype=np.int32), batch.num_rows)), pa.array(signed(keys.ravel()))], names=["rep", "band", "key"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(batch.column("rep").to_numpy(), BANDS)), pa.array(np.tile(np.arange(BANDS, dtype=np.int32), batch.num_rows)), pa.array(signed(keys.ravel())), pa.array(np.repeat(batch.column("size").to_numpy(), BANDS))], names=["rep", "band", "key", "size"])
 
 
 def _alive(left: np.ndarray, right: np.ndarray, same: bool, band: int, least: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
@@ -268,14 +270,16 @@ def _classes(own: DataFrame, shingle: int, threshold: float, tolerance: float) -
     """
     least = least_matches(threshold, tolerance)
     columns = [f for f in own.schema if f.name != "text"]
-    sets = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in columns) + ", s1 long, s2 long, body binary"
+    sets = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in columns) + ", s1 long, s2 long, size long, body binary"
     scratch = Scratch(own.sparkSession, "jaccard")
     signed_rows = scratch.keep("rows", own.mapInArrow(_sets(shingle), sets))
     first = F.min(F.struct(F.col("id").isNull().alias("none"), *(f.name for f in columns)))
     # A set is known by 128 bits; its representative is a number of its own, as ids may repeat.
-    reps = scratch.keep("sets", signed_rows.groupBy("s1", "s2").agg(first.alias("first"), F.count("*").alias("copies"), F.first("body").alias("body")).withColumn("rep", F.monotonically_increasing_id()))
-    bands = scratch.keep("bands", reps.select("rep", "body").mapInArrow(_bands, "rep long, band int, key long"))
-    buckets = bands.groupBy("band", "key").agg(F.count("*").alias("n")).filter("n > 1").withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
+    reps = scratch.keep("sets", signed_rows.groupBy("s1", "s2").agg(first.alias("first"), F.count("*").alias("copies"), F.first("size").alias("size"), F.first("body").alias("body")).withColumn("rep", F.monotonically_increasing_id()))
+    bands = scratch.keep("bands", reps.select("rep", "size", "body").mapInArrow(_bands, "rep long, band int, key long, size long"))
+    # A bucket is dealt into blocks by number and by bytes of shingles, so that long texts do not fill a task.
+    blocks = F.greatest(F.ceil(F.col("n") / BLOCK), F.least(F.col("n"), F.ceil(F.col("bytes") / BLOCK_BYTES))).cast("int")
+    buckets = bands.groupBy("band", "key").agg(F.count("*").alias("n"), (8 * F.sum("size")).alias("bytes")).filter("n > 1").select("band", "key", blocks.alias("blocks"))
     mine = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
     others = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct(F.least(F.col("side"), o).alias("i"), F.greatest(F.col("side"), o).alias("j")))
     members = bands.join(buckets, ["band", "key"]).withColumn("side", mine).select("band", "key", "rep", "side", F.inline(others))
