@@ -177,18 +177,29 @@ def run_array(spark: SparkSession, imputed_path: str, truth_path: str, root: str
     return due
 
 
-def match_samples(spark: SparkSession, query_path: str, truth_path: str, region: str | None = None) -> tuple[DataFrame, DataFrame]:
-    """(ranked pairs, best matches) of all samples of two files that may name them differently."""
+def match_samples(spark: SparkSession, query_path: str, truth_path: str, region: str | None = None, queries: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """(ranked pairs, best matches) of all samples, or the ``queries`` of the first file, against all of the second; names may differ."""
     folder = shared_folder(spark, "matching")
-    sites, q, t = matching_sites(spark, query_path, truth_path, region, folder)
+    q, t = matching_samples(spark, query_path, truth_path, queries)
+    sites = matching_sites(spark, query_path, truth_path, q, t, region, folder)
     pairs = stored_pairs(spark, sites, q, t, folder)
     ranked = pairwise.rank_matches(pairs)
     return ranked, pairwise.best_matches(pairs)
 
 
-def matching_sites(spark: SparkSession, query_path: str, truth_path: str, region: str | None, folder: str, audit: incremental.AuditLog | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(sites with dosage arrays q and t, query samples, target samples); both sides and the sites are stored under ``folder``."""
+def matching_samples(spark: SparkSession, query_path: str, truth_path: str, queries: list[str] | None) -> tuple[DataFrame, DataFrame]:
+    """(sample, sample_idx) of both sides, numbered as their calls will be; asked-for samples that are not there raise."""
     q, t = vcf.read_vcf_samples(spark, query_path), vcf.read_vcf_samples(spark, truth_path)
+    if queries is None:
+        return q, t
+    asked = spark.createDataFrame([(s, i) for i, s in enumerate(queries)], "sample string, sample_idx int")
+    if absent := [r["sample"] for r in joins.missing_samples(asked, q).collect()]:
+        raise ValueError(f"query: samples not in input: {', '.join(absent)}")
+    return asked, t
+
+
+def matching_sites(spark: SparkSession, query_path: str, truth_path: str, q: DataFrame, t: DataFrame, region: str | None, folder: str, audit: incremental.AuditLog | None = None) -> DataFrame:
+    """Sites with dosage arrays q and t; both sides and the sites are stored under ``folder``."""
     names = [[r["sample"] for r in x.orderBy("sample_idx").collect()] for x in (q, t)]
     sides, seen = [], [Observation(), Observation(), Observation()]
     for name, path, wanted, s in zip(("query", "truth"), (query_path, truth_path), names, seen, strict=False):
@@ -199,7 +210,7 @@ def matching_sites(spark: SparkSession, query_path: str, truth_path: str, region
         n = incremental.observed(seen[2], "sites")
         for name, s in zip(("query", "truth"), seen, strict=False):
             audit.step(f"{name} sites kept", incremental.observed(s, "records"), n, "common, first of their position, unambiguous")
-    return spark.read.schema(sites.schema).parquet(f"{folder}/sites"), q, t
+    return spark.read.schema(sites.schema).parquet(f"{folder}/sites")
 
 
 def stored_pairs(spark: SparkSession, sites: DataFrame, q: DataFrame, t: DataFrame, folder: str) -> DataFrame:
@@ -211,7 +222,7 @@ def stored_pairs(spark: SparkSession, sites: DataFrame, q: DataFrame, t: DataFra
     return spark.read.schema(pairs.schema).parquet(f"{folder}/pairs")
 
 
-def run_matching(spark: SparkSession, query_path: str, truth_path: str, root: str, region: str | None = None, force: bool = False) -> list[str]:
+def run_matching(spark: SparkSession, query_path: str, truth_path: str, root: str, region: str | None = None, force: bool = False, queries: list[str] | None = None) -> list[str]:
     """Sample matching on disk: sites, all pairs with their ranks, best matches, manifests, audit. Returns the steps that were done.
 
     A step whose output is there and not empty is left out, unless ``force`` is set or a step before it was done; inputs or a
@@ -220,7 +231,7 @@ def run_matching(spark: SparkSession, query_path: str, truth_path: str, root: st
     incremental.assert_mode(spark, root, "matching")
     paths = [x for p in (query_path, truth_path) for x, _ in input_files(spark, p)]
     listing = spark.read.format("binaryFile").load(paths).select("path", "length", F.col("modificationTime").alias("modified"))
-    signature = incremental.run_signature(listing, {"region": region or "", "query": query_path, "truth": truth_path}).first()["signature"]
+    signature = incremental.run_signature(listing, {"region": region or "", "query": query_path, "truth": truth_path, "queries": ",".join(queries or [])}).first()["signature"]
     if has_content(spark, f"{root}/run_manifest"):
         before = manifest_value(spark, f"{root}/run_manifest", "signature")
         if before != signature and not force:
@@ -228,13 +239,13 @@ def run_matching(spark: SparkSession, query_path: str, truth_path: str, root: st
     audit, done = incremental.AuditLog(), []
     due = lambda name: force or bool(done) or not has_content(spark, f"{root}/{name}")
     read = lambda name: spark.read.parquet(f"{root}/{name}")
-    q, t = vcf.read_vcf_samples(spark, query_path), vcf.read_vcf_samples(spark, truth_path)
+    q, t = matching_samples(spark, query_path, truth_path, queries)
     if due("sites"):
-        matching_sites(spark, query_path, truth_path, region, f"{root}/_work", audit)[0].write.mode("overwrite").parquet(f"{root}/sites")
+        matching_sites(spark, query_path, truth_path, q, t, region, f"{root}/_work", audit).write.mode("overwrite").parquet(f"{root}/sites")
         done.append("sites")
     if due("pairs"):
         stored_pairs(spark, read("sites").select("q", "t"), q, t, f"{root}/_work")
-        ranked, seen = pairwise.rank_matches(read("_work/pairs")), Observation()
+        ranked, seen = pairwise.rank_matches(read("_work/pairs")).orderBy("query", "match_rank"), Observation()
         ranked.observe(seen, F.count(F.lit(1)).alias("pairs")).write.mode("overwrite").parquet(f"{root}/pairs")
         audit.step("pairs", None, incremental.observed(seen, "pairs"))
         done.append("pairs")

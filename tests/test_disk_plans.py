@@ -12,7 +12,7 @@ from test_plans import sides, site, table, write  # noqa: F401
 
 from genoeval.functions import genotypes as g
 from genoeval.operators import metrics, pairwise
-from genoeval.plans.array import evaluate_array, run_matching
+from genoeval.plans.array import evaluate_array, match_samples, run_matching
 from genoeval.plans.maps import prepare_maps
 from genoeval.plans.stitch import run_stitch, stitched
 from genoeval.sources.files import read_genetic_map
@@ -54,6 +54,11 @@ def test_matching_on_disk(spark, sides, tmp_path):  # noqa: F811
     assert {r["query"]: r["best_target"] for r in table(spark, f"{root}/best_matches").collect()} == {"s1": "s1", "s2": "s2", "s3": "s3"}
     assert spark.read.parquet(f"{root}/pairs").count() == 9 and table(spark, f"{root}/output_manifest").count() == 4
     assert {r["step"]: r["count_after"] for r in table(spark, f"{root}/audit").collect()} == {"query sites kept": "3", "truth sites kept": "3", "pairs": "9", "best matches": "3"}
+    assert [(r["query"], r["match_rank"]) for r in spark.read.parquet(f"{root}/pairs").collect()] == [(f"s{q}", k) for q in (1, 2, 3) for k in (1, 2, 3)]
+    ranked, best = match_samples(spark, *sides, queries=["s3", "s1"])
+    assert ranked.count() == 6 and {r["query"]: r["best_target"] for r in best.collect()} == {"s1": "s1", "s3": "s3"}
+    with pytest.raises(ValueError, match="query: samples not in input: nobody"):
+        match_samples(spark, *sides, queries=["s1", "nobody"])
     shutil.rmtree(f"{root}/best")
     assert run_matching(spark, *sides, root) == ["best"]
     with pytest.raises(ValueError, match="other inputs"):
