@@ -29,13 +29,15 @@ SELECT p_partkey AS vid, 'Chr' || lpad(CAST(1 + p_partkey % 17 AS STRING), 2, '0
 FROM part WHERE p_partkey % 11 <> 0
 """
 
-# The four values of one call; v is the site, s the sample.
-_TRUTH_GT = """CASE WHEN (v.p_partkey + {s}) % 29 = 0 THEN './.' ELSE
-    CASE WHEN (v.p_partkey * 7 + {s} * 13) % 20 < v.p_partkey % 21 THEN '1' ELSE '0' END || '/' ||
-    CASE WHEN (v.p_partkey * 11 + {s} * 3) % 20 < v.p_partkey % 21 THEN '1' ELSE '0' END END"""
-_IMPUTED_GT = """CASE WHEN (v.p_partkey * 5 + {s}) % 31 = 0 THEN '.|.' ELSE
-    CASE WHEN (v.p_partkey * 7 + {s} * 13 + CASE WHEN (v.p_partkey * 3 + {s}) % 17 = 0 THEN 9 ELSE 0 END) % 20 < v.p_partkey % 21 THEN '1' ELSE '0' END || '|' ||
-    CASE WHEN (v.p_partkey * 11 + {s} * 3) % 20 < v.p_partkey % 21 THEN '1' ELSE '0' END END"""
+# The four values of one call; v is the site, s the sample. Whole calls are literals: no text is put together for each.
+def _gt(missing: str, first: str, second: str, sep: str) -> str:
+    calls = [f"CASE WHEN {second} THEN '{a}{sep}1' ELSE '{a}{sep}0' END" for a in "10"]
+    return f"CASE WHEN {missing} THEN '.{sep}.' WHEN {first} THEN {calls[0]} ELSE {calls[1]} END"
+
+
+_SECOND = "(v.p_partkey * 11 + {s} * 3) % 20 < v.p_partkey % 21"
+_TRUTH_GT = _gt("(v.p_partkey + {s}) % 29 = 0", "(v.p_partkey * 7 + {s} * 13) % 20 < v.p_partkey % 21", _SECOND, "/")
+_IMPUTED_GT = _gt("(v.p_partkey * 5 + {s}) % 31 = 0", "(v.p_partkey * 7 + {s} * 13 + CASE WHEN (v.p_partkey * 3 + {s}) % 17 = 0 THEN 9 ELSE 0 END) % 20 < v.p_partkey % 21", _SECOND, "|")
 _GQ = "CASE WHEN (v.p_partkey + {s}) % 41 <> 0 THEN 40 + (v.p_partkey * 37 + {s} * 11) % 60 END"
 _DP = "CASE WHEN (v.p_partkey + {s}) % 43 <> 0 THEN (v.p_partkey * 3 + {s} * 5) % 40 END"
 _VALUES = (("truth_gt", _TRUTH_GT), ("imputed_gt", _IMPUTED_GT), ("gq", _GQ), ("dp", _DP))
