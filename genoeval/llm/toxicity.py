@@ -374,7 +374,7 @@ def training_sample(docs: DataFrame, labels: DataFrame, label_col: str, id_col:
     named = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label")).filter("id is not null and label in (0, 1)").withColumn("h", F.pmod(F.xxhash64("id"), F.lit(1 << 40)))
     counts = {r["label"]: r["n"] for r in named.groupBy("label").agg(F.count("*").alias("n")).collect()}
     bound = F.coalesce(*[F.when(F.col("label") == k, F.lit(min(1 << 40, int((1 << 40) * 0.8 * ROWS / n)))) for k, n in counts.items()]) if counts else F.lit(0)
-    picked = sorted({(r["h"], r["id"], r["label"]) for r in named.filter(F.col("h") < bound).collect()}) if counts else []
+    picked = sorted((r["h"], r["id"], r["label"]) for r in named.filter(F.col("h") < bound).select("h", "id", "label").distinct().collect()) if counts else []
     taken = {k: [x for x in picked if x[2] == k][:ROWS] for k in counts}
     share = lambda k: counts[k] / len(taken[k]) * len(picked) / sum(counts.values())
     kept = [(*r, share(k)) for k in counts for r in taken[k]]
