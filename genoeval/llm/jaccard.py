@@ -7,7 +7,8 @@ as the posterior probability (uniform prior) that its similarity reaches the thr
 What is left is verified on the exact sets.
 
 Pairs never become rows: a bucket of candidates is worked through in blocks of ``BLOCK`` representatives, a
-large bucket as all its pairs of blocks dealt over tasks. A pair counts only in the first band that holds it.
+large bucket as all its pairs of blocks dealt over tasks. There a block is one row, so that rows (members, then blocks)
+do not grow with the square of a bucket. A pair counts only in the first band that holds it.
 A block returns link counts and a spanning forest of its links, which is all that classes need.
 """
 
@@ -18,6 +19,7 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -163,22 +165,28 @@ def _linked(i: np.ndarray, j: np.ndarray, sets: list[np.ndarray], other: list[np
     return c * 1_000_000 >= total * round(threshold * 1_000_000)
 
 
-def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, dict]]:
-    """Rows sorted by (key, band, i, j) as (that, columns); a group may span batches."""
+#: A block of a bucket; a pair of blocks.
+_ONE, _PAIR = ("key", "band", "side", "blocks"), ("key", "band", "i", "j")
+_LISTS = {"reps": pa.int64(), "bodies": pa.binary(), "copies": pa.int64(), "shingles": pa.binary(), "links": pa.int64(), "to": pa.int64()}
+_HEAD = "key long, band int, side int, blocks int"
+
+
+def _groups(batches: Iterator[pa.RecordBatch], by: tuple[str, ...]) -> Iterator[tuple[tuple, dict]]:
+    """Rows sorted by ``by`` as (that, columns); a group may span batches."""
     held: list[pa.RecordBatch] = []
 
     def close() -> tuple[tuple, dict]:
         t = pa.Table.from_batches(held)
-        return tuple(t.column(c)[0].as_py() for c in ("key", "band", "i", "j")), {c: t.column(c) for c in t.column_names}
+        return tuple(t.column(c)[0].as_py() for c in by), {c: t.column(c) for c in t.column_names}
 
     for batch in batches:
         if not batch.num_rows:
             continue
-        ids = np.stack([batch.column(c).to_numpy().astype(np.int64) for c in ("key", "band", "i", "j")])
+        ids = np.stack([batch.column(c).to_numpy().astype(np.int64) for c in by])
         cuts = [0, *(np.flatnonzero((ids[:, 1:] != ids[:, :-1]).any(0)) + 1).tolist(), batch.num_rows]
         for a, z in zip(cuts[:-1], cuts[1:], strict=True):
             part = batch.slice(a, z - a)
-            if held and a == 0 and any(held[0].column(c)[0].as_py() != part.column(c)[0].as_py() for c in ("key", "band", "i", "j")) or held and a:
+            if held and a == 0 and any(held[0].column(c)[0].as_py() != part.column(c)[0].as_py() for c in by) or held and a:
                 yield close()
                 held = []
             held.append(part)
@@ -186,47 +194,104 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, dict]]:
         yield close()
 
 
+def _row(key: int, band: int, side: int, blocks: int, **lists) -> pa.RecordBatch:
+    """One block with lists by member."""
+    head = [pa.array([key]), *(pa.array([x], pa.int32()) for x in (band, side, blocks))]
+    return pa.RecordBatch.from_arrays([*head, *(pa.array([v], pa.list_(_LISTS[n])) for n, v in lists.items())], names=[*_ONE, *lists])
+
+
+def _flat(rows: dict, name: str) -> list | np.ndarray:
+    """A list column's members, block after block."""
+    flat = pc.list_flatten(rows[name].combine_chunks())
+    return flat.to_numpy() if pa.types.is_integer(flat.type) else flat.to_pylist()
+
+
+def _sides(rows: dict) -> np.ndarray:
+    return np.repeat(rows["side"].to_numpy(), pc.list_value_length(rows["reps"]).to_numpy())
+
+
+def _signature_rows(bodies: list[bytes]) -> np.ndarray:
+    return np.frombuffer(b"".join(bodies), np.uint32).reshape(len(bodies), -1)
+
+
 def _survivors(least: dict[int, int]):
-    """mapInArrow: the members of each block that have a pair left after pruning."""
+    """mapInArrow: of a bucket of one block, the members that have a pair left after pruning; a larger bucket's blocks as they are."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for (key, band, i, j), rows in _groups(batches):
-            s = np.frombuffer(b"".join(rows["body"].to_pylist()), np.uint32).reshape(len(rows["rep"]), -1)
-            side, rep = rows["side"].to_numpy(), rows["rep"].to_numpy()
+        for (key, band, side, blocks), rows in _groups(batches, _ONE):
+            rep, bodies = rows["rep"].to_numpy(), rows["body"].to_pylist()
+            if blocks > 1:
+                yield _row(key, band, side, blocks, reps=rep, bodies=bodies)
+                continue
+            s = _signature_rows(bodies)
+            on = np.unique(np.concatenate(_alive(s, s, True, band, least)))
+            if len(on):
+                yield _row(key, band, side, blocks, reps=rep[on], bodies=None)
+
+    return run
+
+
+def _pair_survivors(least: dict[int, int]):
+    """mapInArrow: the members of each pair of blocks that have a pair left, by block."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for (key, band, i, j), rows in _groups(batches, _PAIR):
+            s, side, rep = _signature_rows(_flat(rows, "bodies")), _sides(rows), _flat(rows, "reps")
             left, right = np.flatnonzero(side == i), np.flatnonzero(side == j)
             a, b = _alive(s[left], s[right], i == j, band, least)
-            if len(a):
-                on = np.unique(np.concatenate([left[a], right[b]]))
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(on), key)), pa.array(np.full(len(on), band, np.int32)), pa.array(np.full(len(on), i, np.int32)), pa.array(np.full(len(on), j, np.int32)), pa.array(rep[on])], names=["key", "band", "i", "j", "rep"])
+            on = np.unique(np.concatenate([left[a], right[b]]))
+            for k in np.unique(side[on]).tolist():
+                yield _row(key, band, k, rows["blocks"][0].as_py(), reps=rep[on[side[on] == k]])
 
     return run
 
 
+def _linked_members(s: np.ndarray, sets: list[np.ndarray], copies: np.ndarray, left: np.ndarray, right: np.ndarray, same: bool, band: int, least: dict[int, int], threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(members with links, links counted in copies, members to which they go): the last span the links."""
+    links, to = np.zeros(len(s), np.int64), np.arange(len(s))
+    a, b = _alive(s[left], s[right], same, band, least)
+    if len(a):
+        yes = _linked(a, b, [sets[x] for x in left], [sets[x] for x in right], threshold)
+        a, b = left[a[yes]], right[b[yes]]
+        np.add.at(links, a, copies[b])
+        np.add.at(links, b, copies[a])
+        while True:  # the least row that each one reaches
+            was = to.copy()
+            np.minimum.at(to, a, to[b])
+            np.minimum.at(to, b, to[a])
+            if (was == to).all():
+                break
+    on = np.flatnonzero(links)
+    return on, links[on], to[on]
+
+
 def _verified(least: dict[int, int], threshold: float):
-    """mapInArrow: (rep, links counted in copies, to): ``to`` spans the block's links, null where only the count matters."""
+    """mapInArrow: a bucket of one block gives members, their links and where these go; a larger bucket's blocks stay as they are."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for (_, band, i, j), rows in _groups(batches):
-            s = np.frombuffer(b"".join(rows["body"].to_pylist()), np.uint32).reshape(len(rows["rep"]), -1)
-            sets = [np.frombuffer(x, np.uint64) for x in rows["shingles"].to_pylist()]
-            side, rep, copies = (rows[c].to_numpy() for c in ("side", "rep", "copies"))
-            left, right = np.flatnonzero(side == i), np.flatnonzero(side == j)
-            a, b = _alive(s[left], s[right], i == j, band, least)
-            if not len(a):
+        for (key, band, side, blocks), rows in _groups(batches, _ONE):
+            rep, copies = rows["rep"].to_numpy(), rows["copies"].to_numpy()
+            bodies, shingles = rows["body"].to_pylist(), rows["shingles"].to_pylist()
+            if blocks > 1:
+                yield _row(key, band, side, blocks, reps=rep, copies=copies, bodies=bodies, shingles=shingles, links=None, to=None)
                 continue
-            yes = _linked(a, b, [sets[x] for x in left], [sets[x] for x in right], threshold)
-            a, b = left[a[yes]], right[b[yes]]
-            links, to = np.zeros(len(rep), np.int64), np.arange(len(rep))
-            np.add.at(links, a, copies[b])
-            np.add.at(links, b, copies[a])
-            while True:  # the least row that each one reaches
-                was = to.copy()
-                np.minimum.at(to, a, to[b])
-                np.minimum.at(to, b, to[a])
-                if (was == to).all():
-                    break
-            on = np.flatnonzero(links)
-            yield pa.RecordBatch.from_arrays([pa.array(rep[on]), pa.array(links[on]), pa.array(rep[to[on]])], names=["rep", "links", "to"])
+            every = np.arange(len(rep))
+            on, links, to = _linked_members(_signature_rows(bodies), [np.frombuffer(x, np.uint64) for x in shingles], copies, every, every, True, band, least, threshold)
+            if len(on):
+                yield _row(key, band, side, blocks, reps=rep[on], copies=None, bodies=None, shingles=None, links=links, to=rep[to])
+
+    return run
+
+
+def _pair_verified(least: dict[int, int], threshold: float):
+    """mapInArrow: (rep, links, to) of the members of each pair of blocks."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for (_, band, i, j), rows in _groups(batches, _PAIR):
+            side, rep, sets = _sides(rows), _flat(rows, "reps"), [np.frombuffer(x, np.uint64) for x in _flat(rows, "shingles")]
+            left, right = np.flatnonzero(side == i), np.flatnonzero(side == j)
+            on, links, to = _linked_members(_signature_rows(_flat(rows, "bodies")), sets, _flat(rows, "copies"), left, right, i == j, band, least, threshold)
+            yield pa.RecordBatch.from_arrays([pa.array(rep[on]), pa.array(links), pa.array(rep[to])], names=["rep", "links", "to"])
 
     return run
 
@@ -282,24 +347,35 @@ def _classes(own: DataFrame, shingle: int, threshold: float, tolerance: float) -
     buckets = bands.groupBy("band", "key").agg(F.count("*").alias("n"), (8 * F.sum("size")).alias("bytes")).filter("n > 1").select("band", "key", blocks.alias("blocks"))
     mine = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
     others = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct(F.least(F.col("side"), o).alias("i"), F.greatest(F.col("side"), o).alias("j")))
-    members = bands.join(buckets, ["band", "key"]).withColumn("side", mine).select("band", "key", "rep", "side", F.inline(others))
-    block = ["key", "band", "i", "j"]
+    members = bands.join(buckets, ["band", "key"]).select("key", "band", mine.alias("side"), "blocks", "rep")
     bodies = reps.select("rep", "body", "copies")
-    pruned = members.join(bodies, "rep").repartition(*block).sortWithinPartitions(*block).select(*block, "side", "rep", "body").mapInArrow(_survivors(least), "key long, band int, i int, j int, rep long")
-    left = scratch.keep("left", pruned.join(members, [*block, "rep"]))
+
+    def by_block(rows: DataFrame) -> DataFrame:
+        return rows.repartition("key", "band", "side").sortWithinPartitions(*_ONE)
+
+    def in_pairs(blocks: DataFrame, columns: list[str]) -> DataFrame:
+        return blocks.filter("blocks > 1").select("key", "band", "side", "blocks", *columns, F.inline(others)).repartition(*_PAIR).sortWithinPartitions(*_PAIR)
+
+    pruned = scratch.keep("pruned", by_block(members.join(bodies.drop("copies"), "rep").select(*_ONE, "rep", "body")).mapInArrow(_survivors(least), f"{_HEAD}, reps array<long>, bodies array<binary>"))
+    several = in_pairs(pruned, ["reps", "bodies"]).mapInArrow(_pair_survivors(least), f"{_HEAD}, reps array<long>")
+    several = several.groupBy(*_ONE).agg(F.array_distinct(F.flatten(F.collect_list("reps"))).alias("reps"))
+    left = scratch.keep("left", pruned.filter("blocks = 1").select(*_ONE, "reps").unionByName(several).select(*_ONE, F.explode("reps").alias("rep")))
     # Shingles are made again, for one row of each set that has a pair left.
     needed = scratch.keep("needed", left.select("rep").distinct().join(reps.select("rep", "s1", "s2", "first"), "rep"))
     again = own.mapInArrow(_sets(shingle, bit_filter(needed, "s1")), sets)
     same = [F.col("first")[f.name].eqNullSafe(F.col(f"own.{f.name}")) for f in columns]
     shingles = again.alias("own").join(needed.alias("needed"), [F.col(f"own.{c}") == F.col(f"needed.{c}") for c in ("s1", "s2")] + same).groupBy("rep").agg(F.first("body").alias("shingles"))
-    checked = left.join(bodies, "rep").join(shingles, "rep").repartition(*block).sortWithinPartitions(*block).select(*block, "side", "rep", "copies", "body", "shingles").mapInArrow(_verified(least, threshold), "rep long, links long, to long")
+    found = by_block(left.join(bodies, "rep").join(shingles, "rep").select(*_ONE, "rep", "copies", "body", "shingles")).mapInArrow(_verified(least, threshold), f"{_HEAD}, reps array<long>, copies array<long>, bodies array<binary>, shingles array<binary>, links array<long>, to array<long>")
+    found = scratch.keep("found", found)
+    single = found.filter("blocks = 1").select(F.inline(F.arrays_zip(F.col("reps").alias("rep"), "links", "to")))
+    checked = single.unionByName(in_pairs(found, ["reps", "copies", "bodies", "shingles"]).mapInArrow(_pair_verified(least, threshold), "rep long, links long, to long"))
     links = scratch.keep("links", checked.groupBy("rep", "to").agg(F.sum("links").alias("links")))
     roots = connected(links.select(F.col("rep").alias("a"), F.col("to").alias("b")))
     counts = links.groupBy("rep").agg(F.sum("links").alias("links"))
     per_rep = reps.select("rep", "s1", "s2", "first", "copies").join(roots.withColumnRenamed("node", "rep"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
     per_rep = scratch.keep("roots", per_rep)
     names = scratch.keep("names", per_rep.groupBy("root").agg(F.min("first").alias("first")))
-    scratch.drop("bands", "left", "needed")
+    scratch.drop("bands", "pruned", "left", "needed", "found")
     return signed_rows, per_rep.drop("first").join(names, "root").join(counts, "rep", "left").select("root", "s1", "s2", "first", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
 
 
