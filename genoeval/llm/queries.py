@@ -45,7 +45,7 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), passage=suffix_dedup.PASSAGE)
 
 
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -12,6 +12,10 @@ Equal windows then hold equal samples at equal offsets, and
 3. runs that are still open are cut into ``CELL`` starts each, then into single starts, and named again
    (recursion); a cell whose common core has no equal neighbour is not repeated.
 
+Passages of over 50 words are often shorter than ``LENGTH`` bytes. Where they are asked for too, all texts are searched
+for strings of ``PASSAGE`` bytes, and those of ``LENGTH`` bytes only inside what that leaves: a string that occurs
+again is made of shorter ones that do.
+
 Names are 128-bit hashes. All three steps group narrow rows; counts are pre-aggregated, so thousands of copies of a
 passage cost no more than other text, and nothing is collected.
 """
@@ -26,9 +30,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import BASES, ByteHash, Scratch, list_array, mix, ranges, signed, text_slices
+from .common import BASES, NO_SPACE, ByteHash, Scratch, Words, list_array, mix, ranges, signed, text_slices
 
 LENGTH, GRAM, CELL = 400, 64, 16
+#: Passages of over 50 words: 51 words of five bytes with their space.
+PASSAGE, PASSAGE_WORDS = 256, 50
 
 #: A sample: its gram's hash, the hash of its run's text, its place, and its run of starts as ``at - before`` to ``lo + more``.
 _SAMPLE = pa.struct([("fp", pa.int64()), ("h", pa.int64()), ("at", pa.int32()), ("before", pa.int32()), ("more", pa.int32())])
@@ -175,9 +181,9 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str, *others: Column) -> Data
     return docs.select(F.coalesce(own, F.xxhash64(F.lit("no id"), text)).alias("doc_id"), F.xxhash64(text, own.isNull()).alias("key"), text.alias("text"), own.alias("id"), *others)
 
 
-def repeated_starts(keyed: DataFrame, length: int = LENGTH, gram: int = GRAM, cover: bool = False) -> DataFrame:
+def repeated_starts(keyed: DataFrame, length: int = LENGTH, gram: int = GRAM, cover: bool = False, scratch: Scratch | None = None) -> DataFrame:
     """Runs of starts whose ``length``-byte string also starts elsewhere: (doc_id, key, lo, hi), runs may touch."""
-    scratch = Scratch(keyed.sparkSession, "repeats")
+    scratch = scratch or Scratch(keyed.sparkSession, "repeats")
     mine = _named_runs(scratch, keyed, length, gram, cover)
     yes = mine.filter("n > 1").select("doc_id", "key", "lo", "hi")
     pending = mine.filter("goes_on").select("doc_id", "key", F.struct("fp", "at", "lo", "hi", (F.col("n") > 1).alias("known")).alias("run"))
@@ -232,28 +238,75 @@ def _named_cells(scratch: Scratch, keyed: DataFrame, pending: DataFrame, length:
     return yes, None if width == 1 else named.filter("goes_on").select("doc_id", "key", run.alias("run"))
 
 
-def _cut(length: int, with_text: bool):
-    """mapInArrow: (doc_id, text, lo, hi) to the spans removed and what is kept."""
+def _marked(batch: pa.RecordBatch, offsets: np.ndarray, names: tuple[str, str], length: int, more: int) -> np.ndarray:
+    """Bytes from a run's first start to ``more`` bytes after its last; the lists of starts are columns of the batch."""
+    lows, highs = (batch.column(batch.schema.get_field_index(c)) for c in names)
+    n = np.nan_to_num(lows.value_lengths().to_numpy(zero_copy_only=False)).astype(np.int64)
+    rows = np.repeat(np.arange(batch.num_rows), n)
+    lo = lows.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+    hi = highs.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+    lo, hi = np.maximum(lo, 0), np.minimum(hi, np.diff(offsets)[rows] - length)
+    some = lo <= hi
+    rows, lo, hi = rows[some], lo[some], hi[some]
+    mark = np.zeros(offsets[-1] + 1, np.int64)
+    np.add.at(mark, offsets[rows] + lo, 1)
+    np.add.at(mark, offsets[rows] + hi + more, -1)
+    return np.cumsum(mark[:-1]) > 0
+
+
+def _first(marked: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """The first byte of each run of marked ones; runs end with their text."""
+    start = marked.copy()
+    start[1:] &= ~marked[:-1]
+    edge = offsets[:-1][np.diff(offsets) > 0]
+    start[edge] = marked[edge]
+    return start
+
+
+def _runs(marked: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First and last byte of each run of marked ones."""
+    start = _first(marked, offsets)
+    return np.flatnonzero(start), np.flatnonzero(marked & np.append(~marked[1:] | start[1:], True)[: len(marked)])
+
+
+def _passages(marked: np.ndarray, data: np.ndarray, offsets: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
+    """By text: the runs of marked bytes with more than ``words`` whole words between spaces, and their bytes."""
+    count = len(offsets) - 1
+    if not marked.any():
+        return np.zeros(count, np.int64), np.zeros(count, np.int64)
+    a, z = _runs(marked, offsets)
+    found = Words(data, offsets, NO_SPACE)
+    long = np.searchsorted(found.end, z + 1, side="right") - np.searchsorted(found.start, a) > words
+    owner, size = np.searchsorted(offsets, a[long], side="right") - 1, z[long] + 1 - a[long]
+    out = np.zeros(count, np.int64)
+    np.add.at(out, owner, size)
+    return np.bincount(owner, minlength=count), out
+
+
+def _stretches(passage: int, length: int):
+    """mapInArrow: (doc_id, key, text, lo, hi) to the texts' stretches of repeated strings, those of ``length`` bytes at least."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, data, offsets in text_slices(batches):
+            a, z = _runs(_marked(batch, offsets, ("lo", "hi"), passage, 1), offsets)
+            some = z - a + passage >= length
+            a, z = a[some], z[some] + passage
+            owner = np.searchsorted(offsets, a, side="right") - 1
+            ids = [batch.column(i).take(pa.array(owner)) for i in (0, 1)]
+            texts = pa.array([data[i:j].tobytes() for i, j in zip(a, z, strict=True)], pa.binary())
+            yield pa.RecordBatch.from_arrays([*ids, pa.array((a - offsets[owner]).astype(np.int32)), texts], names=["doc_id", "key", "base", "text"])
+
+    return run
+
+
+def _cut(length: int, with_text: bool, passage: int | None = None):
+    """mapInArrow: (doc_id, text, lo, hi) to the spans removed and what is kept; with ``passage``, its runs are (short_lo, short_hi)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, data, offsets in text_slices(batches):
-            lows, highs = (batch.column(batch.schema.get_field_index(c)) for c in ("lo", "hi"))
-            n = np.nan_to_num(lows.value_lengths().to_numpy(zero_copy_only=False)).astype(np.int64)
-            rows = np.repeat(np.arange(batch.num_rows), n)
             size = np.diff(offsets)
-            lo = lows.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-            hi = highs.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-            lo, hi = np.maximum(lo, 0), np.minimum(hi, size[rows] - length)
-            some = lo <= hi
-            rows, lo, hi = rows[some], lo[some], hi[some]
-            mark = np.zeros(len(data) + 1, np.int64)
-            np.add.at(mark, offsets[rows] + lo, 1)
-            np.add.at(mark, offsets[rows] + hi + length, -1)
-            gone = np.cumsum(mark[:-1]) > 0
-            start = gone.copy()
-            start[1:] &= ~gone[:-1]
-            edge = offsets[:-1][size > 0]
-            start[edge] = gone[edge]
+            gone = _marked(batch, offsets, ("lo", "hi"), length, length)
+            start = _first(gone, offsets)
             sums = np.concatenate([[0], np.cumsum(gone)])
             starts = np.concatenate([[0], np.cumsum(start)])
             removed, spans = sums[offsets[1:]] - sums[offsets[:-1]], starts[offsets[1:]] - starts[offsets[:-1]]
@@ -262,29 +315,62 @@ def _cut(length: int, with_text: bool):
             if with_text:  # bytes of characters that were cut in two go as well
                 yield pa.RecordBatch.from_arrays([*head, pa.array([k.decode(errors="ignore") for k in kept], pa.string()), *(batch.column(i) for i in range(4, batch.num_columns))], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept", *batch.schema.names[4:]])
             else:
-                yield pa.RecordBatch.from_arrays([*head, pa.array([hashlib.sha256(k).hexdigest() for k in kept])], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+                found = _passages(_marked(batch, offsets, ("short_lo", "short_hi"), passage, passage), data, offsets, PASSAGE_WORDS) if passage else ()
+                names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", *(["n_passages", "n_passage_bytes"] if passage else [])]
+                yield pa.RecordBatch.from_arrays([*head, pa.array([hashlib.sha256(k).hexdigest() for k in kept], pa.string()), *(pa.array(x) for x in found)], names=names)
 
     return run
 
 
+def _lists(spans: DataFrame) -> DataFrame:
+    return spans.groupBy("doc_id", "key").agg(F.array_sort(F.collect_set(F.struct("lo", "hi"))).alias("runs"))
+
+
+def _both_lengths(keyed: DataFrame, length: int, passage: int, gram: int, cover: bool) -> DataFrame:
+    """(doc_id, key, lo, hi, short_lo, short_hi): runs of starts of strings of both lengths, ``passage`` being the shorter.
+
+    All starts of a longer repeated string's shorter ones are repeated and follow one another, so it lies in one
+    stretch of such starts, and no other stretch holds that place: the stretches are texts of their own.
+    """
+    scratch = Scratch(keyed.sparkSession, "passages")
+    spans = scratch.keep("short", _lists(repeated_starts(keyed, passage, gram, cover, scratch)).select("doc_id", "key", F.col("runs.lo").alias("lo"), F.col("runs.hi").alias("hi")))
+    scratch.drop("runs", *(f"named-{width}" for width in (CELL, 1)))
+    found = spans.join(keyed, ["doc_id", "key"]).select("doc_id", "key", "text", "lo", "hi")
+    found = found.mapInArrow(_stretches(passage, length), "doc_id long, key long, base int, text binary")
+    stretches = scratch.keep("stretches", found.withColumn("part", F.xxhash64("key", "base")))
+    inside = repeated_starts(stretches.select("doc_id", F.col("part").alias("key"), "text"), length, gram, cover).withColumnRenamed("key", "part")
+    places = stretches.select("doc_id", "part", "key", "base").distinct()
+    whole = inside.join(places, ["doc_id", "part"]).select("doc_id", "key", (F.col("lo") + F.col("base")).alias("lo"), (F.col("hi") + F.col("base")).alias("hi"))
+    short = spans.withColumnsRenamed({"lo": "short_lo", "hi": "short_hi"})
+    return short.join(_lists(whole), ["doc_id", "key"], "left").select("doc_id", "key", F.col("runs.lo").alias("lo"), F.col("runs.hi").alias("hi"), "short_lo", "short_hi")
+
+
 def _with_spans(docs: DataFrame, id_col: str, text_col: str, length: int, gram: int, cover: bool, others: list[str]) -> DataFrame:
     keyed = _keyed(docs, id_col, text_col).drop("id")
-    spans = repeated_starts(keyed, length, gram, cover).groupBy("doc_id", "key").agg(F.array_sort(F.collect_set(F.struct("lo", "hi"))).alias("runs"))
+    spans = _lists(repeated_starts(keyed, length, gram, cover))
     extra = F.struct(*[F.col(c) for c in others]).alias("others") if others else F.lit(None).cast("int").alias("others")
     whole = _keyed(docs, id_col, text_col, extra)
     return whole.join(spans, ["doc_id", "key"], "left").select(F.col("id").alias("doc_id"), "text", F.col("runs.lo").alias("lo"), F.col("runs.hi").alias("hi"), "others")
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM, cover: bool = False) -> DataFrame:
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM, cover: bool = False, passage: int | None = None) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) for each row of ``docs``.
 
     Every byte covered by a ``length``-byte string (up to 65,535) that also starts elsewhere, in this text or another,
     is removed. With ``cover`` the samples lie on a difference cover; results are the same.
     Null and empty texts have no bytes. Two rows with equal texts are each other's copies, also under one id.
     Rows equal in id and text are one string's two copies as well, and rows without an id are rows like others. Empty
-    tables give no rows.
+    tables give no rows. With ``passage``, a length between ``gram`` and ``length``, (n_passages, n_passage_bytes) follow:
+    the maximal runs covered by strings of that length that occur again, those of more than ``PASSAGE_WORDS`` whole words between spaces.
     """
-    return _with_spans(docs, id_col, text_col, length, gram, cover, []).mapInArrow(_cut(length, False), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    columns = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+    if passage is None:
+        return _with_spans(docs, id_col, text_col, length, gram, cover, []).mapInArrow(_cut(length, False), columns)
+    if not gram <= passage <= length:
+        raise ValueError("passage must lie between gram and length")
+    spans = _both_lengths(_keyed(docs, id_col, text_col).drop("id"), length, passage, gram, cover)
+    found = _keyed(docs, id_col, text_col).join(spans, ["doc_id", "key"], "left").select(F.col("id").alias("doc_id"), "text", "lo", "hi", "short_lo", "short_hi")
+    return found.mapInArrow(_cut(length, False, passage), f"{columns}, n_passages long, n_passage_bytes long")
 
 
 def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, gram: int = GRAM, cover: bool = False) -> DataFrame:
