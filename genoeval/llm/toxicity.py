@@ -51,6 +51,18 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 0.5 + 0.5 * np.tanh(0.5 * x)
 
 
+def _product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """``a @ b`` of single precision, each row's result the same to the last bit whatever rows are beside it.
+
+    Libraries add up a row's products in an order that depends on the number of rows. Rounded to 20 binary places, products
+    and sums (below 2^13) are exact in double precision, so the order does not matter.
+    """
+    if a.dtype != np.float32:
+        return np.matmul(a, b)
+    whole = [np.rint(x * 2.0**20) for x in (a.astype(np.float64), b.astype(np.float64))]
+    return (np.matmul(*whole) * 2.0**-40).astype(np.float32)
+
+
 def _reversed(lengths: np.ndarray, steps: int) -> np.ndarray:
     """Place in time of the t-th symbol from the end, by sequence; padding stays where it is."""
     t = np.arange(steps)[:, None]
@@ -78,12 +90,13 @@ class Pooled:
         """``x``: (time, direction, sequence, 3 states), longest sequence first, backward already reversed; (sequence, 2 states)."""
         steps, _, count, wide = x.shape
         size = wide // 3
+        product = np.matmul if keep else _product
         going = np.searchsorted(-lengths, -np.arange(steps), side="left")  # sequences longer than t
         h = np.zeros((2, count, size), x.dtype)
         states, saved = np.zeros((steps, 2, count, size), x.dtype), []
         for t, on in enumerate(going.tolist()):
             h, now = h[:, :on], x[t, :, :on]
-            g = np.matmul(h, self.u)
+            g = product(h, self.u)
             zr = _sigmoid(now[:, :, : 2 * size] + g[:, :, : 2 * size])
             n = np.tanh(now[:, :, 2 * size :] + zr[:, :, size:] * g[:, :, 2 * size :])
             if keep:
@@ -92,11 +105,14 @@ class Pooled:
             states[t, :, :on] = h
         back, at = _reversed(lengths, steps), np.arange(count)
         both = np.concatenate([states[:, 0], states[back, 1, at]], axis=2)
-        hidden = np.tanh(both @ self.a + self.ab)
+        hidden = np.tanh(product(both, self.a) + self.ab)
         there = np.arange(steps)[:, None] < lengths
-        score = np.where(there, hidden @ self.v, -1e9)
+        score = np.where(there, (hidden * self.v).sum(axis=2), -1e9)
         weight = np.exp(score - score.max(axis=0, initial=-1e9)) * there
-        weight /= np.maximum(weight.sum(axis=0), 1e-9)
+        total = np.zeros(count, weight.dtype)
+        for now in weight:  # in order also for a single sequence
+            total += now
+        weight /= np.maximum(total, 1e-9)
         if keep:
             self.saved = (x.shape, going, saved, both, hidden, weight, back)
         return (weight[:, :, None] * both).sum(axis=0)
@@ -176,7 +192,7 @@ class Network:
         joined = np.concatenate([w["words"][own], read], axis=1)
         if keep:
             self.saved = (chars, back, layer, own, joined)
-        return np.matmul(joined, w["word.x"]) + w["word.b"]
+        return (np.matmul if keep else _product)(joined, w["word.x"]) + w["word.b"]
 
     def logits(self, inputs: np.ndarray, ids: np.ndarray, lengths: np.ndarray, keep: bool = False) -> np.ndarray:
         """A number a window, longest first; ``ids`` are (time, window) places in ``inputs``."""
@@ -185,7 +201,7 @@ class Network:
         pooled = layer.forward(np.stack([inputs[0][ids], inputs[1][back]], axis=1), lengths, keep)
         if keep:
             self.last = (ids, back, layer, pooled)
-        return pooled @ self.weights["out"] + self.weights["bias"]
+        return (pooled * self.weights["out"]).sum(axis=1) + self.weights["bias"]
 
     def gradients(self, d_logits: np.ndarray, count: int) -> Weights:
         """Of the windows and words of the last calls with ``keep``; ``count`` words."""
@@ -257,7 +273,10 @@ class Scorer:
         return np.stack([np.clip(best, -30, 30), np.log(mean / (1 - mean))], axis=1)
 
     def score(self, texts: list[list[str]]) -> np.ndarray:
-        return _sigmoid(self.features(texts) @ self.curve[:2] + self.curve[2]) if texts else np.zeros(0)
+        if not texts:
+            return np.zeros(0)
+        best, mean = self.features(texts).T
+        return _sigmoid(best * self.curve[0] + mean * self.curve[1] + self.curve[2])
 
 
 def _fit_curve(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> np.ndarray:

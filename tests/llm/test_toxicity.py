@@ -83,6 +83,24 @@ def test_odd_rows(spark, learned):
     assert toxicity.toxicity(docs.limit(0), model).count() == 0
 
 
+def test_score_does_not_depend_on_other_rows(learned):
+    """A text alone, first, last and among others, in batches of any size, has one score to the last bit."""
+    rows, _, _, model = learned
+    scorer = toxicity.unpacked(model)
+    texts = [toxicity.words_of(t) for t in ("zorgak blixt zorgak lo ra", "lo", "", rows[0][1], rows[1][1] * 3)]
+    found = [set() for _ in texts]
+    for n in [*range(20), 33, 100, 599]:
+        others = [toxicity.words_of(r[1]) for r in rows[:n]]
+        for given, at in ((others + texts, n), (texts + others, 0)):
+            scorer.forget()
+            for k, score in enumerate(scorer.score(given)[at : at + len(texts)].tolist()):
+                found[k].add(score)
+    for k, t in enumerate(texts):
+        scorer.forget()
+        found[k].add(float(scorer.score([t])[0]))
+    assert [len(x) for x in found] == [1] * len(texts)
+
+
 def test_one_label_or_none(spark):
     docs = spark.createDataFrame([(1, "a b", "en"), (2, None, "en")], DOCS)
     for labels, score in (([], 0.0), ([(1, 1, 1)], 1.0), ([(2, 1, 0)], 0.0), ([(9, 1, 1)], 0.0)):
