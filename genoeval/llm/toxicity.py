@@ -51,16 +51,19 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 0.5 + 0.5 * np.tanh(0.5 * x)
 
 
-def _product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+def _product(a: np.ndarray, b: np.ndarray, unit: bool = True) -> np.ndarray:
     """``a @ b`` of single precision, each row's result the same to the last bit whatever rows are beside it.
 
     Libraries add up a row's products in an order that depends on the number of rows. Rounded to 20 binary places, products
-    and sums (below 2^13) are exact in double precision, so the order does not matter.
+    and sums (below 2^13) are exact in double precision, so the order does not matter. States (``unit``) are at most 1.
     """
     if a.dtype != np.float32:
         return np.matmul(a, b)
-    whole = [np.rint(x * 2.0**20) for x in (a.astype(np.float64), b.astype(np.float64))]
-    return (np.matmul(*whole) * 2.0**-40).astype(np.float32)
+    if unit:  # below 4: numbers from 8 to 16 have 20 binary places in single precision
+        a = (a + np.float32(12)) - np.float32(12)
+    else:
+        a = np.rint(a.astype(np.float64) * 2.0**20) * 2.0**-20
+    return np.matmul(a.astype(np.float64), np.rint(b.astype(np.float64) * 2.0**20) * 2.0**-20).astype(np.float32)
 
 
 def _reversed(lengths: np.ndarray, steps: int) -> np.ndarray:
@@ -192,7 +195,7 @@ class Network:
         joined = np.concatenate([w["words"][own], read], axis=1)
         if keep:
             self.saved = (chars, back, layer, own, joined)
-        return (np.matmul if keep else _product)(joined, w["word.x"]) + w["word.b"]
+        return (np.matmul(joined, w["word.x"]) if keep else _product(joined, w["word.x"], False)) + w["word.b"]
 
     def logits(self, inputs: np.ndarray, ids: np.ndarray, lengths: np.ndarray, keep: bool = False) -> np.ndarray:
         """A number a window, longest first; ``ids`` are (time, window) places in ``inputs``."""
