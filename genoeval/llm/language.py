@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +28,7 @@ LANGUAGES, ROWS, LONGEST = 64, 32, 8_192
 #: Symbols parsed in one piece.
 PIECE = 128
 #: Code points that are parsed at once (or one text, where that is longer).
-SLICE = 1 << 21
+SLICE = 1 << 20
 UNKNOWN = "und"
 _LETTER = re.compile(r"[^\W\d_]")
 _GAP = 32
@@ -115,9 +116,9 @@ def automaton_table(symbols: list[int], size: int) -> np.ndarray:
     table[:, :size] = [2 * 1 if r is None else r * 4 + 1 for r in root]  # a broken match, then the symbol anew or alone
     table[0, :size] = [1 if r is None else r * 4 for r in root]
     table[:, size], table[0, size] = 1, 0
-    at = [(s, c, t) for s, m in enumerate(moves) for c, t in m.items()]
-    s, c, t = np.array(at, np.int64).T if at else np.zeros((3, 0), np.int64)
-    table[s, c] = t * 4
+    count = [len(m) for m in moves]
+    c, t = (np.fromiter(chain.from_iterable(x), np.int32, sum(count)) for x in (moves, (m.values() for m in moves)))
+    table[np.repeat(np.arange(len(moves)), count), c] = t * 4
     return table.ravel()
 
 

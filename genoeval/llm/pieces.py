@@ -7,6 +7,9 @@ or better, or where scores tie, only the leftmost place is merged in that round,
 
 Units never share a piece: no piece holds a space after another character, nor a line feed. That is checked when a
 model is read; a model that fails the check is encoded a text at a time, as one unit.
+
+What a task remembers of a unit are its ids as bytes; ids, decimals and decoded text are spelled from these a text at a
+time, so a worker's memory is that of the model, ``CACHE_MOST`` short byte strings and ``SLICE`` bytes of text.
 """
 
 from __future__ import annotations
@@ -20,9 +23,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import list_array, text_slices
+
 SPACE = "▁"
 #: Units remembered by a task before it starts over.
 CACHE_MOST = 300_000
+#: Bytes of text that are split into units at once (or one text, where that is longer).
+SLICE = 1 << 18
+#: Ids that are spelled at once.
+_SPELLED = 1 << 16
 _NONE = np.int32((1 << 31) - 1)
 
 
@@ -40,7 +49,7 @@ class PieceModel:
         self.byte_ids = {int(p[3:5], 16): i for i, p in enumerate(self.pieces) if model.is_byte(i)}
         bytes_of = {i: bytes([b]) for b, i in self.byte_ids.items()}
         self.decoded = [bytes_of.get(i) or p.replace(SPACE, " ").encode() for i, p in enumerate(self.pieces)]
-        self.decimal = [str(i) for i in range(n)]
+        self.decimal = [b"%d," % i for i in range(n)]
         self.unknown = model.unk_id()
         normal = [i for i in range(n) if not special[i]]
         self.symbol = {self.pieces[i]: i for i in normal}
@@ -82,11 +91,11 @@ class PieceModel:
     def units(self, text: str) -> list[str]:
         return self.unit.findall(SPACE + text.replace(" ", SPACE)) if text else []
 
-    def merge(self, units: list[str]) -> list[list[int]]:
-        """Symbols of each unit after all merges; characters outside the model are -1 - code point."""
+    def merge(self, units: list[str]) -> list[bytes]:
+        """Ids of each unit after all merges, as bytes of 32-bit numbers."""
         symbols = self.of_code[np.frombuffer("".join(units).encode("utf-32-le"), np.uint32)]
         owner = np.repeat(np.arange(len(units), dtype=np.int32), [len(u) for u in units])
-        done: list[list[int]] = [[]] * len(units)
+        done = [b""] * len(units)
         rank, made = self._lookup(symbols[:-1], symbols[1:], owner[1:] == owner[:-1])
         rank, made = np.append(rank, _NONE), np.append(made, 0)
         while len(symbols):
@@ -96,9 +105,11 @@ class PieceModel:
             best = np.repeat(least, length)
             gone = best == _NONE
             ended = np.flatnonzero(least == _NONE)
-            flat, ends = symbols[gone].tolist(), np.cumsum(length[ended]).tolist()
+            flat, ends = symbols[gone], np.cumsum(length[ended]).tolist()
+            raw, outside = flat.astype(np.int32).tobytes(), (flat < 0) | (flat >= self.n)
+            strange = set(owner[gone][outside].tolist())
             for s, z, u in zip([0, *ends], ends, owner[start[ended]].tolist(), strict=False):
-                done[u] = flat[s:z]
+                done[u] = self._known(flat[s:z].tolist()) if u in strange else raw[4 * s : 4 * z]
             place = np.flatnonzero((rank == best) & ~gone)
             if len(place):
                 by = owner[place]
@@ -137,21 +148,32 @@ class PieceModel:
         usable = (self.keys[at] == pair) & (left >= 0) & (right >= 0) & together
         return np.where(usable, self.ranks[at], _NONE).astype(np.int32), np.where(usable, self.made[at], 0)
 
-    def entry(self, symbols: list[int]) -> tuple[int, str, bytes, list[int]]:
-        """Number of ids, ids joined by commas, decoded bytes, ids."""
-        if min(symbols) < 0 or max(symbols) >= self.n:
-            out: list[int] = []
-            for s in symbols:
-                if 0 <= s < self.n:
-                    out.append(s)
-                else:
-                    c = chr(-1 - s) if s < 0 else self.letters[s]
-                    out += [self.byte_ids[b] for b in c.encode()] if self.byte_ids else [self.unknown]
-            symbols = out
-        return len(symbols), ",".join([self.decimal[i] for i in symbols]), b"".join([self.decoded[i] for i in symbols]), symbols
+    def _known(self, symbols: list[int]) -> bytes:
+        """``merge``'s bytes for symbols of which some are no pieces: -1 - code point, or letters that only occur inside pieces."""
+        out: list[int] = []
+        for s in symbols:
+            if 0 <= s < self.n:
+                out.append(s)
+            else:
+                c = chr(-1 - s) if s < 0 else self.letters[s]
+                out += [self.byte_ids[b] for b in c.encode()] if self.byte_ids else [self.unknown]
+        return np.array(out, np.int32).tobytes()
+
+    def joined(self, ids: np.ndarray) -> bytes:
+        """The ids in decimals, joined by commas."""
+        return _spelled(self.decimal, ids)[:-1]
+
+    def text(self, ids: np.ndarray) -> bytes:
+        """The decoded text, without the space that encoding puts before it."""
+        return _spelled(self.decoded, ids)[1:]
 
 
-_MODELS: dict[str, tuple[PieceModel, dict[str, tuple[int, str, bytes, list[int]]]]] = {}
+def _spelled(table: list[bytes], ids: np.ndarray) -> bytes:
+    parts = (ids[at : at + _SPELLED].tolist() for at in range(0, len(ids), _SPELLED))
+    return b"".join([b"".join(map(table.__getitem__, part)) for part in parts])
+
+
+_MODELS: dict[str, tuple[PieceModel, dict[str, bytes]]] = {}
 
 
 def _loaded(path: str) -> tuple[PieceModel, dict]:
@@ -160,8 +182,8 @@ def _loaded(path: str) -> tuple[PieceModel, dict]:
     return _MODELS[path]
 
 
-def encode_texts(path: str, texts: list[str]) -> Iterator[tuple[int, str, bytes, list]]:
-    """For each text: number of ids, ids joined by commas, decoded bytes, and the id lists of its units."""
+def encode_texts(path: str, texts: list[str]) -> Iterator[np.ndarray]:
+    """The ids of each text."""
     model, cache = _loaded(path)
     split = [model.units(t) for t in texts]
     seen: set[str] = set().union(*split)
@@ -170,48 +192,35 @@ def encode_texts(path: str, texts: list[str]) -> Iterator[tuple[int, str, bytes,
         cache.clear()
         fresh = list(seen)
     if fresh:
-        cache.update(zip(fresh, map(model.entry, model.merge(fresh)), strict=True))
+        cache.update(zip(fresh, model.merge(fresh), strict=True))
     for units in split:
-        if units:
-            n, ids, out, lists = zip(*map(cache.__getitem__, units), strict=True)
-            yield sum(n), ",".join(ids), b"".join(out)[1:], lists
-        else:
-            yield 0, "", b"", []
+        yield np.frombuffer(b"".join(map(cache.__getitem__, units)), np.int32)
 
 
-def _slices(texts: list[str], most: int = 1 << 20) -> Iterator[tuple[int, int]]:
-    at, size = 0, 0
-    for i, t in enumerate(texts):
-        if size and size + len(t) > most:
-            yield at, i
-            at, size = i, 0
-        size += len(t)
-    if at < len(texts):
-        yield at, len(texts)
+def _texts(batch: pa.RecordBatch) -> list[str]:
+    return [t or "" for t in batch.column(1).to_pylist()]
 
 
 def _digests(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = [t or "" for t in batch.column("text").to_pylist()]
-            for a, z in _slices(texts):
-                rows = [(n, hashlib.sha256(ids.encode()).hexdigest(), hashlib.sha256(out).hexdigest()) for n, ids, out, _ in encode_texts(path, texts[a:z])]
-                n, ids, out = zip(*rows, strict=True)
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, z - a), pa.array(n, pa.int64()), pa.array(ids), pa.array(out)], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
-        _loaded(path)[1].clear()  # a worker outlives its tasks; its memory is for what comes next
+        model, cache = _loaded(path)
+        for batch, _, _ in text_slices(batches, most=SLICE):
+            rows = [(len(ids), *(hashlib.sha256(spell(ids)).hexdigest() for spell in (model.joined, model.text))) for ids in encode_texts(path, _texts(batch))]
+            n, ids, out = zip(*rows, strict=True)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(ids), pa.array(out)], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+        cache.clear()  # a worker outlives its tasks; its memory is for what comes next
 
     return run
 
 
 def _encoded(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = [t or "" for t in batch.column("text").to_pylist()]
-            for a, z in _slices(texts):
-                rows = [([i for unit in units for i in unit], out.decode()) for _, _, out, units in encode_texts(path, texts[a:z])]
-                ids, out = zip(*rows, strict=True)
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, z - a), pa.array(ids, pa.list_(pa.int32())), pa.array(out, pa.string())], names=["doc_id", "ids", "decoded"])
-        _loaded(path)[1].clear()
+        model, cache = _loaded(path)
+        for batch, _, _ in text_slices(batches, most=SLICE):
+            ids = list(encode_texts(path, _texts(batch)))
+            flat, counts = pa.array(np.concatenate(ids)), np.array([len(x) for x in ids])
+            yield pa.RecordBatch.from_arrays([batch.column(0), list_array(flat, counts), pa.array([model.text(x).decode() for x in ids], pa.string())], names=["doc_id", "ids", "decoded"])
+        cache.clear()
 
     return run
 
